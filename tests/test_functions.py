@@ -1,0 +1,142 @@
+import math
+
+import pytest
+from pyspark.ml.feature import NGram, RegexTokenizer, StopWordsRemover
+from pyspark.sql import functions as F
+
+from ratewise.functions import numbers, ratings, text
+
+TOKENS_MICRO = [
+    (
+        "don't café  HTTP://x.y http://a.b/c?d=1 not good at all 2x _a_ b",
+        "don't café http://x.y not good at all 2x _a_ b",
+        ["don", "caf", "http", "not", "good", "at", "all", "2x", "_a_"],
+        ["caf", "http", "good", "2x", "_a_"],
+        ["caf http", "http good", "good 2x", "2x _a_"],
+    ),
+    ("", "", [], [], []),
+    ("  one ", "one", ["one"], ["one"], []),
+    ("!!!", "!!!", [], [], []),
+    ("See www.site.org/a?b NOW\n\tthen", "see now then", ["see", "now", "then"], ["see"], []),
+]
+
+
+def test_text_steps(spark):
+    df = spark.createDataFrame([(row[0],) for row in TOKENS_MICRO], "text string")
+    clean = text.clean_text(F.col("text"))
+    tokens = text.tokenize(clean)
+    kept = text.remove_stop_words(tokens)
+    rows = df.select("text", clean, tokens, kept, text.bigrams(kept)).collect()
+    assert {row[0]: tuple(row[1:]) for row in rows} == {r[0]: r[1:] for r in TOKENS_MICRO}
+
+
+def test_text_steps_equal_mllib(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    clean = df.select(text.clean_text(F.col("text")).alias("c"))
+    staged = RegexTokenizer(
+        inputCol="c", outputCol="t", pattern=r"\W+", minTokenLength=2, toLowercase=False
+    ).transform(clean)
+    staged = StopWordsRemover(inputCol="t", outputCol="k", caseSensitive=False).transform(staged)
+    staged = NGram(n=2, inputCol="k", outputCol="b").transform(staged)
+    kept = text.remove_stop_words(text.tokenize(F.col("c")))
+    differing = staged.where(
+        (text.tokenize(F.col("c")) != F.col("t"))
+        | (kept != F.col("k"))
+        | (text.bigrams(kept) != F.col("b"))
+    )
+    assert differing.count() == 0
+
+
+def test_stop_words_are_the_mllib_default(spark):
+    assert list(text.STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
+    assert set(text.STOP_WORDS) - set(text.stop_words(keep_negations=True)) == {
+        "not", "no", "nor", "very",
+    }
+
+
+def test_stop_words_without_regard_to_case(spark):
+    df = spark.createDataFrame([(["The", "CAT", "the"],)], "t array<string>")
+    assert df.select(text.remove_stop_words(F.col("t"))).first()[0] == ["CAT"]
+
+
+def test_unicode_words_stay_whole(spark):
+    df = spark.createDataFrame([("naïve café don't",)], "text string")
+    found = df.select(text.tokenize(F.col("text"), unicode_words=True)).first()[0]
+    assert found == ["naïve", "café", "don"]
+
+
+def test_shorten(spark):
+    df = spark.createDataFrame([("a" * 100,), ("b" * 101,), (None,)], "text string")
+    rows = [row[0] for row in df.select(text.shorten(F.col("text"))).collect()]
+    assert rows == ["a" * 100, "b" * 97 + "...", None]
+
+
+def test_ratings(spark):
+    df = spark.createDataFrame([(1.0,), (None,), (6.0,), (4.5,)], "stars double")
+    assert df.where(ratings.is_invalid_rating(F.col("stars"))).count() == 2
+    labels = {1.0: 0.0, 2.0: 0.0, 4.0: 1.0, 5.0: 1.0, 3.0: None, 4.5: None, 6.0: None, None: None}
+    df = spark.createDataFrame([(s,) for s in labels], "stars double")
+    rows = df.select("stars", ratings.label_from_stars(F.col("stars"))).collect()
+    assert dict(map(tuple, rows)) == labels
+
+
+@pytest.mark.parametrize(
+    ("value", "size", "blank", "strict"),
+    [
+        ("   ", 0, True, True),
+        ("\t\n ", 2, False, True),
+        ("é😀", 2, False, False),
+        ("x ", 1, False, False),
+        ("x\u00a0", 2, False, False),
+        ("\u00a0", 1, False, True),
+        (None, None, False, False),
+    ],
+)
+def test_blank(spark, value, size, blank, strict):
+    c = F.col("text")
+    row = (
+        spark.createDataFrame([(value,)], "text string")
+        .select(F.length(F.trim(c)), ratings.is_blank(c), ratings.is_blank(c, strict=True),
+                ratings.has_text(c), ratings.has_text(c, strict=True))
+        .first()
+    )
+    assert row[0] == size
+    assert (row[1], row[2]) == (blank, strict)
+    assert row[3] is (value is not None and not blank)
+    assert row[4] is (value is not None and not strict)
+
+
+CELLS = ["7", " 7.9 ", "-7.9", "1e3", "+.5", "5.", "1_000", "", "  ", "abc", "12d", "0x10", "nan",
+         "inf", "-Infinity", "1e999", "--1", "1__0", "\u00a03\u00a0", None, "NaN", "1e30"]
+
+
+def _python_float(cell):
+    try:
+        return float(str(cell).strip())
+    except ValueError:
+        return 0.0
+
+
+def test_safe_numbers_follow_python(spark):
+    df = spark.createDataFrame([(i, c) for i, c in enumerate(CELLS)], "i int, c string")
+    rows = df.select(
+        "c", numbers.safe_double(F.col("c")), numbers.safe_long(F.col("c"))
+    ).orderBy("i").collect()
+    for cell, as_double, as_long in rows:
+        wanted = _python_float(cell)
+        assert as_double == wanted or (math.isnan(as_double) and math.isnan(wanted)), cell
+        whole = int(wanted) if math.isfinite(wanted) and abs(wanted) < 2**63 else 0
+        assert as_long == whole, cell
+
+
+def test_safe_numbers_default(spark):
+    row = spark.createDataFrame([("x",)], "c string").select(
+        numbers.safe_double(F.col("c"), None), numbers.safe_long(F.col("c"), 9)
+    ).first()
+    assert tuple(row) == (None, 9)
+
+
+def test_ratio(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 0.0), (1.0, -1.0), (1.0, None)], "a double, b double")
+    rows = df.select(numbers.ratio(F.col("a"), F.col("b")), numbers.ratio(F.col("a"), F.col("b"), None))
+    assert [tuple(r) for r in rows.collect()] == [(0.5, 0.5)] + [(0.0, None)] * 3
