@@ -17,6 +17,7 @@ from ratewise.functions.ratings import (
 )
 from ratewise.functions.text import shorten
 from ratewise.schema import SAMPLE_COLUMNS, project_existing, require_columns
+from ratewise.session import durable
 
 
 def _long_form(one_row: DataFrame) -> DataFrame:
@@ -131,21 +132,36 @@ def class_balance(reviews: DataFrame) -> DataFrame:
     )
 
 
-def validation_profile(reviews: DataFrame, key: str = "review_id") -> DataFrame:
+def quality_facts(reviews: DataFrame, key: str = "review_id") -> DataFrame:
+    """What the data-quality report needs of each row: no text, only its size."""
+    require_columns(reviews, ["text", "stars"])
+    text = F.col("text")
+    kept = [key] if key in reviews.columns else []
+    return reviews.select(
+        *kept, "stars", F.length(text).alias("text_len"), is_blank(text).alias("blank")
+    )
+
+
+def validation_profile(
+    reviews: DataFrame, key: str = "review_id", store_facts: bool = False
+) -> DataFrame:
     """The whole data-quality report as (metric, value) rows.
 
-    Two scans that share no column: rating and text go through one conditional
-    aggregation, the key alone through the duplicate count.
+    Rating and text go through one conditional aggregation, the key alone through
+    the duplicate count. On a columnar source these two scans share no column. A
+    row-based source is better parsed once: ``store_facts`` then writes a few
+    bytes per row to the work folder and makes both counts from those.
     """
-    require_columns(reviews, ["text", "stars"])
-    text, stars = F.col("text"), F.col("stars")
-    size = F.length(text)
-    counts = reviews.agg(
+    facts = quality_facts(reviews, key)
+    if store_facts:
+        facts = durable(facts, "quality-facts")
+    stars, size = F.col("stars"), F.col("text_len")
+    counts = facts.agg(
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(is_invalid_rating(stars)).alias("invalid_stars"),
         F.count_if(stars.isNull()).alias("stars_nulls"),
-        F.count_if(text.isNull()).alias("text_nulls"),
-        F.count_if(is_blank(text)).alias("blank_texts"),
+        F.count_if(size.isNull()).alias("text_nulls"),
+        F.count_if("blank").alias("blank_texts"),
         F.min(size).alias("text_min_len"),
         F.avg(size).alias("mean_len"),
         F.max(size).alias("text_max_len"),
@@ -169,7 +185,7 @@ def validation_profile(reviews: DataFrame, key: str = "review_id") -> DataFrame:
         F.round(ratio(pos * 100, neg + pos), 4).alias("label_pos_pct_planned"),
         F.round(ratio(neg * 100, neg + pos), 4).alias("label_neg_pct_planned"),
     )
-    repeated = duplicate_keys(reviews, key).select(
+    repeated = duplicate_keys(facts, key).select(
         F.col("duplicate_values").alias(f"dup_{key}")
     )
     return _long_form(metrics).unionByName(_long_form(repeated))

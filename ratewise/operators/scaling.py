@@ -60,7 +60,7 @@ def scaling_summary(runs: DataFrame, phase: str = "phase") -> DataFrame:
         joined.withColumn("speedup", F.round(speedup, 4))
         .withColumn("eff", F.round(_efficiency(speedup), 4))
         .drop("base_cores", "base_sec")
-        .orderBy(phase, "cores")
+        .orderBy(phase, "cores", "duration_sec")
     )
 
 
@@ -96,5 +96,5 @@ def fill_scaling(runs: DataFrame, phase: str = "phase") -> DataFrame:
     return (
         joined.withColumns(filled)
         .drop("complete", "base_cores", "base_sec")
-        .orderBy(phase, "cores")
+        .orderBy(phase, "cores", "duration_sec")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -87,25 +88,33 @@ def term_statistics(counts: DataFrame, min_documents: int = MIN_DOCUMENTS) -> Da
 
 
 def vocabulary(
-    counts: DataFrame, vocab_size: int = VOCAB_SIZE, min_documents: int = MIN_DOCUMENTS
+    counts: DataFrame,
+    kinds: Sequence[str] = KINDS,
+    vocab_size: int = VOCAB_SIZE,
+    min_documents: int = MIN_DOCUMENTS,
 ) -> DataFrame:
     """The most frequent terms of each kind, numbered from 0.
 
-    Equal frequencies are ordered by the term, so the cut is always the same.
-    Each task keeps only its own best ``vocab_size`` terms before the last step.
+    Equal frequencies are ordered by the term, so the cut is always the same. The
+    statistics are stored first, so the texts are read once for all kinds. Each
+    task over that table then keeps only its own best ``vocab_size`` terms, and
+    only those meet in one task.
     """
+    stored = durable(term_statistics(counts, min_documents), "term-statistics", "kind")
+    best = [
+        stored.where(F.col("kind") == kind).orderBy(F.desc("cf"), "term").limit(vocab_size)
+        for kind in kinds
+    ]
     best_first = Window.partitionBy("kind").orderBy(F.desc("cf"), "term")
-    ranked = term_statistics(counts, min_documents).withColumn(
-        "rank", F.row_number().over(best_first)
-    )
-    return ranked.where(F.col("rank") <= vocab_size).select(
-        "kind", "term", (F.col("rank") - 1).cast("long").alias("term_index"), "cf", "df"
+    rank = F.row_number().over(best_first)
+    return reduce(DataFrame.unionByName, best).select(
+        "kind", "term", (rank - 1).cast("long").alias("term_index"), "cf", "df"
     )
 
 
-def top_terms(counts: DataFrame, k: int) -> DataFrame:
+def top_terms(counts: DataFrame, k: int, kinds: Sequence[str] = KINDS) -> DataFrame:
     """The ``k`` most frequent terms of each kind, however few documents hold them."""
-    return vocabulary(counts, k, min_documents=1)
+    return vocabulary(counts, kinds, k, min_documents=1)
 
 
 def vocabulary_size(terms: DataFrame) -> DataFrame:
@@ -128,7 +137,7 @@ def fit_terms(
     to weigh and the counts to learn from come from the same costly scan.
     """
     rows = docs.agg(F.count(F.lit(1))).scalar()
-    terms = vocabulary(term_counts(docs, kinds), vocab_size, min_documents)
+    terms = vocabulary(term_counts(docs, kinds), kinds, vocab_size, min_documents)
     idf = inverse_document_frequency(rows, F.col("df")).alias("idf")
     return durable(terms.select("*", idf), "terms")
 

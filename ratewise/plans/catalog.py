@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ratewise import schema
 from ratewise.functions import numbers, text
 from ratewise.operators import classifier, labeling, metrics, profile, scaling, terms
-from ratewise.session import new_path, spread
+from ratewise.session import new_path
 from ratewise.sources import reviews as tables
 from ratewise.sources import runlog
 
@@ -39,6 +39,11 @@ def _reviews(spark: SparkSession, folder: str) -> DataFrame:
     return tables.table_reviews(spark, folder)
 
 
+def _spread_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """The reviews over all cores, for the queries that work hard on each text."""
+    return tables.table_reviews(spark, folder, all_cores=True)
+
+
 def _damaged(spark: SparkSession, folder: str) -> DataFrame:
     """The reviews with missing, blank and off-scale values in known rows."""
     digit = F.col("review_id") % 10
@@ -62,8 +67,7 @@ def _labeled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
-    """Key and text of every review, over all cores."""
-    return spread(_reviews(spark, folder).select("review_id", "text"))
+    return _spread_reviews(spark, folder).select("review_id", "text")
 
 
 def _tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -397,7 +401,7 @@ def bigram_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _vocabulary(spark: SparkSession, folder: str, kind: str) -> DataFrame:
     counts = terms.term_counts(_tokens(spark, folder), [kind])
-    return terms.vocabulary(counts).select("term", "term_index", "cf", "df")
+    return terms.vocabulary(counts, [kind]).select("term", "term_index", "cf", "df")
 
 
 @query
@@ -442,8 +446,8 @@ def tfidf_bigram(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def feature_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Both kinds of weighted terms of the labelled reviews, as one table."""
-    labeled = spread(_labeled(spark, folder).select("review_id", "label", "text"))
-    tokens = terms.with_tokens(labeled)
+    labeled = labeling.labeled_reviews(_spread_reviews(spark, folder))
+    tokens = terms.with_tokens(labeled.select("review_id", "label", "text"))
     weighted = terms.tfidf(terms.term_counts(tokens), terms.fit_terms(tokens))
     return weighted.select(
         "review_id", "label", "kind", "term", F.round("tfidf", 6).alias("tfidf")
@@ -460,8 +464,8 @@ def split_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 def _features(spark: SparkSession, folder: str) -> tuple[classifier.FeatureModel, DataFrame]:
     """The feature table of the labelled reviews, written and scanned back."""
-    labeled = spread(_labeled(spark, folder).select("review_id", "text", "label"))
-    model, features = classifier.split_features(labeled)
+    labeled = labeling.labeled_reviews(_spread_reviews(spark, folder))
+    model, features = classifier.split_features(labeled.select("review_id", "text", "label"))
     path = new_path(spark, "features")
     tables.write_features(features.drop("text"), path)
     return model, tables.scan_features(spark, path)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ratewise import schema
 from ratewise.operators import classifier, labeling, metrics, profile, scaling
+from ratewise.session import spread
 from ratewise.sources import reviews as tables
 from ratewise.sources import runlog
 
@@ -46,7 +47,7 @@ def validate(spark: SparkSession, input_path: str, out: str) -> str:
     """Data-quality report of a JSON-lines review file; returns its path."""
     path = f"{out}/validation_report"
     raw = tables.scan_json_lines(spark, input_path)
-    runlog.write_report(profile.validation_profile(raw), path)
+    runlog.write_report(profile.validation_profile(raw, store_facts=True), path)
     return path
 
 
@@ -74,7 +75,7 @@ def build_features(
 ) -> str:
     """Feature table and saved feature model; returns the run id."""
     run_id = run_id or new_run_id()
-    labeled = tables.scan_labeled(spark, labeled_path)
+    labeled = spread(tables.scan_labeled(spark, labeled_path))
     model, features = classifier.split_features(
         labeled, key, fit_on, vocab_size=vocab_size, min_documents=min_documents
     )

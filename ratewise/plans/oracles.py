@@ -276,7 +276,7 @@ entries AS (
                  / CAST(df + 1 AS DOUBLE)) AS v
   FROM counts c JOIN vocab USING (kind, term)
 )
-SELECT t.review_id, t.label, t.split, CAST(count_if(v <> 0) AS BIGINT) AS terms,
+SELECT t.review_id, t.label, t.split, CAST(coalesce(count_if(v <> 0), 0) AS BIGINT) AS terms,
        round(coalesce(sum(v), 0), 4) AS weight, round(coalesce(sum(v * v), 0), 4) AS squares
 FROM tokens t LEFT JOIN entries e ON t.review_id = e.review_id
 GROUP BY ALL"""

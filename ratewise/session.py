@@ -61,14 +61,15 @@ def durable(df: DataFrame, name: str, *partition_columns: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a small input out over all cores.
+def spread(scan: DataFrame) -> DataFrame:
+    """Deal the rows of a small file scan out over all cores.
 
     A table with fewer splits than the cluster has cores would leave cores idle
     in the costly text stages. A large scan already has more splits than that
-    and is returned untouched, without a shuffle.
+    and is returned untouched, without a shuffle. Only for a plain scan: counting
+    the splits of anything with a join or an aggregation would run it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores)

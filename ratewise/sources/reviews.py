@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratewise.schema import REVIEW_SCHEMA, require_columns
+from ratewise.session import spread
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 LABELS = "doc_id long, quality int, toxic int"
@@ -25,13 +26,16 @@ def scan_json_lines(
     return require_columns(reviews, ["text", "stars"])
 
 
-def table_reviews(spark: SparkSession, folder: str) -> DataFrame:
+def table_reviews(spark: SparkSession, folder: str, all_cores: bool = False) -> DataFrame:
     """The review table as a view of the ``documents`` and ``labels`` tables.
 
     Unlabelled documents take the neutral rating. No join strategy is forced:
-    ``labels`` grows with the data, so its size decides.
+    ``labels`` grows with the data, so its size decides. ``all_cores`` spreads
+    documents that lie in fewer splits than there are cores.
     """
     documents = spark.read.schema(DOCUMENTS).parquet(f"{folder}/documents.parquet")
+    if all_cores:
+        documents = spread(documents)
     labels = spark.read.schema(LABELS).parquet(f"{folder}/labels.parquet")
     quality, toxic = F.col("quality"), F.col("toxic")
     stars = (

@@ -46,6 +46,7 @@ def test_validation_profile_by_brute_force(spark):
     rows = _random_reviews()
     df = spark.createDataFrame(rows, SCHEMA)
     assert _report(profile.validation_profile(df)) == _expected(rows)
+    assert _report(profile.validation_profile(df, store_facts=True)) == _expected(rows)
 
 
 def test_profile_of_an_empty_table(spark):
