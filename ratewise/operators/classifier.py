@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
-    CountVectorizerModel,
+    CountVectorizer,
     ElementwiseProduct,
     NGram,
     RegexTokenizer,
@@ -69,20 +69,27 @@ def fit_features(
 
     One pass over the texts in place of one per estimator: the relational count
     gives the terms of both vocabularies, ties broken by term, and their document
-    frequencies, so no stage is left to fit. Only the vocabularies, at most
-    ``vocab_size`` terms each, reach the driver, as MLlib needs them there.
+    frequencies. The count vectorizers are then fitted on those terms alone, and
+    no IDF stage is left to fit. Only the vocabularies, at most ``vocab_size``
+    terms each, reach the driver, as MLlib needs them there.
     """
     require_columns(labeled, ["text"])
     tokens = with_tokens(labeled.select("text"), words)
     learned = fit_terms(tokens, KINDS, vocab_size, min_documents)
-    ranked = {kind: [] for kind in KINDS}
-    for row in learned.orderBy("kind", "term_index").select("kind", "term", "idf").collect():
-        ranked[row["kind"]].append(row)
-    empty = [kind for kind in KINDS if not ranked[kind]]
+    idf = {(row["kind"], row["term"]): row["idf"] for row in learned.collect()}
+    empty = [kind for kind in KINDS if not any(k == kind for k, _ in idf)]
     if empty:
         raise ValueError(f"no term in {min_documents} or more documents: {', '.join(empty)}")
-    terms = {kind: [row["term"] for row in ranked[kind]] for kind in KINDS}
-    idf = [row["idf"] for kind in (UNIGRAM, BIGRAM) for row in ranked[kind]]
+    counters = []
+    for kind, column, counted in (
+        (UNIGRAM, "tokens_nostop", "tf_uni"),
+        (BIGRAM, "bigrams", "tf_bi"),
+    ):
+        terms = learned.where(F.col("kind") == kind).select(F.array("term").alias(column))
+        counter = CountVectorizer(inputCol=column, outputCol=counted, vocabSize=vocab_size)
+        counters.append(counter.fit(terms))
+    unigrams, pairs = (counter.vocabulary for counter in counters)
+    weights = [idf[UNIGRAM, term] for term in unigrams] + [idf[BIGRAM, term] for term in pairs]
     stages = [
         SQLTransformer(statement=CLEAN_STATEMENT),
         RegexTokenizer(
@@ -96,12 +103,11 @@ def fit_features(
             inputCol="tokens", outputCol="tokens_nostop", stopWords=list(words)
         ),
         NGram(n=2, inputCol="tokens_nostop", outputCol="bigrams"),
-        CountVectorizerModel.from_vocabulary(terms[UNIGRAM], "tokens_nostop", "tf_uni"),
-        CountVectorizerModel.from_vocabulary(terms[BIGRAM], "bigrams", "tf_bi"),
+        *counters,
         VectorAssembler(inputCols=["tf_uni", "tf_bi"], outputCol="tf"),
-        ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="tf", outputCol="features"),
+        ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="tf", outputCol="features"),
     ]
-    return FeatureModel(PipelineModel(stages), len(terms[UNIGRAM]), len(terms[BIGRAM]))
+    return FeatureModel(PipelineModel(stages), len(unigrams), len(pairs))
 
 
 def add_features(model: PipelineModel, reviews: DataFrame) -> DataFrame:

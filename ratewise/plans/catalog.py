@@ -40,7 +40,7 @@ def _reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _spread_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """The reviews over all cores, for the queries that work hard on each text."""
+    """The reviews over all cores, for queries that work hard on each text."""
     return tables.table_reviews(spark, folder, all_cores=True)
 
 
@@ -67,7 +67,7 @@ def _labeled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
-    return _spread_reviews(spark, folder).select("review_id", "text")
+    return tables.table_texts(spark, folder, all_cores=True).select("review_id", "text")
 
 
 def _tokens(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,16 +26,28 @@ def scan_json_lines(
     return require_columns(reviews, ["text", "stars"])
 
 
-def table_reviews(spark: SparkSession, folder: str, all_cores: bool = False) -> DataFrame:
-    """The review table as a view of the ``documents`` and ``labels`` tables.
+def table_texts(spark: SparkSession, folder: str, all_cores: bool = False) -> DataFrame:
+    """The review table without its rating: a plain scan of ``documents``.
 
-    Unlabelled documents take the neutral rating. No join strategy is forced:
-    ``labels`` grows with the data, so its size decides. ``all_cores`` spreads
-    documents that lie in fewer splits than there are cores.
+    ``all_cores`` spreads documents that lie in fewer splits than there are cores.
     """
     documents = spark.read.schema(DOCUMENTS).parquet(f"{folder}/documents.parquet")
     if all_cores:
         documents = spread(documents)
+    return documents.select(
+        F.col("doc_id").alias("review_id"),
+        F.col("lang").alias("user_id"),
+        F.col("source").alias("business_id"),
+        "text",
+    )
+
+
+def table_reviews(spark: SparkSession, folder: str, all_cores: bool = False) -> DataFrame:
+    """The review table as a view of the ``documents`` and ``labels`` tables.
+
+    Unlabelled documents take the neutral rating. No join strategy is forced:
+    ``labels`` grows with the data, so its size decides.
+    """
     labels = spark.read.schema(LABELS).parquet(f"{folder}/labels.parquet")
     quality, toxic = F.col("quality"), F.col("toxic")
     stars = (
@@ -45,13 +57,9 @@ def table_reviews(spark: SparkSession, folder: str, all_cores: bool = False) ->
         .when((quality == 1) & (toxic == 0), 5.0)
         .otherwise(3.0)
     )
-    return documents.join(labels, "doc_id", "left").select(
-        F.col("doc_id").alias("review_id"),
-        F.col("lang").alias("user_id"),
-        F.col("source").alias("business_id"),
-        stars.alias("stars"),
-        "text",
-    )
+    texts = table_texts(spark, folder, all_cores)
+    rated = texts.join(labels, texts["review_id"] == labels["doc_id"], "left")
+    return rated.select("review_id", "user_id", "business_id", stars.alias("stars"), "text")
 
 
 def scan_labeled(spark: SparkSession, path: str) -> DataFrame:
