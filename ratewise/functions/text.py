@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 # Patterns and token length that decide the term set.
 URL_PATTERN = r"http\S+|www\.\S+"
+URL_STARTS = ("http", "www.")
 SPACE_PATTERN = r"\s+"
 SPLIT_PATTERN = r"\W+"
-UNICODE_SPLIT_PATTERN = r"(?U)\W+"
 MIN_TOKEN_LENGTH = 2
 
 # The default English stop-word list of Spark's MLlib.
@@ -44,29 +44,51 @@ def stop_words(keep_negations: bool = False) -> tuple[str, ...]:
     return tuple(word for word in STOP_WORDS if word not in NEGATIONS)
 
 
+def remove_urls(text: Column) -> Column:
+    """URLs to a space. Texts without the start of one skip the pattern."""
+    http, www = (text.contains(start) for start in URL_STARTS)
+    return F.when(http | www, F.regexp_replace(text, URL_PATTERN, " ")).otherwise(text)
+
+
 def clean_text(text: Column) -> Column:
     """URLs to a space, then lower case, then single spaces, then trimmed.
 
     URLs go before lower-casing, so an upper-case ``HTTP://`` stays.
     """
-    without_urls = F.regexp_replace(text, URL_PATTERN, " ")
-    return F.trim(F.regexp_replace(F.lower(without_urls), SPACE_PATTERN, " "))
+    return F.trim(F.regexp_replace(F.lower(remove_urls(text)), SPACE_PATTERN, " "))
 
 
-def tokenize(clean: Column, unicode_words: bool = False) -> Column:
-    """Split on non-word characters, keep tokens of two or more characters.
+def tokenize(text: Column, unicode_words: bool = False) -> Column:
+    """Runs of word characters, two or more of them.
 
-    Word characters are ASCII unless ``unicode_words`` is set, which keeps words
-    with accents whole.
+    The same tokens as splitting on non-word characters and dropping the short
+    ones, without building those. Word characters are ASCII unless
+    ``unicode_words`` is set, which keeps words with accents whole.
     """
-    pattern = UNICODE_SPLIT_PATTERN if unicode_words else SPLIT_PATTERN
-    return F.filter(F.split(clean, pattern), lambda t: F.length(t) >= MIN_TOKEN_LENGTH)
+    word = rf"\w{{{MIN_TOKEN_LENGTH},}}"
+    return F.regexp_extract_all(text, F.lit(f"(?U){word}" if unicode_words else word), 0)
 
 
-def remove_stop_words(tokens: Column, words: Iterable[str] = STOP_WORDS) -> Column:
-    """Drop stop words without regard to case."""
+def remove_stop_words(
+    tokens: Column, words: Iterable[str] = STOP_WORDS, lower_case: bool = False
+) -> Column:
+    """Drop stop words without regard to case.
+
+    ``lower_case`` says that the tokens are in lower case already.
+    """
     listed = [word.lower() for word in words]
-    return F.filter(tokens, lambda t: ~F.lower(t).isin(listed))
+    return F.filter(tokens, lambda t: ~(t if lower_case else F.lower(t)).isin(listed))
+
+
+def term_tokens(
+    text: Column, words: Iterable[str] = STOP_WORDS, unicode_words: bool = False
+) -> Column:
+    """Tokens of the cleaned text without stop words.
+
+    Spaces are not collapsed first: no token holds one.
+    """
+    tokens = tokenize(F.lower(remove_urls(text)), unicode_words)
+    return remove_stop_words(tokens, words, lower_case=True)
 
 
 def bigrams(tokens: Column) -> Column:

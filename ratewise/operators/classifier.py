@@ -26,6 +26,7 @@ from ratewise.functions.text import (
     SPLIT_PATTERN,
     STOP_WORDS,
     URL_PATTERN,
+    URL_STARTS,
 )
 from ratewise.operators.labeling import assign_split
 from ratewise.operators.terms import (
@@ -44,10 +45,12 @@ MAX_ITERATIONS = 30
 REGULARISATION = 0.0
 ELASTIC_NET = 0.0
 
-CLEAN_STATEMENT = (
-    f"SELECT *, trim(regexp_replace(lower(regexp_replace(text, r'{URL_PATTERN}', ' ')), "
-    f"r'{SPACE_PATTERN}', ' ')) AS text_clean FROM __THIS__"
-)
+CLEAN_STATEMENT = f"""
+SELECT *, trim(regexp_replace(lower(
+    CASE WHEN contains(text, '{URL_STARTS[0]}') OR contains(text, '{URL_STARTS[1]}')
+         THEN regexp_replace(text, r'{URL_PATTERN}', ' ') ELSE text END
+  ), r'{SPACE_PATTERN}', ' ')) AS text_clean
+FROM __THIS__"""
 
 
 @dataclass(frozen=True)

@@ -8,13 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ratewise.functions.text import (
-    STOP_WORDS,
-    bigrams,
-    clean_text,
-    remove_stop_words,
-    tokenize,
-)
+from ratewise.functions.text import STOP_WORDS, bigrams, term_tokens
 from ratewise.session import durable
 
 UNIGRAM, BIGRAM = "unigram", "bigram"
@@ -29,7 +23,7 @@ def with_tokens(
     df: DataFrame, words: Sequence[str] = STOP_WORDS, unicode_words: bool = False
 ) -> DataFrame:
     """Replace ``text`` by ``tokens``: cleaned, split, stop words removed."""
-    tokens = remove_stop_words(tokenize(clean_text(F.col("text")), unicode_words), words)
+    tokens = term_tokens(F.col("text"), words, unicode_words)
     others = [name for name in df.columns if name != "text"]
     return df.select(*others, tokens.alias("tokens"))
 

@@ -28,6 +28,29 @@ def test_text_steps(spark):
     kept = text.remove_stop_words(tokens)
     rows = df.select("text", clean, tokens, kept, text.bigrams(kept)).collect()
     assert {row[0]: tuple(row[1:]) for row in rows} == {r[0]: r[1:] for r in TOKENS_MICRO}
+    rows = df.select("text", text.term_tokens(F.col("text"))).collect()
+    assert {row[0]: row[1] for row in rows} == {r[0]: r[3] for r in TOKENS_MICRO}
+
+
+AWKWARD = ["a\x0bbb\x0ccc\u00a0dd", "\u2028x_1 \u0130stanbul", "www.x y www. httpx Https", "😀😀 a😀bc", "x" * 50]
+
+
+@pytest.mark.parametrize("unicode_words", [False, True])
+def test_tokens_are_those_of_splitting(spark, unicode_words):
+    df = spark.createDataFrame([(t,) for t in AWKWARD], "text string")
+    clean = text.clean_text(F.col("text"))
+    parts = F.split(clean, r"(?U)\W+" if unicode_words else r"\W+")
+    split = F.filter(parts, lambda t: F.length(t) >= 2)
+    for found in (
+        text.tokenize(clean, unicode_words),
+        text.term_tokens(F.col("text"), [], unicode_words),
+    ):
+        assert df.where(found != split).count() == 0
+
+
+def test_missing_text_has_no_tokens(spark):
+    df = spark.createDataFrame([(None,)], "text string")
+    assert df.select(text.term_tokens(F.col("text"))).first()[0] is None
 
 
 def test_text_steps_equal_mllib(spark):
