@@ -13,6 +13,7 @@ from ratewise.session import durable
 
 UNIGRAM, BIGRAM = "unigram", "bigram"
 KINDS = (UNIGRAM, BIGRAM)
+DOCUMENT = "document"
 
 # Size of each vocabulary and least number of documents per term.
 VOCAB_SIZE = 50_000
@@ -42,14 +43,20 @@ def _runs(kind: str, ordered: Column, starts: Column) -> Column:
     return F.transform(starts, run)
 
 
-def term_counts(docs: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
+def term_counts(
+    docs: DataFrame, kinds: Sequence[str] = KINDS, with_documents: bool = False
+) -> DataFrame:
     """How often each term occurs in each document: one row per (row, kind, term).
 
     ``docs`` holds ``tokens`` and the columns to carry along. All tokens of a
     document are in its row, so they are sorted and counted there; no (document,
     term) pair is shuffled. Unigrams and bigrams come out of the same pass.
+    ``with_documents`` adds one row of kind ``document`` per document, so that
+    their number falls out of the same aggregation as the term statistics.
     """
     carried = [name for name in docs.columns if name != "tokens"]
+    none = F.array().cast("array<string>")
+    docs = docs.select(*carried, F.coalesce("tokens", none).alias("tokens"))
     terms = {UNIGRAM: F.col("tokens"), BIGRAM: bigrams(F.col("tokens"))}
     ordered = docs.select(
         *carried, *[F.sort_array(terms[kind]).alias(f"{kind}_terms") for kind in kinds]
@@ -68,6 +75,9 @@ def term_counts(docs: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
     runs = [_runs(kind, F.col(f"{kind}_terms"), F.col(f"{kind}_starts")) for kind in kinds]
     # The array is an expression here, not a column: for a column the optimizer
     # adds a filter on its size, which would tokenize every text a second time.
+    if with_documents:
+        one = F.lit(1).cast("long").alias("tf")
+        runs.append(F.array(F.struct(F.lit(DOCUMENT).alias("kind"), F.lit("").alias("term"), one)))
     together = F.concat(*runs) if len(runs) > 1 else runs[0]
     return marked.select(*carried, F.inline(together))
 
@@ -81,6 +91,23 @@ def term_statistics(counts: DataFrame, min_documents: int = MIN_DOCUMENTS) -> Da
     )
 
 
+def _stored_statistics(counts: DataFrame, min_documents: int) -> DataFrame:
+    """Term statistics in the work folder, one folder per kind."""
+    return durable(term_statistics(counts, min_documents), "term-statistics", "kind")
+
+
+def _best_terms(stored: DataFrame, kinds: Sequence[str], vocab_size: int) -> DataFrame:
+    best = [
+        stored.where(F.col("kind") == kind).orderBy(F.desc("cf"), "term").limit(vocab_size)
+        for kind in kinds
+    ]
+    best_first = Window.partitionBy("kind").orderBy(F.desc("cf"), "term")
+    rank = F.row_number().over(best_first)
+    return reduce(DataFrame.unionByName, best).select(
+        "kind", "term", (rank - 1).cast("long").alias("term_index"), "cf", "df"
+    )
+
+
 def vocabulary(
     counts: DataFrame,
     kinds: Sequence[str] = KINDS,
@@ -94,16 +121,7 @@ def vocabulary(
     task over that table then keeps only its own best ``vocab_size`` terms, and
     only those meet in one task.
     """
-    stored = durable(term_statistics(counts, min_documents), "term-statistics", "kind")
-    best = [
-        stored.where(F.col("kind") == kind).orderBy(F.desc("cf"), "term").limit(vocab_size)
-        for kind in kinds
-    ]
-    best_first = Window.partitionBy("kind").orderBy(F.desc("cf"), "term")
-    rank = F.row_number().over(best_first)
-    return reduce(DataFrame.unionByName, best).select(
-        "kind", "term", (rank - 1).cast("long").alias("term_index"), "cf", "df"
-    )
+    return _best_terms(_stored_statistics(counts, min_documents), kinds, vocab_size)
 
 
 def top_terms(counts: DataFrame, k: int, kinds: Sequence[str] = KINDS) -> DataFrame:
@@ -127,11 +145,13 @@ def fit_terms(
 ) -> DataFrame:
     """Vocabulary and IDF learned from ``docs``, stored in the work folder.
 
-    At most ``vocab_size`` rows per kind. It is stored because both the counts
-    to weigh and the counts to learn from come from the same costly scan.
+    At most ``vocab_size`` rows per kind. The texts are read once: terms and
+    documents are counted together.
     """
-    rows = docs.agg(F.count(F.lit(1))).scalar()
-    terms = vocabulary(term_counts(docs, kinds), kinds, vocab_size, min_documents)
+    counts = term_counts(docs, kinds, with_documents=True)
+    stored = _stored_statistics(counts, min_documents)
+    rows = stored.where(F.col("kind") == DOCUMENT).select("df").scalar()
+    terms = _best_terms(stored, kinds, vocab_size)
     idf = inverse_document_frequency(rows, F.col("df")).alias("idf")
     return durable(terms.select("*", idf), "terms")
 

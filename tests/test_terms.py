@@ -89,6 +89,15 @@ def test_tfidf_equals_mllib(spark):
     assert all(math.isclose(found[k], wanted[k], rel_tol=1e-12) for k in found)
 
 
+def test_idf_counts_documents_without_terms(spark):
+    docs = [(i, ["a", "b"]) for i in range(6)] + [(7, []), (8, None), (9, ["seldom"])]
+    learned = terms.fit_terms(_frame(spark, docs))
+    assert learned.columns == ["kind", "term", "term_index", "cf", "df", "idf"]
+    assert {r.term for r in learned.collect()} == {"a", "b", "a b"}
+    assert {round(r.idf, 12) for r in learned.collect()} == {round(math.log(10 / 7), 12)}
+    assert terms.fit_terms(_frame(spark, docs[:3])).count() == 0
+
+
 def test_only_vocabulary_terms_get_a_weight(spark):
     docs = _frame(spark, _documents() + [(2000, ["seldom"])])
     counts = terms.term_counts(docs, ["unigram"])
