@@ -7,6 +7,7 @@ Spark; only single metrics come back to the driver.
 from __future__ import annotations
 
 import time
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,6 +44,15 @@ def _first(df: DataFrame, what: str) -> dict[str, object]:
     return row.asDict()
 
 
+def ingest(spark: SparkSession, input_path: str, out: str) -> str:
+    """First look at a review file: columns, rating histogram and a sample."""
+    raw = tables.scan_json_lines(spark, input_path)
+    runlog.write_report(profile.column_profile(raw), f"{out}/column_profile")
+    runlog.write_report(profile.histogram(raw, "stars"), f"{out}/rating_histogram")
+    runlog.write_report(profile.sample_rows(raw), f"{out}/sample_rows")
+    return out
+
+
 def validate(spark: SparkSession, input_path: str, out: str) -> str:
     """Data-quality report of a JSON-lines review file; returns its path."""
     path = f"{out}/validation_report"
@@ -163,7 +173,11 @@ def evaluate(spark: SparkSession, out: str, run_id: str | None = None) -> str:
 
 
 def summarise_scaling(
-    spark: SparkSession, input_path: str, output_path: str, phase: str, extra: tuple[str, ...] = ()
+    spark: SparkSession,
+    input_path: str,
+    output_path: str,
+    phase: str,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
     """Speedup and efficiency of a hand-kept run log, written as CSV."""
     rows = runlog.scan_run_csv(spark, input_path, ["cores", "duration_sec", *extra])

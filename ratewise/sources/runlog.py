@@ -12,7 +12,7 @@ from ratewise.schema import normal_name, require_columns
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """Write a small (metric, value) report as CSV, replacing an older one."""
+    """Write a small report as CSV with a header, replacing an older one."""
     report.write.mode("overwrite").option("header", True).csv(path)
 
 

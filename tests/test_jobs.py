@@ -4,6 +4,7 @@ import random
 import pytest
 
 from ratewise import schema
+from ratewise.__main__ import main as command_line
 from ratewise.plans import jobs
 from ratewise.sources import reviews as tables
 from ratewise.sources import runlog
@@ -47,6 +48,29 @@ def test_from_review_file_to_evaluation(spark, review_file, tmp_path):
     assert found.tp + found.fp + found.tn + found.fn == found.rows_test == log.rows_test
 
 
+def test_first_look(spark, review_file, tmp_path):
+    out = jobs.ingest(spark, review_file, str(tmp_path))
+    read = spark.read.option("header", True)
+    columns = {r.column_name: r.distinct_values for r in read.csv(f"{out}/column_profile").collect()}
+    assert columns["review_id"] == "400" and columns["date"] == "1"
+    ratings = read.csv(f"{out}/rating_histogram").collect()
+    assert sum(int(r.cnt) for r in ratings) == 400
+    assert read.csv(f"{out}/sample_rows").columns == [
+        "review_id", "stars", "text", "date", "user_id", "business_id",
+    ]
+
+
+def test_command_line(spark, review_file, tmp_path, capsys):
+    out = str(tmp_path)
+    command_line(["label", review_file, out, "--run-id", "r1"])
+    assert capsys.readouterr().out.strip() == f"{out}/labeled/r1"
+    command_line(["build_features", f"{out}/labeled/r1", out, "--run-id", "r2", "--fit-on", "all"])
+    log = runlog.scan_run_log(spark, f"{out}/feature_log", schema.FEATURE_LOG).first()
+    assert (log.run_id, log.out_parquet) == ("r2", f"{out}/features/r2")
+    with pytest.raises(SystemExit):
+        command_line(["unknown"])
+
+
 def test_training_without_features(spark, tmp_path):
     log = spark.createDataFrame([], schema.FEATURE_LOG)
     runlog.append_run(log, f"{tmp_path}/feature_log", schema.FEATURE_LOG)
