@@ -11,6 +11,7 @@ from ratewise.schema import REVIEW_COLUMNS, project_existing, require_columns
 from ratewise.session import durable
 
 TRAIN_PERCENT = 80
+HOT_PARTS = 1000
 
 
 def clean_rows(reviews: DataFrame, strict: bool = False) -> DataFrame:
@@ -47,22 +48,35 @@ def drop_repeated_texts(reviews: DataFrame, key: str = "review_id") -> DataFrame
     Keys must be unique. Texts are compared by SHA-256 digest. The first pass
     shuffles (digest, least key), pre-aggregated, and stores only the texts that
     have copies. While that table is small it is broadcast and no row moves; past
-    that size the rows are joined on their digest, where adaptive execution
-    splits a text copied very often. Rows without a text are all kept.
+    that size rows are joined on their digest. Texts with more than a thousandth
+    of all copies, so fewer than a thousand texts, are always broadcast, and their
+    rows are spread by key in that join, so no task gets a whole hot group. Rows
+    without a text are all kept, and spread likewise.
     """
     digests = reviews.where(F.col("text").isNotNull()).select(
         key, F.sha2("text", 256).alias("digest")
     )
-    copied = (
+    copied = durable(
         digests.groupBy("digest")
         .agg(F.min(key).alias("kept_key"), F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1")
-        .select("digest", "kept_key")
+        .where("copies > 1"),
+        "copied-texts",
     )
-    copied = durable(copied, "copied-texts")
-    marked = reviews.withColumn("digest", F.sha2("text", 256)).join(copied, "digest", "left")
-    kept = F.col("kept_key").isNull() | (F.col(key) == F.col("kept_key"))
-    return marked.where(kept).select(*reviews.columns)
+    is_hot = F.col("copies") * HOT_PARTS > copied.agg(F.sum("copies")).scalar()
+    hot = copied.where(is_hot).select("digest", F.col("kept_key").alias("hot_key"))
+    cold = copied.where(~is_hot).select(
+        F.col("digest").alias("probe"), F.col("kept_key").alias("cold_key")
+    )
+    looked_up = F.col("digest").isNotNull() & F.col("hot_key").isNull()
+    no_match = F.concat(F.lit("row "), F.col(key).cast("string"))
+    marked = (
+        reviews.withColumn("digest", F.sha2("text", 256))
+        .join(F.broadcast(hot), "digest", "left")
+        .withColumn("probe", F.when(looked_up, F.col("digest")).otherwise(no_match))
+        .join(cold, "probe", "left")
+    )
+    kept_key = F.coalesce("hot_key", "cold_key")
+    return marked.where(kept_key.isNull() | (F.col(key) == kept_key)).select(*reviews.columns)
 
 
 def assign_split(

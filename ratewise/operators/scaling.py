@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.numbers import ratio, safe_double, safe_long
 from ratewise.schema import require_columns
+from ratewise.session import durable
 
 
 def numeric_runs(rows: DataFrame, keep_unreadable: bool = True) -> DataFrame:
@@ -51,10 +52,11 @@ def _efficiency(speedup: Column) -> Column:
 def scaling_summary(runs: DataFrame, phase: str = "phase") -> DataFrame:
     """Add speedup against the phase's baseline, and efficiency per core.
 
-    Both are 0 where a denominator is not positive. Baselines are one row per
-    phase; whether they are broadcast is left to their size.
+    Both are 0 where a denominator is not positive. The baselines, one row per
+    phase, are stored first, so that their true size decides whether they are
+    broadcast and the runs stay where they are.
     """
-    joined = runs.join(baselines(runs, phase), phase)
+    joined = runs.join(durable(baselines(runs, phase), "baselines"), phase)
     speedup = _speedup()
     return (
         joined.withColumn("speedup", F.round(speedup, 4))
@@ -79,15 +81,14 @@ def fill_scaling(runs: DataFrame, phase: str = "phase") -> DataFrame:
         F.min(F.when(measurable, F.struct("cores", "duration_sec"))).alias("base"),
         ((F.count("speedup") > 0) & (F.count("eff") > 0)).alias("complete"),
     )
-    joined = runs.join(
-        state.select(
-            phase,
-            "complete",
-            F.col("base.cores").alias("base_cores"),
-            F.col("base.duration_sec").alias("base_sec"),
-        ),
+    state = state.select(
         phase,
-    ).where(F.col("complete") | measurable)
+        "complete",
+        F.col("base.cores").alias("base_cores"),
+        F.col("base.duration_sec").alias("base_sec"),
+    )
+    joined = runs.join(durable(state, "baselines"), phase)
+    joined = joined.where(F.col("complete") | measurable)
     speedup = _speedup()
     filled = {
         "speedup": F.when(F.col("complete"), F.col("speedup")).otherwise(speedup),

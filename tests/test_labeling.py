@@ -9,23 +9,23 @@ from ratewise.operators import labeling
 SCHEMA = "review_id long, stars double, text string"
 
 
-def _rows(seed=3, rows=600):
-    """Every third row is a copy of one text."""
+def _rows(seed=3, rows=6000):
+    """Every third row is a copy of one text; the others have few copies or none."""
     rng = random.Random(seed)
     return [
-        (i, rng.choice([1.0, 3.0, 5.0]), "the hot text" if i % 3 == 0 else f"text {rng.randrange(150)}")
+        (i, rng.choice([1.0, 3.0, 5.0]), "the hot text" if i % 3 == 0 else f"text {rng.randrange(3000)}")
         for i in range(rows)
     ]
 
 
 @pytest.mark.parametrize("broadcast", ["10MB", "-1"])
 def test_repeated_texts(spark, broadcast):
-    rows = _rows() + [(1000, 1.0, None), (1001, 1.0, None)]
+    rows = _rows() + [(10000, 1.0, None), (10001, 1.0, None)]
     first = {}
     for key, _, body in rows:
         if body is not None:
             first.setdefault(body, key)
-    wanted = sorted([*first.values(), 1000, 1001])
+    wanted = sorted([*first.values(), 10000, 10001])
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
@@ -36,6 +36,24 @@ def test_repeated_texts(spark, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_rows_of_a_hot_text_are_spread(spark):
+    """Without broadcasts or adaptive splitting no join partition holds the hot text."""
+    df = spark.createDataFrame(_rows(), SCHEMA).repartition(5)
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in changed}
+    try:
+        for name, value in changed.items():
+            spark.conf.set(name, value)
+        kept = labeling.drop_repeated_texts(df)
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
+        assert "hashpartitioning(probe" in plan and "hashpartitioning(digest" not in plan
+        assert kept.count() == len({body for _, _, body in _rows()})
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def test_repeated_keys(spark):
     rows = [(1, 5.0, "b"), (1, 5.0, "a"), (1, None, "z"), (2, 1.0, None), (None, 1.0, "n"), (None, 2.0, "n")]
     df = labeling.drop_repeated_keys(spark.createDataFrame(rows, SCHEMA))

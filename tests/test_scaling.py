@@ -65,12 +65,15 @@ def test_fill_without_the_columns(spark):
 
 
 @pytest.mark.parametrize("run", [scaling.scaling_summary, scaling.fill_scaling])
-def test_hot_phase_is_reduced_before_the_shuffle(spark, run):
+def test_hot_phase_is_never_gathered(spark, run):
     df = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 50)).alias("phase"),
         (F.col("id") % 16 + 1).alias("cores"),
         (F.col("id") + 1).cast("double").alias("duration_sec"),
     )
     plan = run(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan and "partial_min" in plan
+    assert "Window" not in plan and "BroadcastHashJoin" in plan
+    assert "hashpartitioning(phase" not in plan
     assert run(df).count() == 3000
+    plan = scaling.baselines(df)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan
