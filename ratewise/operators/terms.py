@@ -43,23 +43,25 @@ def _runs(kind: str, ordered: Column, starts: Column) -> Column:
     return F.transform(starts, run)
 
 
-def term_counts(
-    docs: DataFrame, kinds: Sequence[str] = KINDS, with_documents: bool = False
-) -> DataFrame:
+def _present_tokens() -> Column:
+    """The tokens, none for a missing text."""
+    return F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")
+
+
+def _terms_of(kind: str) -> Column:
+    return F.col("tokens") if kind == UNIGRAM else bigrams(F.col("tokens"))
+
+
+def term_counts(docs: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
     """How often each term occurs in each document: one row per (row, kind, term).
 
     ``docs`` holds ``tokens`` and the columns to carry along. All tokens of a
     document are in its row, so they are sorted and counted there; no (document,
     term) pair is shuffled. Unigrams and bigrams come out of the same pass.
-    ``with_documents`` adds one row of kind ``document`` per document, so that
-    their number falls out of the same aggregation as the term statistics.
     """
     carried = [name for name in docs.columns if name != "tokens"]
-    none = F.array().cast("array<string>")
-    docs = docs.select(*carried, F.coalesce("tokens", none).alias("tokens"))
-    terms = {UNIGRAM: F.col("tokens"), BIGRAM: bigrams(F.col("tokens"))}
-    ordered = docs.select(
-        *carried, *[F.sort_array(terms[kind]).alias(f"{kind}_terms") for kind in kinds]
+    ordered = docs.select(*carried, _present_tokens()).select(
+        *carried, *[F.sort_array(_terms_of(kind)).alias(f"{kind}_terms") for kind in kinds]
     )
 
     def starts(kind: str) -> Column:
@@ -75,25 +77,48 @@ def term_counts(
     runs = [_runs(kind, F.col(f"{kind}_terms"), F.col(f"{kind}_starts")) for kind in kinds]
     # The array is an expression here, not a column: for a column the optimizer
     # adds a filter on its size, which would tokenize every text a second time.
-    if with_documents:
-        one = F.lit(1).cast("long").alias("tf")
-        runs.append(F.array(F.struct(F.lit(DOCUMENT).alias("kind"), F.lit("").alias("term"), one)))
     together = F.concat(*runs) if len(runs) > 1 else runs[0]
     return marked.select(*carried, F.inline(together))
 
 
-def term_statistics(counts: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """Corpus frequency and document frequency of each term that is not too rare."""
+def term_statistics(
+    docs: DataFrame, kinds: Sequence[str] = KINDS, min_documents: int = MIN_DOCUMENTS
+) -> DataFrame:
+    """Corpus and document frequency of each term that is not too rare.
+
+    One pass without counts per document: every term of a document adds to the
+    corpus frequency, every distinct one to the document frequency. The rows are
+    exploded and added up per task before the shuffle, all in generated code. One
+    more row per document, of kind ``document``, brings their number along.
+    """
+    arrays = [_terms_of(kind).alias(kind) for kind in kinds]
+    parts = [part for kind in kinds for part in (F.col(kind), F.array_distinct(kind))]
+    parts += [F.array().cast("array<string>"), F.array(F.lit(""))]
+    names = F.array(*[F.lit(name) for name in (*kinds, DOCUMENT)])
+    spread_out = (
+        docs.select(_present_tokens())
+        .select(*arrays)
+        .select(F.posexplode(F.array(*parts)).alias("part", "terms"))
+        .select("part", F.explode("terms").alias("term"))
+    )
+    distinct = (F.col("part") % 2).cast("long")
     return (
-        counts.groupBy("kind", "term")
-        .agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
+        spread_out.select(
+            F.floor(F.col("part") / 2).cast("int").alias("code"),
+            "term",
+            (1 - distinct).alias("once"),
+            distinct.alias("distinct"),
+        )
+        .groupBy("code", "term")
+        .agg(F.sum("once").alias("cf"), F.sum("distinct").alias("df"))
         .where(F.col("df") >= min_documents)
+        .select(F.get(names, F.col("code")).alias("kind"), "term", "cf", "df")
     )
 
 
-def _stored_statistics(counts: DataFrame, min_documents: int) -> DataFrame:
+def _stored_statistics(docs: DataFrame, kinds: Sequence[str], min_documents: int) -> DataFrame:
     """Term statistics in the work folder, one folder per kind."""
-    return durable(term_statistics(counts, min_documents), "term-statistics", "kind")
+    return durable(term_statistics(docs, kinds, min_documents), "term-statistics", "kind")
 
 
 def _best_terms(stored: DataFrame, kinds: Sequence[str], vocab_size: int) -> DataFrame:
@@ -109,24 +134,24 @@ def _best_terms(stored: DataFrame, kinds: Sequence[str], vocab_size: int) -> Dat
 
 
 def vocabulary(
-    counts: DataFrame,
+    docs: DataFrame,
     kinds: Sequence[str] = KINDS,
     vocab_size: int = VOCAB_SIZE,
     min_documents: int = MIN_DOCUMENTS,
 ) -> DataFrame:
-    """The most frequent terms of each kind, numbered from 0.
+    """The most frequent terms of each kind in ``docs``, numbered from 0.
 
     Equal frequencies are ordered by the term, so the cut is always the same. The
     statistics are stored first, so the texts are read once for all kinds. Each
     task over that table then keeps only its own best ``vocab_size`` terms, and
     only those meet in one task.
     """
-    return _best_terms(_stored_statistics(counts, min_documents), kinds, vocab_size)
+    return _best_terms(_stored_statistics(docs, kinds, min_documents), kinds, vocab_size)
 
 
-def top_terms(counts: DataFrame, k: int, kinds: Sequence[str] = KINDS) -> DataFrame:
+def top_terms(docs: DataFrame, k: int, kinds: Sequence[str] = KINDS) -> DataFrame:
     """The ``k`` most frequent terms of each kind, however few documents hold them."""
-    return vocabulary(counts, kinds, k, min_documents=1)
+    return vocabulary(docs, kinds, k, min_documents=1)
 
 
 def vocabulary_size(terms: DataFrame) -> DataFrame:
@@ -148,8 +173,7 @@ def fit_terms(
     At most ``vocab_size`` rows per kind. The texts are read once: terms and
     documents are counted together.
     """
-    counts = term_counts(docs, kinds, with_documents=True)
-    stored = _stored_statistics(counts, min_documents)
+    stored = _stored_statistics(docs, kinds, min_documents)
     rows = stored.where(F.col("kind") == DOCUMENT).select("df").scalar()
     terms = _best_terms(stored, kinds, vocab_size)
     idf = inverse_document_frequency(rows, F.col("df")).alias("idf")

@@ -400,8 +400,8 @@ def bigram_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _vocabulary(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    counts = terms.term_counts(_tokens(spark, folder), [kind])
-    return terms.vocabulary(counts, [kind]).select("term", "term_index", "cf", "df")
+    found = terms.vocabulary(_tokens(spark, folder), [kind])
+    return found.select("term", "term_index", "cf", "df")
 
 
 @query
@@ -416,14 +416,13 @@ def bigram_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def vocabulary_size(spark: SparkSession, folder: str) -> DataFrame:
-    counts = terms.term_counts(_tokens(spark, folder))
-    return terms.vocabulary_size(terms.vocabulary(counts))
+    return terms.vocabulary_size(terms.vocabulary(_tokens(spark, folder)))
 
 
 @query
 def top_terms(spark: SparkSession, folder: str) -> DataFrame:
-    counts = terms.term_counts(_tokens(spark, folder))
-    return terms.top_terms(counts, 1000).select("kind", "term", "term_index", "cf", "df")
+    found = terms.top_terms(_tokens(spark, folder), 1000)
+    return found.select("kind", "term", "term_index", "cf", "df")
 
 
 def _weights(spark: SparkSession, folder: str, kind: str) -> DataFrame:

@@ -57,13 +57,13 @@ def test_vocabulary_by_brute_force(spark, size):
         common = [term for k, term in cf if k == kind and df[k, term] >= 5]
         best = sorted(common, key=lambda term: (-cf[kind, term], term))[:size]
         wanted.update({(kind, t): (i, cf[kind, t], df[kind, t]) for i, t in enumerate(best)})
-    rows = terms.vocabulary(terms.term_counts(_frame(spark, docs)), vocab_size=size).collect()
+    rows = terms.vocabulary(_frame(spark, docs), vocab_size=size).collect()
     assert {(r.kind, r.term): (r.term_index, r.cf, r.df) for r in rows} == wanted
 
 
 def test_ties_at_the_cut_go_to_the_first_term(spark):
     docs = [(i, ["b", "a", "c"]) for i in range(6)]
-    rows = terms.vocabulary(terms.term_counts(_frame(spark, docs)), ["unigram"], 2).collect()
+    rows = terms.vocabulary(_frame(spark, docs), ["unigram"], 2).collect()
     assert sorted(r.term for r in rows) == ["a", "b"]
 
 
@@ -109,7 +109,7 @@ def test_only_vocabulary_terms_get_a_weight(spark):
 
 
 def test_vocabulary_sizes(spark):
-    sizes = terms.vocabulary_size(terms.vocabulary(terms.term_counts(_frame(spark, _documents())), vocab_size=7))
+    sizes = terms.vocabulary_size(terms.vocabulary(_frame(spark, _documents()), vocab_size=7))
     assert {r.kind: r.terms for r in sizes.collect()} == {"unigram": 7, "bigram": 7}
 
 
@@ -118,8 +118,7 @@ def _plan(df):
 
 
 def test_only_the_best_terms_of_each_task_meet(spark):
-    counts = terms.term_counts(_frame(spark, _documents()))
-    plan = _plan(terms.vocabulary(counts))
+    plan = _plan(terms.vocabulary(_frame(spark, _documents())))
     assert plan.count("TakeOrderedAndProject(limit=50000") == 2
     assert "PartitionFilters: [isnotnull(kind" in plan
 
@@ -131,6 +130,8 @@ def test_counting_needs_no_shuffle_and_one_tokenization(spark):
     plan = _plan(counts)
     assert "Exchange" not in plan
     assert plan.count("regexp_extract_all") == 1, "the texts are tokenized more than once"
+    statistics = _plan(terms.term_statistics(tokens))
+    assert statistics.count("regexp_extract_all") == 1 and statistics.count("Exchange") == 1
     weighed = _plan(terms.tfidf(counts, terms.fit_terms(tokens)))
     assert "BroadcastHashJoin" in weighed and "SortMergeJoin" not in weighed
     assert "hashpartitioning" not in weighed
