@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import quality, simhash, toxicity
+from ratewise.llm import bpe, decontam, quality, simhash, toxicity
 from ratewise.llm.labelled import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +41,12 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return _classified(quality.scored(docs, weights), 0.5)
 
 
+@query
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every overlap of a document with a benchmark item."""
+    return decontam.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
@@ -47,8 +54,15 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return _classified(toxicity.scored(docs, model), 0.7)
 
 
+@query
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
 @query
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
-    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    digits = F.lower(F.hex("fp"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")

@@ -7,9 +7,13 @@ dropped as soon as these exceed the budget.
 
 The walk is dealt out by bands: of ``budget + 1`` bands of bits, two fingerprints
 within the budget agree in one at least. Each group holds the distinct fingerprints
-with one value of one band and walks the trie of the remaining bits. A group over
-``GROUP_LIMIT`` is split into parts, and each pair of its parts is a group of its
-own, so memory stays bounded and no link is lost.
+with one value of one band and walks their trie. A group over ``GROUP_LIMIT`` is
+split into parts, and each pair of its parts is a group of its own, so memory stays
+bounded and no link is lost.
+
+Looser similarities need more bits than one walk can bear: a wide fingerprint is cut
+into segments, each segment is joined by its own trie, and a pair found in any
+counts if the whole fingerprints differ in ``most`` bits at most.
 
 A group emits a spanning forest of its links, never all pairs. Exact copies share
 a fingerprint and enter the join once.
@@ -23,6 +27,7 @@ Extra columns of the input are ignored. An empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -37,9 +42,13 @@ from ratewise.llm.components import components
 from ratewise.session import durable
 
 SEED = 42
-BITS = 64
+LANE = 64
 GROUP_LIMIT = 1 << 16
 FRONTIER = 1 << 18
+#: Members, of groups large and small, that one call walks side by side.
+BUCKET_ROWS = 1 << 13
+#: Node pairs of so few fingerprint pairs are not walked further down but compared.
+LEAF_PAIRS = 16
 
 
 def shingle_hashes(text: bytes, width: int) -> np.ndarray:
@@ -54,40 +63,76 @@ def shingle_hashes(text: bytes, width: int) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(SEED)), np.uint64)
 
 
-def fingerprint(hashes: np.ndarray) -> int:
-    """The bits set in over half of the hashes; zero of none."""
-    votes = np.zeros(BITS, np.int64)
-    for start in range(0, len(hashes), 1 << 16):
-        part = hashes[start : start + (1 << 16)].astype(">u8").view(np.uint8)
-        votes += np.unpackbits(part.reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * votes > len(hashes))
-    return int.from_bytes(bits.tobytes(), "big")
+@dataclass(frozen=True)
+class Similarity:
+    """How texts are compared: shingles of ``width`` words, fingerprints of ``lanes``
+    times 64 bits cut into segments, links within ``budget`` bits of one segment at
+    least and ``most`` bits of the whole."""
+
+    width: int
+    lanes: int
+    segment_bits: int
+    budget: int
+    most: int
+
+
+#: Three words, 64 bits, 3 of which may differ.
+CLOSE = Similarity(width=3, lanes=1, segment_bits=64, budget=3, most=3)
+#: Five words and a similarity (Jaccard) of 0.8: of 256 bits 39 differ on average, with
+#: a deviation of 6. Such a pair is within 3 bits of a 32-bit segment in 19 of 20 cases.
+ALIKE = Similarity(width=5, lanes=4, segment_bits=32, budget=3, most=46)
 
 
-def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """(doc_id, fp): the SimHash of every whole text as a signed 64-bit number."""
+def fingerprint(hashes: np.ndarray, lanes: int) -> bytes:
+    """For each lane the bits set in over half of the hashes; zero of none.
+
+    The first lane takes the hashes as they are, the others mix them anew.
+    """
+    out = b""
+    for lane in range(lanes):
+        votes = np.zeros(LANE, np.int64)
+        for start in range(0, len(hashes), 1 << 16):
+            part = hashes[start : start + (1 << 16)]
+            part = packed.mixed(part + np.uint64(0x9E3779B97F4A7C15 * lane % 2**64)) if lane else part
+            bits = np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+            # sums of 255 rows fit a byte, and adding bytes is what takes the time
+            whole = len(bits) // 255 * 255
+            sums = bits[:whole].reshape(-1, 255, LANE).sum(axis=1, dtype=np.uint8)
+            votes += sums.sum(axis=0, dtype=np.int64)
+            votes += bits[whole:].sum(axis=0, dtype=np.int64)
+        out += np.packbits(2 * votes > len(hashes)).tobytes()
+    return out
+
+
+def fingerprints(docs: DataFrame, like: Similarity = CLOSE) -> DataFrame:
+    """(doc_id, fp): the SimHash of every whole text, highest bit first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in packed.text_chunks(batch.column("text")):
-                found = [fingerprint(shingle_hashes(text, width)) for text in texts]
+                found = [fingerprint(shingle_hashes(t, like.width), like.lanes) for t in texts]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(start, len(texts)),
-                        pa.array(np.array(found, np.uint64).view(np.int64)),
-                    ],
+                    [batch.column("doc_id").slice(start, len(texts)), pa.array(found, pa.binary())],
                     ["doc_id", "fp"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp binary")
 
 
 def trie_pairs(
-    left: np.ndarray, right: np.ndarray | None, budget: int
+    left: np.ndarray,
+    right: np.ndarray | None,
+    budget: int,
+    bits: int = LANE,
+    roots: list[np.ndarray] | None = None,
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of sorted distinct fingerprints that differ in ``budget`` bits at most.
+    """Index pairs of sorted values that differ in ``budget`` of their top ``bits`` at most.
+
+    The other bits are zero; equal values are within any budget. With ``right`` absent
+    the trie is joined with itself and each pair comes once. ``roots`` are the ranges
+    (from, to, other from, other to) of the tries to join, each sorted in itself;
+    without it there is one trie of all values.
 
-    With ``right`` absent the trie is joined with itself and each pair comes once.
     A node is a range of the sorted array; frontiers of node pairs are kept on a
     stack, so memory does not grow with the number of pairs.
     """
@@ -100,13 +145,14 @@ def trie_pairs(
     def split(values: np.ndarray, low: np.ndarray, high: np.ndarray, side: bool, depth: int):
         """Where the ones of the next bit begin in each range."""
         if (side, depth) not in ones:
-            bit = (values >> np.uint64(BITS - 1 - depth)) & np.uint64(1)
+            bit = (values >> np.uint64(LANE - 1 - depth)) & np.uint64(1)
             ones[side, depth] = np.concatenate([[0], np.cumsum(bit, dtype=np.int64)])
         count = ones[side, depth]
         return high - (count[high] - count[low])
 
-    start = [np.array([x]) for x in (0, len(left), 0, len(right), 0)]
-    stack = [(0, start)]
+    if roots is None:
+        roots = [np.array([x]) for x in (0, len(left), 0, len(right))]
+    stack = [(0, [*roots, np.zeros(len(roots[0]), np.int64)])]
     while stack:
         depth, (a, b, c, d, used) = stack.pop()
         if len(a) > FRONTIER:
@@ -114,17 +160,25 @@ def trie_pairs(
             stack.append((depth, [x[half:] for x in (a, b, c, d, used)]))
             stack.append((depth, [x[:half] for x in (a, b, c, d, used)]))
             continue
-        single = (b - a == 1) & (d - c == 1)
-        if depth == BITS:
-            single[:] = True
-        if single.any():
-            i, j = a[single], c[single]
+        pairs = (b - a) * (d - c)
+        leaf = pairs <= LEAF_PAIRS if depth < bits else np.ones(len(a), bool)
+        if len(a) > 1 and pairs[leaf].sum() > 8 * FRONTIER:
+            half = len(a) // 2
+            stack.append((depth, [x[half:] for x in (a, b, c, d, used)]))
+            stack.append((depth, [x[:half] for x in (a, b, c, d, used)]))
+            continue
+        if leaf.any():
+            each, wide = pairs[leaf], (d - c)[leaf]
+            place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+            wide = np.repeat(wide, each)
+            i = np.repeat(a[leaf], each) + place // wide
+            j = np.repeat(c[leaf], each) + place % wide
             near = np.bitwise_count(left[i] ^ right[j]) <= budget
             if selfed:
                 near &= i < j
             if near.any():
                 yield i[near], j[near]
-            a, b, c, d, used = (x[~single] for x in (a, b, c, d, used))
+            a, b, c, d, used = (x[~leaf] for x in (a, b, c, d, used))
         if not len(a):
             continue
         m, n = split(left, a, b, False, depth), split(right, c, d, selfed is False, depth)
@@ -135,7 +189,6 @@ def trie_pairs(
             kept = (hi > lo) & (other_hi > other_lo) & (used + cost <= budget)
             if selfed:
                 kept &= lo <= other_lo  # each unordered pair of nodes once
-                kept &= (lo != other_lo) | (hi - lo > 1)  # a leaf with itself is no pair
             children.append([x[kept] for x in (lo, hi, other_lo, other_hi, used + cost)])
         stack.append((depth + 1, [np.concatenate(x) for x in zip(*children, strict=True)]))
 
@@ -160,78 +213,156 @@ class Forest:
                 root[:] = above
 
 
-def group_links(values: np.ndarray, parts: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links of one group, as two arrays of fingerprints.
+def bucket_links(
+    prints: np.ndarray, groups: np.ndarray, parts: np.ndarray, segments: np.ndarray,
+    like: Similarity,
+) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links within the groups, as row numbers of ``prints``.
 
-    ``parts`` is 0 for all of a whole group; in a pair of parts of a split one, 0
-    marks the first part and 1 the second.
+    ``prints`` has a row of lanes for each member, ``groups`` the number of its group,
+    ``segments`` that of the segment the group was dealt by. ``parts`` is 0 for all of
+    a whole group; in a pair of parts of a split one, 0 marks the first part and 1 the
+    second.
     """
-    order = np.argsort(values)
-    values, parts = values[order], parts[order]
-    forest = Forest(len(values))
-    left, right = np.flatnonzero(parts == 0), np.flatnonzero(parts == 1)
-    if len(right):
-        for i, j in trie_pairs(values[left], values[right], budget):
-            forest.link(left[i], right[j])
-    else:
-        for i, j in trie_pairs(values, None, budget):
-            forest.link(i, j)
-    child = np.flatnonzero(forest.root != np.arange(len(values)))
-    return values[child], values[forest.root[child]]
-
-
-def links(prints: DataFrame, budget: int = 3, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """Edges (u, v) that connect all distinct ``fp`` within ``budget`` bits of each other."""
-    bands = budget + 1
-    width = BITS // bands
-    cuts = [(BITS - width * (k + 1), (1 << width) - 1) for k in range(bands)]
+    lane, at = np.divmod(segments * like.segment_bits, LANE)
+    low = np.uint64(LANE - like.segment_bits)
+    value = prints[np.arange(len(prints)), lane] << at.astype(np.uint64) >> low << low
+    order = np.lexsort((value, parts, groups))
+    value, groups, parts = value[order], groups[order], parts[order]
+    number = np.arange(groups[-1] + 1)
+    begin, end = np.searchsorted(groups, number), np.searchsorted(groups, number, "right")
+    ones = np.concatenate([[0], np.cumsum(parts)])
+    middle = end - (ones[end] - ones[begin])
+    forest = Forest(len(prints))
+    for two in (False, True):
+        at = np.flatnonzero((middle < end) == two)
+        sides = (begin, middle, middle, end) if two else (begin, end, begin, end)
+        if not len(at):
+            continue
+        other = value if two else None
+        roots = [side[at] for side in sides]
+        for i, j in trie_pairs(value, other, like.budget, like.segment_bits, roots):
+            i, j = order[i], order[j]
+            apart = forest.root[i] != forest.root[j]
+            i, j = i[apart], j[apart]
+            near = np.bitwise_count(prints[i] ^ prints[j]).sum(axis=1) <= like.most
+            forest.link(i[near], j[near])
+    child = np.flatnonzero(forest.root != np.arange(len(prints)))
+    return child, forest.root[child]
+
+
+def links(prints: DataFrame, like: Similarity = CLOSE, group_limit: int = GROUP_LIMIT) -> DataFrame:
+    """Edges (u, v) that connect all distinct ``fp`` that are alike."""
+    size = like.segment_bits // 8
+    width = size // (like.budget + 1)
     banded = F.array(
         *[
             F.struct(
-                F.lit(k).alias("band"),
-                F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit(mask)).alias("value"),
+                F.lit(segment).alias("segment"),
+                F.lit(at).alias("at"),
+                F.substring("fp", segment * size + at + 1, width).alias("value"),
             )
-            for k, (shift, mask) in enumerate(cuts)
+            for segment in range(like.lanes * LANE // like.segment_bits)
+            for at in range(0, width * (like.budget + 1), width)
         ]
     )
+    band = ["segment", "at", "value"]
     keyed = prints.select("fp", F.inline(banded))
-    sizes = keyed.groupBy("band", "value").agg(F.count(F.lit(1)).alias("members"))
-    large = sizes.where(F.col("members") > group_limit).select(
-        "band", "value", F.ceil(F.col("members") * 2 / group_limit).alias("parts")
-    )
-    placed = keyed.join(large, ["band", "value"], "left").withColumn(
-        "own", F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64("fp"), F.col("parts")))
-    )
+    sizes = keyed.groupBy(*band).agg(F.count(F.lit(1)).alias("members"))
+    peopled = durable(sizes.where("members > 1"), "bands")
+    members = peopled.agg(F.sum("members")).first()[0] or 0
+    buckets = 1 + members // BUCKET_ROWS
+    placed = keyed.join(
+        peopled.withColumn("parts", F.ceil(F.col("members") * 2 / group_limit))
+        .withColumn("parts", F.when(F.col("members") > group_limit, F.col("parts")).otherwise(1)),
+        band,
+    ).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")))
     #: A member of a split group goes to each pair of parts that its own part is in.
     pairs = F.transform(
-        F.sequence(F.lit(0), F.coalesce(F.col("parts") - 1, F.lit(0))),
+        F.sequence(F.lit(0), F.col("parts") - 1),
         lambda p: F.struct(
             F.least("own", p).alias("first"),
             F.greatest("own", p).alias("second"),
-            F.when(F.col("own") > p, 1).otherwise(0).alias("part"),
+            (F.col("own") > p).cast("int").alias("part"),
         ),
     )
-    dealt = placed.select("fp", "band", "value", F.inline(pairs))
+    group = F.struct(*band, "first", "second")
+    dealt = placed.select("fp", *band, F.inline(pairs)).select(
+        "fp", "part", "segment", F.xxhash64(group).alias("group"),
+        F.pmod(F.xxhash64(group, F.lit(1)), F.lit(buckets)).alias("bucket"),
+    )
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        values = group["fp"].to_numpy(np.int64).view(np.uint64)
-        u, v = group_links(values, group["part"].to_numpy(), budget)
-        return pd.DataFrame({"u": u.view(np.int64), "v": v.view(np.int64)})
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        lanes = np.frombuffer(b"".join(rows["fp"]), ">u8").astype(np.uint64)
+        u, v = bucket_links(
+            lanes.reshape(len(rows), like.lanes),
+            np.unique(rows["group"].to_numpy(), return_inverse=True)[1],
+            rows["part"].to_numpy(),
+            rows["segment"].to_numpy(),
+            like,
+        )
+        fp = rows["fp"].to_numpy()
+        return pd.DataFrame({"u": fp[u], "v": fp[v]})
 
-    return dealt.groupBy("band", "value", "first", "second").applyInPandas(run, "u long, v long")
+    return dealt.groupBy("bucket").applyInPandas(run, "u binary, v binary")
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, budget: int = 3) -> DataFrame:
-    """(doc_id, fp, component_id) of every row of ``docs``.
+def named(prints: DataFrame, like: Similarity) -> DataFrame:
+    """(fp, root, component_id) of each distinct fingerprint of (doc_id, fp) rows.
 
-    ``component_id`` is the least id reachable over links, the row's own included.
+    ``root`` is the least fingerprint of its component, ``component_id`` the least id.
     """
-    prints = durable(fingerprints(docs, width), "fingerprints")
     distinct = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fp")
-    joined = components(links(distinct.select("fp"), budget))
+    joined = components(links(distinct.select("fp"), like))
     rooted = distinct.join(joined, distinct["fp"] == joined["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rooted.join(smallest, "root").select("fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, like: Similarity = CLOSE) -> DataFrame:
+    """(doc_id, fp, component_id) of every row of ``docs``."""
+    prints = durable(fingerprints(docs, like), "fingerprints")
+    return prints.join(named(prints, like), "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, like: Similarity = ALIKE) -> DataFrame:
+    """The rows of ``docs``, all columns, without near copies of a row that stays.
+
+    Of each component the row with the least id stays. Rows whose id is null or not
+    unique are judged row by row: of those in one component that are no copies of a
+    row with a lesser id, the one with the least hash of its content stays.
+    """
+    prints = durable(fingerprints(docs, like), "fingerprints")
+    names = durable(named(prints, like), "components")
+    ids = (
+        prints.join(names, "fp")
+        .where(F.col("doc_id").isNotNull())
+        .groupBy(F.col("doc_id").alias("left_id"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("component_id").alias("to"))
+    )
+    left = durable(ids.where((F.col("rows") > 1) | (F.col("to") != F.col("left_id"))), "left-out")
+    key = docs["doc_id"]
+    plain = docs.where(key.isNotNull()).join(left, key == left["left_id"], "left_anti")
+    repeated = left.where("rows > 1").select("left_id")
+    odd = docs.where(key.isNotNull()).join(repeated, key == repeated["left_id"], "left_semi")
+    odd = odd.unionAll(docs.where(key.isNull()))
+
+    @F.pandas_udf("binary")
+    def print_of(texts: pd.Series) -> pd.Series:
+        whole = texts.fillna("").map(str.encode)
+        return whole.map(lambda t: fingerprint(shingle_hashes(t, like.width), like.lanes))
+
+    content = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = odd.select(
+        content.alias("row"), F.col("doc_id").alias("own_id"), print_of("text").alias("own_fp")
+    )
+    single = (
+        rows.join(names, rows["own_fp"] == names["fp"])
+        .where(F.coalesce("component_id", "own_id").eqNullSafe(F.col("own_id")))
+        .groupBy("root")
+        .agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+        .select("row.*")
+    )
+    return plain.unionAll(single)
