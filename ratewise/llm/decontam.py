@@ -195,11 +195,9 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BL
 def _without(docs: DataFrame, block: BenchmarkBlock) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(block)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = np.ones(batch.num_rows, bool)
-            for start, texts in packed.text_chunks(batch.column("text")):
-                keep[[start + row[0] for row in shared.value.overlaps(texts)]] = False
-            yield batch.filter(pa.array(keep))
+    def keep(texts: list[bytes]) -> np.ndarray:
+        kept = np.ones(len(texts), bool)
+        kept[[row[0] for row in shared.value.overlaps(texts)]] = False
+        return kept
 
-    return docs.mapInArrow(run, docs.schema)
+    return packed.kept_rows(docs, keep)

@@ -6,10 +6,11 @@ batch. One text is never cut, so memory follows the longest text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 1 << 20
 SPACE, WORD, MARK = 0, 1, 2
@@ -101,3 +102,30 @@ def sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     if full.any():
         out[full] = np.add.reduceat(values, (np.cumsum(counts) - counts)[full], dtype=np.float64)
     return out
+
+
+def kept_rows(docs: DataFrame, keep: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text ``keep`` says to keep."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = [keep(texts) for _, texts in text_chunks(batch.column("text"))]
+            if kept:
+                yield batch.filter(pa.array(np.concatenate(kept)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def scored_rows(docs: DataFrame, score: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
+    """(doc_id, score) of every row; ``score`` is broadcast."""
+    shared = docs.sparkSession.sparkContext.broadcast(score)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, texts in text_chunks(batch.column("text")):
+                ids = batch.column("doc_id").slice(start, len(texts))
+                yield pa.RecordBatch.from_arrays(
+                    [ids, pa.array(shared.value(texts), pa.float64())], ["doc_id", "score"]
+                )
+
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")

@@ -144,24 +144,26 @@ def train(
     return FollowTheLeader().fit(rows)
 
 
+class Scorer:
+    """Scores of texts by fixed weights, which travel with the tasks (1 MB)."""
+
+    def __init__(self, weights: np.ndarray | None):
+        if weights is None:
+            weights = np.zeros(2**BUCKET_BITS + 1)
+        self.table, self.bias = weights[:-1].astype(np.float32), float(weights[-1])
+
+    def __call__(self, texts: list[bytes]) -> np.ndarray:
+        grams, counts = word_grams(texts)
+        margin = packed.sums(self.table[grams], counts) * 10 / np.maximum(counts, 1) + self.bias
+        return 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
+
+
 def scored(docs: DataFrame, weights: np.ndarray | None) -> DataFrame:
-    """(doc_id, score) of every row; the weights travel with the tasks (2 MB)."""
-    if weights is None:
-        weights = np.zeros(2**BUCKET_BITS + 1)
-    table, bias = weights[:-1].astype(np.float32), float(weights[-1])
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, texts in packed.text_chunks(batch.column("text")):
-                grams, counts = word_grams(texts)
-                margin = packed.sums(shared.value[grams], counts) * 10 / np.maximum(counts, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(start, len(texts)),
-                        pa.array(1 / (1 + np.exp(-np.clip(margin + bias, -35, 35)))),
-                    ],
-                    ["doc_id", "score"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double")
+    """(doc_id, score) of every row."""
+    return packed.scored_rows(docs, Scorer(weights))
+
+
+def accepted(docs: DataFrame, weights: np.ndarray | None, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, that score ``threshold`` at least."""
+    shared = docs.sparkSession.sparkContext.broadcast(Scorer(weights))
+    return packed.kept_rows(docs, lambda texts: shared.value(texts) >= threshold)

@@ -163,22 +163,24 @@ def train(
     return SubwordSoftmax().fit(rows)
 
 
+class Scorer:
+    """Scores of texts by a fixed model, which travels with the tasks (2 MB)."""
+
+    def __init__(self, model: Model | None):
+        self.table, self.bias = model or (np.zeros(2**BUCKET_BITS, np.float32), 0.0)
+
+    def __call__(self, texts: list[bytes]) -> np.ndarray:
+        bags, counts = subwords(texts)
+        margin = packed.sums(self.table[bags], counts) / np.sqrt(np.maximum(counts, 1)) + self.bias
+        return 1 / (1 + np.exp(-np.clip(margin, -35, 35)))
+
+
 def scored(docs: DataFrame, model: Model | None) -> DataFrame:
-    """(doc_id, score) of every row; the table of 2 MB travels with the tasks."""
-    table, bias = model or (np.zeros(2**BUCKET_BITS, np.float32), 0.0)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for start, texts in packed.text_chunks(batch.column("text")):
-                grams, counts = subwords(texts)
-                margin = packed.sums(shared.value[grams], counts) / np.sqrt(np.maximum(counts, 1))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(start, len(texts)),
-                        pa.array(1 / (1 + np.exp(-np.clip(margin + bias, -35, 35)))),
-                    ],
-                    ["doc_id", "score"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(score, "doc_id long, score double")
+    """(doc_id, score) of every row."""
+    return packed.scored_rows(docs, Scorer(model))
+
+
+def accepted(docs: DataFrame, model: Model | None, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(Scorer(model))
+    return packed.kept_rows(docs, lambda texts: shared.value(texts) < threshold)
