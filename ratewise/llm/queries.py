@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, decontam, quality, simhash, toxicity
+from ratewise.llm import bpe, decontam, quality, search, sharding, simhash, toxicity
 from ratewise.llm.labelled import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -41,6 +41,34 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
     return _classified(quality.scored(docs, weights), 0.5)
 
 
+@query
+def op2_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = search.integer_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding")
+    return search.top_k(vectors, F.col("id") % 100 == 0, 10)
+
+
+SQL["op2_search"] = """
+WITH usable AS (
+    SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), cells AS (
+    SELECT r, vec_id, unnest(range(1, len(embedding) + 1)) AS d, unnest(embedding) AS x FROM usable
+), bad AS (
+    SELECT DISTINCT r FROM cells WHERE x IS NULL OR NOT isfinite(x)
+), weights AS (
+    SELECT r, vec_id, d, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS w
+    FROM cells WHERE r NOT IN (SELECT r FROM bad)
+), scores AS (
+    SELECT q.r, q.vec_id AS query_id, c.vec_id, c.r AS other, CAST(sum(q.w * c.w) AS BIGINT) AS score
+    FROM weights q JOIN weights c ON q.d = c.d AND q.vec_id <> c.vec_id
+    WHERE q.vec_id % 100 = 0 GROUP BY ALL
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS place FROM scores
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
+"""
+
+
 @query
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every overlap of a document with a benchmark item."""
@@ -66,3 +94,13 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     digits = F.lower(F.hex("fp"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query
+def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id")
+    return sharding.placed(docs, ["doc_id"], SHARDS)
+
+
+#: Named like the files of a data set of 100 shards.
+SHARDS = [f"shard-{i:05d}" for i in range(100)]
