@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, decontam, quality, search, sharding, simhash, toxicity
+from ratewise.llm import bpe, decontam, licenses, quality, search, sharding, simhash, toxicity
 from ratewise.llm.labelled import in_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scanned(table(spark, folder, "documents")).drop("matches")
+
+
 @query
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
