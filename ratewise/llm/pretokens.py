@@ -31,15 +31,17 @@ def code_point_classes() -> np.ndarray:
     return classes
 
 
+def _members(kind: int) -> str:
+    """The code points of a class as the inside of a regular expression set."""
+    member = (code_point_classes() == kind).astype(np.int8)
+    edges = np.flatnonzero(np.diff(member, prepend=0, append=0)).reshape(-1, 2)
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges)
+
+
 @functools.cache
 def _pattern():
     """The pattern with the classes as they are in the table."""
-    sets = {}
-    for kind, name in ((LETTER, "L"), (NUMBER, "N"), (WHITE, "s")):
-        member = (code_point_classes() == kind).astype(np.int8)
-        edges = np.flatnonzero(np.diff(member, prepend=0, append=0)).reshape(-1, 2)
-        sets[name] = "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges)
-    letter, number, white = sets["L"], sets["N"], sets["s"]
+    letter, number, white = (_members(kind) for kind in (LETTER, NUMBER, WHITE))
     return regex.compile(
         f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[^{white}{letter}{number}]+"
         f"|[{white}]+(?![^{white}])|[{white}]+"
@@ -75,3 +77,32 @@ def pieces(text: str) -> list[str]:
     cut[last[white]] = cut[0] = True
     cuts = np.flatnonzero(cut).tolist()
     return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True)]
+
+
+@functools.cache
+def _lower_pattern():
+    """As for the words, but digits stand alone and white space goes."""
+    letter, number, white = (_members(kind) for kind in (LETTER, NUMBER, WHITE))
+    return regex.compile(
+        f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{white}{letter}{number}]+"
+    )
+
+
+def word_pieces(text: str) -> list[str]:
+    """Runs of letters, single digits and runs of marks, without white space.
+
+    Texts with apostrophes go through the public pattern of such vocabularies.
+    """
+    if not text:
+        return []
+    if "'" in text:
+        return _lower_pattern().findall(text)
+    points, starts, kinds = class_runs(text)
+    cuts = np.zeros(len(points), bool)
+    cuts[starts] = True
+    number = code_point_classes()[points] == NUMBER
+    cuts |= number
+    begin = np.flatnonzero(cuts)
+    kept = code_point_classes()[points[begin]] != WHITE
+    end = np.append(begin[1:], len(points))[kept].tolist()
+    return [text[a:b] for a, b in zip(begin[kept].tolist(), end, strict=True)]

@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, decontam, licenses, quality, search, sharding, simhash, toxicity
+from ratewise.llm import bpe, decontam, licenses, quality, search, sharding, simhash, tokenfile, toxicity
 from ratewise.llm.labelled import in_fold
+from ratewise.session import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -80,6 +81,14 @@ def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scanned(table(spark, folder, "documents")).drop("matches")
 
 
+@query
+def op5_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark, "token-ids")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    tokenfile.write(table(spark, folder, "documents"), path, tokenizer, end_id=1)
+    return tokenfile.digests(spark, path)
+
+
 @query
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
