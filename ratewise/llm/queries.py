@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, decontam, licenses, quality, search, sharding, simhash, tokenfile, toxicity
+from ratewise.llm import bpe, decontam, licenses, pitman_yor, quality, search, sharding, simhash, tokenfile, toxicity
 from ratewise.llm.labelled import in_fold
 from ratewise.session import new_path
 
@@ -118,3 +118,8 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 #: Named like the files of a data set of 100 shards.
 SHARDS = [f"shard-{i:05d}" for i in range(100)]
+
+
+@query
+def op10_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    return pitman_yor.scored(table(spark, folder, "documents"), in_fold(F.col("doc_id"), 10, 0))
