@@ -18,20 +18,20 @@ import functools
 import heapq
 import json
 from collections.abc import Iterator
+from hashlib import sha256
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ratewise.llm import packed
 from ratewise.llm.pretokens import pieces
 
 SHORT = 64
 #: Words remembered by each Python worker; a full memory is emptied.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 _NONE = np.int32(2**31 - 1)
 
 
@@ -255,11 +255,30 @@ def decoded(rows: DataFrame, path: str) -> DataFrame:
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding every row."""
-    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return decoded(encoded(docs, path), path).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(listed, 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
-    )
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding every row.
+
+    One Python process per task does both, so neither ids nor texts travel back.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = loaded(path)
+        decimal = [str(i) for i in range(len(bpe.bytes_of))].__getitem__
+        for batch in batches:
+            for start, texts in packed.text_chunks(batch.column("text")):
+                sizes, listed, decoded_texts = [], [], []
+                for ids in bpe.encode([text.decode() for text in texts]):
+                    sizes.append(len(ids))
+                    listed.append(sha256(",".join(map(decimal, ids)).encode()).hexdigest())
+                    decoded_texts.append(sha256(bpe.decode(ids).encode()).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc_id").slice(start, len(texts)),
+                        pa.array(sizes, pa.int64()),
+                        pa.array(listed, pa.string()),
+                        pa.array(decoded_texts, pa.string()),
+                    ],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
