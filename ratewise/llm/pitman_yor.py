@@ -190,81 +190,98 @@ class Restaurants:
 
 
 class Spelling:
-    """Restaurants of bytes by the bytes before; a blank stands for start and end."""
+    """Probabilities of bytes by the bytes before; a blank stands for start and end.
+
+    Only contexts that occur have a row, and only bytes that occur a column; bytes
+    that do not are all alike and share the last one.
+    """
+
+    def __init__(self):
+        self.column = np.zeros(256, np.int64)
+        self.rows = [np.full((1, 1), 1 / 256, np.float32) for _ in CODE_BITS]
+        #: By level: the row of each context code, -1 for none.
+        self.row_of = [np.full(1 << bits, -1, np.int32) for bits in CODE_BITS]
+        self.row_of[0][0] = 0
+
+    def p(self, code: np.ndarray, byte: np.ndarray, level: int = len(CODE_BITS) - 1) -> np.ndarray:
+        """By the longest context known, of those up to ``level``."""
+        column = self.column[byte]
+        found = self.rows[0][0, column]
+        for at in range(1, level + 1):
+            row = self.row_of[at][code & ((1 << CODE_BITS[at]) - 1)]
+            found = np.where(row >= 0, self.rows[at][row, column], found)
+        return found
+
+    @staticmethod
+    def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """context code * 256 + byte of each byte and the end of each word, and their number."""
+        data = np.frombuffer(b"   " + b"   ".join(words) + b"   ", np.uint8).astype(np.int64)
+        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        first = np.cumsum(sizes + 2) - (sizes + 2) + 3
+        at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+        code = data[at - 1] | (data[at - 2] & 63) << 8 | (data[at - 3] & 31) << 14
+        return code << 8 | data[at], sizes
+
+    def probability(self, words: list[bytes]) -> np.ndarray:
+        """Probability that a new table gets each of the words."""
+        keys, sizes = self.grams(words)
+        p = self.p(keys >> 8, keys & 255)
+        return np.exp(np.maximum(packed.sums(np.log(np.maximum(p, 1e-30)), sizes), -690.0))
+
+
+class ByteSeating:
+    """The sampled tables of the byte restaurants, and what they make of a spelling."""
 
     def __init__(self):
         self.levels = [Restaurants(*x) for x in BYTES]
-        #: By level: probabilities by context code and byte; of the longest contexts
-        #: only those that occur have a row.
-        self.p = [np.full((1 << bits, 256), 1 / 256, np.float32) for bits in CODE_BITS[:-1]]
-        self.row = np.full(1 << CODE_BITS[-1], -1, np.int32)
-        self.longest = np.zeros((0, 256), np.float32)
+        self.spelling = Spelling()
         #: By level: tables of each restaurant after the last sweep.
         self.tables = [np.zeros(1 << bits, np.int64) for bits in CODE_BITS]
 
-    def swept(self, keys: np.ndarray, customers: np.ndarray, number: int) -> Spelling:
-        """The state after sampling all levels, from the longest contexts to the empty
-        one, and the probabilities from there up. ``keys``: context code * 256 + byte."""
-        new, seated = Spelling(), []
+    def sweep(self, keys: np.ndarray, customers: np.ndarray, number: int) -> None:
+        """Sample all levels, from the longest contexts to the empty one, and take the
+        probabilities from there up. ``keys``: context code * 256 + byte."""
+        seated, tables = [], []
         for level in reversed(range(len(CODE_BITS))):
             context, byte = keys >> 8, keys & 255
             if level:
-                prior = self.p[level - 1][context & ((1 << CODE_BITS[level - 1]) - 1), byte]
+                prior = self.spelling.p(context, byte, level - 1).astype(np.float64)
             else:
                 prior = np.full(len(keys), 1 / 256)
             drawn = self.levels[level].tables(
-                customers, np.maximum(self.tables[level][context] - 1.0, 0), prior.astype(np.float64),
+                customers, np.maximum(self.tables[level][context] - 1.0, 0), prior,
                 keys.astype(np.uint64) + np.uint64(level << 40), number,
             )
-            new.tables[level] = np.bincount(context, drawn, 1 << CODE_BITS[level]).astype(np.int64)
+            tables.append(np.bincount(context, drawn, 1 << CODE_BITS[level]).astype(np.int64))
             seated.append((context, byte, customers, drawn))
             if level:
                 above = (context & ((1 << CODE_BITS[level - 1]) - 1)) << 8 | byte
                 sent = np.bincount(above, drawn).astype(np.int64)
                 keys = np.flatnonzero(sent)
                 customers = sent[keys]
-        for level, (context, byte, c, t) in enumerate(reversed(seated)):
-            contexts = np.unique(context)
-            row = np.searchsorted(contexts, context)
-            all_c = np.bincount(row, c, len(contexts))[:, None]
-            all_t = np.bincount(row, t, len(contexts))[:, None]
-            counts, tables = np.zeros((2, len(contexts), 256))
-            counts[row, byte], tables[row, byte] = c, t
+        self.tables = tables[::-1]
+        self.spelling = self._spelling(seated[::-1])
+
+    def _spelling(self, seated: list[tuple[np.ndarray, ...]]) -> Spelling:
+        new = Spelling()
+        known = np.unique(seated[-1][1])
+        new.column = np.full(256, len(known))
+        new.column[known] = np.arange(len(known))
+        prior: np.ndarray | float = 1 / 256
+        for level, (context, byte, c, t) in enumerate(seated):
+            contexts, row = np.unique(context, return_inverse=True)
+            counts, tables = np.zeros((2, len(contexts), len(known) + 1))
+            counts[row, new.column[byte]], tables[row, new.column[byte]] = c, t
             if level:
-                prior = new.p[level - 1][contexts & ((1 << CODE_BITS[level - 1]) - 1)]
-            else:
-                prior = 1 / 256
-            p = self.levels[level].predictive(counts, tables, all_c, all_t, prior)
-            if level < len(CODE_BITS) - 1:
-                if level:  # contexts never seen are like their parents
-                    every = np.arange(1 << CODE_BITS[level])
-                    new.p[level] = new.p[level - 1][every & ((1 << CODE_BITS[level - 1]) - 1)].copy()
-                new.p[level][contexts] = p
-            else:
-                new.row[contexts] = np.arange(len(contexts))
-                new.longest = p.astype(np.float32)
+                parents = contexts & ((1 << CODE_BITS[level - 1]) - 1)
+                prior = new.rows[level - 1][new.row_of[level - 1][parents]]
+            new.rows[level] = self.levels[level].predictive(
+                counts, tables, counts.sum(axis=1, keepdims=True),
+                tables.sum(axis=1, keepdims=True), prior,
+            ).astype(np.float32)
+            new.row_of[level][contexts] = np.arange(len(contexts))
         return new
 
-    @staticmethod
-    def grams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """context code * 256 + byte of each byte and the end of each word, and their number."""
-        data = np.frombuffer(b"   " + b"   ".join(words) + b"   ", np.uint8).astype(np.int64)
-        sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        first = np.cumsum(sizes + 2) - (sizes + 2) + 3
-        at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-        code = data[at - 1] | (data[at - 2] & 63) << 8 | (data[at - 3] & 31) << 14
-        return code << 8 | data[at], sizes
-
-    def probability(self, words: list[bytes]) -> np.ndarray:
-        """Probability that a new table gets each of the words."""
-        keys, sizes = self.grams(words)
-        code, byte = keys >> 8, keys & 255
-        row = self.row[code]
-        p = self.p[-1][code & ((1 << CODE_BITS[-2]) - 1), byte]
-        if len(self.longest):
-            p = np.where(row >= 0, self.longest[row, byte], p)
-        return np.exp(np.maximum(packed.sums(np.log(np.maximum(p, 1e-30)), sizes), -690.0))
-
 
 @dataclass
 class Sample:
@@ -316,18 +333,19 @@ def _sweep(vocabulary: DataFrame, sample: Sample | None) -> tuple[int, np.ndarra
         .groupBy("gram").agg(F.sum("n").alias("n")).where("n > 0").orderBy("gram").toArrow()
     )
     grams, n = rows["gram"].to_numpy(), rows["n"].to_numpy()
+    shared.destroy()
     total = int(n[grams < 0].sum())
     return total, grams[grams >= 0], n[grams >= 0]
 
 
 def sampled(vocabulary: DataFrame) -> list[Sample]:
     """The states of the sweeps that count."""
-    kept, spelling, sample = [], Spelling(), None
+    kept, seating, sample = [], ByteSeating(), None
     for number in range(BURN_IN + SAMPLES):
         tables, grams, sent = _sweep(vocabulary, sample)
         if len(grams):
-            spelling = spelling.swept(grams, sent, number)
-        sample = Sample(number + 1, tables, spelling)
+            seating.sweep(grams, sent, number)
+        sample = Sample(number + 1, tables, seating.spelling)
         if number >= BURN_IN:
             kept.append(sample)
     return kept
