@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
-    CountVectorizer,
+    CountVectorizerModel,
     ElementwiseProduct,
     NGram,
     RegexTokenizer,
@@ -45,10 +45,11 @@ MAX_ITERATIONS = 30
 REGULARISATION = 0.0
 ELASTIC_NET = 0.0
 
+#: A missing text is cleaned like an empty one.
 CLEAN_STATEMENT = f"""
 SELECT *, trim(regexp_replace(lower(
     CASE WHEN contains(text, '{URL_STARTS[0]}') OR contains(text, '{URL_STARTS[1]}')
-         THEN regexp_replace(text, r'{URL_PATTERN}', ' ') ELSE text END
+         THEN regexp_replace(text, r'{URL_PATTERN}', ' ') ELSE coalesce(text, '') END
   ), r'{SPACE_PATTERN}', ' ')) AS text_clean
 FROM __THIS__"""
 
@@ -67,38 +68,41 @@ def fit_features(
     vocab_size: int = VOCAB_SIZE,
     min_documents: int = MIN_DOCUMENTS,
     words: tuple[str, ...] = STOP_WORDS,
+    unicode_words: bool = False,
 ) -> FeatureModel:
     """Learn both vocabularies and the IDF weights from ``labeled``.
 
     One pass over the texts in place of one per estimator: the relational count
     gives the terms of both vocabularies, ties broken by term, and their document
-    frequencies. The count vectorizers are then fitted on those terms alone, and
-    no IDF stage is left to fit. Only the vocabularies, at most ``vocab_size``
-    terms each, reach the driver, as MLlib needs them there.
+    frequencies. The count vectorizers take those terms in the order of their
+    ``term_index``, and no IDF stage is left to fit. Only the vocabularies, at most
+    ``vocab_size`` terms each, reach the driver, as MLlib needs them there.
     """
     require_columns(labeled, ["text"])
-    tokens = with_tokens(labeled.select("text"), words)
+    tokens = with_tokens(labeled.select("text"), words, unicode_words)
     learned = fit_terms(tokens, KINDS, vocab_size, min_documents)
-    idf = {(row["kind"], row["term"]): row["idf"] for row in learned.collect()}
-    empty = [kind for kind in KINDS if not any(k == kind for k, _ in idf)]
+    known = {kind: [] for kind in KINDS}
+    for row in sorted(learned.collect(), key=lambda row: row["term_index"]):
+        known[row["kind"]].append(row)
+    empty = [kind for kind in KINDS if not known[kind]]
     if empty:
         raise ValueError(f"no term in {min_documents} or more documents: {', '.join(empty)}")
-    counters = []
-    for kind, column, counted in (
-        (UNIGRAM, "tokens_nostop", "tf_uni"),
-        (BIGRAM, "bigrams", "tf_bi"),
-    ):
-        terms = learned.where(F.col("kind") == kind).select(F.array("term").alias(column))
-        counter = CountVectorizer(inputCol=column, outputCol=counted, vocabSize=vocab_size)
-        counters.append(counter.fit(terms))
-    unigrams, pairs = (counter.vocabulary for counter in counters)
-    weights = [idf[UNIGRAM, term] for term in unigrams] + [idf[BIGRAM, term] for term in pairs]
+    counters = [
+        CountVectorizerModel.from_vocabulary(
+            [row["term"] for row in known[kind]], inputCol=column, outputCol=counted
+        )
+        for kind, column, counted in (
+            (UNIGRAM, "tokens_nostop", "tf_uni"),
+            (BIGRAM, "bigrams", "tf_bi"),
+        )
+    ]
+    weights = [row["idf"] for kind in KINDS for row in known[kind]]
     stages = [
         SQLTransformer(statement=CLEAN_STATEMENT),
         RegexTokenizer(
             inputCol="text_clean",
             outputCol="tokens",
-            pattern=SPLIT_PATTERN,
+            pattern=f"(?U){SPLIT_PATTERN}" if unicode_words else SPLIT_PATTERN,
             minTokenLength=MIN_TOKEN_LENGTH,
             toLowercase=False,
         ),
@@ -110,7 +114,7 @@ def fit_features(
         VectorAssembler(inputCols=["tf_uni", "tf_bi"], outputCol="tf"),
         ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="tf", outputCol="features"),
     ]
-    return FeatureModel(PipelineModel(stages), len(unigrams), len(pairs))
+    return FeatureModel(PipelineModel(stages), len(known[UNIGRAM]), len(known[BIGRAM]))
 
 
 def add_features(model: PipelineModel, reviews: DataFrame) -> DataFrame:
@@ -125,6 +129,8 @@ def split_features(
     fit_on: str = "train",
     vocab_size: int = VOCAB_SIZE,
     min_documents: int = MIN_DOCUMENTS,
+    words: tuple[str, ...] = STOP_WORDS,
+    unicode_words: bool = False,
 ) -> tuple[FeatureModel, DataFrame]:
     """Split by key, learn the features, and apply them to both sides.
 
@@ -133,7 +139,7 @@ def split_features(
     """
     rows = assign_split(labeled, key)
     seen = rows if fit_on == "all" else rows.where(F.col("split") == fit_on)
-    model = fit_features(seen, vocab_size, min_documents)
+    model = fit_features(seen, vocab_size, min_documents, words, unicode_words)
     return model, add_features(model.stages, rows)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.functions.numbers import key_bucket
@@ -11,7 +11,6 @@ from ratewise.schema import REVIEW_COLUMNS, project_existing, require_columns
 from ratewise.session import durable
 
 TRAIN_PERCENT = 80
-HOT_PARTS = 1000
 
 
 def clean_rows(reviews: DataFrame, strict: bool = False) -> DataFrame:
@@ -34,56 +33,75 @@ def labeled_reviews(reviews: DataFrame, strict: bool = False) -> DataFrame:
 def drop_repeated_keys(reviews: DataFrame, key: str = "review_id") -> DataFrame:
     """One row per key: the least one, so a rerun keeps the same row.
 
-    The minimum is taken map-side first, so of a key that fills a third of the
-    table each task sends a single row.
+    Rows without a key are all kept. Repeated keys are found from the key column
+    alone; rows of other keys stay where they are. Of a repeated key each task sends
+    its least row only.
     """
     rest = [name for name in reviews.columns if name != key]
-    least = reviews.groupBy(key).agg(F.min(F.struct(*rest)).alias("row"))
-    return least.select(key, "row.*").select(*reviews.columns)
+    repeated = (
+        reviews.where(F.col(key).isNotNull())
+        .groupBy(key)
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .where("copies > 1")
+        .select(key)
+    )
+    single = reviews.join(repeated, key, "left_anti").select(*reviews.columns)
+    copies = reviews.join(repeated, key, "left_semi")
+    least = copies.groupBy(key).agg(F.min(F.struct(*rest)).alias("row"))
+    return single.unionAll(least.select(key, "row.*").select(*reviews.columns))
 
 
 def drop_repeated_texts(reviews: DataFrame, key: str = "review_id") -> DataFrame:
-    """Of rows with exactly the same text keep the one with the least key.
-
-    Keys must be unique. Texts are compared by SHA-256 digest. The first pass
-    shuffles (digest, least key), pre-aggregated, and stores only the texts that
-    have copies. While that table is small it is broadcast and no row moves; past
-    that size rows are joined on their digest. Texts with more than a thousandth
-    of all copies, so fewer than a thousand texts, are always broadcast, and their
-    rows are spread by key in that join, so no task gets a whole hot group. Rows
-    without a text are all kept, and spread likewise.
+    """Of rows with exactly the same text keep one, and all rows without a text.
+
+    The one with the least key stays, of rows with that key the one whose content has
+    the least hash, and a row without a key only if no copy has one. Texts are
+    compared by SHA-256 digest. The first pass shuffles digests, pre-aggregated, and
+    stores those that occur more than once. Rows of other texts stay where they are
+    if that table is small enough to broadcast; beyond that adaptive execution splits
+    the rows of a hot text. Of a repeated text each task sends its best row only.
     """
-    digests = reviews.where(F.col("text").isNotNull()).select(
-        key, F.sha2("text", 256).alias("digest")
-    )
+    digest = F.unhex(F.sha2("text", 256))
+    digests = reviews.where(F.col("text").isNotNull()).select(digest.alias("copied"))
     copied = durable(
-        digests.groupBy("digest")
-        .agg(F.min(key).alias("kept_key"), F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1"),
+        digests.groupBy("copied").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("copied"),
         "copied-texts",
     )
-    is_hot = F.col("copies") * HOT_PARTS > copied.agg(F.sum("copies")).scalar()
-    hot = copied.where(is_hot).select("digest", F.col("kept_key").alias("hot_key"))
-    cold = copied.where(~is_hot).select(
-        F.col("digest").alias("probe"), F.col("kept_key").alias("cold_key")
+    marked = reviews.select(F.struct(*reviews.columns).alias("row"), digest.alias("digest"))
+    same = F.col("digest") == F.col("copied")
+    single = marked.join(copied, same, "left_anti").select("row.*")
+    order = F.struct(
+        F.col(f"row.{key}").isNull(), F.col(f"row.{key}"), F.xxhash64("row")
     )
-    looked_up = F.col("digest").isNotNull() & F.col("hot_key").isNull()
-    no_match = F.concat(F.lit("row "), F.col(key).cast("string"))
-    marked = (
-        reviews.withColumn("digest", F.sha2("text", 256))
-        .join(F.broadcast(hot), "digest", "left")
-        .withColumn("probe", F.when(looked_up, F.col("digest")).otherwise(no_match))
-        .join(cold, "probe", "left")
-    )
-    kept_key = F.coalesce("hot_key", "cold_key")
-    return marked.where(kept_key.isNull() | (F.col(key) == kept_key)).select(*reviews.columns)
+    copies = marked.join(copied, same, "left_semi").groupBy("digest")
+    return single.unionAll(copies.agg(F.min_by("row", order).alias("row")).select("row.*"))
+
+
+def row_content() -> Column:
+    """A digest of rating and text, for rows without a key; equal rows are alike."""
+    stars = F.coalesce(F.col("stars").cast("string"), F.lit(""))
+    return F.md5(F.concat_ws("|", stars, F.coalesce("text", F.lit(""))))
 
 
 def assign_split(
     df: DataFrame, key: str = "review_id", train_percent: int = TRAIN_PERCENT, seed: int = 42
 ) -> DataFrame:
-    """Add ``split``: ``train`` or ``test``, from a hash of the key."""
-    bucket = key_bucket(F.col(key), seed)
+    """Add ``split``: ``train`` or ``test``, from a hash of the key.
+
+    Rows without a key, and all rows of a table that has none, are split by their
+    rating and text, so equal rows share a side.
+    """
+    if key in df.columns:
+        own = F.col(key).cast("string")
+        if {"stars", "text"} <= set(df.columns):
+            own = F.coalesce(own, row_content())
+        else:
+            missing = F.raise_error(F.lit(f"rows without {key} need stars and text to be split"))
+            own = F.coalesce(own, missing.cast("string"))
+    else:
+        require_columns(df, ["stars", "text"])
+        own = row_content()
+    bucket = key_bucket(own, seed)
     return df.withColumn(
         "split", F.when(bucket < train_percent, F.lit("train")).otherwise(F.lit("test"))
     )

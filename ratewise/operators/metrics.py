@@ -11,8 +11,14 @@ from ratewise.schema import require_columns
 OUTCOMES = ("tp", "fp", "tn", "fn")
 
 
+BINARY = "labels and predictions must be 0 or 1"
+
+
 def _outcomes(weight: str | None) -> list[Column]:
-    """Weighted counts of the four outcomes for labels and predictions 0 and 1."""
+    """Weighted counts of the four outcomes for labels and predictions 0 and 1.
+
+    Anything else, null included, raises: no row may drop out of a report unseen.
+    """
     amount = F.lit(1) if weight is None else F.col(weight)
     label, prediction = F.col("label"), F.col("prediction")
     hit = {
@@ -21,8 +27,12 @@ def _outcomes(weight: str | None) -> list[Column]:
         "tn": (label == 0.0) & (prediction == 0.0),
         "fn": (label == 1.0) & (prediction == 0.0),
     }
+    binary = label.isin(0.0, 1.0) & prediction.isin(0.0, 1.0)
+    known = F.when(binary, amount).otherwise(F.raise_error(F.lit(BINARY)).cast("int"))
     return [
-        F.coalesce(F.sum(F.when(hit[name], amount)), F.lit(0)).cast("long").alias(name)
+        F.coalesce(F.sum(F.when(hit[name], known).otherwise(known * 0)), F.lit(0))
+        .cast("long")
+        .alias(name)
         for name in OUTCOMES
     ]
 
@@ -102,14 +112,15 @@ def _ranked_outcomes(predictions: DataFrame, score: str, weight: str | None) ->
     are range-partitioned on the score, each range counts on its own, and the
     totals of the lower ranges, one row per partition, are added at the end. Where
     the ranges are cut only balances the load: any cuts give the exact result.
+    Rows without a score have no place in the order and do not count for the area,
+    but for everything else.
     """
     require_columns(predictions, ["label", "prediction", score])
     scores = (
-        predictions.where(F.col(score).isNotNull())
-        .groupBy(F.col(score).cast("double").alias("score"))
+        predictions.groupBy(F.col(score).cast("double").alias("score"))
         .agg(*_outcomes(weight))
-        .withColumn("pos", F.col("tp") + F.col("fn"))
-        .withColumn("neg", F.col("fp") + F.col("tn"))
+        .withColumn("pos", F.when(F.col("score").isNull(), 0).otherwise(F.col("tp") + F.col("fn")))
+        .withColumn("neg", F.when(F.col("score").isNull(), 0).otherwise(F.col("fp") + F.col("tn")))
     )
     ranged = scores.repartitionByRange("score").withColumn("range", F.spark_partition_id())
     below = Window.partitionBy("range").orderBy("score").rowsBetween(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,17 +35,26 @@ def _count_stars(stars: tuple[int, ...]) -> Column:
     return F.count_if(F.col("stars").isin(*stars))
 
 
-def column_profile(df: DataFrame) -> DataFrame:
+def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     """Name, type, row count, nulls and distinct values of every column.
 
-    One aggregation. Strings are compared by digest, so long texts are never
-    shuffled; equal values meet map-side before the shuffle.
+    Exact counts take one aggregation per column, which reads that column alone;
+    strings are compared by digest, so long texts are never shuffled. Approximate
+    counts (two percent off as a rule) are one pass over all columns with no more
+    than a sketch per column and task to shuffle.
     """
+    if not approximate and len(df.columns) > 1:
+        parts = [
+            column_profile(df.select(f"`{name}`")).withColumn("position", F.lit(i).cast("long"))
+            for i, name in enumerate(df.columns)
+        ]
+        return reduce(DataFrame.unionAll, parts)
+    distinct = F.approx_count_distinct if approximate else F.count_distinct
     measures = [F.count(F.lit(1)).alias("rows")]
     for i, (name, kind) in enumerate(df.dtypes):
         value = F.sha2(F.col(name), 256) if kind == "string" else F.col(name)
         measures.append(F.count_if(F.col(name).isNull()).alias(f"nulls_{i}"))
-        measures.append(F.count_distinct(value).alias(f"distinct_{i}"))
+        measures.append(distinct(value).alias(f"distinct_{i}"))
     lines = [
         F.struct(
             F.lit(i).cast("long").alias("position"),
@@ -71,8 +82,16 @@ def histogram(df: DataFrame, column: str) -> DataFrame:
 def sample_rows(
     reviews: DataFrame, order: str = "review_id", rows: int = 5, width: int = 100
 ) -> DataFrame:
-    """The first rows by key, familiar columns only, long texts shortened."""
-    first = reviews.orderBy(order).limit(rows)
+    """The first rows by key, familiar columns only, long texts shortened.
+
+    The keys are found from the key column alone; then only their rows are read on,
+    and as many of them put in order as repeated keys add.
+    """
+    keys = reviews.select(F.col(order).alias("shown_key")).orderBy("shown_key").limit(rows)
+    found = reviews.join(
+        F.broadcast(keys.distinct()), F.col(order).eqNullSafe(F.col("shown_key")), "left_semi"
+    )
+    first = found.orderBy(order).limit(rows)
     shown = [order, *SAMPLE_COLUMNS]
     return project_existing(first, shown).withColumn("text", shorten(F.col("text"), width))
 
@@ -201,6 +220,21 @@ def labeling_report(reviews: DataFrame) -> DataFrame:
         F.count_if(F.col("label") == 0.0).alias("label_neg"),
         F.count_if(F.col("label") == 1.0).alias("label_pos"),
     )
+    return _labeling_lines(counts)
+
+
+def stored_labeling_report(labeled: DataFrame, total_before: int) -> DataFrame:
+    """The same from a stored labelled table and the number of rows before."""
+    counts = labeled.agg(
+        F.lit(total_before).alias("total_before"),
+        F.count("label").alias("total_after"),
+        F.count_if(F.col("label") == 0.0).alias("label_neg"),
+        F.count_if(F.col("label") == 1.0).alias("label_pos"),
+    )
+    return _labeling_lines(counts)
+
+
+def _labeling_lines(counts: DataFrame) -> DataFrame:
     neg, pos = F.col("label_neg"), F.col("label_pos")
     return _long_form(
         counts.select(

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ratewise.functions.numbers import ratio, safe_double, safe_long
 from ratewise.schema import require_columns
-from ratewise.session import durable
 
 
 def numeric_runs(rows: DataFrame, keep_unreadable: bool = True) -> DataFrame:
@@ -41,6 +40,12 @@ def baselines(runs: DataFrame, phase: str = "phase") -> DataFrame:
     )
 
 
+def _with_phase_facts(runs: DataFrame, facts: DataFrame, phase: str) -> DataFrame:
+    """Join what is known of each phase; a null phase matches a null phase."""
+    facts = facts.withColumnRenamed(phase, "phase_of_facts")
+    return runs.join(facts, runs[phase].eqNullSafe(facts["phase_of_facts"])).drop("phase_of_facts")
+
+
 def _speedup() -> Column:
     return ratio(F.col("base_sec"), F.col("duration_sec"))
 
@@ -52,11 +57,11 @@ def _efficiency(speedup: Column) -> Column:
 def scaling_summary(runs: DataFrame, phase: str = "phase") -> DataFrame:
     """Add speedup against the phase's baseline, and efficiency per core.
 
-    Both are 0 where a denominator is not positive. The baselines, one row per
-    phase, are stored first, so that their true size decides whether they are
-    broadcast and the runs stay where they are.
+    Both are 0 where a denominator is not positive. Runs without a phase are a phase
+    of their own. The baselines are one row per phase: adaptive execution broadcasts
+    them if their true size allows, and the runs stay where they are.
     """
-    joined = runs.join(durable(baselines(runs, phase), "baselines"), phase)
+    joined = _with_phase_facts(runs, baselines(runs, phase), phase)
     speedup = _speedup()
     return (
         joined.withColumn("speedup", F.round(speedup, 4))
@@ -87,7 +92,7 @@ def fill_scaling(runs: DataFrame, phase: str = "phase") -> DataFrame:
         F.col("base.cores").alias("base_cores"),
         F.col("base.duration_sec").alias("base_sec"),
     )
-    joined = runs.join(durable(state, "baselines"), phase)
+    joined = _with_phase_facts(runs, state, phase)
     joined = joined.where(F.col("complete") | measurable)
     speedup = _speedup()
     filled = {

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -122,15 +121,36 @@ def _stored_statistics(docs: DataFrame, kinds: Sequence[str], min_documents: int
 
 
 def _best_terms(stored: DataFrame, kinds: Sequence[str], vocab_size: int) -> DataFrame:
-    best = [
-        stored.where(F.col("kind") == kind).orderBy(F.desc("cf"), "term").limit(vocab_size)
-        for kind in kinds
-    ]
+    """The ``vocab_size`` best terms of each kind, numbered.
+
+    How many terms have each frequency, a small table, says at which frequency the
+    vocabulary is full. All terms above it are in; only those tied at it are ordered
+    by term, and only ``vocab_size`` rows at most are numbered in one task.
+    """
+    wanted = stored.where(F.col("kind").isin(*kinds))
+    sizes = wanted.groupBy("kind", "cf").agg(F.count(F.lit(1)).alias("terms"))
+    above = F.sum("terms").over(
+        Window.partitionBy("kind").orderBy(F.desc("cf")).rowsBetween(Window.unboundedPreceding, -1)
+    )
+    cut = (
+        sizes.select("kind", "cf", "terms", F.coalesce(above, F.lit(0)).alias("above"))
+        .where(F.col("above") < vocab_size)
+        .groupBy(F.col("kind").alias("cut_kind"))
+        .agg(F.min(F.struct("cf", "above")).alias("cut"))
+    )
+    placed = wanted.join(cut, F.col("kind") == F.col("cut_kind"))
+    whole = placed.where(F.col("cf") > F.col("cut.cf")).select("kind", "term", "cf", "df")
+    by_term = Window.partitionBy("kind").orderBy("term")
+    tied = (
+        placed.where(F.col("cf") == F.col("cut.cf"))
+        .withColumn("place", F.row_number().over(by_term))
+        .where(F.col("place") <= vocab_size)
+        .where(F.col("place") <= vocab_size - F.col("cut.above"))
+    )
+    best = whole.unionAll(tied.select("kind", "term", "cf", "df"))
     best_first = Window.partitionBy("kind").orderBy(F.desc("cf"), "term")
     rank = F.row_number().over(best_first)
-    return reduce(DataFrame.unionByName, best).select(
-        "kind", "term", (rank - 1).cast("long").alias("term_index"), "cf", "df"
-    )
+    return best.select("kind", "term", (rank - 1).cast("long").alias("term_index"), "cf", "df")
 
 
 def vocabulary(
@@ -142,9 +162,7 @@ def vocabulary(
     """The most frequent terms of each kind in ``docs``, numbered from 0.
 
     Equal frequencies are ordered by the term, so the cut is always the same. The
-    statistics are stored first, so the texts are read once for all kinds. Each
-    task over that table then keeps only its own best ``vocab_size`` terms, and
-    only those meet in one task.
+    statistics are stored first, so the texts are read once for all kinds.
     """
     return _best_terms(_stored_statistics(docs, kinds, min_documents), kinds, vocab_size)
 
@@ -154,8 +172,16 @@ def top_terms(docs: DataFrame, k: int, kinds: Sequence[str] = KINDS) -> DataFram
     return vocabulary(docs, kinds, k, min_documents=1)
 
 
-def vocabulary_size(terms: DataFrame) -> DataFrame:
-    return terms.groupBy("kind").agg(F.count(F.lit(1)).alias("terms"))
+def vocabulary_size(
+    docs: DataFrame,
+    kinds: Sequence[str] = KINDS,
+    vocab_size: int = VOCAB_SIZE,
+    min_documents: int = MIN_DOCUMENTS,
+) -> DataFrame:
+    """Terms in the vocabulary of each kind; nothing is ordered to count them."""
+    found = term_statistics(docs, kinds, min_documents).where(F.col("kind").isin(*kinds))
+    size = F.least(F.count(F.lit(1)), F.lit(vocab_size)).cast("long")
+    return found.groupBy("kind").agg(size.alias("terms"))
 
 
 def inverse_document_frequency(rows: Column, df: Column) -> Column:

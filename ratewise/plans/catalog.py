@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratewise import schema
 from ratewise.functions import numbers, text
 from ratewise.operators import classifier, labeling, metrics, profile, scaling, terms
-from ratewise.session import new_path
+from ratewise.session import INPUT_PARTITIONS, new_path
 from ratewise.sources import reviews as tables
 from ratewise.sources import runlog
 
@@ -39,9 +40,15 @@ def _reviews(spark: SparkSession, folder: str) -> DataFrame:
     return tables.table_reviews(spark, folder)
 
 
+def _partitions(spark: SparkSession) -> int | None:
+    """Over how many tasks the session wants texts dealt that take hard work."""
+    wanted = spark.conf.get(INPUT_PARTITIONS, None)
+    return int(wanted) if wanted else None
+
+
 def _spread_reviews(spark: SparkSession, folder: str) -> DataFrame:
-    """The reviews over all cores, for queries that work hard on each text."""
-    return tables.table_reviews(spark, folder, all_cores=True)
+    """The reviews for queries that work hard on each text."""
+    return tables.table_reviews(spark, folder, _partitions(spark))
 
 
 def _damaged(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,8 +64,8 @@ def _damaged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _repeated_keys(spark: SparkSession, folder: str) -> DataFrame:
-    """The damaged reviews with every key shared by two rows."""
-    halved = F.floor(F.col("review_id") / 2)
+    """The damaged reviews with every key shared by two rows, and some without a key."""
+    halved = F.when(F.col("review_id") % 10 != 7, F.floor(F.col("review_id") / 2))
     return _damaged(spark, folder).withColumn("review_id", halved)
 
 
@@ -67,7 +74,7 @@ def _labeled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
-    return tables.table_texts(spark, folder, all_cores=True).select("review_id", "text")
+    return tables.table_texts(spark, folder, _partitions(spark)).select("review_id", "text")
 
 
 def _tokens(spark: SparkSession, folder: str) -> DataFrame:
@@ -79,21 +86,22 @@ def _events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _predictions(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled reviews with a score that needs no model."""
+    """Labelled reviews with a score that needs no model, and some without one."""
     score = (F.length("text") % 97) / 97.0
     return (
         _labeled(spark, folder)
-        .select("label", score.alias("score"))
+        .select("label", "review_id", score.alias("score"))
         .withColumn("prediction", F.when(F.col("score") >= 0.5, 1.0).otherwise(0.0))
+        .withColumn("score", F.when(F.col("review_id") % 10 != 4, F.col("score")))
     )
 
 
 def _runs(spark: SparkSession, folder: str) -> DataFrame:
-    """Run times per phase and core count, summed up from the events."""
+    """Run times per phase and core count, summed up from the events; one phase is null."""
     return (
         _events(spark, folder)
         .groupBy(
-            F.col("event_type").alias("phase"),
+            F.when(F.col("event_type") != "view", F.col("event_type")).alias("phase"),
             (F.col("user_id") % 16 + 1).alias("cores"),
         )
         .agg(F.round(F.sum("value"), 2).alias("duration_sec"))
@@ -251,7 +259,11 @@ def label_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def dedup_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return labeling.drop_repeated_texts(_reviews(spark, folder))
+    """Texts repeated under other keys, the same key and no key leave one row each."""
+    reviews = _reviews(spark, folder)
+    twice = reviews.where(F.col("review_id") % 10 < 3)
+    keyless = twice.withColumn("review_id", F.lit(None).cast("long"))
+    return labeling.drop_repeated_texts(reviews.unionAll(twice).unionAll(keyless))
 
 
 @query
@@ -341,7 +353,7 @@ def scaling_summary(spark: SparkSession, folder: str) -> DataFrame:
 def scaling_fill(spark: SparkSession, folder: str) -> DataFrame:
     """One phase already measured, the others without speedup or core counts."""
     runs = _runs(spark, folder)
-    measured = F.col("phase") == "click"
+    measured = F.coalesce(F.col("phase") == "click", F.lit(False))
     partial = runs.select(
         "phase",
         F.when(measured | (F.col("cores") != 3), F.col("cores")).alias("cores"),
@@ -416,7 +428,7 @@ def bigram_vocabulary(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def vocabulary_size(spark: SparkSession, folder: str) -> DataFrame:
-    return terms.vocabulary_size(terms.vocabulary(_tokens(spark, folder)))
+    return terms.vocabulary_size(_tokens(spark, folder))
 
 
 @query
@@ -458,7 +470,43 @@ def feature_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def split_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return labeling.assign_split(_reviews(spark, folder).select("review_id", "stars"))
+    """Rows without a key are split by their content."""
+    key = F.when(F.col("review_id") % 10 != 5, F.col("review_id"))
+    keyed = _reviews(spark, folder).withColumn("review_id", key)
+    return labeling.assign_split(keyed).select("review_id", "stars", "split")
+
+
+@query
+def split_without_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON lines without keys: found out from the file, then split by content."""
+    path = new_path(spark, "json")
+    _reviews(spark, folder).select("stars", "text").write.json(path)
+    rows = labeling.assign_split(tables.scan_json_lines(spark, path))
+    return rows.groupBy("stars", "split").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query
+def one_hot_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    """A saved and reloaded model on one-hot features, which has a closed form: the
+    margin of a cell is its log odds."""
+    items = spark.read.parquet(f"{folder}/lineitem.parquet")
+    cells = items.select(
+        F.concat_ws("/", "l_returnflag", "l_linestatus").alias("cell"),
+        (F.col("l_quantity") > 20).cast("double").alias("label"),
+    )
+    names = [row["cell"] for row in cells.select("cell").distinct().orderBy("cell").collect()]
+    features = array_to_vector(F.array(*[(F.col("cell") == n).cast("double") for n in names]))
+    rows = cells.withColumn("features", features)
+    model = classifier.train_classifier(rows, max_iterations=200)
+    path = new_path(spark, "classifier")
+    classifier.save_model(model, path)
+    scored = classifier.score_rows(classifier.load_classifier(path), rows)
+    return scored.groupBy("cell").agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.round(F.avg("score"), 3).alias("score"),
+        F.round(F.avg("probability"), 4).alias("probability"),
+        F.max("prediction").alias("prediction"),
+    )
 
 
 def _features(spark: SparkSession, folder: str) -> tuple[classifier.FeatureModel, DataFrame]:

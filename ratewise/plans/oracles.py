@@ -36,7 +36,8 @@ REPEATED = (
     DAMAGED
     + """,
 repeated AS (
-  SELECT review_id // 2 AS review_id, user_id, business_id, stars, text FROM damaged
+  SELECT CASE WHEN review_id % 10 <> 7 THEN review_id // 2 END AS review_id,
+         user_id, business_id, stars, text FROM damaged
 )"""
 )
 
@@ -125,14 +126,22 @@ def _bucket(key: str) -> str:
     return f"('0x' || substr(md5('42:' || CAST({key} AS VARCHAR)), 1, 8))::BIGINT % 100"
 
 
-_SPLIT = f"CASE WHEN {_bucket('review_id')} < 80 THEN 'train' ELSE 'test' END AS split"
+def _side(key: str) -> str:
+    return f"CASE WHEN {_bucket(key)} < 80 THEN 'train' ELSE 'test' END AS split"
+
+
+_SPLIT = _side("review_id")
+_CONTENT = "md5(CAST(stars AS VARCHAR) || '|' || text)"
 
 PREDICTIONS = (
     LABELED
     + """,
-scored AS (SELECT label, (length(text) % 97) / CAST(97 AS DOUBLE) AS score FROM labeled),
+scored AS (
+  SELECT label, review_id, (length(text) % 97) / CAST(97 AS DOUBLE) AS score FROM labeled
+),
 predictions AS (
-  SELECT label, score, CAST(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction
+  SELECT label, CASE WHEN review_id % 10 <> 4 THEN score END AS score,
+         CAST(CASE WHEN score >= 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction
   FROM scored
 ),
 confusion AS (
@@ -166,7 +175,7 @@ def _auc(source: str) -> str:
 ranks AS (
   SELECT label, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0
            AS mean_rank
-  FROM {source}
+  FROM {source} WHERE score IS NOT NULL
 ),
 area AS (
   SELECT (sum(CAST(mean_rank AS DOUBLE)) FILTER (WHERE label = 1)
@@ -250,7 +259,8 @@ FROM damaged"""
 
 RUNS = """
 runs AS (
-  SELECT event_type AS phase, user_id % 16 + 1 AS cores, round(sum(value), 2) AS duration_sec
+  SELECT CASE WHEN event_type <> 'view' THEN event_type END AS phase,
+         user_id % 16 + 1 AS cores, round(sum(value), 2) AS duration_sec
   FROM events GROUP BY ALL
 ),
 base AS (
@@ -259,10 +269,10 @@ base AS (
   QUALIFY row_number() OVER (PARTITION BY phase ORDER BY cores, duration_sec) = 1
 ),
 summary AS (
-  SELECT phase, cores, duration_sec,
+  SELECT runs.phase, cores, duration_sec,
          CASE WHEN duration_sec > 0 THEN base_sec / duration_sec ELSE 0 END AS speedup,
          base_cores
-  FROM runs JOIN base USING (phase)
+  FROM runs JOIN base ON runs.phase IS NOT DISTINCT FROM base.phase
 )"""
 
 _FEATURE_VECTORS = f"""WITH {LABELED},
@@ -324,8 +334,8 @@ SELECT review_id, stars, text FROM damaged WHERE length(trim(text, ' ')) > 0""",
 SELECT * FROM reviews QUALIFY row_number() OVER (PARTITION BY text ORDER BY review_id) = 1""",
     "dedup_keys": f"""WITH {REPEATED}
 SELECT * FROM repeated
-QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY user_id, business_id,
-  stars NULLS FIRST, text NULLS FIRST) = 1""",
+QUALIFY review_id IS NULL OR row_number() OVER (PARTITION BY review_id
+  ORDER BY user_id, business_id, stars NULLS FIRST, text NULLS FIRST) = 1""",
     "row_count": f'WITH {REVIEWS} SELECT count(*) AS "rows" FROM reviews',
     "rating_histogram": f"""WITH {DAMAGED}
 SELECT stars, count(*) AS cnt FROM damaged GROUP BY stars ORDER BY stars""",
@@ -358,7 +368,7 @@ FROM summary""",
     "scaling_fill": f"""WITH {RUNS}
 SELECT phase, cores, duration_sec, round(speedup, 4) AS speedup,
        round(speedup / (cores / base_cores), 4) AS eff
-FROM summary WHERE phase <> 'click' AND cores <> 3
+FROM summary WHERE coalesce(phase, '') <> 'click' AND cores <> 3
 UNION ALL
 SELECT phase, cores, duration_sec, round(cores / 2, 4), CAST(0.5 AS DOUBLE)
 FROM summary WHERE phase = 'click'""",
@@ -384,7 +394,23 @@ SELECT kind, term, term_index, cf, df FROM vocab""",
 SELECT review_id, label, kind, term,
        round(tf * ln(((SELECT count(*) FROM tokens) + 1) / CAST(df + 1 AS DOUBLE)), 6) AS tfidf
 FROM counts JOIN vocab USING (kind, term)""",
-    "split_rows": f"WITH {REVIEWS} SELECT review_id, stars, {_SPLIT} FROM reviews",
+    "split_rows": f"""WITH {REVIEWS},
+keyed AS (
+  SELECT CASE WHEN review_id % 10 <> 5 THEN review_id END AS review_id, stars, text FROM reviews
+)
+SELECT review_id, stars, {_side(f"coalesce(CAST(review_id AS VARCHAR), {_CONTENT})")} FROM keyed""",
+    "split_without_keys": f"""WITH {REVIEWS},
+sided AS (SELECT stars, {_side(_CONTENT)} FROM reviews)
+SELECT stars, split, count(*) AS cnt FROM sided GROUP BY stars, split""",
+    "one_hot_classifier": """
+WITH cells AS (
+  SELECT l_returnflag || '/' || l_linestatus AS cell, count(*) AS cnt,
+         count_if(l_quantity > 20) / CAST(count(*) AS DOUBLE) AS p
+  FROM lineitem GROUP BY 1
+)
+SELECT cell, cnt, round(ln(p / (1 - p)), 3) AS score, round(p, 4) AS probability,
+       CAST(CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS DOUBLE) AS prediction
+FROM cells""",
     "feature_vectors": _FEATURE_VECTORS,
     "roc_auc": f"WITH {PREDICTIONS}{_auc('predictions')} SELECT round(auc, 6) AS auc FROM area",
     "roc_auc_many_scores": f"""

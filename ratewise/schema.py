@@ -25,6 +25,7 @@ FEATURE_LOG = (
     "run_id string, total_rows long, vocab_uni int, vocab_bi int, "
     "out_parquet string, out_model string"
 )
+LABELING_LOG = "run_id string, total_before long, total_after long, out_parquet string"
 TRAINING_LOG = (
     "run_id string, start_ts timestamp, duration_sec double, spark_master string, "
     "driver_memory string, executor_memory string, shuffle_partitions int, "
@@ -57,7 +58,3 @@ def project_existing(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def normal_name(name: str) -> str:
     """Header cell without byte-order mark, outer white space and upper case."""
     return name.replace("\ufeff", "").strip().lower()
-
-
-def normal_header(df: DataFrame) -> DataFrame:
-    return df.toDF(*[normal_name(name) for name in df.columns])

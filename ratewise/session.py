@@ -1,16 +1,24 @@
-"""Session settings, the shared work folder, and small-input spreading."""
+"""Session settings, and intermediate tables in the shared work folder."""
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Number of partitions to deal small input tables over; unset: as they are read.
+INPUT_PARTITIONS = "spark.ratewise.inputPartitions"
+
+
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and benchmarks on one machine.
 
+    Its small tables come as one split each, so they are dealt over the cores.
+
     On a cluster the caller's own session is used as it is: no function of this
     package sets a shuffle width or turns adaptive execution off.
     """
@@ -20,6 +28,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        .config(INPUT_PARTITIONS, str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -39,13 +48,37 @@ def work_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="ratewise-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir().rstrip("/")
+
+
+#: Paths handed out within each open ``work_tables`` block.
+_OPEN_BLOCKS: list[list[str]] = []
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the work folder that no other run uses."""
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _OPEN_BLOCKS:
+        _OPEN_BLOCKS[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def work_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables made within the block when it ends.
+
+    Tables that are read lazily must have been read by then. Outside of any block
+    intermediate tables stay until the work folder is emptied.
+    """
+    _OPEN_BLOCKS.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _OPEN_BLOCKS.pop():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(hadoop).delete(place, True)
 
 
 def durable(df: DataFrame, name: str, *partition_columns: str) -> DataFrame:
@@ -53,23 +86,10 @@ def durable(df: DataFrame, name: str, *partition_columns: str) -> DataFrame:
 
     This cuts the lineage in a way that survives lost executors, and gives the
     planner the true size of the table, so that a later join broadcasts it only
-    when it is below ``spark.sql.autoBroadcastJoinThreshold``.
+    when it is below ``spark.sql.autoBroadcastJoinThreshold``. It runs the plan of
+    ``df`` when called. A ``work_tables`` block removes the table.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.partitionBy(*partition_columns).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal the rows of a small file scan out over all cores.
-
-    A table with fewer splits than the cluster has cores would leave cores idle
-    in the costly text stages. A large scan already has more splits than that
-    and is returned untouched, without a shuffle. Only for a plain scan: counting
-    the splits of anything with a join or an aggregation would run it.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratewise.schema import REVIEW_SCHEMA, require_columns
-from ratewise.session import spread
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 LABELS = "doc_id long, quality int, toxic int"
@@ -15,25 +14,33 @@ MAX_RECORDS_PER_FILE = 300_000
 
 
 def scan_json_lines(
-    spark: SparkSession, path: str, schema: T.StructType | str = REVIEW_SCHEMA
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None
 ) -> DataFrame:
     """Reviews, one JSON object per line.
 
-    The schema is given, so no pass over the data goes into guessing it. A line
-    that is not JSON becomes a row of nulls and is counted as such.
+    Which fields occur is found by a pass over the whole input: text and stars must,
+    optional columns that do not are absent. Types are those of ``REVIEW_SCHEMA``. A
+    caller who passes a schema vouches for it and saves the pass. A line that is not
+    JSON becomes a row of nulls and is counted as such.
     """
+    if schema is None:
+        found = set(spark.read.json(path).columns)
+        schema = T.StructType([field for field in REVIEW_SCHEMA if field.name in found])
+        missing = sorted({"text", "stars"} - found)
+        if missing:
+            raise ValueError(f"missing required columns: {', '.join(missing)}")
     reviews = spark.read.schema(schema).json(path)
     return require_columns(reviews, ["text", "stars"])
 
 
-def table_texts(spark: SparkSession, folder: str, all_cores: bool = False) -> DataFrame:
+def table_texts(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:
     """The review table without its rating: a plain scan of ``documents``.
 
-    ``all_cores`` spreads documents that lie in fewer splits than there are cores.
+    ``partitions`` deals the rows over so many tasks, for tables in few splits.
     """
     documents = spark.read.schema(DOCUMENTS).parquet(f"{folder}/documents.parquet")
-    if all_cores:
-        documents = spread(documents)
+    if partitions is not None:
+        documents = documents.repartition(partitions)
     return documents.select(
         F.col("doc_id").alias("review_id"),
         F.col("lang").alias("user_id"),
@@ -42,7 +49,7 @@ def table_texts(spark: SparkSession, folder: str, all_cores: bool = False) -> Da
     )
 
 
-def table_reviews(spark: SparkSession, folder: str, all_cores: bool = False) -> DataFrame:
+def table_reviews(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:
     """The review table as a view of the ``documents`` and ``labels`` tables.
 
     Unlabelled documents take the neutral rating. No join strategy is forced:
@@ -57,7 +64,7 @@ def table_reviews(spark: SparkSession, folder: str, all_cores: bool = False) ->
         .when((quality == 1) & (toxic == 0), 5.0)
         .otherwise(3.0)
     )
-    texts = table_texts(spark, folder, all_cores)
+    texts = table_texts(spark, folder, partitions)
     rated = texts.join(labels, texts["review_id"] == labels["doc_id"], "left")
     return rated.select("review_id", "user_id", "business_id", stars.alias("stars"), "text")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,15 +54,20 @@ def scan_run_csv(
 ) -> DataFrame:
     """A run log kept as CSV by hand, read tolerantly as text columns.
 
-    Header names lose their byte-order mark, padding and upper case. Short rows
-    end in nulls, surplus cells are dropped, and rows of blanks are skipped.
+    Header names lose their byte-order mark, padding and upper case; of equal names
+    the later ones get their number as a suffix. Quoted cells may hold line ends.
+    Short rows end in nulls, surplus cells are dropped, and rows of blanks are skipped.
     ``columns`` replaces the header where that names too few columns.
     """
     if columns is None:
-        columns = spark.read.option("header", True).csv(path).columns
-    names = [normal_name(name) for name in columns]
+        head = spark.read.options(multiLine=True, escape='"').csv(path).first()
+        columns = [cell or f"_c{i}" for i, cell in enumerate(head or ())]
+    names = []
+    for name in map(normal_name, columns):
+        earlier = names.count(name) and sum(1 for n in names if re.sub(r"_\d+$", "", n) == name)
+        names.append(f"{name}_{earlier + 1}" if earlier else name)
     text_columns = T.StructType([T.StructField(name, T.StringType()) for name in names])
-    rows = spark.read.schema(text_columns).option("header", True).csv(path)
+    rows = spark.read.schema(text_columns).options(header=True, multiLine=True, escape='"').csv(path)
     require_columns(rows, [normal_name(name) for name in required])
     filled = [F.trim(F.coalesce(F.col(f"`{name}`"), F.lit(""))) != "" for name in names]
     some_cell = filled[0]

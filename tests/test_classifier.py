@@ -13,7 +13,7 @@ from pyspark.ml.feature import (
 from pyspark.sql import functions as F
 
 from ratewise.functions.text import clean_text
-from ratewise.operators import classifier, labeling, metrics
+from ratewise.operators import classifier, labeling, metrics, terms
 from ratewise.sources import reviews as tables
 
 GOOD, BAD = ["great", "tasty", "friendly"], ["awful", "cold", "rude"]
@@ -116,3 +116,22 @@ def test_train_score_save_and_reload(spark, labeled, fitted, tmp_path):
     found = {r.review_id: r.score for r in again.collect()}
     assert len(found) == 300
     assert {k: found[k] for k in wanted} == pytest.approx(wanted)
+
+
+def test_vocabulary_order_and_missing_texts(spark, labeled):
+    one, two = (classifier.fit_features(labeled) for _ in range(2))
+    counters = [[s.vocabulary for s in m.stages.stages if hasattr(s, "vocabulary")] for m in (one, two)]
+    assert counters[0] == counters[1]
+    learned = terms.fit_terms(terms.with_tokens(labeled.select("text"))).where("kind = 'unigram'")
+    assert counters[0][0] == [r.term for r in learned.orderBy("term_index").collect()]
+    texts = spark.createDataFrame([(1, None), (2, "")], "review_id long, text string")
+    rows = classifier.add_features(one.stages, texts).collect()
+    assert rows[0].features == rows[1].features
+
+
+def test_unicode_words_and_stop_words(spark):
+    rows = [(i, "caf\u00e9 not", float(i % 2)) for i in range(40)]
+    df = spark.createDataFrame(rows, "review_id long, text string, label double")
+    model = classifier.fit_features(df, words=("zzz",), unicode_words=True)
+    assert {t for s in model.stages.stages if hasattr(s, "vocabulary") for t in s.vocabulary} == {
+        "caf\u00e9", "not", "caf\u00e9 not"}

@@ -36,29 +36,24 @@ def test_repeated_texts(spark, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_rows_of_a_hot_text_are_spread(spark):
-    """Without broadcasts or adaptive splitting no join partition holds the hot text."""
-    df = spark.createDataFrame(_rows(), SCHEMA).repartition(5)
-    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
-    before = {name: spark.conf.get(name) for name in changed}
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_one_row_per_text_whatever_the_keys(spark, broadcast):
+    rows = [("k1", "x"), ("k1", "x"), ("k2", "x"), (None, "x"), (None, "y"), (None, "y"), ("k3", "z"), (None, None), (None, None)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     try:
-        for name, value in changed.items():
-            spark.conf.set(name, value)
-        kept = labeling.drop_repeated_texts(df)
-        plan = kept._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 1
-        assert "hashpartitioning(probe" in plan and "hashpartitioning(digest" not in plan
-        assert kept.count() == len({body for _, _, body in _rows()})
+        df = labeling.drop_repeated_texts(spark.createDataFrame(rows, "review_id string, text string"))
+        found = sorted(map(tuple, df.collect()), key=str)
     finally:
-        for name, value in before.items():
-            spark.conf.set(name, value)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == sorted([("k1", "x"), (None, "y"), ("k3", "z"), (None, None), (None, None)], key=str)
 
 
 def test_repeated_keys(spark):
     rows = [(1, 5.0, "b"), (1, 5.0, "a"), (1, None, "z"), (2, 1.0, None), (None, 1.0, "n"), (None, 2.0, "n")]
     df = labeling.drop_repeated_keys(spark.createDataFrame(rows, SCHEMA))
     found = sorted((tuple(row) for row in df.collect()), key=str)
-    assert found == sorted([(1, None, "z"), (2, 1.0, None), (None, 1.0, "n")], key=str)
+    assert found == sorted([(1, None, "z"), (2, 1.0, None), (None, 1.0, "n"), (None, 2.0, "n")], key=str)
 
 
 def test_clean_strict(spark):
@@ -97,3 +92,17 @@ def test_split_follows_its_seed(spark):
     one = labeling.assign_split(df, seed=1).where("split = 'test'")
     two = labeling.assign_split(df, seed=2).where("split = 'test'")
     assert one.exceptAll(two).count() > 0
+
+
+def test_split_without_keys(spark):
+    rows = [(None, float(i % 5 + 1), f"text {i // 2}") for i in range(2000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    split = labeling.assign_split(df)
+    sides = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
+    assert 0.7 < sides["train"] / 2000 < 0.9
+    alone = labeling.assign_split(df.drop("review_id"))
+    both = split.groupBy("stars", "text").agg(F.count_distinct("split").alias("n"))
+    assert both.where("n > 1").count() == 0
+    assert alone.select("stars", "text", "split").exceptAll(split.select("stars", "text", "split")).count() == 0
+    with pytest.raises(ValueError, match="stars, text"):
+        labeling.assign_split(spark.range(3))

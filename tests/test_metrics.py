@@ -101,3 +101,20 @@ def test_predictions_are_read_once(spark, tmp_path):
     _random(spark, 2)[1].write.parquet(path)
     plan = metrics.evaluation_metrics(spark.read.parquet(path))
     assert plan._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_rows_without_a_score_count(spark):
+    rows = [(1.0, 1.0, 0.9), (0.0, 0.0, 0.2), (0.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "label double, prediction double, score double")
+    row = metrics.evaluation_metrics(df).first()
+    assert (row.rows_test, row.tp, row.fp, row.tn, row.fn) == (3, 1, 1, 1, 0)
+    assert tuple(metrics.confusion_matrix(df).first()) == (1, 1, 1, 0)
+    assert row.auc == 1.0 and row.accuracy == pytest.approx(2 / 3)
+
+
+@pytest.mark.parametrize("odd", [(2.0, 1.0, 0.5), (1.0, 3.0, 0.5), (None, 1.0, 0.5)])
+def test_reports_of_two_classes_refuse_others(spark, odd):
+    df = spark.createDataFrame([(1.0, 1.0, 0.9), odd], "label double, prediction double, score double")
+    for report in (metrics.evaluation_metrics, metrics.confusion_matrix):
+        with pytest.raises(Exception, match="must be 0 or 1"):
+            report(df).collect()

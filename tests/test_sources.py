@@ -24,7 +24,7 @@ def test_json_lines(spark, tmp_path):
     ]
     df = tables.scan_json_lines(spark, _json_file(tmp_path, lines))
     rows = {row.review_id: row for row in df.collect()}
-    assert df.columns == ["review_id", "user_id", "business_id", "date", "stars", "text"]
+    assert df.columns == ["review_id", "date", "stars", "text"]
     assert (rows["a"].stars, rows["a"].text, rows["a"].date) == (5.0, "fine", None)
     assert rows["b"].date == "2020-01-02 03:04:05"
     assert rows[None].text is None and rows[None].stars is None
@@ -35,6 +35,9 @@ def test_required_columns(spark, tmp_path):
     path = _json_file(tmp_path, ["{}"])
     with pytest.raises(ValueError, match="missing required columns: stars, text"):
         tables.scan_json_lines(spark, path, "review_id string")
+    for fields, missing in (({"text": "a"}, "stars"), ({"stars": 1}, "text")):
+        with pytest.raises(ValueError, match=f"missing required columns: {missing}"):
+            tables.scan_json_lines(spark, _json_file(tmp_path, [json.dumps(fields)] * 50))
     spark.range(2).write.parquet(str(tmp_path / "p"))
     with pytest.raises(ValueError, match="label, text"):
         tables.scan_labeled(spark, str(tmp_path / "p"))
@@ -131,3 +134,11 @@ def test_write_columns(spark, tmp_path):
     back = spark.read.option("header", True).csv(path)
     assert back.columns == ["speedup", "cores", "auc"]
     assert back.collect() == [("2.5", "1", None)]
+
+
+def test_run_csv_with_quoted_line_ends_and_repeated_names(spark, tmp_path):
+    path = tmp_path / "log.csv"
+    path.write_text('\ufeffcores,Note, CORES ,note\n2,"two\nlines, ""quoted""",3,x\n', encoding="utf-8")
+    df = runlog.scan_run_csv(spark, str(path), ["cores"])
+    assert df.columns == ["cores", "note", "cores_2", "note_2"]
+    assert [tuple(r) for r in df.collect()] == [("2", 'two\nlines, "quoted"', "3", "x")]

@@ -109,7 +109,7 @@ def test_only_vocabulary_terms_get_a_weight(spark):
 
 
 def test_vocabulary_sizes(spark):
-    sizes = terms.vocabulary_size(terms.vocabulary(_frame(spark, _documents()), vocab_size=7))
+    sizes = terms.vocabulary_size(_frame(spark, _documents()), vocab_size=7)
     assert {r.kind: r.terms for r in sizes.collect()} == {"unigram": 7, "bigram": 7}
 
 
@@ -117,10 +117,16 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_only_the_best_terms_of_each_task_meet(spark):
+def test_no_top_k_over_all_terms(spark):
     plan = _plan(terms.vocabulary(_frame(spark, _documents())))
-    assert plan.count("TakeOrderedAndProject(limit=50000") == 2
-    assert "PartitionFilters: [isnotnull(kind" in plan
+    assert "TakeOrderedAndProject" not in plan and "GlobalLimit" not in plan
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 4, 5, 6])
+def test_many_ties_at_the_cut(spark, size):
+    docs = [(i, ["e", "b", "d", "b", "a", "c"]) for i in range(6)]
+    rows = terms.vocabulary(_frame(spark, docs), ["unigram"], size).collect()
+    assert [r.term for r in sorted(rows, key=lambda r: r.term_index)] == ["b", "a", "c", "d", "e"][:size]
 
 
 def test_counting_needs_no_shuffle_and_one_tokenization(spark):
