@@ -40,7 +40,7 @@ def subwords(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
     An n-gram holds two word bytes at least and no edge but at its ends.
     """
-    data, offsets = packed.pack(texts)
+    data, offsets = packed.pack([b" " + text for text in texts])  # an edge of its own
     size = len(data)
     words = packed.Tokens(data, offsets, packed.WORD_CLASSES)
     found = [(words.hash >> np.uint64(64 - BUCKET_BITS)).astype(np.uint32)]
