@@ -114,9 +114,10 @@ NOTICES = (
     (4, 0.75, "{full}"),
 )
 
-#: A text without any of these has nothing to find; those in brackets go together.
+#: A text with none of these is not scanned; those in brackets go together.
 TELLING = ("licen", "copyright", "spdx", "gnu", "gpl", "apache", "public", "permission",
-           "redistribution", "compliance", "rights", "free", ("cc", "by", "nc"))
+           "redistribution", "compliance", "rights", "free", "bsd", "zlib", "wtfpl", "cc0",
+           "mozilla", ("cc", "by", "nc"))
 
 
 @dataclass(frozen=True)
