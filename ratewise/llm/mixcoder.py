@@ -6,6 +6,7 @@ length of its run of hits. For one predicted id, the evidence of order 2, order
 order 0 is mixed in the logistic domain with weights that follow the errors, and the
 mix drives a binary decision of the coder: is this the id? If no prediction holds,
 order 0 codes the id by the counts of the block so far, refreshed at fixed places.
+A code begins with the block's distinct ids, so the models need room for those only.
 
 All models are integers, so a decoder on any machine repeats the coder's steps. Numpy
 steps through a row of blocks at once, as each id depends on the one before it.
@@ -16,6 +17,7 @@ The coder keeps 48 bits: a range between 2^32 and 2^48, renewed by 16 bits at a
 from __future__ import annotations
 
 import functools
+import zlib
 
 import numpy as np
 
@@ -149,32 +151,31 @@ class Reader(Coder):
 class OrderZero:
     """Counts of ids within each block, as spans of 2^16 slots.
 
-    An id of the vocabulary has one slot at least, the rest goes by counts. Spans are
+    Each id of a block has one slot at least, the rest goes by counts. Spans are
     refreshed when a power of two of ids has passed, from ``FIRST`` on.
     """
 
     FIRST = 256
 
-    def __init__(self, lanes: int, vocabulary: int):
-        if vocabulary > LIMIT * 4 // 5:
-            raise ValueError("the vocabulary is too large for 2^16 slots")
-        self.counts = np.zeros((lanes, vocabulary), np.uint16)
+    def __init__(self, sizes: np.ndarray):
+        """``sizes``: the number of distinct ids of each block."""
+        widest = int(sizes.max())
+        self.sizes = sizes[:, None]
+        self.own = np.arange(widest)
+        self.counts = np.zeros((len(sizes), widest), np.uint16)
         self.flat_counts = self.counts.reshape(-1)
-        even = np.arange(1, vocabulary + 1) * LIMIT // vocabulary - 1
-        self.last = np.tile(even.astype(np.uint16), (lanes, 1))  # last slot of each id
+        even = (self.own + 1) * LIMIT // self.sizes - 1
+        #: Last slot of each id; all that a block lacks end at the last of all.
+        self.last = np.minimum(even, LIMIT - 1).astype(np.uint16)
 
     def refresh(self, seen: int) -> None:
         """Spans by the counts of the ``seen`` ids, a power of two; ended lanes do not matter."""
-        lanes, vocabulary = self.counts.shape
-        free = LIMIT - vocabulary
-        own = np.arange(vocabulary)
-        for lane in range(lanes):
-            total = np.cumsum(self.counts[lane], dtype=np.int64)
-            total *= free
-            total >>= seen.bit_length() - 1
-            total += own
-            self.last[lane] = total
-            self.last[lane, -1] = LIMIT - 1
+        total = np.cumsum(self.counts, axis=1, dtype=np.int64)
+        total *= LIMIT - self.sizes
+        total >>= seen.bit_length() - 1
+        total += self.own
+        total[self.own >= self.sizes - 1] = LIMIT - 1
+        self.last[:] = total
 
     def span(self, lane: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First slot and number of slots of each id."""
@@ -205,7 +206,7 @@ class Predictor:
     """For hashed contexts of one order: the last id seen, and its run of hits."""
 
     def __init__(self, lanes: int, trust: int):
-        self.ids = np.full(lanes << TABLE_BITS, -1, np.int32)
+        self.ids = np.full(lanes << TABLE_BITS, -1, np.int16)
         self.run = np.zeros(lanes << TABLE_BITS, np.uint8)
         #: By run length: the probability that the prediction holds.
         self.trust = np.full(lanes * RUNS, trust, np.int64)
@@ -251,11 +252,15 @@ class Mixer:
             weights[self.row] = w + (x * error >> 12)
 
 
-def _run(coder: Coder, ids: np.ndarray, lengths: np.ndarray, vocabulary: int) -> None:
-    """Code the columns of ``ids`` or fill them; lanes go from the longest to the shortest."""
+def _run(coder: Coder, ids: np.ndarray, lengths: np.ndarray, sizes: np.ndarray) -> None:
+    """Code the columns of ``ids`` or fill them; lanes go from the longest to the shortest.
+
+    Ids are numbers among the distinct ids of their block, ``sizes`` of them.
+    """
     reading = isinstance(coder, Reader)
     lanes = len(lengths)
-    zero, mixer = OrderZero(lanes, vocabulary), Mixer(lanes)
+    zero, mixer = OrderZero(sizes), Mixer(lanes)
+    width = zero.counts.shape[1]
     one, two = Predictor(lanes, LIMIT // 8), Predictor(lanes, LIMIT // 3)
     last, before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
     every = np.arange(lanes)
@@ -310,7 +315,7 @@ def _run(coder: Coder, ids: np.ndarray, lengths: np.ndarray, vocabulary: int) ->
             coder.span(at, *zero.span(at, found[at]))
         if reading:
             ids[step, live] = found
-        zero.flat_counts[lane * vocabulary + found] += np.uint16(1)
+        zero.flat_counts[lane * width + found] += np.uint16(1)
         one.learn(found)
         two.learn(found)
         before[live], last[live] = x, found
@@ -320,28 +325,54 @@ def _longest_first(lengths: list[int]) -> np.ndarray:
     return np.argsort(-np.array(lengths, np.int64), kind="stable")
 
 
-def encode(blocks: list[np.ndarray], vocabulary: int) -> list[bytes]:
-    """The code of each block of ids below ``vocabulary``."""
+#: Ids a block may have at most: numbers of ids are 16 bits with a sign.
+LONGEST = 1 << 15
+
+
+def _alphabet(ids: np.ndarray) -> bytes:
+    steps = zlib.compress(np.diff(ids, prepend=0).astype("<u4").tobytes(), 6)
+    return len(steps).to_bytes(4, "big") + steps
+
+
+def _read_alphabet(code: bytes) -> tuple[np.ndarray, bytes]:
+    end = 4 + int.from_bytes(code[:4], "big")
+    return np.cumsum(np.frombuffer(zlib.decompress(code[4:end]), "<u4"), dtype=np.int64), code[end:]
+
+
+def encode(blocks: list[np.ndarray]) -> list[bytes]:
+    """The code of each block of ids, ``LONGEST`` at most."""
     if not blocks:
         return []
+    if max(map(len, blocks)) >= LONGEST:
+        raise ValueError(f"a block holds fewer than {LONGEST} ids")
     order = _longest_first([len(b) for b in blocks])
     lengths = np.array([len(blocks[i]) for i in order])
     ids = np.zeros((int(lengths[0]), len(blocks)), np.int32)
+    alphabets = []
     for lane, i in enumerate(order):
-        ids[: len(blocks[i]), lane] = blocks[i]
+        known, number = np.unique(blocks[i], return_inverse=True)
+        ids[: len(number), lane] = number
+        alphabets.append(known)
     coder = Writer(len(blocks), int(lengths[0]))
-    _run(coder, ids, lengths, vocabulary)
-    codes = dict(zip(order.tolist(), coder.finish(), strict=True))
+    _run(coder, ids, lengths, np.array([max(1, len(a)) for a in alphabets]))
+    codes = {
+        i: _alphabet(known) + code
+        for i, known, code in zip(order.tolist(), alphabets, coder.finish(), strict=True)
+    }
     return [codes[i] for i in range(len(blocks))]
 
 
-def decode(codes: list[bytes], lengths: list[int], vocabulary: int) -> list[np.ndarray]:
+def decode(codes: list[bytes], lengths: list[int]) -> list[np.ndarray]:
     """The ids of each block; ``lengths`` says how many each has."""
     if not codes:
         return []
     order = _longest_first(lengths)
-    sizes = np.array(lengths)[order]
-    ids = np.zeros((int(sizes[0]), len(codes)), np.int32)
-    _run(Reader([codes[i] for i in order]), ids, sizes, vocabulary)
-    lanes = {i: lane for lane, i in enumerate(order.tolist())}
-    return [ids[:n, lanes[i]].copy() for i, n in enumerate(lengths)]
+    lane_sizes = np.array(lengths)[order]
+    alphabets, rest = zip(*(_read_alphabet(codes[i]) for i in order), strict=True)
+    ids = np.zeros((int(lane_sizes[0]), len(codes)), np.int32)
+    _run(Reader(list(rest)), ids, lane_sizes, np.array([max(1, len(a)) for a in alphabets]))
+    out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(codes)
+    for lane, i in enumerate(order.tolist()):
+        if lengths[i]:
+            out[i] = alphabets[lane][ids[: lengths[i], lane]]
+    return out

@@ -30,13 +30,13 @@ from tokenizers import Tokenizer
 from ratewise.llm import mixcoder, packed
 from ratewise.llm.pretokens import word_pieces
 
-BLOCK = 8192
-#: Blocks coded side by side; each needs 220 KB of models.
-LANES = 512
+BLOCK = 4096
+#: Blocks coded side by side; each needs about 50 KB of models.
+LANES = 1536
 #: Words remembered by each Python worker; a full memory is emptied.
 REMEMBERED = 300_000
 SCHEMA = (
-    "part int, block int, first long, n_ids int, ids_crc32 long, vocabulary int, code binary, "
+    "part int, block int, first long, n_ids int, ids_crc32 long, code binary, "
     "documents array<struct<number:long,doc_id:long,at:int,n_ids:int,begins:boolean,ends:boolean>>"
 )
 #: Normal forms and lower case leave all but these as single code points, one by one.
@@ -53,7 +53,6 @@ class WordTokenizer:
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
-        self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.known: dict[str, tuple[int, ...]] = {}
         self.by_word = self._by_word()
 
@@ -139,13 +138,12 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
 
         def coded() -> pa.RecordBatch:
             nonlocal block, first
-            codes = mixcoder.encode([ids for ids, _ in held], words.size)
+            codes = mixcoder.encode([ids for ids, _ in held])
             rows = []
             for (ids, parts), code in zip(held, codes, strict=True):
                 rows.append(
                     {"part": part, "block": block, "first": first, "n_ids": len(ids),
-                     "ids_crc32": zlib.crc32(_id_bytes(ids)), "vocabulary": words.size,
-                     "code": code, "documents": parts}
+                     "ids_crc32": zlib.crc32(_id_bytes(ids)), "code": code, "documents": parts}
                 )
                 block, first = block + 1, first + len(ids)
             held.clear()
@@ -170,7 +168,7 @@ def _arrow_schema() -> pa.Schema:
     )
     return pa.schema(
         [("part", pa.int32()), ("block", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int32()),
-         ("ids_crc32", pa.int64()), ("vocabulary", pa.int32()), ("code", pa.binary()),
+         ("ids_crc32", pa.int64()), ("code", pa.binary()),
          ("documents", pa.list_(part))]
     )
 
@@ -180,7 +178,7 @@ def decoded_blocks(batch: pa.RecordBatch) -> Iterator[tuple[dict, np.ndarray]]:
     for start in range(0, batch.num_rows, LANES):
         rows = batch.slice(start, LANES).to_pylist()
         codes, lengths = [r["code"] for r in rows], [r["n_ids"] for r in rows]
-        for row, ids in zip(rows, mixcoder.decode(codes, lengths, rows[0]["vocabulary"]), strict=True):
+        for row, ids in zip(rows, mixcoder.decode(codes, lengths), strict=True):
             if zlib.crc32(_id_bytes(ids)) != row["ids_crc32"]:
                 raise ValueError(f"block {row['block']} of part {row['part']} is damaged")
             yield row, ids
