@@ -164,8 +164,6 @@ class ByteBpe:
 
     def learn(self, words: set[str]) -> None:
         """Remember the ids of words."""
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
         groups: dict[int, list[str]] = {}
         for word in words:
             size = len(word.encode())
@@ -193,12 +191,10 @@ class ByteBpe:
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of each text."""
         parted = [self.split(text) for text in texts]
-        fresh = set().union(*parted) - self.known.keys() - self.special.keys()
-        if fresh:
-            before = len(self.known)
-            self.learn(fresh)
-            if len(self.known) < before + len(fresh):  # it was emptied: the others again
-                self.learn(set().union(*parted) - self.known.keys() - self.special.keys())
+        needed = set().union(*parted) - self.special.keys()
+        if len(self.known) + len(needed) > REMEMBERED:
+            self.known.clear()
+        self.learn(needed - self.known.keys())
         known = self.known
         if any(token in part for token in self.special for part in parted):
             known = known | {token: (i,) for token, i in self.special.items()}
