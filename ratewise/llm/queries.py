@@ -76,6 +76,73 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def _license_sql() -> str:
+    """The scan as joins: words, keywords with their windows, rules, better intervals."""
+    listed = ", ".join(
+        f"({r.number}, '{r.keyword}', '{r.label}', {r.priority}, {r.score}, '( {r.pattern} )')"
+        for r in licenses.RULES
+    )
+    base = ", ".join(
+        f"('{label}', ' {phrase} ', {phrase.split(' ').index(next(w for w in phrase.split(' ') if '<' in w))})"
+        for label, phrase in licenses.BASE
+    )
+    signs = [[sign] if isinstance(sign, str) else sign for sign in licenses.TELLING]
+    telling = " OR ".join(
+        "(" + " AND ".join(f"contains(low, '{part}')" for part in sign) + ")" for sign in signs
+    )
+    reach = licenses.REACH
+    return f"""
+WITH rules(number, keyword, label, priority, score, pattern) AS (VALUES {listed}),
+base(label, phrase, before) AS (VALUES {base}),
+lowered AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents
+), words AS (
+  SELECT r, doc_id, regexp_extract_all(low, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w, {telling} AS telling
+  FROM lowered
+), places AS (
+  SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE telling
+), windows AS (
+  SELECT r, i, w[i] AS keyword, least(i - 1, {reach}) AS before,
+         ' ' || array_to_string(w[greatest(1, i - {reach}):i - 1] || ['<' || w[i] || '>']
+                                || w[i + 1:i + {reach}], ' ') || ' ' AS span
+  FROM places WHERE w[i] IN (SELECT keyword FROM rules UNION SELECT 'mit' UNION SELECT 'apache' UNION SELECT 'cc')
+), hits AS (
+  SELECT r, i, before, span, number, label, priority, score, regexp_extract(span, pattern) AS m
+  FROM windows JOIN rules USING (keyword) WHERE regexp_matches(span, pattern)
+), found AS (
+  SELECT r, number, label, priority, score,
+         i - 1 - before + length(regexp_replace(left(span, strpos(span, m)), '[^ ]', '', 'g')) - 1 AS a,
+         length(regexp_replace(m, '[^ ]', '', 'g')) - 1 AS size
+  FROM hits
+), kept AS (
+  SELECT * FROM found d WHERE NOT EXISTS (
+    SELECT 1 FROM found e
+    WHERE e.r = d.r AND e.a <= d.a AND e.a + e.size >= d.a + d.size
+      AND (e.priority < d.priority OR (e.priority = d.priority
+           AND (e.size > d.size OR (e.a = d.a AND e.size = d.size AND e.number < d.number)))))
+), phrases AS (
+  SELECT r, b.label, i - 1 - b.before AS a FROM windows JOIN base b ON contains(span, phrase)
+), by_phrase AS (
+  SELECT r, count(*) AS n, min(a) AS first_word, max(a) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS names FROM phrases GROUP BY r
+), by_label AS (
+  SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS names, max(score) AS score FROM (
+    SELECT r, label, CAST(score AS DOUBLE) AS score FROM kept
+    UNION ALL SELECT r, label, CAST(0.95 AS DOUBLE) FROM phrases
+  ) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(p.n, 0) AS BIGINT) AS n_base,
+       CAST(p.first_word AS BIGINT) AS first_word, CAST(p.last_word AS BIGINT) AS last_word,
+       coalesce(p.names, '') AS base_labels, coalesce(l.names, '') AS labels,
+       coalesce(l.score, CAST(0 AS DOUBLE)) AS score
+FROM words LEFT JOIN by_phrase p USING (r) LEFT JOIN by_label l USING (r)"""
+
+
+SQL["op4_licenses"] = _license_sql()
+
+
 @query
 def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scanned(table(spark, folder, "documents")).drop("matches")
