@@ -570,6 +570,51 @@ def score_rows(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(scored.select("review_id", "label", "prediction", "probability", "score"), 4)
 
 
+@query
+def training_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Terms of both vocabularies and rows of both sides, as a training run has them."""
+    sizes, features = _features(spark, folder)
+    rows = features.groupBy(F.concat(F.lit("rows_"), "split").alias("metric")).agg(
+        F.count(F.lit(1)).alias("value")
+    )
+    terms_of = {"vocab_uni": sizes.unigrams, "vocab_bi": sizes.bigrams}
+    return rows.unionAll(spark.createDataFrame(list(terms_of.items()), "metric string, value long"))
+
+
+@query
+def scores_from_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether margin, probability and prediction of each test row follow from the
+    model's coefficients and the TF-IDF table, which is made without MLlib."""
+    _, features = _features(spark, folder)
+    model = classifier.train_classifier(_side(features, "train"))
+    scored = classifier.score_rows(model, _side(features, "test"))
+    labeled = labeling.assign_split(labeling.labeled_reviews(_spread_reviews(spark, folder)))
+    tokens = terms.with_tokens(labeled.select("review_id", "split", "text"))
+    learned = terms.fit_terms(_side(tokens, "train").select("tokens"))
+    unigrams = learned.where(F.col("kind") == terms.UNIGRAM).count()
+    place = F.col("term_index") + F.when(F.col("kind") == terms.BIGRAM, unigrams).otherwise(0)
+    coefficients = spark.createDataFrame(
+        list(enumerate(model.coefficients.toArray().tolist())), "place long, coefficient double"
+    )
+    counts = terms.term_counts(_side(tokens, "test").select("review_id", "tokens"))
+    added = (
+        terms.tfidf(counts, learned)
+        .withColumn("place", place)
+        .join(coefficients, "place")
+        .groupBy("review_id")
+        .agg(F.sum(F.col("tfidf") * F.col("coefficient")).alias("added"))
+    )
+    margin = F.coalesce("added", F.lit(0.0)) + model.intercept
+    follows = (
+        (F.abs(margin - F.col("score")) <= 1e-6 * (1 + F.abs(margin)))
+        & (F.abs(1 / (1 + F.exp(-F.col("score"))) - F.col("probability")) < 1e-9)
+        & ((F.col("probability") > 0.5) == (F.col("prediction") == 1))
+    )
+    return scored.join(added, "review_id", "left").select(
+        "review_id", "label", follows.alias("follows")
+    )
+
+
 @query
 def score_raw_text(spark: SparkSession, folder: str) -> DataFrame:
     """Every review, labelled or not, scored by saved and reloaded models."""

@@ -294,7 +294,19 @@ GROUP BY ALL"""
 _EVENT_CELL = """CASE event_type WHEN 'click' THEN value
                             WHEN 'view' THEN -value * 10 END"""
 
+_TRAINING_SIZES = f"""WITH {LABELED},
+sided AS (SELECT *, {_SPLIT} FROM labeled)
+{_tokens("sided", "review_id, split")}{_terms("review_id, split")},
+train_counts AS (SELECT * FROM counts WHERE split = 'train')
+{_vocabulary("train_counts")}
+SELECT CASE kind WHEN 'unigram' THEN 'vocab_uni' ELSE 'vocab_bi' END AS metric, count(*) AS value
+FROM vocab GROUP BY kind
+UNION ALL SELECT 'rows_' || split, count(*) FROM sided GROUP BY split"""
+
 SQL: dict[str, str] = {
+    "training_sizes": _TRAINING_SIZES,
+    "scores_from_terms": f"""WITH {LABELED}, sided AS (SELECT *, {_SPLIT} FROM labeled)
+SELECT review_id, label, true AS follows FROM sided WHERE split = 'test'""",
     "scan_json_lines": f"WITH {REVIEWS} SELECT * FROM reviews",
     "labeled_roundtrip": f"""WITH {LABELED}
 SELECT review_id, user_id, business_id, stars, text, label FROM labeled""",
