@@ -30,8 +30,10 @@ from ratewise.llm import packed
 from ratewise.llm.pretokens import pieces
 
 SHORT = 64
+#: Text encoded at a time: new words are merged side by side.
+CHUNK_BYTES = 1 << 19
 #: Words remembered by each Python worker; a full memory is emptied.
-REMEMBERED = 250_000
+REMEMBERED = 160_000
 _NONE = np.int32(2**31 - 1)
 
 
@@ -217,7 +219,7 @@ def encoded(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = loaded(path)
         for batch in batches:
-            for start, texts in packed.text_chunks(batch.column("text")):
+            for start, texts in packed.text_chunks(batch.column("text"), CHUNK_BYTES):
                 found = bpe.encode([text.decode() for text in texts])
                 ends = np.cumsum([0, *map(len, found)], dtype=np.int32)
                 flat = np.fromiter(chain.from_iterable(found), np.int32, ends[-1])
@@ -260,7 +262,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
         bpe = loaded(path)
         decimal = [str(i) for i in range(len(bpe.bytes_of))].__getitem__
         for batch in batches:
-            for start, texts in packed.text_chunks(batch.column("text")):
+            for start, texts in packed.text_chunks(batch.column("text"), CHUNK_BYTES):
                 sizes, listed, decoded_texts = [], [], []
                 for ids in bpe.encode([text.decode() for text in texts]):
                     sizes.append(len(ids))

@@ -1,6 +1,6 @@
 """Token hashing over the UTF-8 bytes of many texts at once, in numpy.
 
-Tasks work on a few megabytes of text at a time, whatever the size of the Arrow
+Tasks work on a fraction of a megabyte of text at a time, whatever the size of the Arrow
 batch. One text is never cut, so memory follows the longest text.
 """
 
@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 SPACE, WORD, MARK = 0, 1, 2
 
 _random = np.random.default_rng(20240607)

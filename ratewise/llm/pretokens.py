@@ -21,12 +21,15 @@ def code_point_classes() -> np.ndarray:
     The tokenizers library says which is which, as Unicode versions differ.
     """
     classes = np.zeros(0x110000, np.uint8)
-    points = [*range(0xD800), *range(0xE000, 0x110000)]
-    everything = "".join(map(chr, points))
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\s+")):
-        runs = Split(Regex(pattern), "removed", invert=True).pre_tokenize_str(everything)
-        for run, _ in runs:
-            classes[ord(run[0]) : ord(run[-1]) + 1] = kind
+    patterns = ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (WHITE, r"\s+"))
+    splits = [(kind, Split(Regex(p), "removed", invert=True)) for kind, p in patterns]
+    for start in range(0, 0x110000, 0x400):  # in small parts, as the library takes 60 bytes a byte
+        if 0xD800 <= start < 0xE000:
+            continue
+        part = "".join(map(chr, range(start, start + 0x400)))
+        for kind, split in splits:
+            for run, _ in split.pre_tokenize_str(part):
+                classes[ord(run[0]) : ord(run[-1]) + 1] = kind
     classes[0xD800:0xE000] = MARK
     return classes
 
