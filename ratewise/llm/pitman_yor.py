@@ -42,7 +42,7 @@ from ratewise.llm import packed
 from ratewise.session import durable
 
 #: Bytes of text whose words share a dictionary.
-CHUNK = 12_000_000
+CHUNK = 10_000_000
 EXACT = 48
 BURN_IN, SAMPLES = 2, 4
 #: Discount and concentration of the word restaurant, and of the byte restaurants by
@@ -78,22 +78,39 @@ def text_parts(docs: DataFrame, held_out: Column) -> DataFrame:
     return marked.mapInArrow(run, PART_SCHEMA)
 
 
+def _runs(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in runs that are tokenised at a time."""
+    start, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text)
+        if size > packed.CHUNK_BYTES:
+            yield texts[start : i + 1]
+            start, size = i + 1, 0
+    if start < len(texts):
+        yield texts[start:]
+
+
 def _chunk_rows(chunk: int, texts: list[bytes], ids, known, held) -> Iterator[pa.RecordBatch]:
-    hashes, places, sizes, base = [], [], [], 0
-    whole = []
-    for start, some in packed.text_chunks(pa.array(texts, pa.binary())):
+    hashes, starts, lengths, sizes, base, whole = [], [], [], [], 0, []
+    for some in _runs(texts):
         data, offsets = packed.pack(some)
-        words = packed.Tokens(data, offsets, packed.SPACED_CLASSES)
-        hashes.append(words.hash)
-        places.append(np.stack([words.start + base, words.end + base], axis=1))
-        sizes.append(words.count)
+        tokens = packed.Tokens(data, offsets, packed.SPACED_CLASSES)
+        hashes.append(tokens.hash)
+        starts.append(tokens.start + base)
+        lengths.append((tokens.end - tokens.start).astype(np.int32))
+        sizes.append(tokens.count)
         whole.append(data.tobytes())
         base += len(data)
     text = b"".join(whole).lower()
-    hashes, places, sizes = np.concatenate(hashes), np.concatenate(places), np.concatenate(sizes)
-    _, first, number = np.unique(hashes, return_index=True, return_inverse=True)
+    whole.clear()
+    sizes = np.concatenate(sizes)
+    _, first, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    number = number.astype(np.uint32)
+    hashes.clear()
     learned = np.bincount(number[np.repeat(~held, sizes)], minlength=len(first))
-    words = [text[a:b] for a, b in places[first].tolist()]
+    begin = np.concatenate(starts)[first]
+    end = begin + np.concatenate(lengths)[first]
+    words = [text[a:b] for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
     words.append(b"")  # the end of a text
     learned = np.append(learned, (~held).sum())
     count = len(words)
@@ -150,8 +167,8 @@ class Restaurants:
         some = np.flatnonzero(customers > 1)
         stirling = log_stirling(d)
         t = np.arange(1, EXACT + 1)
-        for start in range(0, len(some), 1 << 16):
-            at = some[start : start + (1 << 16)]
+        for start in range(0, len(some), 1 << 13):
+            at = some[start : start + (1 << 13)]
             seated = np.minimum(customers[at], EXACT)
             most = int(seated.max())
             weight = np.log(self.strength + d * (others[at][:, None] + t[None, :most] - 1))
@@ -298,7 +315,7 @@ class Sample:
         return Restaurants(*WORDS).tables(counts, others, prior, keys, self.number), prior
 
 
-def _word_batches(batch: pa.RecordBatch, size: int = 50_000):
+def _word_batches(batch: pa.RecordBatch, size: int = 20_000):
     for start in range(0, batch.num_rows, size):
         part = batch.slice(start, size)
         words = part.column("word").to_pylist()
@@ -351,8 +368,8 @@ def sampled(vocabulary: DataFrame) -> list[Sample]:
     return kept
 
 
-def word_scores(vocabulary: DataFrame, samples: list[Sample], tokens: int, distinct: int) -> DataFrame:
-    """(word, known, base, model): log10 of the base and the averaged probability."""
+def word_scores(vocabulary: DataFrame, samples: list[Sample], tokens: int) -> DataFrame:
+    """(h, c, model): hash, count and log10 of the averaged probability of each word."""
     shared = vocabulary.sparkSession.sparkContext.broadcast(samples)
     words_of = Restaurants(*WORDS)
 
@@ -363,34 +380,32 @@ def word_scores(vocabulary: DataFrame, samples: list[Sample], tokens: int, disti
                 for sample in shared.value:
                     tables, prior = sample.tables(words, counts, keys)
                     mean += words_of.predictive(counts, tables, tokens, sample.all_tables, prior)
+                model = np.log10(np.maximum(mean / len(shared.value), 1e-307))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(words, pa.binary()),
-                        pa.array(counts > 0),
-                        pa.array(np.log10((counts + 0.1) / (tokens + 0.1 * (distinct + 1)))),
-                        pa.array(np.log10(np.maximum(mean / len(shared.value), 1e-307))),
-                    ],
-                    ["word", "known", "base", "model"],
+                    [pa.array(keys.view(np.int64)), pa.array(counts), pa.array(model.astype(np.float32))],
+                    ["h", "c", "model"],
                 )
 
-    schema = "word binary, known boolean, base double, model double"
-    return vocabulary.mapInArrow(run, schema)
+    return vocabulary.mapInArrow(run, "h long, c long, model float")
 
 
 def scored(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and the
     perplexity of every row; rows where ``held_out`` holds are not learned from."""
     parts = durable(text_parts(docs, held_out), "lm-parts")
-    words = parts.where("word IS NOT NULL").select("chunk", "lid", "word", "learned")
+    words = parts.where("word IS NOT NULL").select(
+        "chunk", "lid", "word", "learned", F.xxhash64("word").alias("h")
+    )
     texts = parts.where("word IS NULL").select(
         F.col("chunk").alias("text_chunk"), "ids", "known_ids", "held", "sizes", "lids"
     )
-    counted = words.groupBy("word").agg(F.sum("learned").alias("c"))
-    vocabulary = durable(counted.withColumn("h", F.xxhash64("word")), "lm-vocabulary")
+    counted = words.groupBy("word", "h").agg(F.sum("learned").alias("c"))
+    vocabulary = durable(counted, "lm-vocabulary")
     total = vocabulary.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
     tokens, distinct = total[0] or 0, total[1]
-    scores = word_scores(vocabulary, sampled(vocabulary), tokens, distinct)
-    named = words.join(scores, "word").select("chunk", "lid", "known", "base", "model")
+    scores = word_scores(vocabulary, sampled(vocabulary), tokens)
+    #: Words are told apart by 64-bit hashes here, as within a chunk.
+    named = words.select("chunk", "lid", "h").join(scores, "h").select("chunk", "lid", "c", "model")
 
     def run(key: tuple, text: pd.DataFrame, known_words: pd.DataFrame) -> pd.DataFrame:
         row = text.iloc[0]
@@ -398,8 +413,10 @@ def scored(docs: DataFrame, held_out: Column) -> DataFrame:
         sizes = np.frombuffer(row["sizes"], "<i8")
         lids = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["lids"]), "<u4")
         order = np.argsort(known_words["lid"].to_numpy())
-        value = {n: known_words[n].to_numpy()[order].astype(np.float64) for n in ("known", "base", "model")}
-        found = {n: packed.sums(v[lids], sizes) + v[-1] for n, v in value.items()}  # and the end
+        counts, model = (known_words[n].to_numpy()[order] for n in ("c", "model"))
+        base = np.log10((counts + 0.1) / (tokens + 0.1 * (distinct + 1)))
+        of_words = {"known": (counts > 0).astype(np.float64), "base": base, "model": model.astype(np.float64)}
+        found = {n: packed.sums(v[lids], sizes) + v[-1] for n, v in of_words.items()}  # and the end
         return pd.DataFrame(
             {
                 "doc_id": pd.array(ids, "Int64"),
