@@ -18,7 +18,7 @@ import functools
 import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain, groupby
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,10 +31,12 @@ from ratewise.llm import mixcoder, packed
 from ratewise.llm.pretokens import word_pieces
 
 BLOCK = 4096
+#: Text encoded at a time: the library is asked for all new words at once.
+CHUNK_BYTES = 1 << 20
 #: Blocks coded side by side; each needs about 50 KB of models.
 LANES = 1536
 #: Words remembered by each Python worker; a full memory is emptied.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 SCHEMA = (
     "part int, block int, first long, n_ids int, ids_crc32 long, code binary, "
     "documents array<struct<number:long,doc_id:long,at:int,n_ids:int,begins:boolean,ends:boolean>>"
@@ -68,9 +70,10 @@ class WordTokenizer:
         for start in range(0, len(words), 5000):
             some = words[start : start + 5000]
             found = self.library.encode(" ".join(some), add_special_tokens=False)
-            pairs = groupby(zip(found.word_ids, found.ids, strict=True), key=lambda pair: pair[0])
-            ids = [tuple(i for _, i in group) for _, group in pairs]
-            self.known.update(zip(some, ids, strict=True))
+            ids, word = found.ids, np.array(found.word_ids, np.int64)
+            cuts = [0, *(np.flatnonzero(np.diff(word)) + 1).tolist(), len(ids)]
+            own = [tuple(ids[a:b]) for a, b in pairwise(cuts)] if some else []
+            self.known.update(zip(some, own, strict=True))
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         parted = [
@@ -129,7 +132,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
         def documents() -> Iterator[tuple[int | None, list[int]]]:
             for batch in batches:
                 ids = batch.column("doc_id")
-                for start, texts in packed.text_chunks(batch.column("text")):
+                for start, texts in packed.text_chunks(batch.column("text"), CHUNK_BYTES):
                     found = words.encode([text.decode() for text in texts])
                     for i, own in enumerate(found):
                         yield ids[start + i].as_py(), [*own, end_id]
