@@ -89,3 +89,25 @@ def test_rules_are_many_and_native(spark):
     plan = licenses.scanned(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan and "Arrow" not in plan
     assert licenses.scanned(docs.limit(0)).count() == 0
+
+
+def test_notices_without_a_telling_word_are_found(spark):
+    """No gate but the rules' own keywords: a longer text tells no more than its notice."""
+    texts = {
+        "Released under MIT": ("mit", 0.95), "distributed under the ISC": ("isc", 0.95),
+        "available under CC BY 4.0": None, "CC-BY-SA 4.0": None, "CC BY-ND 3.0": None,
+        "Creative Commons Attribution-ShareAlike 4.0": None, "MIT no attribution": None,
+        "CreativeML RAIL-M": None, "submit the limit": ("", 0.0),
+    }
+    rows = [(2 * i, t) for i, t in enumerate(texts)] + [(2 * i + 1, f"{t}. It is free") for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: (r["labels"], r["score"]) for r in licenses.scanned(docs).collect()}
+    for i, (text, wanted) in enumerate(texts.items()):
+        assert found[2 * i] == found[2 * i + 1], text
+        assert found[2 * i] == (wanted or found[2 * i]), text
+        assert found[2 * i][0] or text == "submit the limit", text
+
+
+def test_every_rule_needs_a_keyword_of_the_prefilter():
+    for rule in licenses.RULES:
+        assert f"<{rule.keyword}>" in rule.pattern and rule.keyword in licenses._keywords()
