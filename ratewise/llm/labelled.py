@@ -14,11 +14,12 @@ def in_fold(key: Column, folds: int, fold: int) -> Column:
 def training_sample(
     docs: DataFrame, labels: DataFrame, label: str, per_class: int, held_out: Column
 ) -> DataFrame:
-    """(doc_id, text, label) of at most ``per_class`` labelled ids of each class.
+    """(doc_id, text, label) of at most ``per_class`` labelled ids of each class, one row each.
 
     Ids come from the label table alone, in the order of their hash, so the draw
     does not depend on how the tables are laid out. At most ``2 * per_class`` ids
-    are broadcast to the documents, whose texts are never shuffled. An id labelled
+    are broadcast to the documents; of an id that has several rows the text with the
+    least hash stays, and each task shuffles one text of an id at most. An id labelled
     both ways, or with null, is left out.
     """
     known = (
@@ -31,6 +32,9 @@ def training_sample(
     order = (F.xxhash64("labelled_id"), F.col("labelled_id"))
     chosen = [known.where(F.col("label") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
     ids = F.broadcast(chosen[0].unionAll(chosen[1]))
-    return docs.join(ids, docs["doc_id"] == ids["labelled_id"]).select(
-        docs["doc_id"], docs["text"], ids["label"]
+    return (
+        docs.join(ids, docs["doc_id"] == ids["labelled_id"])
+        .groupBy(docs["doc_id"], ids["label"])
+        .agg(F.min_by(docs["text"], F.xxhash64(docs["text"])).alias("text"))
+        .select("doc_id", "text", "label")
     )

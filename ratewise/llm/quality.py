@@ -5,8 +5,8 @@ function of that row's product with the weights, a few of which are non-zero.
 
 Null and empty texts have no n-grams: their score is that of the bias alone.
 Without labelled rows of both classes every score is 0.5. Repeated rows are scored
-alike, and count as often as they occur when learned from. Extra columns of the
-input are ignored.
+alike, and of each sampled id one row is learned from. Extra columns of the input are
+ignored.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ from ratewise.llm.labelled import training_sample
 
 #: Labelled documents of each class that may be learned from.
 SAMPLE_PER_CLASS = 3000
-#: n-gram entries that may reach the driver; reading stops there.
-SAMPLE_ENTRIES = 20_000_000
 BUCKET_BITS = 18
 
 
@@ -125,20 +123,19 @@ def _sparse_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(
     docs: DataFrame, labels: DataFrame, label: str, held_out, per_class: int = SAMPLE_PER_CLASS
 ) -> np.ndarray | None:
-    """Weights learned from a bounded sample of labelled documents.
+    """Weights learned from ``per_class`` labelled documents of each class at most.
 
+    All of them are held on the driver as distinct n-grams, however long they are.
     ``held_out`` is a column of the label table; rows where it holds are not
     learned from. ``None`` if one class has no rows.
     """
     sample = training_sample(docs, labels, label, per_class, held_out)
     sparse = sample.select("doc_id", "text", sample["label"].cast("int").alias("label"))
     sparse = sparse.mapInArrow(_sparse_rows, "doc_id long, label int, at array<int>, x array<float>")
-    rows, entries = [], 0
-    for row in sparse.orderBy("doc_id", "label", "at").toLocalIterator():
-        entries += len(row["at"])
-        if entries > SAMPLE_ENTRIES:
-            break
-        rows.append((np.array(row["at"], np.int32), np.array(row["x"], np.float64), row["label"]))
+    rows = [
+        (np.array(row["at"], np.int32), np.array(row["x"], np.float64), row["label"])
+        for row in sparse.orderBy("doc_id").toLocalIterator()
+    ]
     if len({y for _, _, y in rows}) < 2:
         return None
     return FollowTheLeader().fit(rows)

@@ -8,7 +8,8 @@ softmax; vectors and softmax are trained jointly.
 
 A text without words (null, empty, marks only) has a zero mean vector: its score is
 the softmax of the bias. Without labelled rows of both classes every score is 0.5.
-Repeated rows are scored alike. Extra columns of the input are ignored.
+Repeated rows are scored alike, and of each sampled id one row is learned from. Extra
+columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -25,8 +26,6 @@ from ratewise.llm.labelled import training_sample
 
 #: Labelled documents of each class that may be learned from.
 SAMPLE_PER_CLASS = 1500
-#: Subword entries that may reach the driver; reading stops there.
-SAMPLE_ENTRIES = 24_000_000
 BUCKET_BITS = 19
 SHORTEST, LONGEST = 3, 6
 
@@ -144,20 +143,19 @@ Model = tuple[np.ndarray, float]
 def train(
     docs: DataFrame, labels: DataFrame, label: str, held_out, per_class: int = SAMPLE_PER_CLASS
 ) -> Model | None:
-    """A model learned from a bounded sample of labelled documents.
+    """A model learned from ``per_class`` labelled documents of each class at most.
 
+    All of them are held on the driver as distinct subwords, however long they are.
     ``held_out`` is a column of the label table; rows where it holds are not
     learned from. ``None`` if one class has no rows.
     """
     sample = training_sample(docs, labels, label, per_class, held_out)
     sparse = sample.select("doc_id", "text", sample["label"].cast("int").alias("label"))
     sparse = sparse.mapInArrow(_sparse_rows, "doc_id long, label int, bag binary")
-    rows, entries = [], 0
-    for row in sparse.orderBy("doc_id", "label", "bag").toLocalIterator():
-        entries += len(row["bag"]) // 4
-        if entries > SAMPLE_ENTRIES:
-            break
-        rows.append((np.frombuffer(row["bag"], np.int32), row["label"]))
+    rows = [
+        (np.frombuffer(row["bag"], np.int32), row["label"])
+        for row in sparse.orderBy("doc_id").toLocalIterator()
+    ]
     if len({y for _, y in rows}) < 2:
         return None
     return SubwordSoftmax().fit(rows)

@@ -103,6 +103,30 @@ def test_sample_is_bounded_and_does_not_depend_on_layout(spark):
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
 
 
+def test_sample_has_one_row_of_each_id(spark):
+    labels = spark.range(10).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("y"))
+    once = labels.select("doc_id", F.concat(F.lit("t"), "doc_id").alias("text"))
+    hot = spark.range(500).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("u"), F.col("id") % 7).alias("text"))
+    docs = once.unionAll(hot).unionAll(spark.createDataFrame([(3, None)], "doc_id long, text string"))
+    one = training_sample(docs, labels, "y", 100, F.lit(False))
+    two = training_sample(docs.repartition(7), labels, "y", 100, F.lit(False))
+    rows = sorted(map(tuple, one.collect()), key=str)
+    assert [r[0] for r in rows] == list(range(10))
+    assert rows == sorted(map(tuple, two.collect()), key=str)
+
+
+def test_no_cut_but_the_ids_of_each_class(case, spark, monkeypatch):
+    """A labelled id with many long rows takes no place from the ids after it."""
+    kind, module, docs, labels, rows = case
+    monkeypatch.setattr(module, "SAMPLE_ENTRIES", 2000, raising=False)
+    some = docs.where("doc_id < 400").dropDuplicates(["doc_id"])
+    hot = spark.range(300).select(F.lit(0).cast("long"), F.lit(rows[0][1]), F.lit("en"))
+    model = module.train(some.unionAll(hot), labels, kind, in_fold(F.col("doc_id"), 3, 1))
+    score = {r["doc_id"]: r["score"] for r in module.scored(some, model).collect()}
+    held = [(score[i], y) for i, _, y in rows if zlib.crc32(str(i).encode()) % 3 == 1]
+    assert sum((s >= 0.5) == (y == 1) for s, y in held) / len(held) > 0.97
+
+
 def test_tokens_by_brute_force():
     texts = ["Ab  ab!!c 12", "", "É é\t--", "x"]
     data, offsets = packed.pack([t.encode() for t in texts])
