@@ -1,7 +1,9 @@
 """Language-model scores by a hierarchical Pitman-Yor process.
 
-Words are dishes of one restaurant whose customers are the tokens learned from. A new
-table there is laid by the spelling model: the word's bytes, each drawn in the
+Words are dishes. Each word has a restaurant of the words that follow it, whose customers
+are the tokens learned from; the end of a text comes before its first word. The parent of
+all these is one restaurant of words, whose customers are their tables. A new table there
+is laid by the spelling model: the word's bytes, each drawn in the
 restaurant of the three bytes before it, whose parent is that of the two bytes before,
 and so on to the empty context, whose parent is uniform. Contexts that end alike share
 parents, and a table of a child is a customer of its parent. Of the second and third
@@ -15,8 +17,9 @@ dishes as of the sweep's start, so a sweep is one pass over the vocabulary on Sp
 After ``BURN_IN`` sweeps, the predictive probabilities of ``SAMPLES`` sweeps are
 averaged. Draws are hashes of the sweep and the dish: a repeated task draws alike.
 
-What grows stays on Spark: token counts, vocabulary, the seating of words, and the
-joins that bring a word's probability back to its texts. There are 2^19 byte
+What grows stays on Spark: token counts, vocabulary, word pairs, the seating of pairs and
+words, and the joins that bring their state back to the texts. A pair met once has one
+table for certain, so only pairs met again are sampled. There are 2^19 byte
 restaurants at most whatever the corpus; they are sampled on the driver.
 
 Null and empty texts are one end token. Null ids are learned from. Repeated rows
@@ -48,13 +51,17 @@ BURN_IN, SAMPLES = 2, 4
 #: Discount and concentration of the word restaurant, and of the byte restaurants by
 #: the length of their contexts.
 WORDS = (0.8, 10.0)
+#: The same of the restaurants of following words.
+PAIRS = (0.8, 2.0)
+#: Tokens for each bucket of word pairs.
+BUCKET_TOKENS = 500_000
 BYTES = ((0.2, 1.0), (0.3, 1.0), (0.5, 1.0), (0.6, 1.0))
 #: Bits of the context code by its length: all of the last byte, 6 of the one before
 #: it, 5 of the third. A parent's code is the lower bits of its child's.
 CODE_BITS = (0, 8, 14, 19)
 PART_SCHEMA = (
-    "chunk long, lid int, word binary, learned long, "
-    "ids binary, known_ids binary, held binary, sizes binary, lids binary"
+    "chunk long, lid int, word binary, learned long, h long, "
+    "hs binary, ids binary, known_ids binary, held binary, sizes binary, lids binary"
 )
 
 
@@ -104,7 +111,7 @@ def _chunk_rows(chunk: int, texts: list[bytes], ids, known, held) -> Iterator[pa
     text = b"".join(whole).lower()
     whole.clear()
     sizes = np.concatenate(sizes)
-    _, first, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    distinct, first, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
     number = number.astype(np.uint32)
     hashes.clear()
     learned = np.bincount(number[np.repeat(~held, sizes)], minlength=len(first))
@@ -114,13 +121,15 @@ def _chunk_rows(chunk: int, texts: list[bytes], ids, known, held) -> Iterator[pa
     words.append(b"")  # the end of a text
     learned = np.append(learned, (~held).sum())
     count = len(words)
+    keys = np.append(distinct.view(np.int64), 0)
     none = pa.nulls(count, pa.binary())
     yield pa.RecordBatch.from_arrays(
         [
             pa.array(np.full(count, chunk)), pa.array(np.arange(count, dtype=np.int32)),
-            pa.array(words, pa.binary()), pa.array(learned, pa.int64()), none, none, none, none, none,
+            pa.array(words, pa.binary()), pa.array(learned, pa.int64()),
+            pa.array(keys), none, none, none, none, none, none,
         ],
-        ["chunk", "lid", "word", "learned", "ids", "known_ids", "held", "sizes", "lids"],
+        ["chunk", "lid", "word", "learned", "h", "hs", "ids", "known_ids", "held", "sizes", "lids"],
     )
     blob = zstandard.ZstdCompressor(3).compress(number.astype("<u4").tobytes())
     values = [ids.astype("<i8"), known.astype("u1"), held.astype("u1"), sizes.astype("<i8")]
@@ -128,6 +137,7 @@ def _chunk_rows(chunk: int, texts: list[bytes], ids, known, held) -> Iterator[pa
         {
             "chunk": pa.array([chunk], pa.int64()), "lid": pa.nulls(1, pa.int32()),
             "word": pa.nulls(1, pa.binary()), "learned": pa.nulls(1, pa.int64()),
+            "h": pa.nulls(1, pa.int64()), "hs": pa.array([keys.tobytes()], pa.binary()),
             **{n: pa.array([v.tobytes()], pa.binary())
                for n, v in zip(("ids", "known_ids", "held", "sizes"), values, strict=True)},
             "lids": pa.array([blob], pa.binary()),
@@ -135,6 +145,129 @@ def _chunk_rows(chunk: int, texts: list[bytes], ids, known, held) -> Iterator[pa
     )
 
 
+@dataclass
+class ChunkTexts:
+    """The texts of a chunk as word numbers, and their pairs of neighbours."""
+
+    ids: np.ndarray
+    known: np.ndarray
+    held: np.ndarray
+    sizes: np.ndarray
+    hashes: np.ndarray
+    lids: np.ndarray
+
+    @classmethod
+    def of(cls, row) -> ChunkTexts:
+        lids = zstandard.ZstdDecompressor().decompress(row["lids"])
+        types = {"ids": "<i8", "known_ids": "u1", "held": "u1", "sizes": "<i8", "hs": "<i8"}
+        return cls(*[np.frombuffer(row[n], t) for n, t in types.items()], np.frombuffer(lids, "<u4"))
+
+    def pairs(self) -> tuple[np.ndarray, ...]:
+        """By distinct pair, in the order of word numbers: first word, second word, count in
+        the texts to learn from; and the pair of each token and end of all texts in turn."""
+        count = len(self.hashes)
+        each = self.sizes + 1
+        ends = np.cumsum(each) - 1
+        follow = np.full(each.sum(), count - 1, np.int64)
+        inside = np.ones(len(follow), bool)
+        inside[ends] = False
+        follow[inside] = self.lids
+        before = np.append(count - 1, follow[:-1])
+        code, at = np.unique(before * count + follow, return_inverse=True)
+        learned = np.bincount(at[np.repeat(self.held == 0, each)], minlength=len(code))
+        return code // count, code % count, learned, at
+
+
+#: A chunk's pairs within a bucket: place in the chunk, hashes of both words, count.
+PAIR = np.dtype([("place", "<i4"), ("u", "<i8"), ("w", "<i8"), ("n", "<i4")])
+
+
+def _columns(rows: np.ndarray) -> bytes:
+    """Column by column, which compresses better."""
+    data = b"".join(np.ascontiguousarray(rows[n]).tobytes() for n in rows.dtype.names)
+    return zstandard.ZstdCompressor(1).compress(data)
+
+
+def _rows(blob: bytes, kind: np.dtype) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    out, at = np.empty(len(data) // kind.itemsize, kind), 0
+    for name in kind.names:
+        out[name] = np.frombuffer(data, kind[name], len(out), at)
+        at += len(out) * kind[name].itemsize
+    return out
+
+
+def pair_parts(texts: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, chunk, pairs): the distinct pairs of each chunk, dealt by their hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                texts = ChunkTexts.of(row)
+                u, w, n, _ = texts.pairs()
+                rows = np.empty(len(u), PAIR)
+                rows["place"], rows["n"] = np.arange(len(u)), n
+                rows["u"], rows["w"] = texts.hashes[u], texts.hashes[w]
+                key = packed.paired(rows["u"].view(np.uint64), rows["w"].view(np.uint64))
+                bucket = (key % np.uint64(buckets)).astype(np.int64)
+                order = np.argsort(bucket, kind="stable")
+                found, first = np.unique(bucket[order], return_index=True)
+                blobs = [_columns(rows[at]) for at in np.split(order, first[1:])]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found), pa.array(np.full(len(found), row["text_chunk"])), pa.array(blobs, pa.binary())],
+                    ["bucket", "chunk", "pairs"],
+                )
+
+    one = texts.select("text_chunk", "ids", "known_ids", "held", "sizes", "hs", "lids")
+    return one.mapInArrow(run, "bucket long, chunk long, pairs binary")
+
+
+#: Where in a chunk a pair is whose count its chunk cannot know: its place, and its number
+#: among the repeated pairs of the bucket, -1 for a pair learned once.
+PLACED = np.dtype([("place", "<i4"), ("j", "<i4")])
+
+
+def tallied(parts: DataFrame) -> DataFrame:
+    """Three kinds of rows of each bucket: repeated pairs (u, w, c, j); how many pairs learned
+    once have a word first (u, c) or second (w, c); and ``places`` of a chunk."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        pieces = [_rows(b, PAIR) for b in group["pairs"]]
+        rows = np.concatenate(pieces)
+        part = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
+        pieces.clear()
+        order = np.lexsort((rows["w"], rows["u"]))
+        rows, part = rows[order], part[order]
+        new = np.append(True, (rows["u"][1:] != rows["u"][:-1]) | (rows["w"][1:] != rows["w"][:-1]))
+        first = np.flatnonzero(new)
+        number = np.cumsum(new) - 1
+        c = np.add.reduceat(rows["n"].astype(np.int64), first)
+        times = np.bincount(number)
+        again = np.flatnonzero(c > 1)
+        j = np.full(len(first), -1, np.int32)
+        j[again] = np.arange(len(again))
+        out = [pd.DataFrame({"u": rows["u"][first[again]], "w": rows["w"][first[again]], "c": c[again], "j": j[again]})]
+        once = first[c == 1]
+        for side in ("u", "w"):
+            word, n = np.unique(rows[side][once], return_counts=True)
+            out.append(pd.DataFrame({side: word, "c": n}))
+        told = np.flatnonzero(((c > 1) | ((c == 1) & (times > 1)))[number])
+        told = told[np.argsort(part[told], kind="stable")]
+        placed = np.empty(len(told), PLACED)
+        placed["place"], placed["j"] = rows["place"][told], j[number[told]]
+        found, start = np.unique(part[told], return_index=True)
+        blobs = [_columns(p) for p in np.split(placed, start[1:])] if len(found) else []
+        out.append(pd.DataFrame({"chunk": group["chunk"].to_numpy()[found], "places": blobs}))
+        names = ("u", "w", "c", "j", "chunk")
+        whole = pd.concat([f.astype({n: "Int64" for n in names if n in f}) for f in out], ignore_index=True)
+        whole = whole.assign(bucket=group["bucket"].iloc[0])
+        whole["places"] = whole["places"].astype(object).where(whole["places"].notna(), None)
+        return whole[["bucket", *names, "places"]]
+
+    schema = "bucket long, u long, w long, c long, j long, chunk long, places binary"
+    return parts.groupBy("bucket").applyInPandas(run, schema)
+
+
 def log_stirling(discount: float, most: int = EXACT) -> np.ndarray:
     """log S(c, t) for all c and t up to ``most``: the ways to seat c customers at t tables."""
     out = np.full((most + 1, most + 1), -np.inf)
@@ -355,81 +488,196 @@ def _sweep(vocabulary: DataFrame, sample: Sample | None) -> tuple[int, np.ndarra
     return total, grams[grams >= 0], n[grams >= 0]
 
 
-def sampled(vocabulary: DataFrame) -> list[Sample]:
-    """The states of the sweeps that count."""
+def sampled(vocabulary: DataFrame, following: Following | None = None) -> list[Sample]:
+    """The states of the sweeps that count. The customers of words are the tables of
+    ``following``, which takes part in each sweep, or else the counts of the vocabulary."""
     kept, seating, sample = [], ByteSeating(), None
     for number in range(BURN_IN + SAMPLES):
-        tables, grams, sent = _sweep(vocabulary, sample)
+        words = following.customers(number) if following else vocabulary
+        tables, grams, sent = _sweep(words, sample)
         if len(grams):
             seating.sweep(grams, sent, number)
         sample = Sample(number + 1, tables, seating.spelling)
+        if following:
+            following.observe(words, sample)
         if number >= BURN_IN:
             kept.append(sample)
     return kept
 
 
-def word_scores(vocabulary: DataFrame, samples: list[Sample], tokens: int) -> DataFrame:
-    """(h, c, model): hash, count and log10 of the averaged probability of each word."""
-    shared = vocabulary.sparkSession.sparkContext.broadcast(samples)
+class Following:
+    """The sampled tables of the restaurants of following words, as tables on Spark."""
+
+    def __init__(self, vocabulary: DataFrame, tally: DataFrame):
+        self.vocabulary = vocabulary
+        self.repeated = tally.where("j IS NOT NULL").select("bucket", "j", "u", "w", "c")
+        self.once = {
+            "u": tally.where("j IS NULL AND u IS NOT NULL").select("u", "c"),
+            "w": tally.where("j IS NULL AND w IS NOT NULL").select("w", "c"),
+        }
+        #: By sweep: (bucket, j, c, t) of repeated pairs; (h, tables, p) of words, their tables as
+        #: first words and their probability in the parent.
+        self.drawn: list[DataFrame] = []
+        self.words: list[DataFrame] = []
+
+    def customers(self, number: int) -> DataFrame:
+        """Seat all pairs given the last sweep; (word, h, c, tables) of every word."""
+        if not self.words:
+            drawn = self.repeated.withColumn("t", F.lit(1).cast("long"))
+        else:
+            last = self.words[-1]
+            left = last.select(F.col("h").alias("u"), "tables")
+            right = last.select(F.col("h").alias("w"), "p")
+            drawn = self.repeated.join(left, "u").join(right, "w")
+            drawn = drawn.mapInArrow(_pair_draws(number), "bucket long, j long, u long, w long, c long, t long")
+        self.drawn.append(durable(drawn.select("bucket", "j", "u", "w", "c", "t"), "lm-drawn"))
+        drawn = self.drawn[-1]
+
+        def of(side: str, name: str) -> DataFrame:
+            every = drawn.select(side, F.col("t").alias("c")).unionAll(self.once[side])
+            return every.groupBy(F.col(side).alias("h")).agg(F.sum("c").alias(name))
+
+        seated = self.vocabulary.select("word", "h").join(of("w", "c"), "h", "left")
+        seated = seated.join(of("u", "tables"), "h", "left").na.fill(0, ["c", "tables"])
+        return durable(seated.select("word", "h", "c", "tables"), "lm-seated")
+
+    def observe(self, words: DataFrame, sample: Sample) -> None:
+        total = words.agg(F.sum("c")).first()[0] or 0
+        p = word_scores(words, sample, total)
+        self.words.append(durable(p, "lm-state"))
+
+
+def _pair_draws(number: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, w, c, all_tables, p = (
+                batch.column(n).to_numpy(zero_copy_only=False) for n in ("u", "w", "c", "tables", "p")
+            )
+            keys = packed.paired(u.view(np.uint64), w.view(np.uint64))
+            others = np.maximum(all_tables - 1.0, 0)
+            t = Restaurants(*PAIRS).tables(c, others, p, keys, number)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in ("bucket", "j", "u", "w", "c")), pa.array(t, pa.int64())],
+                ["bucket", "j", "u", "w", "c", "t"],
+            )
+
+    return run
+
+
+def word_scores(seated: DataFrame, sample: Sample, customers: int) -> DataFrame:
+    """(h, tables, p): hash of each word, its tables as a first word, and its probability
+    in the restaurant of all words."""
+    shared = seated.sparkSession.sparkContext.broadcast(sample)
     words_of = Restaurants(*WORDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            at = 0
             for words, counts, keys in _word_batches(batch):
-                mean = np.zeros(len(words))
-                for sample in shared.value:
-                    tables, prior = sample.tables(words, counts, keys)
-                    mean += words_of.predictive(counts, tables, tokens, sample.all_tables, prior)
-                model = np.log10(np.maximum(mean / len(shared.value), 1e-307))
+                sample = shared.value
+                tables, prior = sample.tables(words, counts, keys)
+                p = words_of.predictive(counts, tables, customers, sample.all_tables, prior)
+                left = batch.column("tables").slice(at, len(words))
+                at += len(words)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(counts), pa.array(model.astype(np.float32))],
-                    ["h", "c", "model"],
+                    [pa.array(keys.view(np.int64)), left, pa.array(np.maximum(p, 1e-307))],
+                    ["h", "tables", "p"],
                 )
 
-    return vocabulary.mapInArrow(run, "h long, c long, model float")
+    return seated.mapInArrow(run, "h long, tables long, p double")
+
+
+def pair_states(tally: DataFrame, drawn: list[DataFrame]) -> DataFrame:
+    """(chunk, places): place, count and tables by sample of the pairs told to each chunk."""
+    samples, states = len(drawn), None
+    for number, one in enumerate(drawn):
+        part = one.select("bucket", "j", "c", "t", F.lit(number).alias("s"))
+        states = part if states is None else states.unionAll(part)
+    placed = tally.where("places IS NOT NULL").select("bucket", "chunk", "places")
+
+    def run(key: tuple, placed: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+        size = int(states["j"].max()) + 1 if len(states) else 0
+        c, t = np.ones(size + 1, np.int64), np.ones((size + 1, samples), np.int64)  # once: the last
+        c[states["j"].to_numpy()] = states["c"].to_numpy()
+        t[states["j"].to_numpy(), states["s"].to_numpy()] = states["t"].to_numpy()
+        blobs = []
+        for blob in placed["places"]:
+            at = _rows(blob, PLACED)
+            out = np.empty(len(at), _state_type(samples))
+            out["place"], out["c"] = at["place"], c[at["j"]]
+            for s in range(samples):
+                out[f"t{s}"] = t[at["j"], s]
+            blobs.append(_columns(out))
+        return pd.DataFrame({"chunk": placed["chunk"].to_numpy(), "places": blobs})
+
+    return placed.groupBy("bucket").cogroup(states.groupBy("bucket")).applyInPandas(run, "chunk long, places binary")
+
+
+def _state_type(samples: int) -> np.dtype:
+    return np.dtype([("place", "<i4"), ("c", "<i8"), *((f"t{s}", "<i8") for s in range(samples))])
 
 
 def scored(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and the
     perplexity of every row; rows where ``held_out`` holds are not learned from."""
     parts = durable(text_parts(docs, held_out), "lm-parts")
-    words = parts.where("word IS NOT NULL").select(
-        "chunk", "lid", "word", "learned", F.xxhash64("word").alias("h")
-    )
+    #: Words are told apart by 64-bit hashes here, as within a chunk.
+    words = parts.where("word IS NOT NULL").select("chunk", "lid", "word", "learned", "h")
     texts = parts.where("word IS NULL").select(
-        F.col("chunk").alias("text_chunk"), "ids", "known_ids", "held", "sizes", "lids"
+        F.col("chunk").alias("text_chunk"), "hs", "ids", "known_ids", "held", "sizes", "lids"
     )
     counted = words.groupBy("word", "h").agg(F.sum("learned").alias("c"))
     vocabulary = durable(counted, "lm-vocabulary")
     total = vocabulary.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
     tokens, distinct = total[0] or 0, total[1]
-    scores = word_scores(vocabulary, sampled(vocabulary), tokens)
-    #: Words are told apart by 64-bit hashes here, as within a chunk.
-    named = words.select("chunk", "lid", "h").join(scores, "h").select("chunk", "lid", "c", "model")
-
-    def run(key: tuple, text: pd.DataFrame, known_words: pd.DataFrame) -> pd.DataFrame:
-        row = text.iloc[0]
-        ids = np.frombuffer(row["ids"], "<i8")
-        sizes = np.frombuffer(row["sizes"], "<i8")
-        lids = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["lids"]), "<u4")
+    tally = durable(tallied(pair_parts(texts, 1 + tokens // BUCKET_TOKENS)), "lm-pairs")
+    following = Following(vocabulary, tally)
+    sampled(vocabulary, following)
+    scores = vocabulary.select("h", "c")
+    for number, state in enumerate(following.words[BURN_IN:]):
+        scores = scores.join(
+            state.select("h", F.col("tables").alias(f"tables{number}"), F.col("p").alias(f"p{number}")), "h"
+        )
+    columns = [f"{n}{s}" for n in ("tables", "p") for s in range(SAMPLES)]
+    scores = durable(scores, "lm-states")
+    named = words.select("chunk", "lid", "h").join(scores, "h").select("chunk", "lid", "c", *columns)
+    told = pair_states(tally, following.drawn[BURN_IN:])
+    told = named.unionByName(told, allowMissingColumns=True)
+
+    def run(key: tuple, text: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        texts = ChunkTexts.of(text.iloc[0])
+        sizes, lids = texts.sizes, texts.lids
+        known_words = told[told["lid"].notna()]
         order = np.argsort(known_words["lid"].to_numpy())
-        counts, model = (known_words[n].to_numpy()[order] for n in ("c", "model"))
+        counts = known_words["c"].to_numpy()[order].astype(np.int64)
         base = np.log10((counts + 0.1) / (tokens + 0.1 * (distinct + 1)))
-        of_words = {"known": (counts > 0).astype(np.float64), "base": base, "model": model.astype(np.float64)}
+        of_words = {"known": (counts > 0).astype(np.float64), "base": base}
         found = {n: packed.sums(v[lids], sizes) + v[-1] for n, v in of_words.items()}  # and the end
+        u, w, c, at = texts.pairs()
+        pair_tables = np.repeat(np.minimum(c, 1)[None], SAMPLES, axis=0)
+        for blob in told["places"].dropna():
+            states = _rows(blob, _state_type(SAMPLES))
+            c[states["place"]] = states["c"]
+            for s in range(SAMPLES):
+                pair_tables[s, states["place"]] = states[f"t{s}"]
+        mean = np.zeros(len(c))
+        for s in range(SAMPLES):
+            all_tables, p = (known_words[f"{n}{s}"].to_numpy()[order] for n in ("tables", "p"))
+            mean += Restaurants(*PAIRS).predictive(c, pair_tables[s], counts[u], all_tables[u], p[w])
+        model = np.log10(np.maximum(mean / SAMPLES, 1e-307))
         return pd.DataFrame(
             {
-                "doc_id": pd.array(ids, "Int64"),
-                "held_out": np.frombuffer(row["held"], "u1").astype(bool),
+                "doc_id": pd.array(texts.ids, "Int64"),
+                "held_out": texts.held.astype(bool),
                 "n_tokens": sizes + 1,
                 "n_known": np.rint(found["known"]).astype(np.int64),
                 "base_score": found["base"],
-                "score": found["model"],
+                "score": packed.sums(model[at], sizes + 1),
             }
-        ).assign(doc_id=lambda t: t["doc_id"].mask(np.frombuffer(row["known_ids"], "u1") == 0))
+        ).assign(doc_id=lambda t: t["doc_id"].mask(texts.known == 0))
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    out = texts.groupBy("text_chunk").cogroup(named.groupBy("chunk")).applyInPandas(run, schema)
+    out = texts.groupBy("text_chunk").cogroup(told.groupBy("chunk")).applyInPandas(run, schema)
     return out.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"),
         "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"),

@@ -88,3 +88,39 @@ def test_empty_table(spark):
     row = lm.scored(only_held, F.lit(True)).first()
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (3, 0, 0, 0.0)
     assert row["score"] < 0
+
+
+def test_the_word_before_tells(spark):
+    """Held-out texts of the same words in a known and in an unknown order."""
+    words = [f"w{i}" for i in range(12)]
+    rng = random.Random(2)
+    rows = []
+    for i in range(60):
+        start = rng.randrange(12)
+        rows.append((i, " ".join(words[(start + k) % 12] for k in range(24))))
+    order = " ".join(words * 2)
+    rows += [(1000, order), (1001, " ".join(reversed(order.split())))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["doc_id"]: r for r in lm.scored(docs, F.col("doc_id") >= 1000).collect()}
+    assert found[1000]["base_score"] == pytest.approx(found[1001]["base_score"])
+    assert found[1000]["score"] > found[1001]["score"] + 10
+
+
+def test_following_words_add_up(spark, monkeypatch):
+    """All words after each word, as texts of one pair each, by plain counts of the pairs."""
+    monkeypatch.setattr(lm, "CHUNK", 40)
+    learned = ["a b a b c", "a b", "c c a", "b", "a c b a b"]
+    counts = Counter()
+    for text in learned:
+        tokens = ["", *text.split(), ""]
+        counts.update(zip(tokens, tokens[1:]))
+    rows = list(enumerate(learned))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    parts = lm.text_parts(docs, F.lit(False)).where("word IS NULL").withColumnRenamed("chunk", "text_chunk")
+    tally = lm.tallied(lm.pair_parts(parts, 3)).collect()
+    repeated = [r["c"] for r in tally if r["j"] is not None]
+    assert sorted(repeated) == sorted(c for c in counts.values() if c > 1)
+    for side in ("u", "w"):
+        other = "w" if side == "u" else "u"
+        once = [r["c"] for r in tally if r["j"] is None and r[side] is not None and r[other] is None]
+        assert sum(once) == sum(c == 1 for c in counts.values())
