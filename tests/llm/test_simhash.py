@@ -145,6 +145,25 @@ def test_alike_texts_are_found(spark):
     assert len([k for k in linked if k >= 120]) <= 5
 
 
+def test_links_are_pairs_of_the_demanded_similarity(spark):
+    """Around 0.8, a pair is linked if its sets of shingles are that alike, and else not."""
+    rng = np.random.default_rng(9)
+    rows, alike = [], []
+    for pair in range(240):
+        words = [f"w{w}" for w in rng.integers(0, 10**6, 300)]
+        copy = list(words)
+        for at in rng.choice(300, 5 + pair % 6, replace=False):
+            copy[at] = f"n{at}"
+        a, b = (set(simhash.shingle_hashes(" ".join(t).encode(), 5).tolist()) for t in (words, copy))
+        alike.append(len(a & b) / len(a | b) >= 0.8)
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(copy))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.near_duplicates(docs, simhash.ALIKE)
+    linked = {r["doc_id"] // 2 for r in found.where("doc_id != component_id").collect()}
+    assert not [p for p in linked if not alike[p]]
+    assert len(linked) >= 0.98 * sum(alike) and 60 < sum(alike) < 200
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert simhash.near_duplicates(docs).count() == 0
