@@ -2,13 +2,26 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratewise.llm import bpe, decontam, licenses, pitman_yor, quality, search, sharding, simhash, tokenfile, toxicity
+from ratewise.llm import (
+    bpe,
+    decontam,
+    licenses,
+    periodic,
+    pitman_yor,
+    quality,
+    search,
+    sharding,
+    simhash,
+    tokenfile,
+    toxicity,
+)
 from ratewise.llm.labelled import in_fold
 from ratewise.session import new_path
 
@@ -190,3 +203,20 @@ SHARDS = [f"shard-{i:05d}" for i in range(100)]
 @query
 def op10_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
     return pitman_yor.scored(table(spark, folder, "documents"), in_fold(F.col("doc_id"), 10, 0))
+
+
+def planted_words(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of one text in ten end in copies of a stretch of their own."""
+    n, h = len(words), zlib.crc32(str(doc_id).encode())
+    if doc_id is None or not n or h % 10:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of words that repeat four times and more in every whole text."""
+    return periodic.periodic_runs(table(spark, folder, "documents"), planted_words, with_text=False)
