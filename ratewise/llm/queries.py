@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 
 from ratewise.llm import (
     bpe,
+    conversation_trie,
     decontam,
     licenses,
     periodic,
     pitman_yor,
     quality,
+    quality_rules,
     search,
     sharding,
     simhash,
@@ -23,7 +25,7 @@ from ratewise.llm import (
     toxicity,
 )
 from ratewise.llm.labelled import in_fold
-from ratewise.session import new_path
+from ratewise.session import durable, new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -220,3 +222,64 @@ def planted_words(doc_id: int | None, words: list[bytes]) -> list[bytes]:
 def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Runs of words that repeat four times and more in every whole text."""
     return periodic.periodic_runs(table(spark, folder, "documents"), planted_words, with_text=False)
+
+
+def rebuilt_paths(turns: DataFrame) -> DataFrame:
+    """(conv_id, path) of the rebuilt conversations: the first h turns of the first
+    conversation of each hundred, then a conversation's own behind its first h."""
+    own = conversation_trie.sequences(turns)
+    heads = own.where("conv_id % 100 = 0").select(
+        F.col("conv_id").alias("head_id"), F.slice("turns", 1, 5).alias("head")
+    )
+    h = (F.crc32(F.col("conv_id").cast("string")) % 6).cast("int")
+    head = F.slice(F.coalesce("head", F.array().cast("array<string>")), F.lit(1), h)
+    tail = F.slice("turns", h + 1, F.greatest(F.size("turns"), F.lit(1)))
+    joined = own.join(heads, F.col("conv_id") - F.col("conv_id") % 100 == F.col("head_id"), "left")
+    return joined.select("conv_id", conversation_trie.path(F.concat(head, tail)).alias("path"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the trie of the rebuilt conversations."""
+    paths = durable(rebuilt_paths(table(spark, folder, "conversations")), "paths")
+    return conversation_trie.prefix_trie(paths)
+
+
+#: CRC-32 of the digits of ``conv_id``, bit by bit.
+_CRC32_SQL = """xor(4294967295, list_reduce(
+    [4294967295::BIGINT] || flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+        lambda c: list_transform(range(8), lambda k: ((ascii(c) >> k::INTEGER) & 1)::BIGINT))),
+    lambda s, b: xor(s >> 1, 3988292384 * xor(s & 1, b))))"""
+
+SQL["op12_prefix_trie"] = f"""
+WITH told AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+    SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role,
+        left(sha256(length(role) || ':' || role || text), 32)) AS u, {_CRC32_SQL} % 6 AS h
+    FROM told GROUP BY conv_id
+), rebuilt AS (
+    SELECT o.conv_id, coalesce(b.u[1:o.h], []) || o.u[o.h + 1:] AS p
+    FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 100
+), spread AS (
+    SELECT conv_id, p, unnest(range(0, len(p) + 1)) AS d FROM rebuilt
+), nodes AS (
+    SELECT p[1:d] AS p, d, min(conv_id) AS conv_id, count(*) AS n_convs FROM spread GROUP BY ALL
+), childhood AS (
+    SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL
+), figures AS (
+    SELECT nodes.p, (c.n IS NULL)::BIGINT AS leaf,
+           CASE WHEN d > 0 THEN (n_convs - 1) * length(nodes.p[d].text) ELSE 0 END AS saved, d
+    FROM nodes LEFT JOIN childhood c ON c.p = nodes.p
+), above AS (
+    SELECT p[1:e] AS p, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+    FROM (SELECT p, leaf, saved, unnest(range(0, d + 1)) AS e FROM figures) GROUP BY ALL
+), ended AS (
+    SELECT p, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM rebuilt GROUP BY p
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, parent.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+       coalesce(c.n, 0)::BIGINT AS n_children, a.n_leaves::BIGINT AS n_leaves,
+       a.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN above a ON a.p = n.p LEFT JOIN childhood c ON c.p = n.p LEFT JOIN ended e ON e.p = n.p
+LEFT JOIN nodes parent ON n.d > 0 AND parent.p = n.p[1:n.d - 1]"""
