@@ -283,3 +283,59 @@ SELECT n.conv_id, n.d::BIGINT AS depth, parent.conv_id AS parent_conv_id, n.n_co
        a.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
 FROM nodes n JOIN above a ON a.p = n.p LEFT JOIN childhood c ON c.p = n.p LEFT JOIN ended e ON e.p = n.p
 LEFT JOIN nodes parent ON n.d > 0 AND parent.p = n.p[1:n.d - 1]"""
+
+
+@query
+def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The ledger of every document, and the verdicts of the base and the current policy."""
+    lines = quality_rules.ledger(table(spark, folder, "documents"))
+    return lines.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (~quality_rules.passes(quality_rules.BASE)).alias("base_failed"),
+        quality_rules.passes(quality_rules.WEB).alias("kept"),
+        "failures",
+    )
+
+
+def _rules_sql() -> str:
+    """The ledger with windows as lists of words, not as hashes."""
+    bits = " + ".join(
+        f"CASE WHEN {rule.fails} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(quality_rules.RULES)
+    )
+    blank = r"\x20\x09-\x0D"
+    return f"""
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), parts AS (
+    SELECT r, doc_id, t, regexp_extract_all(t, '[^{blank}]+') AS w,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{blank}]')) AS lines
+    FROM texts
+), windows AS (
+    SELECT r, i, count(*) OVER (PARTITION BY r, w[i:i + 7]) AS times
+    FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM parts)
+), covered AS (
+    SELECT r, sum(least(8, coalesce(following - i, 8))) AS n
+    FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following FROM windows WHERE times > 1)
+    GROUP BY r
+), measured AS (
+    SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+           len(regexp_extract_all(t, '{quality_rules.SYMBOLS}')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words,
+           len(lines) AS n_lines,
+           len(list_filter(w, lambda x: regexp_matches(x, '{quality_rules.LETTER}'))) AS n_alpha_words,
+           len(list_filter(w, lambda x: length(x) > 1 AND regexp_matches(x, '{quality_rules.SHOUTED}'))) AS n_shouted_words,
+           len(list_filter(lines, lambda x: regexp_matches(x, '{quality_rules.BULLET}'))) AS n_bullet_lines,
+           len(list_filter(lines, lambda x: regexp_matches(x, '{quality_rules.OPEN_END}'))) AS n_open_lines,
+           coalesce(list_max(list_transform(w, lambda x: length(x))), 0) AS longest_word
+    FROM parts LEFT JOIN covered USING (r)
+), ledger AS (
+    SELECT *, {bits} AS failures FROM measured
+)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+       (failures & {quality_rules.BASE.mask}) <> 0 AS base_failed,
+       (failures & {quality_rules.WEB.mask}) = 0 AS kept, failures::BIGINT AS failures
+FROM ledger"""
+
+
+SQL["op13_quality_rules"] = _rules_sql()
