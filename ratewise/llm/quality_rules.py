@@ -32,7 +32,7 @@ SYMBOLS = r"[#*$%&|<>]"
 WINDOW = 8
 
 #: Patterns that the SQL form reads as well.
-LETTER = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]"
+LETTER = r"[A-Za-z]|[^\x00-\x7F]"
 SHOUTED = r"^[^a-z]*[A-Z][^a-z]*\z"
 BULLET = r"^[\x20\x09-\x0D]*([-*\x{2022}]|[0-9]+[.)])[\x20\x09-\x0D]"
 OPEN_END = r"(\.\.\.|\x{2026})[\x20\x09-\x0D]*\z"

@@ -298,11 +298,12 @@ def op13_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _rules_sql() -> str:
-    """The ledger with windows as lists of words, not as hashes."""
+    """The ledger with windows as words, not as hashes."""
     bits = " + ".join(
         f"CASE WHEN {rule.fails} THEN {1 << i} ELSE 0 END" for i, rule in enumerate(quality_rules.RULES)
     )
     blank = r"\x20\x09-\x0D"
+    ahead = " || ".join(f"' ' || lead(word, {k}) OVER ahead" for k in range(1, quality_rules.WINDOW))
     return f"""
 WITH texts AS (
     SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
@@ -310,12 +311,15 @@ WITH texts AS (
     SELECT r, doc_id, t, regexp_extract_all(t, '[^{blank}]+') AS w,
            list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{blank}]')) AS lines
     FROM texts
+), words AS (
+    SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM parts
 ), windows AS (
-    SELECT r, i, count(*) OVER (PARTITION BY r, w[i:i + 7]) AS times
-    FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM parts)
+    SELECT r, i, word || {ahead} AS win FROM words WINDOW ahead AS (PARTITION BY r ORDER BY i)
+), repeats AS (
+    SELECT r, unnest(list(i)) AS i FROM windows WHERE win IS NOT NULL GROUP BY r, win HAVING count(*) > 1
 ), covered AS (
     SELECT r, sum(least(8, coalesce(following - i, 8))) AS n
-    FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following FROM windows WHERE times > 1)
+    FROM (SELECT r, i, lead(i) OVER (PARTITION BY r ORDER BY i) AS following FROM repeats)
     GROUP BY r
 ), measured AS (
     SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
