@@ -25,6 +25,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ratewise.session import durable
+
 # White space between words, symbols, and the width of repeated windows.
 SPACES = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -166,7 +168,7 @@ def measured(docs: DataFrame) -> DataFrame:
     return placed.select("doc_id", *[measures[name].cast("long").alias(name) for name in MEASURES])
 
 
-def ledger(docs: DataFrame) -> DataFrame:
+def evaluated(docs: DataFrame) -> DataFrame:
     """The measures of every row and ``failures``, the bits of all rules it fails."""
     failed = [F.when(F.expr(rule.fails), F.lit(1 << i)).otherwise(F.lit(0)) for i, rule in enumerate(RULES)]
     bits = failed[0]
@@ -175,6 +177,15 @@ def ledger(docs: DataFrame) -> DataFrame:
     return measured(docs).withColumn("failures", bits.cast("long"))
 
 
+def ledger(docs: DataFrame) -> DataFrame:
+    """The evaluated rows, stored in the work folder.
+
+    Only a stored ledger keeps a later filter on its columns from being moved down to the
+    texts, where every rule would be evaluated anew for it.
+    """
+    return durable(evaluated(docs), "rule-ledger")
+
+
 def passes(policy: Policy, failures: str = "failures") -> Column:
     """Whether a line of a ledger has none of the policy's bits."""
     return F.col(failures).bitwiseAND(F.lit(policy.mask).cast("long")) == 0
