@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import SparkContext
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import (
@@ -27,6 +28,7 @@ from ratewise.functions.text import (
     STOP_WORDS,
     URL_PATTERN,
     URL_STARTS,
+    term_tokens,
 )
 from ratewise.operators.labeling import assign_split
 from ratewise.operators.terms import (
@@ -39,12 +41,16 @@ from ratewise.operators.terms import (
     with_tokens,
 )
 from ratewise.schema import REVIEW_COLUMNS, project_existing, require_columns
+from ratewise.session import durable
 
 # Settings of the classifier.
 MAX_ITERATIONS = 30
 REGULARISATION = 0.0
 ELASTIC_NET = 0.0
 
+#: Column of the tokens that count.
+TOKENS = "tokens_nostop"
+
 #: A missing text is cleaned like an empty one.
 CLEAN_STATEMENT = f"""
 SELECT *, trim(regexp_replace(lower(
@@ -56,11 +62,13 @@ FROM __THIS__"""
 
 @dataclass(frozen=True)
 class FeatureModel:
-    """A fitted feature pipeline and the sizes of its two vocabularies."""
+    """A fitted feature pipeline, the sizes of its two vocabularies, and their terms with
+    the IDF weights as a stored table."""
 
     stages: PipelineModel
     unigrams: int
     bigrams: int
+    terms: DataFrame
 
 
 def fit_features(
@@ -80,6 +88,12 @@ def fit_features(
     """
     require_columns(labeled, ["text"])
     tokens = with_tokens(labeled.select("text"), words, unicode_words)
+    return _fit(tokens, vocab_size, min_documents, words, unicode_words)
+
+
+def _fit(
+    tokens: DataFrame, vocab_size: int, min_documents: int, words: tuple[str, ...], unicode_words: bool
+) -> FeatureModel:
     learned = fit_terms(tokens, KINDS, vocab_size, min_documents)
     known = {kind: [] for kind in KINDS}
     for row in sorted(learned.collect(), key=lambda row: row["term_index"]):
@@ -88,11 +102,9 @@ def fit_features(
     if empty:
         raise ValueError(f"no term in {min_documents} or more documents: {', '.join(empty)}")
     counters = [
-        CountVectorizerModel.from_vocabulary(
-            [row["term"] for row in known[kind]], inputCol=column, outputCol=counted
-        )
+        _counter([row["term"] for row in known[kind]], column, counted)
         for kind, column, counted in (
-            (UNIGRAM, "tokens_nostop", "tf_uni"),
+            (UNIGRAM, TOKENS, "tf_uni"),
             (BIGRAM, "bigrams", "tf_bi"),
         )
     ]
@@ -107,14 +119,23 @@ def fit_features(
             toLowercase=False,
         ),
         StopWordsRemover(
-            inputCol="tokens", outputCol="tokens_nostop", stopWords=list(words)
+            inputCol="tokens", outputCol=TOKENS, stopWords=list(words)
         ),
-        NGram(n=2, inputCol="tokens_nostop", outputCol="bigrams"),
+        NGram(n=2, inputCol=TOKENS, outputCol="bigrams"),
         *counters,
         VectorAssembler(inputCols=["tf_uni", "tf_bi"], outputCol="tf"),
         ElementwiseProduct(scalingVec=Vectors.dense(weights), inputCol="tf", outputCol="features"),
     ]
-    return FeatureModel(PipelineModel(stages), len(known[UNIGRAM]), len(known[BIGRAM]))
+    return FeatureModel(PipelineModel(stages), len(known[UNIGRAM]), len(known[BIGRAM]), learned)
+
+
+def _counter(vocabulary: list[str], column: str, counted: str) -> CountVectorizerModel:
+    """``CountVectorizerModel.from_vocabulary``, which would send each term in a call of its
+    own: here all go in one, as lines. No term holds a line end."""
+    jvm = SparkContext._active_spark_context._jvm
+    terms = jvm.java.util.regex.Pattern.compile("\n").split("\n".join(vocabulary))
+    model = CountVectorizerModel(jvm.org.apache.spark.ml.feature.CountVectorizerModel(terms))
+    return model.setInputCol(column).setOutputCol(counted)
 
 
 def add_features(model: PipelineModel, reviews: DataFrame) -> DataFrame:
@@ -135,12 +156,19 @@ def split_features(
     """Split by key, learn the features, and apply them to both sides.
 
     They are learned from the training side, so the test rows stay unseen;
-    ``fit_on="all"`` learns from every row.
+    ``fit_on="all"`` learns from every row. Texts are tokenized once: the tokens are
+    stored with the rows, and both the vocabularies and the vectors come from there.
     """
-    rows = assign_split(labeled, key)
-    seen = rows if fit_on == "all" else rows.where(F.col("split") == fit_on)
-    model = fit_features(seen, vocab_size, min_documents, words, unicode_words)
-    return model, add_features(model.stages, rows)
+    require_columns(labeled, ["text"])
+    rows = project_existing(assign_split(labeled, key), [*REVIEW_COLUMNS, "split"])
+    tokens = term_tokens(F.col("text"), words, unicode_words)
+    stored = durable(rows.withColumn(TOKENS, tokens), "tokens")
+    seen = stored if fit_on == "all" else stored.where(F.col("split") == fit_on)
+    model = _fit(seen.select(F.col(TOKENS).alias("tokens")), vocab_size, min_documents, words, unicode_words)
+    # a missing text has the features of an empty one
+    present = F.coalesce(TOKENS, F.array().cast("array<string>"))
+    behind = [i for i, stage in enumerate(model.stages.stages) if isinstance(stage, StopWordsRemover)][0] + 1
+    return model, add_features(PipelineModel(model.stages.stages[behind:]), stored.withColumn(TOKENS, present))
 
 
 def train_classifier(

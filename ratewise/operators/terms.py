@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,13 +52,8 @@ def _terms_of(kind: str) -> Column:
     return F.col("tokens") if kind == UNIGRAM else bigrams(F.col("tokens"))
 
 
-def term_counts(docs: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
-    """How often each term occurs in each document: one row per (row, kind, term).
-
-    ``docs`` holds ``tokens`` and the columns to carry along. All tokens of a
-    document are in its row, so they are sorted and counted there; no (document,
-    term) pair is shuffled. Unigrams and bigrams come out of the same pass.
-    """
+def _runs_by_kind(docs: DataFrame, kinds: Sequence[str]) -> tuple[DataFrame, list[Column]]:
+    """``docs`` with sorted terms and where their runs begin, and the runs of each kind."""
     carried = [name for name in docs.columns if name != "tokens"]
     ordered = docs.select(*carried, _present_tokens()).select(
         *carried, *[F.sort_array(_terms_of(kind)).alias(f"{kind}_terms") for kind in kinds]
@@ -73,13 +69,58 @@ def term_counts(docs: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
         )
 
     marked = ordered.select("*", *[starts(kind).alias(f"{kind}_starts") for kind in kinds])
-    runs = [_runs(kind, F.col(f"{kind}_terms"), F.col(f"{kind}_starts")) for kind in kinds]
+    return marked, [_runs(kind, F.col(f"{kind}_terms"), F.col(f"{kind}_starts")) for kind in kinds]
+
+
+def term_table(docs: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
+    """One row per document, stored: its other columns and ``counts``, how often it holds
+    each term, as an array of (kind, term, tf).
+
+    Vocabulary, weights and scores all come from this table, so texts are tokenized once.
+    All tokens of a document are in its row, so nothing is shuffled to count them.
+    """
+    carried = [name for name in docs.columns if name != "tokens"]
+    marked, runs = _runs_by_kind(docs, kinds)
+    return durable(marked.select(*carried, F.concat(*runs).alias("counts")), "term-table")
+
+
+def is_term_table(docs: DataFrame) -> bool:
+    return "counts" in docs.columns and "tokens" not in docs.columns
+
+
+def term_counts(docs: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
+    """How often each term occurs in each document: one row per (row, kind, term).
+
+    ``docs`` holds ``tokens`` and the columns to carry along, or is a ``term_table`` of
+    these ``kinds``. All tokens of a document are in its row, so they are sorted and
+    counted there; no (document, term) pair is shuffled. Unigrams and bigrams come out of
+    the same pass.
+    """
+    carried = [name for name in docs.columns if name not in ("tokens", "counts")]
+    if is_term_table(docs):
+        return docs.select(*carried, F.inline("counts"))
+    marked, runs = _runs_by_kind(docs, kinds)
     # The array is an expression here, not a column: for a column the optimizer
     # adds a filter on its size, which would tokenize every text a second time.
     together = F.concat(*runs) if len(runs) > 1 else runs[0]
     return marked.select(*carried, F.inline(together))
 
 
+def _table_statistics(table: DataFrame, kinds: Sequence[str], min_documents: int) -> DataFrame:
+    """The statistics of a stored table: it is read, not tokenized, and has one row to add
+    for each document and term. The number of documents is that of its rows."""
+    terms = (
+        table.select(F.inline("counts"))
+        .where(F.col("kind").isin(*kinds))
+        .groupBy("kind", "term")
+        .agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
+    )
+    documents = table.agg(F.count(F.lit(1)).alias("df")).select(
+        F.lit(DOCUMENT).alias("kind"), F.lit("").alias("term"), F.lit(0).cast("long").alias("cf"), "df"
+    )
+    return terms.unionAll(documents).where(F.col("df") >= min_documents)
+
+
 def term_statistics(
     docs: DataFrame, kinds: Sequence[str] = KINDS, min_documents: int = MIN_DOCUMENTS
 ) -> DataFrame:
@@ -90,6 +131,8 @@ def term_statistics(
     exploded and added up per task before the shuffle, all in generated code. One
     more row per document, of kind ``document``, brings their number along.
     """
+    if is_term_table(docs):
+        return _table_statistics(docs, kinds, min_documents)
     arrays = [_terms_of(kind).alias(kind) for kind in kinds]
     parts = [part for kind in kinds for part in (F.col(kind), F.array_distinct(kind))]
     parts += [F.array().cast("array<string>"), F.array(F.lit(""))]
@@ -116,41 +159,74 @@ def term_statistics(
 
 
 def _stored_statistics(docs: DataFrame, kinds: Sequence[str], min_documents: int) -> DataFrame:
-    """Term statistics in the work folder, one folder per kind."""
-    return durable(term_statistics(docs, kinds, min_documents), "term-statistics", "kind")
+    """Term statistics in the work folder."""
+    return durable(term_statistics(docs, kinds, min_documents), "term-statistics")
+
+
+def _first_terms(tied: DataFrame, room: int, spare: int) -> Column:
+    """Condition that holds for the first ``room`` terms of ``tied`` and ``spare`` more at most.
+
+    Terms are counted by the next two bytes behind what all of them share, 65,793 groups
+    at most; those before the group where the room ends are in, that group is looked at
+    again. Every round parts it, and no round orders or gathers terms.
+    """
+    code = F.col("term").cast("binary")
+    left = tied.agg(F.count(F.lit(1)).alias("n"), F.min("term").alias("a"), F.max("term").alias("z"))
+    group, taken, keep = left.first(), 0, F.lit(True)
+    while taken + group["n"] > room + spare:
+        shared = os.path.commonprefix([group["a"].encode(), group["z"].encode()])
+        head = F.substring(code, 1, len(shared) + 2)
+        groups = (
+            tied.where(F.substring(code, 1, len(shared)) == F.lit(shared))
+            .groupBy(head.alias("head"))
+            .agg(F.count(F.lit(1)).alias("n"), F.min("term").alias("a"), F.max("term").alias("z"))
+        )
+        so_far = F.sum("n").over(Window.orderBy("head"))
+        reached = groups.withColumn("upto", so_far).where(F.col("upto") >= room - taken)
+        group = reached.agg(F.min(F.struct("upto", "n", "a", "z", "head")).alias("group")).first()["group"]
+        taken += group["upto"] - group["n"]
+        last = bytes(group["head"])
+        keep = F.substring(code, 1, len(last)) <= F.lit(last)
+    return keep
 
 
 def _best_terms(stored: DataFrame, kinds: Sequence[str], vocab_size: int) -> DataFrame:
     """The ``vocab_size`` best terms of each kind, numbered.
 
     How many terms have each frequency, a small table, says at which frequency the
-    vocabulary is full. All terms above it are in; only those tied at it are ordered
-    by term, and only ``vocab_size`` rows at most are numbered in one task.
+    vocabulary is full. All terms above it are in; those tied at it are narrowed down by
+    their first letters until ``vocab_size`` too many are left at most. So a task numbers
+    no more than ``2 * vocab_size`` terms, however many are tied.
     """
-    wanted = stored.where(F.col("kind").isin(*kinds))
-    sizes = wanted.groupBy("kind", "cf").agg(F.count(F.lit(1)).alias("terms"))
-    above = F.sum("terms").over(
-        Window.partitionBy("kind").orderBy(F.desc("cf")).rowsBetween(Window.unboundedPreceding, -1)
+    sizes = (
+        stored.where(F.col("kind").isin(*kinds))
+        .groupBy("kind", "cf")
+        .agg(F.count(F.lit(1)).alias("terms"))
     )
+    upto = F.sum("terms").over(Window.partitionBy("kind").orderBy(F.desc("cf")))
+    before = F.col("upto") - F.col("terms")
     cut = (
-        sizes.select("kind", "cf", "terms", F.coalesce(above, F.lit(0)).alias("above"))
-        .where(F.col("above") < vocab_size)
-        .groupBy(F.col("kind").alias("cut_kind"))
-        .agg(F.min(F.struct("cf", "above")).alias("cut"))
+        sizes.withColumn("upto", upto)
+        .where(before < vocab_size)
+        .groupBy("kind")
+        .agg(F.min(F.struct("cf", "upto", "terms")).alias("cut"))
     )
-    placed = wanted.join(cut, F.col("kind") == F.col("cut_kind"))
-    whole = placed.where(F.col("cf") > F.col("cut.cf")).select("kind", "term", "cf", "df")
-    by_term = Window.partitionBy("kind").orderBy("term")
-    tied = (
-        placed.where(F.col("cf") == F.col("cut.cf"))
-        .withColumn("place", F.row_number().over(by_term))
-        .where(F.col("place") <= vocab_size)
-        .where(F.col("place") <= vocab_size - F.col("cut.above"))
-    )
-    best = whole.unionAll(tied.select("kind", "term", "cf", "df"))
+    kept = F.lit(False)
+    for kind, (frequency, reached, ties) in cut.collect():
+        of_kind = F.col("kind") == kind
+        tied = F.col("cf") == frequency
+        if reached <= 2 * vocab_size:
+            kept = kept | (of_kind & (F.col("cf") >= frequency))
+        else:
+            first = _first_terms(stored.where(of_kind & tied), vocab_size - (reached - ties), vocab_size)
+            kept = kept | (of_kind & ((F.col("cf") > frequency) | (tied & first)))
     best_first = Window.partitionBy("kind").orderBy(F.desc("cf"), "term")
-    rank = F.row_number().over(best_first)
-    return best.select("kind", "term", (rank - 1).cast("long").alias("term_index"), "cf", "df")
+    return (
+        stored.where(kept)
+        .withColumn("term_index", (F.row_number().over(best_first) - 1).cast("long"))
+        .where(F.col("term_index") < vocab_size)
+        .select("kind", "term", "term_index", "cf", "df")
+    )
 
 
 def vocabulary(
@@ -162,7 +238,8 @@ def vocabulary(
     """The most frequent terms of each kind in ``docs``, numbered from 0.
 
     Equal frequencies are ordered by the term, so the cut is always the same. The
-    statistics are stored first, so the texts are read once for all kinds.
+    statistics are stored first, so the texts are read once for all kinds. ``docs`` holds
+    ``tokens``, or is a ``term_table``.
     """
     return _best_terms(_stored_statistics(docs, kinds, min_documents), kinds, vocab_size)
 
@@ -197,7 +274,7 @@ def fit_terms(
     """Vocabulary and IDF learned from ``docs``, stored in the work folder.
 
     At most ``vocab_size`` rows per kind. The texts are read once: terms and
-    documents are counted together.
+    documents are counted together. A ``term_table`` is read in their place.
     """
     stored = _stored_statistics(docs, kinds, min_documents)
     rows = stored.where(F.col("kind") == DOCUMENT).select("df").scalar()

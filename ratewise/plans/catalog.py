@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ratewise import schema
 from ratewise.functions import numbers, text
-from ratewise.operators import classifier, labeling, metrics, profile, scaling, terms
+from ratewise.operators import classifier, labeling, metrics, profile, scaling, term_model, terms
 from ratewise.session import INPUT_PARTITIONS, new_path
 from ratewise.sources import reviews as tables
 from ratewise.sources import runlog
@@ -395,9 +395,8 @@ def bigrams(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _known_counts(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    tokens = _tokens(spark, folder)
-    counts = terms.term_counts(tokens, [kind])
-    known = terms.known_terms(counts, terms.fit_terms(tokens, [kind]))
+    table = terms.term_table(_tokens(spark, folder), [kind])
+    known = terms.known_terms(terms.term_counts(table), terms.fit_terms(table, [kind]))
     return known.select("review_id", "term", "tf")
 
 
@@ -438,9 +437,8 @@ def top_terms(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _weights(spark: SparkSession, folder: str, kind: str) -> DataFrame:
-    tokens = _tokens(spark, folder)
-    counts = terms.term_counts(tokens, [kind])
-    weighted = terms.tfidf(counts, terms.fit_terms(tokens, [kind]))
+    table = terms.term_table(_tokens(spark, folder), [kind])
+    weighted = terms.tfidf(terms.term_counts(table), terms.fit_terms(table, [kind]))
     return weighted.select("review_id", "term", "tf", "df", F.round("tfidf", 6).alias("tfidf"))
 
 
@@ -458,8 +456,8 @@ def tfidf_bigram(spark: SparkSession, folder: str) -> DataFrame:
 def feature_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Both kinds of weighted terms of the labelled reviews, as one table."""
     labeled = labeling.labeled_reviews(_spread_reviews(spark, folder))
-    tokens = terms.with_tokens(labeled.select("review_id", "label", "text"))
-    weighted = terms.tfidf(terms.term_counts(tokens), terms.fit_terms(tokens))
+    table = terms.term_table(terms.with_tokens(labeled.select("review_id", "label", "text")))
+    weighted = terms.tfidf(terms.term_counts(table), terms.fit_terms(table))
     return weighted.select(
         "review_id", "label", "kind", "term", F.round("tfidf", 6).alias("tfidf")
     )
@@ -539,35 +537,103 @@ def feature_vectors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _fitted(
+    spark: SparkSession, folder: str
+) -> tuple[classifier.FeatureModel, DataFrame, classifier.LogisticRegressionModel]:
+    """Feature model, feature table and the classifier trained on its training side."""
+    sizes, features = _features(spark, folder)
+    return sizes, features, classifier.train_classifier(_side(features, "train"))
+
+
+def _labeled_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Term table of the labelled reviews with their side of the split."""
+    labeled = labeling.assign_split(labeling.labeled_reviews(_spread_reviews(spark, folder)))
+    tokens = terms.with_tokens(labeled.select("review_id", "split", "label", "text"))
+    return term_model.numbered_table(tokens)
+
+
+def _agree(left: Column, right: Column, tolerance: float = 1e-6) -> Column:
+    return F.abs(left - right) <= tolerance * (1 + F.abs(right))
+
+
 @query
 def train_classifier(spark: SparkSession, folder: str) -> DataFrame:
-    """What a training run reports, as (metric, value) rows."""
-    sizes, features = _features(spark, folder)
-    model = classifier.train_classifier(_side(features, "train"))
-    found = metrics.evaluation_metrics(classifier.score_rows(model, _side(features, "test")))
-    fitted = {
-        "vocab_uni": sizes.unigrams,
-        "vocab_bi": sizes.bigrams,
-        "rows_train": _side(features, "train").count(),
-        "iterations": model.summary.totalIterations,
+    """What a training run counts, and proof of its fit, as (metric, value) rows.
+
+    The log loss over the term table, which is made without MLlib, must equal the last
+    objective of the fit; and it and its gradient must be below those of zero weights.
+    """
+    sizes, features, model = _fitted(spark, folder)
+    scored = classifier.score_rows(model, _side(features, "test"))
+    found = metrics.evaluation_metrics(scored)
+    train = _side(_labeled_table(spark, folder), "train").drop("split")
+    weights = term_model.model_terms(model, sizes.terms)
+    at_fit = term_model.log_loss(train, weights, model.intercept)
+    none = weights.withColumn("coefficient", F.lit(0.0))
+    at_zero = term_model.log_loss(train, none, 0.0).toDF(*[f"zero_{c}" for c in at_fit.columns])
+    objective = F.lit(float(model.summary.objectiveHistory[-1]))
+    rows = at_fit.join(at_zero).join(found.select("rows_test", "tp", "fp", "tn", "fn", "auc"))
+    values = {
+        "vocab_uni": F.lit(sizes.unigrams),
+        "vocab_bi": F.lit(sizes.bigrams),
+        "rows_train": F.col("documents"),
+        "rows_test": F.col("rows_test"),
+        "outcomes": F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn"),
+        "zero_loss": F.col("zero_loss"),
+        "loss_is_objective": _agree(F.col("loss"), objective),
+        "loss_fell": F.col("loss") < F.col("zero_loss"),
+        "gradient_fell": F.col("gradient_norm") < F.col("zero_gradient_norm"),
+        "area_is_share": F.coalesce(F.col("auc").between(0, 1), F.lit(True)),
     }
     lines = [
-        F.struct(F.lit(name).alias("metric"), F.lit(float(value)).alias("value"))
-        for name, value in fitted.items()
+        F.struct(F.lit(name).alias("metric"), value.cast("double").alias("value"))
+        for name, value in values.items()
     ]
-    lines += [
-        F.struct(F.lit(name).alias("metric"), F.col(name).cast("double").alias("value"))
-        for name in found.columns
-    ]
-    return _rounded(found.select(F.inline(F.array(*lines))))
+    return _rounded(rows.select(F.inline(F.array(*lines))))
+
+
+@query
+def log_loss(spark: SparkSession, folder: str) -> DataFrame:
+    """Loss and gradient of the labelled reviews at weights that a rule gives."""
+    table = _labeled_table(spark, folder)
+    return _rounded(term_model.log_loss(table, _given_weights(table), 0.25), 5)
+
+
+@query
+def loss_gradient(spark: SparkSession, folder: str) -> DataFrame:
+    """The gradient by term, at the same weights."""
+    table = _labeled_table(spark, folder)
+    return _rounded(term_model.gradient(table, _given_weights(table), 0.25), 5)
+
+
+def _given_weights(table: DataFrame) -> DataFrame:
+    """Weights of all terms of a table that follow from their place in the vocabulary."""
+    learned = terms.fit_terms(table)
+    return learned.select(
+        "kind", "term", "idf", ((F.col("term_index") % 7 - 3) / 400).alias("coefficient")
+    )
+
+
+@query
+def score_terms(spark: SparkSession, folder: str) -> DataFrame:
+    """Every review, labelled or not, scored from the term table at given weights."""
+    table = term_model.numbered_table(_tokens(spark, folder))
+    return _rounded(term_model.score_terms(table, _given_weights(table), 0.25), 5)
 
 
 @query
 def score_rows(spark: SparkSession, folder: str) -> DataFrame:
-    _, features = _features(spark, folder)
-    model = classifier.train_classifier(_side(features, "train"))
+    """Each test row scored through vectors, and whether its three figures go together."""
+    _, features, model = _fitted(spark, folder)
     scored = classifier.score_rows(model, _side(features, "test"))
-    return _rounded(scored.select("review_id", "label", "prediction", "probability", "score"), 4)
+    p, score = F.col("probability"), F.col("score")
+    together = (
+        p.between(0, 1)
+        & (F.abs(1 / (1 + F.exp(-score)) - p) < 1e-9)
+        & ((F.col("prediction") == 1) == (p > 0.5))
+        & ((score > 0) == (p > 0.5))
+    )
+    return scored.select("review_id", "label", together.alias("together"))
 
 
 @query
@@ -584,51 +650,48 @@ def training_sizes(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def scores_from_terms(spark: SparkSession, folder: str) -> DataFrame:
     """Whether margin, probability and prediction of each test row follow from the
-    model's coefficients and the TF-IDF table, which is made without MLlib."""
-    _, features = _features(spark, folder)
-    model = classifier.train_classifier(_side(features, "train"))
+    model's coefficients and the term table, which is made without MLlib."""
+    sizes, features, model = _fitted(spark, folder)
     scored = classifier.score_rows(model, _side(features, "test"))
-    labeled = labeling.assign_split(labeling.labeled_reviews(_spread_reviews(spark, folder)))
-    tokens = terms.with_tokens(labeled.select("review_id", "split", "text"))
-    learned = terms.fit_terms(_side(tokens, "train").select("tokens"))
-    unigrams = learned.where(F.col("kind") == terms.UNIGRAM).count()
-    place = F.col("term_index") + F.when(F.col("kind") == terms.BIGRAM, unigrams).otherwise(0)
-    coefficients = spark.createDataFrame(
-        list(enumerate(model.coefficients.toArray().tolist())), "place long, coefficient double"
-    )
-    counts = terms.term_counts(_side(tokens, "test").select("review_id", "tokens"))
-    added = (
-        terms.tfidf(counts, learned)
-        .withColumn("place", place)
-        .join(coefficients, "place")
-        .groupBy("review_id")
-        .agg(F.sum(F.col("tfidf") * F.col("coefficient")).alias("added"))
-    )
-    margin = F.coalesce("added", F.lit(0.0)) + model.intercept
-    follows = (
-        (F.abs(margin - F.col("score")) <= 1e-6 * (1 + F.abs(margin)))
-        & (F.abs(1 / (1 + F.exp(-F.col("score"))) - F.col("probability")) < 1e-9)
-        & ((F.col("probability") > 0.5) == (F.col("prediction") == 1))
-    )
-    return scored.join(added, "review_id", "left").select(
-        "review_id", "label", follows.alias("follows")
-    )
+    table = _side(_labeled_table(spark, folder), "test").drop("label", "split")
+    return _followed(scored, table, sizes, model, "review_id", "label")
 
 
 @query
 def score_raw_text(spark: SparkSession, folder: str) -> DataFrame:
-    """Every review, labelled or not, scored by saved and reloaded models."""
-    fitted, features = _features(spark, folder)
-    model = classifier.train_classifier(_side(features, "train"))
+    """Every review, labelled or not, scored by saved and reloaded models, and whether the
+    weights as a table score it alike."""
+    sizes, _, model = _fitted(spark, folder)
     stages_path, model_path = new_path(spark, "stages"), new_path(spark, "classifier")
-    classifier.save_model(fitted.stages, stages_path)
+    classifier.save_model(sizes.stages, stages_path)
     classifier.save_model(model, model_path)
+    reloaded = classifier.load_classifier(model_path)
     scored = classifier.score_text(
-        classifier.load_features(stages_path),
-        classifier.load_classifier(model_path),
-        _texts(spark, folder),
+        classifier.load_features(stages_path), reloaded, _texts(spark, folder)
+    )
+    table = term_model.numbered_table(_tokens(spark, folder))
+    return _followed(scored, table, sizes, reloaded, "review_id")
+
+
+def _followed(
+    scored: DataFrame,
+    table: DataFrame,
+    sizes: classifier.FeatureModel,
+    model: classifier.LogisticRegressionModel,
+    *kept: str,
+) -> DataFrame:
+    """Each scored row, and whether the term table gives the same figures."""
+    weights = term_model.model_terms(model, sizes.terms)
+    theirs = ["prediction", "probability", "score"]
+    ours = term_model.score_terms(table, weights, model.intercept).toDF(
+        "review_id", *[f"table_{name}" for name in theirs]
     )
-    return _rounded(scored.select("review_id", "prediction", "probability", "score"), 4)
+    same = [_agree(F.col(name), F.col(f"table_{name}")) for name in theirs[1:]]
+    # a margin of about zero may fall on either side
+    near = F.abs("score") < 1e-6
+    same.append((F.col("prediction") == F.col("table_prediction")) | near)
+    follows = F.coalesce(same[0] & same[1] & same[2], F.lit(False))
+    return scored.join(ours, "review_id", "left").select(*kept, follows.alias("follows"))
 
 
 @query

@@ -1,7 +1,8 @@
 """SQL counterparts of the query catalog, for an independent engine (DuckDB).
 
-They are written from the meaning of each query, not from its Spark plan. A
-query without an entry here involves fitting a model and has no SQL form.
+They are written from the meaning of each query, not from its Spark plan. Queries that
+fit a model return what must hold of any fit; SQL has its sizes and the figures at given
+weights.
 """
 
 from __future__ import annotations
@@ -303,10 +304,61 @@ SELECT CASE kind WHEN 'unigram' THEN 'vocab_uni' ELSE 'vocab_bi' END AS metric,
 FROM vocab GROUP BY kind
 UNION ALL SELECT 'rows_' || split, count(*) FROM sided GROUP BY split"""
 
+_TRAINING_REPORT = f"""
+WITH sizes AS ({_TRAINING_SIZES})
+SELECT metric, CAST(value AS DOUBLE) AS value FROM sizes
+UNION ALL SELECT 'outcomes', CAST(value AS DOUBLE) FROM sizes WHERE metric = 'rows_test'
+UNION ALL SELECT 'zero_loss', round(ln(CAST(2 AS DOUBLE)), 6)
+UNION ALL SELECT unnest(['loss_is_objective', 'loss_fell', 'gradient_fell', 'area_is_share']),
+                 CAST(1 AS DOUBLE)"""
+
+#: Weights that follow from a term's place in the vocabulary, and margins of documents.
+_GIVEN = """,
+rows AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM tokens),
+weighted AS (
+  SELECT kind, term, ln(((SELECT n FROM rows) + 1) / (df + 1)) AS idf,
+         (term_index % 7 - 3) / 400.0::DOUBLE AS coefficient
+  FROM vocab
+),
+entries AS (
+  SELECT review_id, kind, term, tf * idf AS x, tf * idf * coefficient AS share
+  FROM counts JOIN weighted USING (kind, term)
+),
+margins AS (
+  SELECT t.review_id, 0.25::DOUBLE + coalesce(sum(share), 0) AS margin
+  FROM tokens t LEFT JOIN entries e ON t.review_id = e.review_id GROUP BY t.review_id
+)"""
+_GIVEN_LABELED = f"""WITH {LABELED}{_tokens("labeled", "review_id, label")}
+{_terms("review_id, label")}{_vocabulary()}{_GIVEN},
+residuals AS (
+  SELECT m.review_id, margin, l.label, 1 / (1 + exp(-margin)) - l.label AS residual
+  FROM margins m JOIN labeled l ON l.review_id = m.review_id
+),
+gradients AS (
+  SELECT kind, term, sum(residual * x) / (SELECT n FROM rows) AS gradient
+  FROM entries JOIN residuals USING (review_id) GROUP BY kind, term
+)"""
+
 SQL: dict[str, str] = {
     "training_sizes": _TRAINING_SIZES,
     "scores_from_terms": f"""WITH {LABELED}, sided AS (SELECT *, {_SPLIT} FROM labeled)
 SELECT review_id, label, true AS follows FROM sided WHERE split = 'test'""",
+    "train_classifier": _TRAINING_REPORT,
+    "score_rows": f"""WITH {LABELED}, sided AS (SELECT *, {_SPLIT} FROM labeled)
+SELECT review_id, label, true AS together FROM sided WHERE split = 'test'""",
+    "score_raw_text": "SELECT doc_id AS review_id, true AS follows FROM documents",
+    "score_terms": f"""WITH {VOCABULARY}{_GIVEN}
+SELECT review_id, CAST(CASE WHEN margin > 0 THEN 1 ELSE 0 END AS DOUBLE) AS prediction,
+       round(1 / (1 + exp(-margin)), 5) AS probability, round(margin, 5) AS score
+FROM margins""",
+    "log_loss": f"""{_GIVEN_LABELED}
+SELECT count(*) AS documents,
+       round(avg(greatest(margin, 0) + ln(1 + exp(-abs(margin))) - label * margin), 5) AS loss,
+       round(sqrt((SELECT sum(gradient ** 2) FROM gradients) + avg(residual) ** 2), 5) AS gradient_norm,
+       round(avg(residual), 5) AS intercept_gradient
+FROM residuals""",
+    "loss_gradient": f"""{_GIVEN_LABELED}
+SELECT kind, term, round(gradient, 5) AS gradient FROM gradients""",
     "scan_json_lines": f"WITH {REVIEWS} SELECT * FROM reviews",
     "labeled_roundtrip": f"""WITH {LABELED}
 SELECT review_id, user_id, business_id, stars, text, label FROM labeled""",

@@ -155,3 +155,28 @@ def test_a_vocabulary_too_large_to_broadcast_is_shuffled(spark):
         assert sorted(map(tuple, joined.collect())) == small
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("size", [2, 10, 3000])
+def test_many_tied_terms_are_narrowed_by_their_letters(spark, size):
+    """10^5 terms of one frequency: few of them are ever ordered."""
+    names = sorted([f"tie{i:06d}" for i in range(99_998)] + ["é", "t"])
+    rows = [(names[i : i + 2000],) for i in range(0, len(names), 2000)] + [(["top", "top"],)]
+    docs = spark.createDataFrame(rows, "tokens array<string>")
+    found = terms.top_terms(docs, size, ["unigram"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "substring" in plan
+    order = [r.term for r in found.orderBy("term_index").collect()]
+    assert order == ["top", *names[: size - 1]]
+    stored = spark.createDataFrame([("unigram", t, 1, 1) for t in names], "kind string, term string, cf long, df long")
+    kept = stored.where(terms._first_terms(stored, size, size)).count()
+    assert size <= kept <= 2 * size
+
+
+def test_a_term_table_gives_the_same_weights(spark):
+    docs = _frame(spark, _documents() + [(3000, None), (3001, [])])
+    table = terms.term_table(docs)
+    assert table.count() == docs.count() and "regexp" not in _plan(table)
+    fresh = terms.tfidf(terms.term_counts(docs), terms.fit_terms(docs))
+    stored = terms.tfidf(terms.term_counts(table), terms.fit_terms(table))
+    assert sorted(map(tuple, stored.select(fresh.columns).collect())) == sorted(map(tuple, fresh.collect()))
