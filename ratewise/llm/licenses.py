@@ -115,12 +115,6 @@ NOTICES = (
     (4, 0.75, "{full}"),
 )
 
-#: The condition of the SQL form and of the brute-force test, which is narrower than the
-#: rules: ``Released under MIT`` has none of these. The scan does not use it.
-TELLING = ("licen", "copyright", "spdx", "gnu", "gpl", "apache", "public", "permission",
-           "redistribution", "compliance", "rights", "free", "bsd", "zlib", "wtfpl", "cc0",
-           "mozilla", ("cc", "by", "nc"))
-
 
 @dataclass(frozen=True)
 class Rule:

@@ -101,10 +101,6 @@ def _license_sql() -> str:
         f"('{label}', ' {phrase} ', {phrase.split(' ').index(next(w for w in phrase.split(' ') if '<' in w))})"
         for label, phrase in licenses.BASE
     )
-    signs = [[sign] if isinstance(sign, str) else sign for sign in licenses.TELLING]
-    telling = " OR ".join(
-        "(" + " AND ".join(f"contains(low, '{part}')" for part in sign) + ")" for sign in signs
-    )
     reach = licenses.REACH
     return f"""
 WITH rules(number, keyword, label, priority, score, pattern) AS (VALUES {listed}),
@@ -114,10 +110,10 @@ lowered AS (
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
   FROM documents
 ), words AS (
-  SELECT r, doc_id, regexp_extract_all(low, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w, {telling} AS telling
+  SELECT r, doc_id, regexp_extract_all(low, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
   FROM lowered
 ), places AS (
-  SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE telling
+  SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM words
 ), windows AS (
   SELECT r, i, w[i] AS keyword, least(i - 1, {reach}) AS before,
          ' ' || array_to_string(w[greatest(1, i - {reach}):i - 1] || ['<' || w[i] || '>']

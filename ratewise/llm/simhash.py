@@ -11,18 +11,15 @@ with one value of one band and walks their trie. A group over ``GROUP_LIMIT`` is
 split into parts, and each pair of its parts is a group of its own, so memory stays
 bounded and no link is lost.
 
-Looser similarities need more bits than one walk can bear: a wide fingerprint is cut
-into segments, each segment is joined by its own trie, and a pair found in any
-counts if the whole fingerprints differ in ``most`` bits at most. With ``jaccard`` set
-such a pair is a candidate only, and linked if its texts' sets of shingles are that alike.
-
 A group emits a spanning forest of its links, never all pairs. Exact copies share
 a fingerprint and enter the join once.
 
 Null and empty texts and texts of white space have no shingles: fingerprint zero,
 linked like any other. Repeated rows are kept, each with its component. Null ids
 are kept and get the component's id; a component of null ids alone has a null id.
-Extra columns of the input are ignored. An empty table gives no rows.
+Extra columns of the input are ignored, whatever their names. Whole texts are hashed, a
+fraction of a megabyte of them at a time, so memory follows the longest. An empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -35,7 +32,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.llm import packed
@@ -66,65 +63,41 @@ def shingle_hashes(text: bytes, width: int) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Similarity:
-    """How texts are compared: shingles of ``width`` words, fingerprints of ``lanes``
-    times 64 bits cut into segments, links within ``budget`` bits of one segment at
-    least and ``most`` bits of the whole. The segment must agree in one of ``bands``
-    runs of bytes (``budget + 1`` if 0, which loses none). ``jaccard`` is the least
-    similarity of the shingles themselves, 0 for no such check."""
+    """How texts are compared: fingerprints of 64 bits over shingles of ``width`` words,
+    linked if they differ in ``budget`` bits at most."""
 
     width: int
-    lanes: int
-    segment_bits: int
     budget: int
-    most: int
-    bands: int = 0
-    jaccard: float = 0.0
-
 
-#: Three words, 64 bits, 3 of which may differ.
-CLOSE = Similarity(width=3, lanes=1, segment_bits=64, budget=3, most=3)
-#: Five words and a similarity (Jaccard) of 0.8: of 256 bits 39 differ on average, with
-#: a deviation of 6. Candidates reach well beyond that, and their shingles decide.
-ALIKE = Similarity(width=5, lanes=4, segment_bits=32, budget=5, most=60, bands=4, jaccard=0.8)
 
+CLOSE = Similarity(width=3, budget=3)
 
-def fingerprint(hashes: np.ndarray, lanes: int) -> bytes:
-    """For each lane the bits set in over half of the hashes; zero of none.
 
-    The first lane takes the hashes as they are, the others mix them anew.
-    """
-    out = b""
-    for lane in range(lanes):
-        votes = np.zeros(LANE, np.int64)
-        for start in range(0, len(hashes), 1 << 16):
-            part = hashes[start : start + (1 << 16)]
-            part = packed.mixed(part + np.uint64(0x9E3779B97F4A7C15 * lane % 2**64)) if lane else part
-            bits = np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
-            # sums of 255 rows fit a byte, and adding bytes is what takes the time
-            whole = len(bits) // 255 * 255
-            sums = bits[:whole].reshape(-1, 255, LANE).sum(axis=1, dtype=np.uint8)
-            votes += sums.sum(axis=0, dtype=np.int64)
-            votes += bits[whole:].sum(axis=0, dtype=np.int64)
-        out += np.packbits(2 * votes > len(hashes)).tobytes()
-    return out
+def fingerprint(hashes: np.ndarray) -> bytes:
+    """The bits set in over half of the hashes; zero of none."""
+    votes = np.zeros(LANE, np.int64)
+    for start in range(0, len(hashes), 1 << 16):
+        part = hashes[start : start + (1 << 16)]
+        bits = np.unpackbits(part.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+        # sums of 255 rows fit a byte, and adding bytes is what takes the time
+        whole = len(bits) // 255 * 255
+        sums = bits[:whole].reshape(-1, 255, LANE).sum(axis=1, dtype=np.uint8)
+        votes += sums.sum(axis=0, dtype=np.int64)
+        votes += bits[whole:].sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * votes > len(hashes)).tobytes()
 
 
 def fingerprints(docs: DataFrame, like: Similarity = CLOSE) -> DataFrame:
-    """(doc_id, fp): the SimHash of every whole text, highest bit first; and the hash ``h``
-    of the text if similar texts are to be checked."""
-    passed = ["doc_id", *(["h"] if like.jaccard else [])]
+    """(doc_id, fp): the SimHash of every whole text, highest bit first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, texts in packed.text_chunks(batch.column("text")):
-                found = [fingerprint(shingle_hashes(t, like.width), like.lanes) for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(n).slice(start, len(texts)) for n in passed), pa.array(found, pa.binary())],
-                    [*passed, "fp"],
-                )
+                found = [fingerprint(shingle_hashes(t, like.width)) for t in texts]
+                ids = batch.column("doc_id").slice(start, len(texts))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(found, pa.binary())], ["doc_id", "fp"])
 
-    rows = docs.select("doc_id", "text", *([text_hash().alias("h")] if like.jaccard else []))
-    return rows.mapInArrow(run, ", ".join([*(f"{n} long" for n in passed), "fp binary"]))
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp binary")
 
 
 def trie_pairs(
@@ -222,70 +195,44 @@ class Forest:
 
 
 def bucket_links(
-    prints: np.ndarray, groups: np.ndarray, parts: np.ndarray, segments: np.ndarray,
-    like: Similarity, owns: np.ndarray | None = None,
+    prints: np.ndarray, groups: np.ndarray, parts: np.ndarray, like: Similarity
 ) -> tuple[np.ndarray, np.ndarray]:
     """A spanning forest of the links within the groups, as row numbers of ``prints``.
 
-    ``prints`` has a row of lanes for each member, ``groups`` the number of its group,
-    ``segments`` that of the segment the group was dealt by. ``parts`` is 0 for all of
-    a whole group; in a pair of parts of a split one, 0 marks the first part and 1 the
-    second. With ``owns`` instead all links between members whose numbers there differ.
+    ``groups`` numbers the group of each member. ``parts`` is 0 for all of a whole group;
+    in a pair of parts of a split one, 0 marks the first part and 1 the second.
     """
-    lane, at = np.divmod(segments * like.segment_bits, LANE)
-    low = np.uint64(LANE - like.segment_bits)
-    value = prints[np.arange(len(prints)), lane] << at.astype(np.uint64) >> low << low
-    order = np.lexsort((value, parts, groups))
-    value, groups, parts = value[order], groups[order], parts[order]
+    order = np.lexsort((prints, parts, groups))
+    value, groups, parts = prints[order], groups[order], parts[order]
     number = np.arange(groups[-1] + 1)
     begin, end = np.searchsorted(groups, number), np.searchsorted(groups, number, "right")
     ones = np.concatenate([[0], np.cumsum(parts)])
     middle = end - (ones[end] - ones[begin])
     forest = Forest(len(prints))
-    every = [(np.zeros(0, np.int64),) * 2]
     for two in (False, True):
         at = np.flatnonzero((middle < end) == two)
         sides = (begin, middle, middle, end) if two else (begin, end, begin, end)
         if not len(at):
             continue
-        other = value if two else None
         roots = [side[at] for side in sides]
-        for i, j in trie_pairs(value, other, like.budget, like.segment_bits, roots):
-            i, j = order[i], order[j]
-            number = forest.root if owns is None else owns
-            apart = number[i] != number[j]
-            i, j = i[apart], j[apart]
-            near = np.bitwise_count(prints[i] ^ prints[j]).sum(axis=1) <= like.most
-            if owns is None:
-                forest.link(i[near], j[near])
-            else:
-                every.append((i[near], j[near]))
-    if owns is not None:
-        return tuple(np.concatenate(side) for side in zip(*every, strict=True))
+        for i, j in trie_pairs(value, value if two else None, like.budget, LANE, roots):
+            forest.link(order[i], order[j])
     child = np.flatnonzero(forest.root != np.arange(len(prints)))
     return child, forest.root[child]
 
 
 def links(prints: DataFrame, like: Similarity = CLOSE, group_limit: int = GROUP_LIMIT) -> DataFrame:
-    """Edges (u, v) that connect all distinct ``fp`` that are alike. If ``prints`` has a
-    column ``own``, all edges between those of which it differs."""
-    size = like.segment_bits // 8
-    bands = like.bands or like.budget + 1
-    width = size // bands
-    own = [c for c in ("own",) if c in prints.columns]
+    """Edges (u, v) that connect all distinct ``fp`` that are alike."""
+    bands = like.budget + 1
+    width = LANE // 8 // bands
     banded = F.array(
         *[
-            F.struct(
-                F.lit(segment).alias("segment"),
-                F.lit(at).alias("at"),
-                F.substring("fp", segment * size + at + 1, width).alias("value"),
-            )
-            for segment in range(like.lanes * LANE // like.segment_bits)
+            F.struct(F.lit(at).alias("at"), F.substring("fp", at + 1, width).alias("value"))
             for at in range(0, width * bands, width)
         ]
     )
-    band = ["segment", "at", "value"]
-    keyed = prints.select("fp", *own, F.inline(banded))
+    band = ["at", "value"]
+    keyed = prints.select("fp", F.inline(banded))
     sizes = keyed.groupBy(*band).agg(F.count(F.lit(1)).alias("members"))
     peopled = durable(sizes.where("members > 1"), "bands")
     members = peopled.agg(F.sum("members")).first()[0] or 0
@@ -305,20 +252,17 @@ def links(prints: DataFrame, like: Similarity = CLOSE, group_limit: int = GROUP_
         ),
     )
     group = F.struct(*band, "first", "second")
-    dealt = placed.select("fp", *own, *band, F.inline(pairs)).select(
-        "fp", *own, "part", "segment", F.xxhash64(group).alias("group"),
+    dealt = placed.select("fp", *band, F.inline(pairs)).select(
+        "fp", "part", F.xxhash64(group).alias("group"),
         F.pmod(F.xxhash64(group, F.lit(1)), F.lit(buckets)).alias("bucket"),
     )
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        lanes = np.frombuffer(b"".join(rows["fp"]), ">u8").astype(np.uint64)
         u, v = bucket_links(
-            lanes.reshape(len(rows), like.lanes),
+            np.frombuffer(b"".join(rows["fp"]), ">u8").astype(np.uint64),
             np.unique(rows["group"].to_numpy(), return_inverse=True)[1],
             rows["part"].to_numpy(),
-            rows["segment"].to_numpy(),
             like,
-            np.unique(rows["own"].to_numpy(), return_inverse=True)[1] if own else None,
         )
         fp = rows["fp"].to_numpy()
         return pd.DataFrame({"u": fp[u], "v": fp[v]})
@@ -326,69 +270,13 @@ def links(prints: DataFrame, like: Similarity = CLOSE, group_limit: int = GROUP_
     return dealt.groupBy("bucket").applyInPandas(run, "u binary, v binary")
 
 
-def _ordered(edges: DataFrame) -> DataFrame:
-    return edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-
-
-def judged(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
-    """(u, v, alike) of pairs of fingerprints, by all shingles of their ``texts`` (fp, text)."""
-    both = pairs.join(texts.select(F.col("fp").alias("u"), F.col("text").alias("left")), "u")
-    both = both.join(texts.select(F.col("fp").alias("v"), F.col("text").alias("right")), "v")
-
-    def shingles(text: pa.Scalar) -> np.ndarray:
-        return np.unique(shingle_hashes((text.as_py() or "").encode(), like.width))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            alike = []
-            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
-                a, b = shingles(left), shingles(right)
-                common = len(np.intersect1d(a, b, assume_unique=True))
-                alike.append(common > 0 and common >= like.jaccard * (len(a) + len(b) - common))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("u"), batch.column("v"), pa.array(alike, pa.bool_())], ["u", "v", "alike"]
-            )
-
-    return both.select("u", "v", "left", "right").mapInArrow(run, "u binary, v binary, alike boolean")
-
-
-def checked_links(distinct: DataFrame, docs: DataFrame, like: Similarity) -> DataFrame:
-    """Edges (u, v) of pairs found alike by their shingles, which connect all such candidates.
-
-    First a spanning forest of the candidates is judged. Where it loses a link, others
-    may connect what it held together: there all candidates between parts are judged.
-    ``distinct`` has a fingerprint ``fp`` and the hash ``h`` of a text that has it.
-    """
-    tried = durable(_ordered(links(distinct.select("fp"), like)), "candidates")
-    ends = tried.select(F.col("u").alias("fp")).unionAll(tried.select("v")).distinct()
-    of_hash = docs.select(text_hash().alias("h"), "text").groupBy("h").agg(F.min("text").alias("text"))
-    texts = durable(of_hash.join(distinct.join(ends, "fp").select("fp", "h"), "h").select("fp", "text"), "candidate-texts")
-    found = durable(judged(tried, texts, like), "judged")
-    good, bad = found.where("alike").select("u", "v"), found.where("NOT alike").select("u", "v")
-    if bad.isEmpty():
-        return good
-    whole = durable(components(tried), "candidate-components")
-    doubted = bad.join(whole, bad["u"] == whole["node"]).select("root").distinct()
-    part = components(good).select(F.col("node").alias("fp"), F.col("root").alias("own"))
-    members = whole.join(doubted, "root").select(F.col("node").alias("fp")).join(part, "fp", "left")
-    members = durable(members.select("fp", F.coalesce("own", "fp").alias("own")), "doubted")
-    more = _ordered(links(members, like)).join(bad, ["u", "v"], "left_anti")
-    return good.unionAll(judged(durable(more, "candidates"), texts, like).where("alike").select("u", "v"))
-
-
-def text_hash() -> Column:
-    return F.xxhash64(F.coalesce("text", F.lit("")))
-
-
-def named(prints: DataFrame, like: Similarity, docs: DataFrame) -> DataFrame:
+def named(prints: DataFrame, like: Similarity) -> DataFrame:
     """(fp, root, component_id) of each distinct fingerprint of (doc_id, fp) rows.
 
     ``root`` is the least fingerprint of its component, ``component_id`` the least id.
     """
-    least = [F.min("doc_id").alias("least"), *([F.min("h").alias("h")] if like.jaccard else [])]
-    distinct = durable(prints.groupBy("fp").agg(*least), "distinct-fp")
-    edges = checked_links(distinct, docs, like) if like.jaccard else links(distinct.select("fp"), like)
-    joined = components(edges)
+    distinct = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fp")
+    joined = components(links(distinct.select("fp"), like))
     rooted = distinct.join(joined, distinct["fp"] == joined["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
@@ -399,10 +287,10 @@ def named(prints: DataFrame, like: Similarity, docs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, like: Similarity = CLOSE) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs``."""
     prints = durable(fingerprints(docs, like), "fingerprints")
-    return prints.join(named(prints, like, docs), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named(prints, like), "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, like: Similarity = ALIKE) -> DataFrame:
+def one_of_each(docs: DataFrame, like: Similarity = CLOSE) -> DataFrame:
     """The rows of ``docs``, all columns, without near copies of a row that stays.
 
     Of each component the row with the least id stays. Rows whose id is null or not
@@ -410,7 +298,7 @@ def one_of_each(docs: DataFrame, like: Similarity = ALIKE) -> DataFrame:
     row with a lesser id, the one with the least hash of its content stays.
     """
     prints = durable(fingerprints(docs, like), "fingerprints")
-    names = durable(named(prints, like, docs), "components")
+    names = durable(named(prints, like), "components")
     ids = (
         prints.join(names, "fp")
         .where(F.col("doc_id").isNotNull())
@@ -427,7 +315,7 @@ def one_of_each(docs: DataFrame, like: Similarity = ALIKE) -> DataFrame:
     @F.pandas_udf("binary")
     def print_of(texts: pd.Series) -> pd.Series:
         whole = texts.fillna("").map(str.encode)
-        return whole.map(lambda t: fingerprint(shingle_hashes(t, like.width), like.lanes))
+        return whole.map(lambda t: fingerprint(shingle_hashes(t, like.width)))
 
     content = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = odd.select(

@@ -13,12 +13,9 @@ def lower_ascii(text):
 
 
 def brute(text):
-    """Every rule at every place of every text, of texts that pass the prefilter."""
+    """Every rule at every place of every text."""
     low = lower_ascii(text)
     words = WORD.findall(low)
-    signs = [[s] if isinstance(s, str) else s for s in licenses.TELLING]
-    if not any(all(part in low for part in sign) for sign in signs):
-        return len(words), 0, None, None, "", "", 0.0
     base = []
     for label, phrase in licenses.BASE:
         parts = re.sub("[<>]", "", phrase).split()
@@ -57,6 +54,7 @@ TEXTS = [
     "licensed under CC BY-NC 4.0 and CC-BY-NC-SA 4.0", "cc by nc cc by nc", "SPDX-License-Identifier: GPL-3.0-or-later",
     "GNU General Public License, version 3", "All rights reserved", "é license é", "x " * 30_000 + "under the mit license",
     "apache license version 2" * 3, "under the mit license " * 300, "Copyright (c) 2020 someone",
+    "Released under MIT", "available under CC BY 4.0", "MIT no attribution", "submit the limit", "CreativeML RAIL-M",
     "Permission is hereby granted, free of charge, to any person", "3-clause BSD license", "BSD 3-Clause",
 ]
 
