@@ -2,8 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept and
 returns the rows it keeps with the columns of ``documents``; the last one returns
-what encoding and decoding makes of them. Null and empty texts are kept by every
-stage unless a classifier rejects them; of all texts without words one stays.
+what encoding and decoding makes of them.
+
+Null and empty texts are kept by every stage unless a classifier rejects them; of all texts
+without words one stays. Null and repeated ids are kept: rows are judged by their texts, and
+of equal rows one stays, as of all near copies. Ties go to the least id, and where ids do not
+tell rows apart to the least hash of the row. Very long texts are never cut; memory follows
+the longest. Columns of any other name pass all stages but the last as they are. Empty tables
+give no rows, and models learned from no labels reject nothing they have no reason for.
 """
 
 from __future__ import annotations
@@ -33,8 +39,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.one_of_each(docs)
+    """One document of each group whose fingerprints link: shingles of three words, three
+    differing bits at most, and no other check."""
+    return simhash.one_of_each(docs, simhash.CLOSE)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
