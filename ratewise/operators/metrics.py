@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -103,37 +108,52 @@ def class_metrics(predictions: DataFrame, weight: str | None = None) -> DataFram
     )
 
 
+#: Totals of one range of scores, and its place among the ranges.
+RANGE_TOTALS = ("pos", "neg", *OUTCOMES)
+RANGE_SCHEMA = ", ".join(["place int", *[f"{name} long" for name in RANGE_TOTALS], "pairs double"])
+
+
+def _range_totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row of the sorted scores of a task: its totals, and how many pairs of a positive
+    and a negative within it are in order, ties counting half."""
+    totals, pairs, rows = dict.fromkeys(RANGE_TOTALS, 0), 0.0, 0
+    for batch in batches:
+        columns = {name: batch.column(name).to_numpy() for name in RANGE_TOTALS}
+        pos, neg = columns["pos"], columns["neg"]
+        below = totals["neg"] + np.cumsum(neg) - neg
+        pairs += float((pos * (below + neg / 2)).sum())
+        rows += batch.num_rows
+        for name, values in columns.items():
+            totals[name] += int(values.sum())
+    if rows:
+        row = {"place": TaskContext.get().partitionId(), **totals, "pairs": pairs}
+        kinds = pa.schema([("place", pa.int32()), *[(n, pa.int64()) for n in RANGE_TOTALS], ("pairs", pa.float64())])
+        yield pa.RecordBatch.from_pylist([row], kinds)
+
+
 def _ranked_outcomes(predictions: DataFrame, score: str, weight: str | None) -> DataFrame:
     """One row: tp, fp, tn, fn and the area under the ROC curve.
 
     The area is the share of (positive, negative) pairs that the score puts in
     the right order, ties counting half, so it needs the number of negatives
     below each score. Outcomes are first added up per distinct score. These rows
-    are range-partitioned on the score, each range counts on its own, and the
-    totals of the lower ranges, one row per partition, are added at the end. Where
-    the ranges are cut only balances the load: any cuts give the exact result.
-    Rows without a score have no place in the order and do not count for the area,
-    but for everything else.
+    are range-partitioned on the score and sorted, and each task runs through its own
+    once, so the ranges need no second exchange. The totals of the lower ranges, one row
+    per task, are added at the end. Where the ranges are cut only balances the load: any
+    cuts give the exact result. Rows without a score have no place in the order and do not
+    count for the area, but for everything else.
     """
     require_columns(predictions, ["label", "prediction", score])
+    unplaced = F.col("score").isNull()
     scores = (
         predictions.groupBy(F.col(score).cast("double").alias("score"))
         .agg(*_outcomes(weight))
-        .withColumn("pos", F.when(F.col("score").isNull(), 0).otherwise(F.col("tp") + F.col("fn")))
-        .withColumn("neg", F.when(F.col("score").isNull(), 0).otherwise(F.col("fp") + F.col("tn")))
-    )
-    ranged = scores.repartitionByRange("score").withColumn("range", F.spark_partition_id())
-    below = Window.partitionBy("range").orderBy("score").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    neg_below = F.coalesce(F.sum("neg").over(below), F.lit(0))
-    pairs = F.col("pos").cast("double") * (neg_below + F.col("neg") / 2)
-    totals = (
-        ranged.select("range", "pos", "neg", *OUTCOMES, pairs.alias("pairs"))
-        .groupBy("range")
-        .agg(*[F.sum(name).alias(name) for name in ("pos", "neg", *OUTCOMES, "pairs")])
+        .withColumn("pos", F.when(unplaced, F.lit(0)).otherwise(F.col("tp") + F.col("fn")).cast("long"))
+        .withColumn("neg", F.when(unplaced, F.lit(0)).otherwise(F.col("fp") + F.col("tn")).cast("long"))
     )
-    lower = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = scores.repartitionByRange("score").sortWithinPartitions("score")
+    totals = ranged.select(*RANGE_TOTALS).mapInArrow(_range_totals, RANGE_SCHEMA)
+    lower = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     neg_lower = F.coalesce(F.sum("neg").over(lower), F.lit(0))
     crossing = F.col("pos").cast("double") * neg_lower
     all_pairs = F.sum("pos").cast("double") * F.sum("neg")

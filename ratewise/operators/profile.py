@@ -69,6 +69,98 @@ def column_profile(df: DataFrame, approximate: bool = False) -> DataFrame:
     return df.agg(*measures).select(F.inline(F.array(*lines)))
 
 
+#: State of a column's profile: counts that add up, and sketches that merge.
+STATE = (
+    "position bigint, column_name string, data_type string, rows bigint, nulls bigint, "
+    "least_length bigint, greatest_length bigint, total_length bigint, "
+    "distinct_sketch binary, value_sketch binary"
+)
+#: Registers (power of two) of a distinct count, 0.8 % off as a rule, and the accuracy
+#: of quantiles, about one rank in a hundred.
+DISTINCT_BITS = 14
+QUANTILE_SIZE = 400
+NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def profile_state(df: DataFrame) -> DataFrame:
+    """What a profile of ``df`` needs, one small row per column, from one scan of all columns.
+
+    States of several runs merge without their rows: see ``merge_profiles``. Only a sketch
+    per column and task is shuffled. Values other than numbers, strings, dates, timestamps
+    and booleans are compared by their text.
+    """
+    measures = [F.count(F.lit(1)).alias("rows")]
+    lines = []
+    for i, (name, kind) in enumerate(df.dtypes):
+        value = F.col(f"`{name}`")
+        number = kind in NUMBERS or kind.startswith("decimal")
+        length = F.length(value) if kind == "string" else F.lit(None).cast("int")
+        text = value if kind in ("string", "binary") else value.cast("string")
+        # a hash in place of long values: rows keep their own sketch small
+        measures += [
+            F.count(value).alias(f"present_{i}"),
+            F.min(length).cast("long").alias(f"least_{i}"),
+            F.max(length).cast("long").alias(f"greatest_{i}"),
+            F.sum(length).cast("long").alias(f"total_{i}"),
+            F.hll_sketch_agg(F.when(value.isNotNull(), F.xxhash64(text)), DISTINCT_BITS).alias(f"distinct_{i}"),
+        ]
+        sketch = F.lit(None).cast("binary")
+        if number:
+            real = F.when(~F.isnan(value.cast("double")), value.cast("double"))
+            measures.append(F.kll_sketch_agg_double(real, QUANTILE_SIZE).alias(f"values_{i}"))
+            sketch = F.col(f"values_{i}")
+        lines.append(
+            F.struct(
+                F.lit(i).cast("long"), F.lit(name), F.lit(kind), F.col("rows"),
+                F.col("rows") - F.col(f"present_{i}"), F.col(f"least_{i}"), F.col(f"greatest_{i}"),
+                F.col(f"total_{i}"), F.col(f"distinct_{i}"), sketch,
+            ).cast(f"struct<{STATE.replace(' ', ': ').replace(',:', ',')}>")
+        )
+    return df.agg(*measures).select(F.inline(F.array(*lines)))
+
+
+def merge_profiles(states: DataFrame) -> DataFrame:
+    """One state of all runs whose states the rows are, by the name and type of columns."""
+    return states.groupBy("column_name", "data_type").agg(
+        F.min("position").alias("position"),
+        F.sum("rows").alias("rows"),
+        F.sum("nulls").alias("nulls"),
+        F.min("least_length").alias("least_length"),
+        F.max("greatest_length").alias("greatest_length"),
+        F.sum("total_length").alias("total_length"),
+        F.hll_union_agg("distinct_sketch", F.lit(True)).alias("distinct_sketch"),
+        F.kll_merge_agg_double("value_sketch").alias("value_sketch"),
+    ).select(*[column.split()[0] for column in STATE.split(", ")])
+
+
+def read_profile(state: DataFrame) -> DataFrame:
+    """A profile from its state: exact counts and lengths, estimated distinct values, and
+    the median and quartiles of numbers within a rank or two in a hundred."""
+    counted = F.col("rows") - F.col("nulls")
+
+    def quantile(rank: float) -> Column:
+        known = F.when(
+            F.col("value_sketch").isNotNull() & (F.kll_sketch_get_n_double("value_sketch") > 0),
+            F.col("value_sketch"),
+        )
+        return F.kll_sketch_get_quantile_double(known, F.lit(rank))
+
+    return state.select(
+        "position",
+        "column_name",
+        "data_type",
+        "rows",
+        "nulls",
+        F.hll_sketch_estimate("distinct_sketch").alias("distinct_values"),
+        "least_length",
+        ratio(F.col("total_length"), counted, None).alias("average_length"),
+        "greatest_length",
+        quantile(0.25).alias("lower_quartile"),
+        quantile(0.5).alias("median"),
+        quantile(0.75).alias("upper_quartile"),
+    )
+
+
 def row_count(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("rows"))
 

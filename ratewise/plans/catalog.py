@@ -146,6 +146,22 @@ def scan_labeled(spark: SparkSession, folder: str) -> DataFrame:
     return found.agg(F.count(F.lit(1)).alias("cnt"), F.sum("review_id").alias("key_sum"))
 
 
+@query
+def labeled_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs of one labelled table, one of them written again with other rows; all read
+    as one table, the newest by its own folder alone."""
+    path = new_path(spark, "labeled-runs")
+    rows = _labeled(spark, folder)
+    even = F.col("review_id") % 2 == 0
+    tables.write_run(rows, path, "007")
+    tables.write_run(rows.where(~even), path, "010")
+    tables.write_run(rows.where(even & (F.col("label") == 1)), path, "007")
+    sizes = [F.count(F.lit(1)).alias("cnt"), F.sum("review_id").alias("key_sum")]
+    every = tables.scan_runs(spark, path).groupBy("run_id", "label").agg(*sizes)
+    newest = tables.scan_runs(spark, path, newest=True).groupBy("run_id", "label").agg(*sizes)
+    return every.withColumn("part", F.lit("all")).unionAll(newest.withColumn("part", F.lit("newest")))
+
+
 @query
 def metric_report(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "report")
@@ -227,6 +243,27 @@ def column_profile(spark: SparkSession, folder: str) -> DataFrame:
     return profile.column_profile(_damaged(spark, folder))
 
 
+@query
+def merged_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile of two runs, merged from their stored states, without their rows: exact
+    counts and lengths, and whether the estimates are as near as their sketches allow."""
+    rows = _damaged(spark, folder)
+    path = new_path(spark, "profile-states")
+    even = F.col("review_id") % 2 == 0
+    for run in (rows.where(even), rows.where(~even)):
+        profile.profile_state(run).write.mode("append").parquet(path)
+    found = profile.read_profile(profile.merge_profiles(spark.read.parquet(path)))
+    exact = profile.column_profile(rows).select("column_name", F.col("distinct_values").alias("exact"))
+    ranks = rows.agg(F.percentile("stars", 0.45).alias("low"), F.percentile("stars", 0.55).alias("high"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 1 + 0.05 * F.col("exact")
+    middle = (F.col("column_name") != "stars") | F.col("median").between(F.col("low"), F.col("high"))
+    return found.join(exact, "column_name").join(ranks).select(
+        "position", "column_name", "data_type", "rows", "nulls", "least_length",
+        F.round("average_length", 6).alias("average_length"), "greatest_length",
+        near.alias("distinct_near"), middle.alias("median_near"),
+    )
+
+
 @query
 def project_existing(spark: SparkSession, folder: str) -> DataFrame:
     return schema.project_existing(_reviews(spark, folder), schema.REVIEW_COLUMNS)

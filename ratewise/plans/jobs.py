@@ -81,18 +81,23 @@ def validate(spark: SparkSession, input_path: str, out: str) -> str:
 
 
 @job
-def label(spark: SparkSession, input_path: str, out: str, run_id: str | None = None) -> str:
+def label(
+    spark: SparkSession, input_path: str, out: str, run_id: str | None = None, runs: str | None = None
+) -> str:
     """Clean and label a review file; returns the path of the labelled table.
 
     The file is parsed once to see which fields it has and once to store it; rows are
     counted from what was stored.
 
-    Every run has a folder of its own, so a later scan reads exactly one run.
+    Every run has a folder of its own, so a later scan reads exactly one run. ``runs`` names
+    a table of many runs to write into as well, which ``build_features`` reads as one.
     """
     run_id = run_id or new_run_id()
     path = f"{out}/labeled/{run_id}"
     raw = durable(tables.scan_json_lines(spark, input_path), "raw")
     tables.write_labeled(labeling.labeled_reviews(raw), path)
+    if runs is not None:
+        tables.write_run(tables.scan_labeled(spark, path), runs, run_id)
     labeled, before = tables.scan_labeled(spark, path), raw.count()
     runlog.write_report(profile.stored_labeling_report(labeled, before), f"{out}/labeling_report")
     row = runlog.one_row(

@@ -365,6 +365,27 @@ SELECT review_id, user_id, business_id, stars, text, label FROM labeled""",
     "scan_labeled": f"""WITH {LABELED}
 SELECT label, business_id, count(*) AS cnt, CAST(sum(review_id) AS BIGINT) AS key_sum
 FROM labeled GROUP BY label, business_id""",
+    "labeled_runs": f"""WITH {LABELED},
+runs AS (
+  SELECT '007' AS run_id, * FROM labeled WHERE review_id % 2 = 0 AND label = 1
+  UNION ALL SELECT '010', * FROM labeled WHERE review_id % 2 <> 0
+),
+sized AS (
+  SELECT run_id, label, count(*) AS cnt, CAST(sum(review_id) AS BIGINT) AS key_sum
+  FROM runs GROUP BY ALL
+)
+SELECT *, 'all' AS part FROM sized
+UNION ALL SELECT *, 'newest' FROM sized WHERE run_id = '010'""",
+    "merged_profile": f"WITH {DAMAGED}\n" + "\nUNION ALL\n".join(
+        f"""SELECT CAST({i} AS BIGINT) AS position, '{name}' AS column_name, '{kind}' AS data_type,
+       count(*) AS rows, count(*) - count({name}) AS nulls,
+       {f"min(length({name}))" if kind == "string" else "NULL::BIGINT"} AS least_length,
+       {f"round(avg(length({name})), 6)" if kind == "string" else "NULL::DOUBLE"} AS average_length,
+       {f"max(length({name}))" if kind == "string" else "NULL::BIGINT"} AS greatest_length,
+       true AS distinct_near, true AS median_near
+FROM damaged"""
+        for i, (name, kind) in enumerate(_COLUMNS)
+    ),
     "metric_report": _PROFILE,
     "run_log_append": """
 SELECT event_type || '-' || user_id AS run_id, count(*) AS total_rows,

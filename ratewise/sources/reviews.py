@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -96,6 +98,53 @@ def write_labeled(
     )
 
 
+#: Partition column of a table that holds many runs, and the ids that name a folder.
+RUN = "run_id"
+RUN_ID = re.compile(r"[A-Za-z0-9_.-]+")
+
+
+def write_run(
+    labeled: DataFrame,
+    path: str,
+    run_id: str,
+    max_records_per_file: int = MAX_RECORDS_PER_FILE,
+    compact: bool = False,
+) -> None:
+    """Write one run into a table of many, by run and label.
+
+    A run of the same id is replaced as a whole, labels that it no longer has included;
+    other runs stay as they are. The id comes back from the path, as text.
+    """
+    if not RUN_ID.fullmatch(run_id):
+        raise ValueError(f"not a run id: {run_id!r}")
+    write_labeled(labeled, f"{path}/{RUN}={run_id}", max_records_per_file, compact)
+
+
+def run_ids(spark: SparkSession, path: str) -> list[str]:
+    """The ids of all runs of a table, in their order, by its folders alone."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return sorted(name[len(RUN) + 1 :] for name in names if name.startswith(f"{RUN}="))
+
+
+def scan_runs(spark: SparkSession, path: str, run_id: str | None = None, newest: bool = False) -> DataFrame:
+    """All runs of a table as one, with their ``run_id``; or a single one, or the newest.
+
+    The newest is the greatest id. Folders of other runs are not opened. An unknown run
+    gives no rows; a table without any run raises.
+    """
+    found = run_ids(spark, path)
+    if not found:
+        raise ValueError(f"no run in {path}")
+    # ids are text, even where they look like numbers
+    kinds = spark.read.parquet(path).schema
+    kinds = T.StructType([T.StructField(f.name, T.StringType()) if f.name == RUN else f for f in kinds])
+    runs = require_columns(spark.read.schema(kinds).parquet(path), ["text", "label"])
+    wanted = found[-1] if newest else run_id
+    return runs if wanted is None else runs.where(F.col(RUN) == wanted)
+
+
 def scan_features(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     """The feature table, or only one side of its split.
 

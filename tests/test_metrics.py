@@ -118,3 +118,32 @@ def test_reports_of_two_classes_refuse_others(spark, odd):
     for report in (metrics.evaluation_metrics, metrics.confusion_matrix):
         with pytest.raises(Exception, match="must be 0 or 1"):
             report(df).collect()
+
+
+def test_area_of_many_scores_in_two_exchanges(spark):
+    """10^5 distinct scores, some missing: one exchange by score, one by range; only a row
+    per task goes on."""
+    n = 100_000
+    score = F.when(F.col("id") % 1000 != 7, (F.col("id") * 7919 % n).cast("double"))
+    df = spark.range(n).select(
+        score.alias("score"),
+        ((F.col("id") * 31 % 97) < 40).cast("double").alias("label"),
+        F.lit(1.0).alias("prediction"),
+    )
+    row = metrics.evaluation_metrics(df).first()
+    data = [(r.label, r.score) for r in df.where("score IS NOT NULL").collect()]
+    assert row.rows_test == n and row.auc == pytest.approx(_auc_by_hand_sorted(data), abs=1e-12)
+    plan = metrics.roc_auc(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and plan.count("rangepartitioning") == 1
+
+
+def _auc_by_hand_sorted(data):
+    """The area from ranks; scores are distinct."""
+    ordered = sorted(data, key=lambda pair: pair[1])
+    below, pairs = 0, 0
+    for label, _ in ordered:
+        if label:
+            pairs += below
+        else:
+            below += 1
+    return pairs / (below * (len(data) - below))

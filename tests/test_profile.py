@@ -107,3 +107,38 @@ def test_profile_reads_disjoint_columns(spark, tmp_path):
     assert "ReadSchema: struct<review_id:string>" in plan
     assert plan.count("FileScan parquet") == 2 and "Cartesian" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_profiles_of_runs_merge(spark):
+    """States of any parts merge to the state of the whole; counts are exact."""
+    rows = _random_reviews(rows=3000)
+    df = spark.createDataFrame(rows, SCHEMA)
+    parts = [spark.createDataFrame(rows[i::3], SCHEMA) for i in range(3)] + [df.limit(0)]
+    states = profile.profile_state(parts[0])
+    for part in parts[1:]:
+        states = states.unionAll(profile.profile_state(part))
+    found = {r.column_name: r for r in profile.read_profile(profile.merge_profiles(states)).collect()}
+    whole = {r.column_name: r for r in profile.read_profile(profile.profile_state(df)).collect()}
+    for i, name in enumerate(df.columns):
+        values = [row[i] for row in rows if row[i] is not None]
+        assert (found[name].rows, found[name].nulls) == (3000, 3000 - len(values))
+        assert abs(found[name].distinct_values - len(set(values))) <= 1 + 0.02 * len(set(values))
+        assert found[name].distinct_values == whole[name].distinct_values
+    texts = [t for _, _, t in rows if t is not None]
+    assert found["text"].greatest_length == max(map(len, texts)) and found["text"].least_length == 0
+    assert abs(found["text"].average_length - sum(map(len, texts)) / len(texts)) < 1e-9
+    stars = sorted(s for _, s, _ in rows if s is not None)
+    low, high = (stars[int(q * len(stars))] for q in (0.45, 0.55))
+    assert low <= found["stars"].median <= high and found["text"].median is None
+
+
+def test_a_profile_state_is_one_scan(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = profile.profile_state(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+
+
+def test_a_profile_of_nothing(spark):
+    df = spark.createDataFrame([], "a int, b string, c array<int>, d date, e double")
+    rows = profile.read_profile(profile.profile_state(df)).collect()
+    assert [(r.rows, r.nulls, r.distinct_values, r.median) for r in rows] == [(0, 0, 0, None)] * 5

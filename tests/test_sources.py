@@ -142,3 +142,26 @@ def test_run_csv_with_quoted_line_ends_and_repeated_names(spark, tmp_path):
     df = runlog.scan_run_csv(spark, str(path), ["cores"])
     assert df.columns == ["cores", "note", "cores_2", "note_2"]
     assert [tuple(r) for r in df.collect()] == [("2", 'two\nlines, "quoted"', "3", "x")]
+
+
+def test_runs_of_one_table(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    rows = [(i, f"text {i}", float(i % 2)) for i in range(10)]
+    df = spark.createDataFrame(rows, "review_id long, text string, label double")
+    tables.write_run(df, path, "009")
+    tables.write_run(df.where("review_id < 4"), path, "10")
+    tables.write_run(df.where("label = 1"), path, "009")  # the other label goes as well
+    assert tables.run_ids(spark, path) == ["009", "10"]
+    found = {(r.run_id, r.review_id) for r in tables.scan_runs(spark, path).collect()}
+    assert found == {("009", i) for i in (1, 3, 5, 7, 9)} | {("10", i) for i in range(4)}
+    newest = tables.scan_runs(spark, path, newest=True)
+    assert newest.count() == 4 and newest.schema["run_id"].dataType.simpleString() == "string"
+    assert tables.scan_runs(spark, path, "009").where("label = 0").count() == 0
+    plan = newest._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan and "run_id" not in plan.split("ReadSchema")[1]
+    assert tables.scan_runs(spark, path, "none").count() == 0
+    with pytest.raises(ValueError, match="not a run id"):
+        tables.write_run(df, path, "a/b")
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError, match="no run"):
+        tables.scan_runs(spark, str(tmp_path / "empty"))
