@@ -10,10 +10,14 @@ item) agree in all but a fifth of the words. The two masks find every such windo
 wherever its substitutions are: there is no text that only chance would find.
 
 Words are runs of letters, digits and characters beyond ASCII; case does not count.
-Items of less than ``SHORTEST_ITEM`` words are too common to tell and take
-no part. Null and empty texts overlap nothing. Null item ids are items of their
+Items of less than ``SHORTEST_ITEM`` words overlap where all their words stand in a row,
+found by one hash of the whole item, if ``shortest`` lets them take part; they do not
+unless told to: few words in common are no reason to drop a document. Items of five to
+seven words must agree in every word. Null and empty texts overlap nothing; very long texts are
+taken whole, and memory follows the longest. Null item ids are items of their
 own. Repeated documents each get their rows, repeated items (same id and text) one.
-Extra columns of the inputs are ignored. An empty benchmark gives no rows.
+Extra columns of the inputs are ignored. An empty benchmark or document
+table gives no overlaps. A benchmark of several blocks is gone through block by block.
 """
 
 from __future__ import annotations
@@ -63,7 +67,7 @@ def seed_hashes(words: np.ndarray, mask: tuple[int, ...]) -> np.ndarray:
 class BenchmarkBlock:
     """Words and sorted seed hashes of a bounded number of items."""
 
-    def __init__(self, items: list[tuple[int | None, bytes]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[int | None, bytes]], window: int = WINDOW, shortest: int = 1):
         self.window = window
         data, offsets = packed.pack(folded([text for _, text in items]))
         words = packed.Tokens(data, offsets, packed.WORD_CLASSES)
@@ -71,16 +75,20 @@ class BenchmarkBlock:
         self.words = words.hash
         self.count = words.count
         self.first = np.cumsum(words.count) - words.count
-        allowed = words.count >= SHORTEST_ITEM
+        seeded = [(mask, words.count >= max(SHORTEST_ITEM, shortest)) for mask in MASKS]
+        # a short item is one seed that looks at all of its words
+        seeded += [(tuple(range(n)), words.count == n) for n in range(max(shortest, 1), SHORTEST_ITEM)]
         self.seeds = []
         self.filter = np.zeros(1 << FILTER_BITS, bool)
-        for mask in MASKS:
+        for mask, allowed in seeded:
+            if not allowed.any():
+                continue
             h = seed_hashes(words.hash, mask)
             at = np.arange(len(h))
             whole = (words.text[at] == words.text[at + mask[-1]]) & allowed[words.text[at]]
             h, at = h[whole], at[whole]
             order = np.argsort(h, kind="stable")
-            self.seeds.append((h[order], at[order], words.text[at[order]]))
+            self.seeds.append((mask, h[order], at[order], words.text[at[order]]))
             self.filter[h >> np.uint64(64 - FILTER_BITS)] = True
 
     def hits(self, words: packed.Tokens) -> np.ndarray:
@@ -90,7 +98,7 @@ class BenchmarkBlock:
         """
         found = [np.zeros((0, 3), np.int64)]
         first = np.cumsum(words.count) - words.count
-        for mask, (hashes, places, items) in zip(MASKS, self.seeds, strict=True):
+        for mask, hashes, places, items in self.seeds:
             h = seed_hashes(words.hash, mask)
             at = np.flatnonzero(self.filter[h >> np.uint64(64 - FILTER_BITS)])
             at = at[words.text[at] == words.text[at + mask[-1]]]
@@ -169,26 +177,32 @@ def _blocks(benchmark: DataFrame, block_bytes: int) -> Iterator[list[tuple[int |
         yield run
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """One row for each alignment of a document with a benchmark item that overlaps.
+def overlaps(
+    docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, shortest: int = SHORTEST_ITEM
+) -> DataFrame:
+    """One row for each alignment of a document with a benchmark item that overlaps, of
+    items of ``shortest`` words and more.
 
     The documents are never shuffled: each block of the benchmark, whose size is
     bounded, goes to all tasks. A benchmark of more blocks costs as many scans.
     """
     found = None
     for items in _blocks(benchmark, block_bytes):
-        part = _overlaps_with(docs, BenchmarkBlock(items))
+        part = _overlaps_with(docs, BenchmarkBlock(items, shortest=shortest))
         found = part if found is None else found.unionAll(part)
     return docs.sparkSession.createDataFrame([], SCHEMA) if found is None else found
 
 
-def clean_documents(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs``, all columns, that overlap no benchmark item.
+def clean_documents(
+    docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES, shortest: int = SHORTEST_ITEM
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that overlap no benchmark item of ``shortest``
+    words and more.
 
     Rows with null ids are judged by their text like all others.
     """
     for items in _blocks(benchmark, block_bytes):
-        docs = _without(docs, BenchmarkBlock(items))
+        docs = _without(docs, BenchmarkBlock(items, shortest=shortest))
     return docs
 
 

@@ -52,6 +52,7 @@ def _classified(scores: DataFrame, threshold: float) -> DataFrame:
 
 @query
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of every document, learned from the labels of two folds of three."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     weights = quality.train(docs, labels, "quality", in_fold(F.col("doc_id"), 3, 1))
     return _classified(quality.scored(docs, weights), 0.5)
@@ -59,6 +60,7 @@ def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one, by exact integer products."""
     vectors = search.integer_vectors(table(spark, folder, "embeddings"), "vec_id", "embedding")
     return search.top_k(vectors, F.col("id") % 100 == 0, 10)
 
@@ -87,8 +89,8 @@ SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 
 @query
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
-    """Every overlap of a document with a benchmark item."""
-    return decontam.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    """Every overlap of a document with a benchmark item, the shortest included."""
+    return decontam.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"), shortest=1)
 
 
 def _license_sql() -> str:
@@ -156,11 +158,13 @@ SQL["op4_licenses"] = _license_sql()
 
 @query
 def op4_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices in every whole text."""
     return licenses.scanned(table(spark, folder, "documents")).drop("matches")
 
 
 @query
 def op5_token_file(spark: SparkSession, folder: str) -> DataFrame:
+    """Token files of all documents, written, read back and digested."""
     path = new_path(spark, "token-ids")
     tokenizer = public_tokenizers.path("word_bpe_49k.json")
     tokenfile.write(table(spark, folder, "documents"), path, tokenizer, end_id=1)
@@ -169,6 +173,7 @@ def op5_token_file(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity scores of every document, learned from the labels of two folds of three."""
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = toxicity.train(docs, labels, "toxic", in_fold(F.col("doc_id"), 3, 1))
     return _classified(toxicity.scored(docs, model), 0.7)
@@ -176,6 +181,7 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every whole text encoded and decoded, as digests."""
     return bpe.digests(
         table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
     )
@@ -183,6 +189,7 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and class of near copies of every document."""
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     digits = F.lower(F.hex("fp"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
@@ -190,8 +197,11 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id")
-    return sharding.placed(docs, ["doc_id"], SHARDS)
+    """Whole documents written into their shards and read back: the place of each row."""
+    rows = sharding.placed(table(spark, folder, "documents"), ["doc_id"], SHARDS)
+    path = new_path(spark, "shards")
+    sharding.write_shards(rows, path)
+    return sharding.read_shards(spark, path, rows).select("doc_id", "slot", "shard")
 
 
 #: Named like the files of a data set of 100 shards.
@@ -200,6 +210,7 @@ SHARDS = [f"shard-{i:05d}" for i in range(100)]
 
 @query
 def op10_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    """Log probability of every document under the model of nine folds of ten."""
     return pitman_yor.scored(table(spark, folder, "documents"), in_fold(F.col("doc_id"), 10, 0))
 
 

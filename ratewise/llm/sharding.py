@@ -6,18 +6,22 @@ of its order that is still free, until all are taken. Shards differ by one slot
 most, and when a shard goes, most slots keep theirs. Placing a key is one hash and
 one look at the table, which is small by its parameter and broadcast.
 
-The key's text form is hashed, so equal keys meet in one shard. Rows with null keys
-are placed as if the key were the empty text. Repeated rows are kept and share a
-shard. A key held by many rows can be spread by naming more columns as its key.
-Empty tables give no rows; all columns are kept, whatever their names, and placing
-columns are added under the names given.
+The key's text form is hashed, so equal keys meet in one shard. Rows without any key,
+of which there may be very many, are placed by the text of all their columns instead, so
+that they spread like others. Repeated rows are kept and share a shard, as do null and
+empty texts of rows that differ in nothing else; very long texts are hashed whole. A key
+held by many rows can be spread by naming more columns as its key. Empty tables give no
+rows; all columns are kept, whatever their names, and placing columns are added under
+the names given.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: A prime, a hundred times the shards or more for an even share (fixed value).
@@ -46,11 +50,19 @@ def filled_table(shards: list[str], size: int = TABLE_SIZE) -> list[int]:
     return slots
 
 
-def slot_of(*keys: Column, size: int = TABLE_SIZE) -> Column:
-    """The slot of a row by 60 bits of the MD5 of its keys as text."""
-    texts = [F.coalesce(k.cast("string"), F.lit("")) for k in keys]
-    digits = F.substring(F.md5(F.concat_ws("\x1f", *texts)), 1, 15)
-    return F.pmod(F.conv(digits, 16, 10).cast("long"), F.lit(size))
+def _digest(columns: Sequence[Column]) -> Column:
+    texts = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
+    return F.md5(F.concat_ws("\x1f", *texts))
+
+
+def slot_of(*keys: Column, size: int = TABLE_SIZE, content: Sequence[Column] = ()) -> Column:
+    """The slot of a row by 60 bits of the MD5 of its keys as text; of ``content`` as text
+    where all keys are null."""
+    digest = _digest(keys)
+    if content:
+        absent = reduce(Column.__and__, [k.isNull() for k in keys])
+        digest = F.when(absent, _digest(content)).otherwise(digest)
+    return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), F.lit(size))
 
 
 def placed(
@@ -69,13 +81,23 @@ def placed(
         F.col("table_slot").cast("long").alias("table_slot"),
         F.element_at(names, F.col("number") + 1).alias("table_shard"),
     )
-    at = slot_of(*[rows[f"`{k}`"] for k in keys], size=size)
     kept = [rows[f"`{c}`"] for c in rows.columns]
+    at = slot_of(*[rows[f"`{k}`"] for k in keys], size=size, content=kept)
     return rows.join(F.broadcast(lookup), at == lookup["table_slot"]).select(
         *kept, lookup["table_slot"].alias(slot), lookup["table_shard"].alias(shard)
     )
 
 
 def write_shards(rows: DataFrame, path: str, shard: str = "shard") -> None:
-    """One folder for each shard; the tasks write their own rows, nothing is shuffled."""
-    rows.write.partitionBy(shard).parquet(path)
+    """One folder for each shard, of files of a sensible size.
+
+    One shuffle brings the rows of a shard together: without it every task would write a
+    small file into every folder. It splits shards that are larger than others.
+    """
+    rows.hint("rebalance", shard).write.partitionBy(shard).parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, rows: DataFrame, shard: str = "shard") -> DataFrame:
+    """The rows of all shards, with the columns of the ``rows`` that were written; shard
+    names come back as text. A filter on the shard opens its folder only."""
+    return spark.read.schema(rows.schema).parquet(path).select(*[f"`{c}`" for c in rows.columns])

@@ -87,3 +87,17 @@ def test_empty_tables(spark):
     assert decontam.clean_documents(docs, items).count() == 1
     assert decontam.overlaps(docs.limit(0), items).count() == 0
     assert np.all(decontam.seed_hashes(np.zeros(2, np.uint64), (0, 1, 2, 4)) == 0)
+
+
+def test_short_items_match_whole_and_exactly(spark):
+    items = [(1, "Paris"), (2, "forty two"), (3, "the red fox"), (4, "a b c d"), (5, None), (6, "fox")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = [(10, "the RED fox, Paris! forty two"), (11, "red fox the forty - two forty"), (12, "a b c x d a b c d"), (13, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    found = {(r["doc_id"], r["item_id"], r["start"], r["words"]) for r in decontam.overlaps(docs, benchmark, shortest=1).collect()}
+    assert found == {
+        (10, 3, 0, 3), (10, 6, 2, 1), (10, 1, 3, 1), (10, 2, 4, 2), (11, 6, 1, 1), (11, 2, 3, 2), (12, 4, 5, 4),
+    }
+    assert decontam.clean_documents(docs, benchmark).count() == 4
+    kept = decontam.clean_documents(docs, benchmark, shortest=1)
+    assert [r["doc_id"] for r in kept.collect()] == [13]

@@ -43,7 +43,7 @@ def test_placing(spark, tmp_path):
     assert found.columns == [*df.columns, "place", "shard"] and found.count() == 101
     table = sharding.filled_table(SHARDS, 4099)
     for r in found.collect():
-        text = "" if r["doc_id"] is None else str(r["doc_id"])
+        text = "\x1fy\x1f2".join(["\x1f", ""]) if r["doc_id"] is None else str(r["doc_id"])
         slot = int(hashlib.md5(text.encode()).hexdigest()[:15], 16) % 4099
         assert (r["place"], r["shard"]) == (slot, SHARDS[table[slot]])
     plan = found._jdf.queryExecution().executedPlan().toString()
@@ -54,3 +54,19 @@ def test_placing(spark, tmp_path):
     assert sharding.placed(df.limit(0), ["doc_id"], SHARDS, 4099, slot="place").count() == 0
     spread = sharding.placed(df, ["doc_id", "slot"], SHARDS, 4099, slot="place")
     assert spread.count() == 101
+
+
+def test_rows_without_a_key_spread_by_their_content(spark, tmp_path):
+    """A third of the rows has no key; shards stay even, and rows come back whole."""
+    rows = [(None if i % 3 == 0 else i, f"text {i}", "é" * (i % 5)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    placed = sharding.placed(df, ["doc_id"], SHARDS, 4099)
+    counts = [r["count"] for r in placed.groupBy("shard").count().collect()]
+    assert len(counts) == len(SHARDS) and max(counts) < 1.2 * min(counts)
+    path = str(tmp_path / "shards")
+    sharding.write_shards(placed, path)
+    again = sharding.read_shards(spark, path, placed)
+    assert again.columns == placed.columns
+    assert again.exceptAll(placed).count() == 0 and placed.exceptAll(again).count() == 0
+    plan = again.where("shard = 's3'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(shard" in plan
