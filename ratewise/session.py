@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -75,10 +76,8 @@ def work_tables(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
         for path in _OPEN_BLOCKS.pop():
-            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(hadoop).delete(place, True)
+            _remove(spark, path)
 
 
 def durable(df: DataFrame, name: str, *partition_columns: str) -> DataFrame:
@@ -92,4 +91,25 @@ def durable(df: DataFrame, name: str, *partition_columns: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.partitionBy(*partition_columns).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Remove tables that ``durable`` returned and that nothing reads any more.
+
+    An iterative job calls this for the tables of its former rounds, so that its disk does
+    not grow with their number. Shuffle files of ended queries go when the driver's objects
+    of them are collected, which is asked for here.
+    """
+    for df in stored:
+        _remove(df.sparkSession, df._stored_at)
+    if stored:
+        gc.collect()
+        stored[0].sparkSession.sparkContext._jvm.System.gc()
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

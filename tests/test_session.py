@@ -2,6 +2,9 @@ import os
 import subprocess
 import sys
 
+import pytest
+
+from ratewise import session
 from ratewise.session import durable, new_path, work_dir, work_tables
 
 ALONE = """
@@ -26,3 +29,13 @@ def test_work_tables_are_removed(spark):
         assert any(name.startswith("short-lived-") for name in os.listdir(folder))
     assert not any(name.startswith("short-lived-") for name in os.listdir(folder))
     assert new_path(spark, "kept") != new_path(spark, "kept")
+
+
+def test_discarded_tables_are_gone(spark):
+    kept, gone = (session.durable(spark.range(5), name) for name in ("kept", "gone"))
+    assert gone.count() == 5
+    session.discard(gone)
+    assert kept.count() == 5
+    with pytest.raises(Exception, match="(?i)not.*exist"):
+        spark.read.parquet(gone._stored_at).count()
+    session.discard()
