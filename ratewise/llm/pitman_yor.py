@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.llm import packed
-from ratewise.session import durable
+from ratewise.session import discard, durable
 
 #: Bytes of text whose words share a dictionary.
 CHUNK = 10_000_000
@@ -515,13 +515,15 @@ class Following:
             "u": tally.where("j IS NULL AND u IS NOT NULL").select("u", "c"),
             "w": tally.where("j IS NULL AND w IS NOT NULL").select("w", "c"),
         }
-        #: By sweep: (bucket, j, c, t) of repeated pairs; (h, tables, p) of words, their tables as
-        #: first words and their probability in the parent.
+        #: Of the sweeps that count: (bucket, j, c, t) of repeated pairs. Of all: (h, tables,
+        #: p) of words, their tables as first words and their probability in the parent.
         self.drawn: list[DataFrame] = []
         self.words: list[DataFrame] = []
 
     def customers(self, number: int) -> DataFrame:
-        """Seat all pairs given the last sweep; (word, h, c, tables) of every word."""
+        """Seat all pairs given the last sweep; (word, h, c, tables) of every word.
+
+        What only this sweep needs is discarded as soon as it is added up."""
         if not self.words:
             drawn = self.repeated.withColumn("t", F.lit(1).cast("long"))
         else:
@@ -530,21 +532,33 @@ class Following:
             right = last.select(F.col("h").alias("w"), "p")
             drawn = self.repeated.join(left, "u").join(right, "w")
             drawn = drawn.mapInArrow(_pair_draws(number), "bucket long, j long, u long, w long, c long, t long")
-        self.drawn.append(durable(drawn.select("bucket", "j", "u", "w", "c", "t"), "lm-drawn"))
-        drawn = self.drawn[-1]
-
-        def of(side: str, name: str) -> DataFrame:
-            every = drawn.select(side, F.col("t").alias("c")).unionAll(self.once[side])
-            return every.groupBy(F.col(side).alias("h")).agg(F.sum("c").alias(name))
-
-        seated = self.vocabulary.select("word", "h").join(of("w", "c"), "h", "left")
-        seated = seated.join(of("u", "tables"), "h", "left").na.fill(0, ["c", "tables"])
-        return durable(seated.select("word", "h", "c", "tables"), "lm-seated")
+        whole = None
+        if number >= BURN_IN:
+            drawn = whole = durable(drawn.select("bucket", "j", "u", "w", "c", "t"), "lm-drawn-pairs")
+            self.drawn.append(durable(drawn.select("bucket", "j", "c", "t"), "lm-drawn"))
+        # the customers of a word as the second and its tables as the first of pairs, at once
+        zero = F.lit(0).cast("long")
+        first = F.struct(F.col("u").alias("h"), zero.alias("c"), F.col("t").alias("tables"))
+        second = F.struct(F.col("w").alias("h"), F.col("t").alias("c"), zero.alias("tables"))
+        every = drawn.select(F.inline(F.array(first, second)))
+        once = {"u": (zero, F.col("c")), "w": (F.col("c"), zero)}
+        for side, (c, tables) in once.items():
+            single = self.once[side].select(F.col(side).alias("h"), c.alias("c"), tables.alias("tables"))
+            every = every.unionAll(single)
+        sums = every.groupBy("h").agg(F.sum("c").alias("c"), F.sum("tables").alias("tables"))
+        seated = self.vocabulary.select("word", "h").join(sums, "h", "left").na.fill(0, ["c", "tables"])
+        seated = durable(seated.select("word", "h", "c", "tables"), "lm-seated")
+        done = [whole] if whole is not None else []
+        if 0 < number <= BURN_IN:  # the state before the first sweep that counts is the last not kept
+            done.append(self.words[-1])
+        discard(*done)
+        return seated
 
     def observe(self, words: DataFrame, sample: Sample) -> None:
         total = words.agg(F.sum("c")).first()[0] or 0
         p = word_scores(words, sample, total)
         self.words.append(durable(p, "lm-state"))
+        discard(words)
 
 
 def _pair_draws(number: int):
@@ -641,7 +655,7 @@ def scored(docs: DataFrame, held_out: Column) -> DataFrame:
     columns = [f"{n}{s}" for n in ("tables", "p") for s in range(SAMPLES)]
     scores = durable(scores, "lm-states")
     named = words.select("chunk", "lid", "h").join(scores, "h").select("chunk", "lid", "c", *columns)
-    told = pair_states(tally, following.drawn[BURN_IN:])
+    told = pair_states(tally, following.drawn)
     told = named.unionByName(told, allowMissingColumns=True)
 
     def run(key: tuple, text: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
