@@ -309,6 +309,8 @@ def one_of_each(docs: DataFrame, like: Similarity = CLOSE) -> DataFrame:
     key = docs["doc_id"]
     plain = docs.where(key.isNotNull()).join(left, key == left["left_id"], "left_anti")
     repeated = left.where("rows > 1").select("left_id")
+    if repeated.isEmpty() and prints.where("doc_id IS NULL").isEmpty():
+        return plain
     odd = docs.where(key.isNotNull()).join(repeated, key == repeated["left_id"], "left_semi")
     odd = odd.unionAll(docs.where(key.isNull()))
 
