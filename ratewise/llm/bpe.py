@@ -9,7 +9,8 @@ heap, as scanning them would take quadratic time.
 
 Null texts are encoded like empty ones, as no ids, and decoded to the empty text.
 Strings of special tokens in a text become their ids. Repeated rows and null ids
-are kept. Extra columns of the input are ignored.
+are kept. Extra columns of the input are ignored, whatever their names. Very long texts
+are encoded whole and memory follows the longest. An empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -25,7 +25,8 @@ restaurants at most whatever the corpus; they are sampled on the driver.
 Null and empty texts are one end token. Null ids are learned from. Repeated rows
 count and are scored as often as they occur. Extra columns of the input are ignored.
 With no text to learn from all probabilities come from the uniform spelling. An
-empty table gives no rows.
+empty table gives no rows. Very long texts are taken whole, a chunk of their own, so
+memory follows the longest; columns of other names are ignored.
 """
 
 from __future__ import annotations

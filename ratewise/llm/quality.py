@@ -6,7 +6,8 @@ function of that row's product with the weights, a few of which are non-zero.
 Null and empty texts have no n-grams: their score is that of the bias alone.
 Without labelled rows of both classes every score is 0.5. Repeated rows are scored
 alike, and of each sampled id one row is learned from. Extra columns of the input are
-ignored.
+ignored, whatever their names. Very long texts are taken whole, a fraction of a megabyte
+of texts at a time, so memory follows the longest. An empty document table gives no rows.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ softmax; vectors and softmax are trained jointly.
 A text without words (null, empty, marks only) has a zero mean vector: its score is
 the softmax of the bias. Without labelled rows of both classes every score is 0.5.
 Repeated rows are scored alike, and of each sampled id one row is learned from. Extra
-columns of the input are ignored.
+columns of the input are ignored, whatever their names. Very long texts are taken whole
+and memory follows the longest. An empty document table gives no rows.
 """
 
 from __future__ import annotations
