@@ -106,6 +106,32 @@ SIGNS = (
     ("unnamed", "<copyright> c? ?[12][0-9]{3}"),
 )
 
+#: Headers, clauses, exceptions and choices (fixed values): label, priority, score, rule.
+HEADERS = (
+    ("gpl-2-or-later", 2, 0.95, "either version 2 of the license or at your <option> any later version"),
+    ("gpl-3-or-later", 2, 0.95, "either version 3 of the license or at your <option> any later version"),
+    ("lgpl-2.1-or-later", 2, 0.95, "either version 2 1 of the license or at your <option> any later version"),
+    ("lgpl", 3, 0.8, "this library is free <software> you can redistribute it"),
+    ("agpl-3", 2, 0.95, "under the terms of the gnu <affero> general public license"),
+    ("mpl-1.1", 2, 0.95, "the contents of this file are subject to the <mozilla> public license version 1 1"),
+    ("mpl-2", 2, 0.95, "this source code form is subject to the terms of the <mozilla> public license v 2 0"),
+    ("epl-1", 2, 0.95, "accompanying materials are made available under the terms of the <eclipse> public license (?:v1 0|v 1 0|1 0)"),
+    ("epl-2", 2, 0.95, "accompanying materials are made available under the terms of the <eclipse> public license (?:v2 0|v 2 0|2 0)"),
+    ("boost", 3, 0.8, "permission is hereby granted free of charge to any person or <organization> obtaining a copy"),
+    ("zlib", 3, 0.8, "the <origin> of this software must not be misrepresented"),
+    ("zlib", 4, 0.7, "without any express or <implied> warranty in no event will the authors be held liable"),
+    ("bsd", 4, 0.7, "redistributions of source code must retain the above <copyright> notice"),
+    ("bsd-3-clause", 3, 0.85, "neither the name of (?:[^ ]+ ){1,4}nor the names of (?:its|the|other) <contributors>"),
+    ("bsd-4-clause", 3, 0.9, "all <advertising> materials mentioning features or use of this software must display"),
+    ("linking-exception", 3, 0.85, "as a special exception the copyright holders (?:of this library )?give you permission to <link>"),
+    ("classpath-exception", 3, 0.85, "<classpath> exception"),
+    ("llvm-exception", 3, 0.85, "<llvm> exceptions?"),
+    ("gcc-exception", 3, 0.85, "<gcc> runtime library exception"),
+    ("apache-2", 2, 0.9, "mit(?: license)? or (?:the )?<apache>(?: license)?(?: version)?(?: 2(?: 0)?)?"),
+    ("mit", 2, 0.9, "apache(?: license)?(?: version)?(?: 2(?: 0)?)? or (?:the )?<mit>(?: license)?"),
+    ("gpl", 2, 0.9, "mit(?: license)? or (?:the )?(?:gnu )?<gpl>"),
+)
+
 #: How a license is named (fixed values): priority, score, text around the name.
 NOTICES = (
     (1, 1.0, "spdx license identifier {spdx}"),
@@ -127,7 +153,7 @@ class Rule:
 
 
 def rules() -> tuple[Rule, ...]:
-    """All rules in their order: every license in every notice, then the signs."""
+    """All rules in their order: every license in every notice, the signs, the headers."""
     found = []
 
     def add(label: str, priority: int, score: float, pattern: str) -> None:
@@ -144,6 +170,8 @@ def rules() -> tuple[Rule, ...]:
                 add(label, priority, score, notice.format(full=f"(?:{full})"))
     for label, sign in SIGNS:
         add(label, 5, 0.6, sign)
+    for header in HEADERS:
+        add(*header)
     return tuple(found)
 
 

@@ -109,3 +109,41 @@ def test_notices_without_a_telling_word_are_found(spark):
 def test_every_rule_needs_a_keyword_of_the_prefilter():
     for rule in licenses.RULES:
         assert f"<{rule.keyword}>" in rule.pattern and rule.keyword in licenses._keywords()
+
+
+HEADER_TEXTS = {
+    "either version 2 of the License, or (at your option) any later version.": "gpl-2-or-later",
+    "either version 3 of the License, or (at your option) any later version.": "gpl-3-or-later",
+    "either version 2.1 of the License, or (at your option) any later version.": "lgpl-2.1-or-later",
+    "This library is free software; you can redistribute it and/or modify it": "lgpl",
+    "under the terms of the GNU Affero General Public License": "agpl-3",
+    "The contents of this file are subject to the Mozilla Public License Version 1.1": "mpl-1.1",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-2",
+    "accompanying materials are made available under the terms of the Eclipse Public License v1.0": "epl-1",
+    "accompanying materials are made available under the terms of the Eclipse Public License 2.0": "epl-2",
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy": "boost",
+    "The origin of this software must not be misrepresented; you must not claim": "zlib",
+    "without any express or implied warranty. In no event will the authors be held liable": "zlib",
+    "Redistributions of source code must retain the above copyright notice": "bsd",
+    "Neither the name of the University nor the names of its contributors may be used": "bsd-3-clause",
+    "All advertising materials mentioning features or use of this software must display": "bsd-4-clause",
+    "As a special exception, the copyright holders of this library give you permission to link": "linking-exception",
+    "GPL-2.0 WITH Classpath-exception": "classpath-exception",
+    "Apache License v2.0 with LLVM Exceptions": "llvm-exception",
+    "under the GCC Runtime Library Exception, version 3.1": "gcc-exception",
+    "Licensed under MIT or Apache-2.0": "apache-2,mit",
+    "Licensed under Apache 2.0 or MIT": "apache-2,mit",
+    "dual licensed under the MIT license or the GPL": "gpl,mit",
+}
+
+
+def test_headers_clauses_exceptions_and_choices(spark):
+    rows = list(enumerate(HEADER_TEXTS))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in licenses.scanned(docs).drop("matches").collect()}
+    for i, text in rows:
+        assert set(HEADER_TEXTS[text].split(",")) <= set(found[i]["labels"].split(",")), text
+        assert tuple(found[i])[1:] == pytest.approx(brute(text)), text
+    # the clause of a longer notice does not stand beside what contains it
+    later = next(i for i, t in rows if "2.1" in t and "later" in t)
+    assert found[later]["labels"] == "lgpl-2.1-or-later"
