@@ -2,8 +2,8 @@
 
 A linear model over TF-IDF is a weight per term. Scoring is then a join of the term table
 with the weights and a sum per document, and the loss and its gradient are sums over the
-same rows. Nothing is turned into vectors and no vocabulary reaches the driver, so the
-weights may be any number of terms; they are broadcast only where they are small.
+same rows. Nothing is turned into vectors and no vocabulary has to reach the driver, so the
+weights may be any number of terms; they are broadcast where they are few enough.
 
 Documents keep their columns. ``row`` is a number that tells documents apart; columns of a
 document are grouped with it, so carry few. A document without a known term, null or empty
@@ -16,7 +16,7 @@ from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ratewise.operators.terms import BIGRAM, UNIGRAM, term_table
+from ratewise.operators.terms import BIGRAM, UNIGRAM, for_broadcast, term_counts, term_table
 from ratewise.session import durable
 
 
@@ -42,22 +42,16 @@ def model_terms(model: LogisticRegressionModel, learned: DataFrame) -> DataFrame
     return durable(placed.join(coefficients, "place").drop("place"), "model-terms")
 
 
-def _known(table: DataFrame, weights: DataFrame) -> DataFrame:
-    """The table's rows, one for each known term: its number of the weights' row, its value
-    ``x`` (count times IDF) and its share of the margin. A document without has one row of
-    nulls."""
+def _margins(table: DataFrame, weights: DataFrame, intercept: float) -> DataFrame:
+    """The table's columns without the counts, and the margin of each document."""
     carried = [name for name in table.columns if name != "counts"]
-    counts = table.select(*carried, F.inline_outer("counts"))
-    joined = counts.join(weights, ["kind", "term"], "left")
     x = F.col("tf") * F.col("idf")
-    return joined.select(
-        *carried, "kind", "term", x.alias("x"), (x * F.col("coefficient")).alias("share")
-    )
-
-
-def _margins(known: DataFrame, carried: list[str], intercept: float, *more: Column) -> DataFrame:
+    known = term_counts(table).join(for_broadcast(weights), ["kind", "term"])
+    shares = known.select(*carried, (x * F.col("coefficient")).alias("share"))
+    # a row without a share for documents without a known term
+    every = table.select(*carried, F.lit(None).cast("double").alias("share"))
     margin = F.coalesce(F.sum("share"), F.lit(0.0)) + F.lit(float(intercept))
-    return known.groupBy(*carried).agg(margin.alias("margin"), *more)
+    return shares.unionAll(every).groupBy(*carried).agg(margin.alias("margin"))
 
 
 def probability(margin: Column) -> Column:
@@ -71,7 +65,7 @@ def score_terms(table: DataFrame, weights: DataFrame, intercept: float) -> DataF
     row, so a task adds them up before the shuffle: a row per document is sent.
     """
     carried = [name for name in table.columns if name != "counts"]
-    scored = _margins(_known(table, weights), carried, intercept)
+    scored = _margins(table, weights, intercept)
     kept = [name for name in carried if name != "row"]
     margin = F.col("margin")
     return scored.select(
@@ -83,12 +77,10 @@ def score_terms(table: DataFrame, weights: DataFrame, intercept: float) -> DataF
 
 
 def _residuals(table: DataFrame, weights: DataFrame, intercept: float) -> DataFrame:
-    """Per document: label, margin, probability less label, and its known terms."""
-    slim = table.select("row", "label", "counts")
-    entry = F.struct("kind", "term", "x")
-    known = F.collect_list(F.when(F.col("x").isNotNull(), entry)).alias("known")
-    margins = _margins(_known(slim, weights), ["row", "label"], intercept, known)
-    return margins.withColumn("residual", probability(F.col("margin")) - F.col("label"))
+    """Per document: row, label, margin, and probability less label; stored."""
+    margins = _margins(table.select("row", "label", "counts"), weights, intercept)
+    residual = probability(F.col("margin")) - F.col("label")
+    return durable(margins.withColumn("residual", residual), "residuals")
 
 
 def _loss(margin: Column, label: Column) -> Column:
@@ -102,27 +94,32 @@ def gradient(table: DataFrame, weights: DataFrame, intercept: float) -> DataFram
     ``table`` is a ``numbered_table`` with a ``label`` of 0 or 1. Terms without a weight
     and documents of other weight tables have no part; every known term has a row.
     """
-    rows = durable(_residuals(table, weights, intercept), "residuals")
-    return _gradient(rows)
+    return _gradient(table, weights, _residuals(table, weights, intercept))
 
 
-def _gradient(rows: DataFrame) -> DataFrame:
+def _gradient(table: DataFrame, weights: DataFrame, rows: DataFrame) -> DataFrame:
+    """Documents meet their residuals as whole rows of the table, not term by term."""
     documents = rows.agg(F.count(F.lit(1))).scalar()
+    known = for_broadcast(weights.select("kind", "term", "idf"))
+    weighed = table.select("row", "counts").join(rows.select("row", "residual"), "row").drop("row")
+    x = F.col("tf") * F.col("idf")
     return (
-        rows.select("residual", F.inline("known"))
+        term_counts(weighed)
+        .join(known, ["kind", "term"])
         .groupBy("kind", "term")
-        .agg((F.sum(F.col("residual") * F.col("x")) / documents).alias("gradient"))
+        .agg((F.sum(F.col("residual") * x) / documents).alias("gradient"))
     )
 
 
 def log_loss(table: DataFrame, weights: DataFrame, intercept: float) -> DataFrame:
     """One row: documents, average log loss, and the gradient's norm and part by intercept.
 
-    One pass over the term table gives the residuals, which are stored; loss and gradient
-    are sums over them. No documents: a loss of null and a norm of zero.
+    One pass over the term table gives the residuals, which are stored; the loss is a sum
+    over them, the gradient one over the table with them. No documents: a loss of null and a
+    norm of zero.
     """
-    rows = durable(_residuals(table, weights, intercept), "residuals")
-    by_term = _gradient(rows).agg(F.coalesce(F.sum(F.col("gradient") ** 2), F.lit(0.0)).alias("squares"))
+    rows = _residuals(table, weights, intercept)
+    by_term = _gradient(table, weights, rows).agg(F.coalesce(F.sum(F.col("gradient") ** 2), F.lit(0.0)).alias("squares"))
     sums = rows.agg(
         F.count(F.lit(1)).alias("documents"),
         F.avg(_loss(F.col("margin"), F.col("label"))).alias("loss"),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,9 @@ DOCUMENT = "document"
 VOCAB_SIZE = 50_000
 MIN_DOCUMENTS = 5
 
+#: Tables of terms are broadcast up to this size, a row counted as its term and 64 bytes.
+BROADCAST_BYTES = 32 << 20
+
 
 def with_tokens(
     df: DataFrame, words: Sequence[str] = STOP_WORDS, unicode_words: bool = False
@@ -43,6 +47,16 @@ def _runs(kind: str, ordered: Column, starts: Column) -> Column:
     return F.transform(starts, run)
 
 
+def _starts(ordered: Column) -> Column:
+    """Where the runs of a sorted array begin."""
+    return F.array_compact(
+        F.transform(
+            ordered,
+            lambda term, i: F.when((i == 0) | (term != F.get(ordered, i - 1)), i),
+        )
+    )
+
+
 def _present_tokens() -> Column:
     """The tokens, none for a missing text."""
     return F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")
@@ -59,29 +73,61 @@ def _runs_by_kind(docs: DataFrame, kinds: Sequence[str]) -> tuple[DataFrame, lis
         *carried, *[F.sort_array(_terms_of(kind)).alias(f"{kind}_terms") for kind in kinds]
     )
 
-    def starts(kind: str) -> Column:
-        column = F.col(f"{kind}_terms")
-        return F.array_compact(
-            F.transform(
-                column,
-                lambda term, i: F.when((i == 0) | (term != F.get(column, i - 1)), i),
-            )
-        )
-
-    marked = ordered.select("*", *[starts(kind).alias(f"{kind}_starts") for kind in kinds])
+    marked = ordered.select(
+        "*", *[_starts(F.col(f"{kind}_terms")).alias(f"{kind}_starts") for kind in kinds]
+    )
     return marked, [_runs(kind, F.col(f"{kind}_terms"), F.col(f"{kind}_starts")) for kind in kinds]
 
 
 def term_table(docs: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
     """One row per document, stored: its other columns and ``counts``, how often it holds
-    each term, as an array of (kind, term, tf).
+    each term: by kind the terms that it holds ``once``, and (term, tf) of those it holds
+    ``more`` often. ``term_counts`` gives them as rows.
 
     Vocabulary, weights and scores all come from this table, so texts are tokenized once.
-    All tokens of a document are in its row, so nothing is shuffled to count them.
+    All tokens of a document are in its row, so nothing is shuffled to count them. Most
+    terms occur once in a document; only the others are counted.
     """
     carried = [name for name in docs.columns if name != "tokens"]
-    marked, runs = _runs_by_kind(docs, kinds)
-    return durable(marked.select(*carried, F.concat(*runs).alias("counts")), "term-table")
+
+    def with_columns(df: DataFrame, suffix: str, column: Callable[[str], Column]) -> DataFrame:
+        return df.select("*", *[column(kind).alias(f"{kind}_{suffix}") for kind in kinds])
+
+    def repeated(kind: str) -> Column:
+        ordered = F.col(f"{kind}_ordered")
+        return F.filter(ordered, lambda term, i: (i > 0) & (term == F.get(ordered, i - 1)))
+
+    def counted(kind: str) -> Column:
+        again = F.col(f"{kind}_again")
+        more = F.transform(
+            _runs(kind, again, F.col(f"{kind}_starts")),
+            lambda run: F.struct(run["term"].alias("term"), (run["tf"] + 1).alias("tf")),
+        )
+        once = F.array_except(F.col(f"{kind}_terms"), again)
+        return F.struct(once.alias("once"), more.alias("more")).alias(kind)
+
+    spread = with_columns(docs.select(*carried, _present_tokens()), "terms", _terms_of)
+    spread = with_columns(spread, "ordered", lambda kind: F.sort_array(f"{kind}_terms"))
+    spread = with_columns(spread, "again", repeated)
+    spread = with_columns(spread, "starts", lambda kind: _starts(F.col(f"{kind}_again")))
+    return durable(
+        spread.select(*carried, F.struct(*[counted(kind) for kind in kinds]).alias("counts")), "term-table"
+    )
+
+
+def _table_counts(table: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """(kind, term, tf) with the document's columns, of a ``term_table``; the terms held once
+    and those held more often are read apart."""
+    carried = [name for name in table.columns if name != "counts"]
+    parts = []
+    for kind in kinds:
+        named = [*carried, F.lit(kind).alias("kind")]
+        once, more = (F.col("counts")[kind][part] for part in ("once", "more"))
+        parts.append(
+            table.select(*named, F.explode(once).alias("term")).withColumn("tf", F.lit(1).cast("long"))
+        )
+        parts.append(table.select(*named, F.inline(more)))
+    return reduce(DataFrame.unionAll, parts)
 
 
 def is_term_table(docs: DataFrame) -> bool:
@@ -98,7 +144,7 @@ def term_counts(docs: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
     """
     carried = [name for name in docs.columns if name not in ("tokens", "counts")]
     if is_term_table(docs):
-        return docs.select(*carried, F.inline("counts"))
+        return _table_counts(docs, docs.schema["counts"].dataType.names)
     marked, runs = _runs_by_kind(docs, kinds)
     # The array is an expression here, not a column: for a column the optimizer
     # adds a filter on its size, which would tokenize every text a second time.
@@ -110,8 +156,7 @@ def _table_statistics(table: DataFrame, kinds: Sequence[str], min_documents: int
     """The statistics of a stored table: it is read, not tokenized, and has one row to add
     for each document and term. The number of documents is that of its rows."""
     terms = (
-        table.select(F.inline("counts"))
-        .where(F.col("kind").isin(*kinds))
+        _table_counts(table.select("counts"), kinds)
         .groupBy("kind", "term")
         .agg(F.sum("tf").alias("cf"), F.count(F.lit(1)).alias("df"))
     )
@@ -283,14 +328,26 @@ def fit_terms(
     return durable(terms.select("*", idf), "terms")
 
 
+def for_broadcast(terms: DataFrame) -> DataFrame:
+    """``terms`` with a hint to broadcast them, if they are few, however low the session's
+    threshold: joined by shuffle, every term of every document would move. Not hinted in a
+    session that broadcasts nothing. The terms are read to add up their size.
+    """
+    if terms.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
+        return terms
+    size = terms.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
+    return F.broadcast(terms) if size <= BROADCAST_BYTES else terms
+
+
 def known_terms(counts: DataFrame, terms: DataFrame) -> DataFrame:
     """Counts of vocabulary terms only."""
-    return counts.join(terms.select("kind", "term"), ["kind", "term"], "left_semi")
+    known = for_broadcast(terms.select("kind", "term"))
+    return counts.join(known, ["kind", "term"], "left_semi")
 
 
 def tfidf(counts: DataFrame, terms: DataFrame) -> DataFrame:
     """Counts of vocabulary terms with their document frequency and weight."""
-    learned = terms.select("kind", "term", "term_index", "df", "idf")
+    learned = for_broadcast(terms.select("kind", "term", "term_index", "df", "idf"))
     return counts.join(learned, ["kind", "term"]).withColumn(
         "tfidf", F.col("tf") * F.col("idf")
     )

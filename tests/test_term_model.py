@@ -110,3 +110,25 @@ def test_no_documents(table):
     assert term_model.score_terms(none, weights, 1.0).count() == 0
     row = term_model.log_loss(none, weights, 1.0).first()
     assert (row.documents, row.loss, row.gradient_norm) == (0, None, 0.0)
+
+
+def test_terms_of_documents_do_not_move_to_be_scored(spark, table):
+    """Also in a session that would not broadcast the weights by itself."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    _, weights = _given(table)
+    expected = sorted(r.score for r in term_model.score_terms(table, weights, 0.5).collect())
+    slopes = {(r.kind, r.term): r.gradient for r in term_model.gradient(table, weights, 0.5).collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1b")
+    try:
+        scored = term_model.score_terms(table, weights, 0.5)
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert "hashpartitioning(kind" not in plan
+        steep = term_model.gradient(table, weights, 0.5)
+        plan = steep._jdf.queryExecution().optimizedPlan().toString()
+        assert "collect_list" not in plan and "known" not in plan
+        assert sorted(r.score for r in scored.collect()) == pytest.approx(expected)
+        again = {(r.kind, r.term): r.gradient for r in steep.collect()}
+        assert again == pytest.approx(slopes)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -180,3 +180,41 @@ def test_a_term_table_gives_the_same_weights(spark):
     fresh = terms.tfidf(terms.term_counts(docs), terms.fit_terms(docs))
     stored = terms.tfidf(terms.term_counts(table), terms.fit_terms(table))
     assert sorted(map(tuple, stored.select(fresh.columns).collect())) == sorted(map(tuple, fresh.collect()))
+
+
+@pytest.fixture
+def low_threshold(spark):
+    """A session that by itself would broadcast next to nothing."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1b")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("weigh", [terms.tfidf, terms.known_terms])
+def test_counts_do_not_move_to_meet_a_bounded_vocabulary(spark, low_threshold, monkeypatch, weigh):
+    table = terms.term_table(_frame(spark, _documents()))
+    counts, learned = terms.term_counts(table), terms.fit_terms(table)
+    joined = weigh(counts, learned)
+    assert "BroadcastHashJoin" in _plan(joined) and "hashpartitioning" not in _plan(joined)
+    size = sum(len(r.term.encode()) + 64 for r in learned.collect())
+    monkeypatch.setattr(terms, "BROADCAST_BYTES", size - 1)
+    shuffled = weigh(counts, learned)
+    assert "Broadcast" not in _plan(shuffled)
+    assert sorted(map(tuple, shuffled.collect())) == sorted(map(tuple, joined.collect()))
+
+
+def test_a_term_table_counts_only_what_occurs_more_often(spark):
+    docs = [(0, ["b", "a", "b", "é", "b", "a"]), (1, ["a"]), (2, []), (3, None)]
+    table = terms.term_table(_frame(spark, docs))
+    held = {r.doc: r.counts for r in table.collect()}
+    assert sorted(held[0].unigram.once) == ["é"]
+    assert sorted(map(tuple, held[0].unigram.more)) == [("a", 2), ("b", 3)]
+    assert sorted(held[0].bigram.once) == ["a b", "b é", "é b"]
+    assert list(map(tuple, held[0].bigram.more)) == [("b a", 2)]
+    found = sorted(map(tuple, terms.term_counts(table).select("doc", "kind", "term", "tf").collect()))
+    fresh = terms.term_counts(_frame(spark, docs)).select("doc", "kind", "term", "tf")
+    assert found == sorted(map(tuple, fresh.collect()))
+    one = terms.term_table(_frame(spark, docs), ["bigram"])
+    assert {r.kind for r in terms.term_counts(one).collect()} == {"bigram"}
+    assert terms.fit_terms(table, ["bigram"], min_documents=1).count() == len({r[2] for r in found if " " in r[2]})
