@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ratewise.functions.numbered import NumberedTokens, numbered_chunks
 from ratewise.functions.text import STOP_WORDS, bigrams, term_tokens
-from ratewise.session import durable
+from ratewise.session import BROADCAST_BYTES, durable, fits_broadcast
 
 UNIGRAM, BIGRAM = "unigram", "bigram"
 KINDS = (UNIGRAM, BIGRAM)
@@ -20,9 +23,6 @@ DOCUMENT = "document"
 VOCAB_SIZE = 50_000
 MIN_DOCUMENTS = 5
 
-#: Tables of terms are broadcast up to this size, a row counted as its term and 64 bytes.
-BROADCAST_BYTES = 32 << 20
-
 
 def with_tokens(
     df: DataFrame, words: Sequence[str] = STOP_WORDS, unicode_words: bool = False
@@ -79,40 +79,46 @@ def _runs_by_kind(docs: DataFrame, kinds: Sequence[str]) -> tuple[DataFrame, lis
     return marked, [_runs(kind, F.col(f"{kind}_terms"), F.col(f"{kind}_starts")) for kind in kinds]
 
 
+def _counts_type(kinds: Sequence[str]) -> T.StructType:
+    more = T.StructType().add("term", "string").add("tf", "long")
+    counted = T.StructType().add("once", T.ArrayType(T.StringType())).add("more", T.ArrayType(more))
+    return T.StructType([T.StructField(kind, counted) for kind in kinds])
+
+
+def _counts_array(tokens: NumberedTokens, kinds: Sequence[str]) -> pa.StructArray:
+    """``counts`` of the documents, as ``term_table`` has it."""
+
+    def counted(kind: str) -> pa.StructArray:
+        found = tokens.by_document(kind == BIGRAM)
+        once, more = found.where(found.tf == 1), found.where(found.tf > 1)
+        pairs = pa.StructArray.from_arrays([more.terms(), pa.array(more.tf)], ["term", "tf"])
+        return pa.StructArray.from_arrays(
+            [once.listed(once.terms()), more.listed(pairs)], ["once", "more"]
+        )
+
+    return pa.StructArray.from_arrays([counted(kind) for kind in kinds], list(kinds))
+
+
 def term_table(docs: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
     """One row per document, stored: its other columns and ``counts``, how often it holds
     each term: by kind the terms that it holds ``once``, and (term, tf) of those it holds
     ``more`` often. ``term_counts`` gives them as rows.
 
     Vocabulary, weights and scores all come from this table, so texts are tokenized once.
-    All tokens of a document are in its row, so nothing is shuffled to count them. Most
-    terms occur once in a document; only the others are counted.
+    All tokens of a document are in its row, so nothing is shuffled to count them: they
+    are numbered and sorted as numbers, in Arrow batches.
     """
     carried = [name for name in docs.columns if name != "tokens"]
+    spread = docs.select(*carried, _present_tokens())
 
-    def with_columns(df: DataFrame, suffix: str, column: Callable[[str], Column]) -> DataFrame:
-        return df.select("*", *[column(kind).alias(f"{kind}_{suffix}") for kind in kinds])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some, tokens in numbered_chunks(batch):
+                columns = [some.column(name) for name in carried]
+                yield pa.RecordBatch.from_arrays([*columns, _counts_array(tokens, kinds)], [*carried, "counts"])
 
-    def repeated(kind: str) -> Column:
-        ordered = F.col(f"{kind}_ordered")
-        return F.filter(ordered, lambda term, i: (i > 0) & (term == F.get(ordered, i - 1)))
-
-    def counted(kind: str) -> Column:
-        again = F.col(f"{kind}_again")
-        more = F.transform(
-            _runs(kind, again, F.col(f"{kind}_starts")),
-            lambda run: F.struct(run["term"].alias("term"), (run["tf"] + 1).alias("tf")),
-        )
-        once = F.array_except(F.col(f"{kind}_terms"), again)
-        return F.struct(once.alias("once"), more.alias("more")).alias(kind)
-
-    spread = with_columns(docs.select(*carried, _present_tokens()), "terms", _terms_of)
-    spread = with_columns(spread, "ordered", lambda kind: F.sort_array(f"{kind}_terms"))
-    spread = with_columns(spread, "again", repeated)
-    spread = with_columns(spread, "starts", lambda kind: _starts(F.col(f"{kind}_again")))
-    return durable(
-        spread.select(*carried, F.struct(*[counted(kind) for kind in kinds]).alias("counts")), "term-table"
-    )
+    schema = T.StructType([*spread.schema.fields[:-1], T.StructField("counts", _counts_type(kinds))])
+    return durable(spread.mapInArrow(run, schema), "term-table")
 
 
 def _table_counts(table: DataFrame, kinds: Sequence[str]) -> DataFrame:
@@ -137,14 +143,15 @@ def is_term_table(docs: DataFrame) -> bool:
 def term_counts(docs: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
     """How often each term occurs in each document: one row per (row, kind, term).
 
-    ``docs`` holds ``tokens`` and the columns to carry along, or is a ``term_table`` of
-    these ``kinds``. All tokens of a document are in its row, so they are sorted and
+    ``docs`` holds ``tokens`` and the columns to carry along, or is a ``term_table``, of
+    whose kinds those in ``kinds`` are read. All tokens of a document are in its row, so they are sorted and
     counted there; no (document, term) pair is shuffled. Unigrams and bigrams come out of
     the same pass.
     """
     carried = [name for name in docs.columns if name not in ("tokens", "counts")]
     if is_term_table(docs):
-        return _table_counts(docs, docs.schema["counts"].dataType.names)
+        held = docs.schema["counts"].dataType.names
+        return _table_counts(docs, [kind for kind in held if kind in kinds])
     marked, runs = _runs_by_kind(docs, kinds)
     # The array is an expression here, not a column: for a column the optimizer
     # adds a filter on its size, which would tokenize every text a second time.
@@ -171,38 +178,33 @@ def term_statistics(
 ) -> DataFrame:
     """Corpus and document frequency of each term that is not too rare.
 
-    One pass without counts per document: every term of a document adds to the
-    corpus frequency, every distinct one to the document frequency. The rows are
-    exploded and added up per task before the shuffle, all in generated code. One
-    more row per document, of kind ``document``, brings their number along.
+    One pass: the tokens of an Arrow batch are numbered, and its terms added up as numbers
+    before any of them is sent. One more row of each batch, of kind ``document``, brings
+    the number of its documents along.
     """
     if is_term_table(docs):
         return _table_statistics(docs, kinds, min_documents)
-    arrays = [_terms_of(kind).alias(kind) for kind in kinds]
-    parts = [part for kind in kinds for part in (F.col(kind), F.array_distinct(kind))]
-    parts += [F.array().cast("array<string>"), F.array(F.lit(""))]
-    names = F.array(*[F.lit(name) for name in (*kinds, DOCUMENT)])
-    spread_out = (
-        docs.select(_present_tokens())
-        .select(*arrays)
-        .select(F.posexplode(F.array(*parts)).alias("part", "terms"))
-        .select("part", F.explode("terms").alias("term"))
-    )
-    distinct = (F.col("part") % 2).cast("long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some, tokens in numbered_chunks(batch):
+                yield _statistics_batch(DOCUMENT, pa.array([""]), [0], [some.num_rows])
+                for kind in kinds:
+                    yield _statistics_batch(kind, *tokens.over_all(kind == BIGRAM))
+
+    sums = docs.select(_present_tokens()).mapInArrow(run, "kind string, term string, cf long, df long")
     return (
-        spread_out.select(
-            F.floor(F.col("part") / 2).cast("int").alias("code"),
-            "term",
-            (1 - distinct).alias("once"),
-            distinct.alias("distinct"),
-        )
-        .groupBy("code", "term")
-        .agg(F.sum("once").alias("cf"), F.sum("distinct").alias("df"))
+        sums.groupBy("kind", "term")
+        .agg(F.sum("cf").alias("cf"), F.sum("df").alias("df"))
         .where(F.col("df") >= min_documents)
-        .select(F.get(names, F.col("code")).alias("kind"), "term", "cf", "df")
     )
 
 
+def _statistics_batch(kind: str, term: pa.Array, cf: Sequence[int], df: Sequence[int]) -> pa.RecordBatch:
+    columns = [pa.array([kind] * len(term), pa.string()), term, pa.array(cf, pa.int64()), pa.array(df, pa.int64())]
+    return pa.RecordBatch.from_arrays(columns, ["kind", "term", "cf", "df"])
+
+
 def _stored_statistics(docs: DataFrame, kinds: Sequence[str], min_documents: int) -> DataFrame:
     """Term statistics in the work folder."""
     return durable(term_statistics(docs, kinds, min_documents), "term-statistics")
@@ -328,15 +330,17 @@ def fit_terms(
     return durable(terms.select("*", idf), "terms")
 
 
+def fit_for_broadcast(terms: DataFrame) -> bool:
+    """Whether ``terms``, which are read for it, are few enough to be sent to every task, a
+    row counted as its term and 64 bytes."""
+    size = F.sum(F.octet_length("term") + 64)
+    return fits_broadcast(terms.sparkSession, lambda: terms.agg(size).first()[0] or 0, BROADCAST_BYTES)
+
+
 def for_broadcast(terms: DataFrame) -> DataFrame:
-    """``terms`` with a hint to broadcast them, if they are few, however low the session's
-    threshold: joined by shuffle, every term of every document would move. Not hinted in a
-    session that broadcasts nothing. The terms are read to add up their size.
-    """
-    if terms.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
-        return terms
-    size = terms.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
-    return F.broadcast(terms) if size <= BROADCAST_BYTES else terms
+    """``terms`` with a hint to broadcast them, if they are few: joined by shuffle, every
+    term of every document would move."""
+    return F.broadcast(terms) if fit_for_broadcast(terms) else terms
 
 
 def known_terms(counts: DataFrame, terms: DataFrame) -> DataFrame:

@@ -582,11 +582,11 @@ def _fitted(
     return sizes, features, classifier.train_classifier(_side(features, "train"))
 
 
-def _labeled_table(spark: SparkSession, folder: str) -> DataFrame:
-    """Term table of the labelled reviews with their side of the split."""
+def _labeled_table(spark: SparkSession, folder: str, split: str | None = None) -> DataFrame:
+    """Term table of the labelled reviews, of all or of one side of the split."""
     labeled = labeling.assign_split(labeling.labeled_reviews(_spread_reviews(spark, folder)))
-    tokens = terms.with_tokens(labeled.select("review_id", "split", "label", "text"))
-    return term_model.numbered_table(tokens)
+    asked = labeled if split is None else _side(labeled, split)
+    return term_model.numbered_table(terms.with_tokens(asked.select("review_id", "split", "label", "text")))
 
 
 def _agree(left: Column, right: Column, tolerance: float = 1e-6) -> Column:
@@ -603,11 +603,11 @@ def train_classifier(spark: SparkSession, folder: str) -> DataFrame:
     sizes, features, model = _fitted(spark, folder)
     scored = classifier.score_rows(model, _side(features, "test"))
     found = metrics.evaluation_metrics(scored)
-    train = _side(_labeled_table(spark, folder), "train").drop("split")
+    train = _labeled_table(spark, folder, "train").drop("split")
     weights = term_model.model_terms(model, sizes.terms)
-    at_fit = term_model.log_loss(train, weights, model.intercept)
     none = weights.withColumn("coefficient", F.lit(0.0))
-    at_zero = term_model.log_loss(train, none, 0.0).toDF(*[f"zero_{c}" for c in at_fit.columns])
+    at_fit, at_zero = term_model.log_losses(train, (weights, model.intercept), (none, 0.0))
+    at_zero = at_zero.toDF(*[f"zero_{c}" for c in at_fit.columns])
     objective = F.lit(float(model.summary.objectiveHistory[-1]))
     rows = at_fit.join(at_zero).join(found.select("rows_test", "tp", "fp", "tn", "fn", "auc"))
     values = {
@@ -690,7 +690,7 @@ def scores_from_terms(spark: SparkSession, folder: str) -> DataFrame:
     model's coefficients and the term table, which is made without MLlib."""
     sizes, features, model = _fitted(spark, folder)
     scored = classifier.score_rows(model, _side(features, "test"))
-    table = _side(_labeled_table(spark, folder), "test").drop("label", "split")
+    table = _labeled_table(spark, folder, "test").drop("label", "split")
     return _followed(scored, table, sizes, model, "review_id", "label")
 
 

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ratewise.schema import REVIEW_SCHEMA, require_columns
+from ratewise.session import fits_broadcast
 
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 LABELS = "doc_id long, quality int, toxic int"
+#: A row of labels is counted as so many bytes.
+LABEL_BYTES = 24
 MAX_RECORDS_PER_FILE = 300_000
 
 
@@ -54,10 +57,12 @@ def table_texts(spark: SparkSession, folder: str, partitions: int | None = None)
 def table_reviews(spark: SparkSession, folder: str, partitions: int | None = None) -> DataFrame:
     """The review table as a view of the ``documents`` and ``labels`` tables.
 
-    Unlabelled documents take the neutral rating. No join strategy is forced:
-    ``labels`` grows with the data, so its size decides.
+    Unlabelled documents take the neutral rating. Labels are sent to the texts while they
+    are few, so that no text moves; as ``labels`` grows with the data, its size decides.
     """
     labels = spark.read.schema(LABELS).parquet(f"{folder}/labels.parquet")
+    if fits_broadcast(spark, lambda: LABEL_BYTES * labels.count()):
+        labels = F.broadcast(labels)
     quality, toxic = F.col("quality"), F.col("toxic")
     stars = (
         F.when((quality == 0) & (toxic == 1), 1.0)

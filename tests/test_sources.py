@@ -165,3 +165,22 @@ def test_runs_of_one_table(spark, tmp_path):
     (tmp_path / "empty").mkdir()
     with pytest.raises(ValueError, match="no run"):
         tables.scan_runs(spark, str(tmp_path / "empty"))
+
+
+def test_texts_do_not_move_to_meet_few_labels(spark, tmp_path):
+    """Also where the session would not broadcast the labels by itself."""
+    texts = [(1, "a"), (2, None), (2, "b"), (None, "c"), (3, "d")]
+    docs = [(key, text, "en", "web", len(text or "")) for key, text in texts]
+    spark.createDataFrame(docs, tables.DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(1, 0, 1), (2, 1, 0), (2, 0, 0), (None, 1, 1)]
+    spark.createDataFrame(labels, tables.LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1b")
+    try:
+        reviews = tables.table_reviews(spark, str(tmp_path))
+        plan = reviews._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        found = sorted((r.review_id or 0, r.text or "", r.stars) for r in reviews.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == [(0, "c", 3.0), (1, "a", 1.0), (2, "", 2.0), (2, "", 5.0), (2, "b", 2.0), (2, "b", 5.0), (3, "d", 3.0)]

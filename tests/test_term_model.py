@@ -132,3 +132,31 @@ def test_terms_of_documents_do_not_move_to_be_scored(spark, table):
         assert again == pytest.approx(slopes)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_losses_of_several_models_share_a_pass(labeled, table, monkeypatch):
+    """With the figures of one by one, and of the joins that many weights need."""
+    _, weights = _given(table)
+    halved = weights.withColumn("coefficient", F.col("coefficient") / 2)
+    fewer = weights.where("kind = 'unigram'").withColumn("idf", F.col("idf") * 2)
+    models = [(weights, 0.5), (halved, -0.5), (fewer, 0.0)]
+    together = [tuple(row.first()) for row in term_model.log_losses(table, *models)]
+    slopes = {(r.kind, r.term): r.gradient for r in term_model.gradient(table, *models[1]).collect()}
+    plan = term_model.gradient(table, weights, 0.5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan  # no document meets its residual again
+    monkeypatch.setattr(terms, "BROADCAST_BYTES", 0)
+    alone = [tuple(term_model.log_loss(table, *model).first()) for model in models]
+    assert [r[0] for r in together] == [labeled.count()] * 3
+    for one, other in zip(together, alone, strict=True):
+        assert one == pytest.approx(other)
+    joined = {(r.kind, r.term): r.gradient for r in term_model.gradient(table, *models[1]).collect()}
+    assert slopes == pytest.approx(joined)
+
+
+def test_loss_of_documents_without_a_label(spark, table, monkeypatch):
+    """They count as documents, but not for the averages, in both ways to add up."""
+    _, weights = _given(table)
+    some = table.withColumn("label", F.when(F.col("row") % 3 != 0, F.col("label")))
+    quick = tuple(term_model.log_loss(some, weights, 0.5).first())
+    monkeypatch.setattr(terms, "BROADCAST_BYTES", 0)
+    assert quick == pytest.approx(tuple(term_model.log_loss(some, weights, 0.5).first()))

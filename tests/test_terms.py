@@ -218,3 +218,38 @@ def test_a_term_table_counts_only_what_occurs_more_often(spark):
     one = terms.term_table(_frame(spark, docs), ["bigram"])
     assert {r.kind for r in terms.term_counts(one).collect()} == {"bigram"}
     assert terms.fit_terms(table, ["bigram"], min_documents=1).count() == len({r[2] for r in found if " " in r[2]})
+
+
+def test_terms_are_added_up_before_they_are_sent(spark):
+    """A term that many documents of a batch hold leaves it as one row; bigrams do not run
+    from one document into the next, and counts stay right where a batch is cut."""
+    rows = [(["good", "food"],), (["food", "good", "food"],), (None,), ([],), (["good"],)] * 40
+    docs = spark.createDataFrame(rows, "tokens array<string>").coalesce(1)
+    found = {(r.kind, r.term): (r.cf, r.df) for r in terms.term_statistics(docs, min_documents=1).collect()}
+    assert found == {
+        ("unigram", "good"): (120, 120), ("unigram", "food"): (120, 80),
+        ("bigram", "good food"): (80, 80), ("bigram", "food good"): (40, 40),
+        (terms.DOCUMENT, ""): (0, 200),
+    }
+    plan = terms.term_statistics(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan
+
+
+def test_numbered_tokens_in_runs():
+    import pyarrow as pa
+
+    from ratewise.functions.numbered import numbered_chunks
+
+    lists = [["a", "b", "a"], [], ["b"], ["a", "b", "a", "b"], ["c"]]
+    batch = pa.RecordBatch.from_pydict({"tokens": pa.array(lists, pa.list_(pa.string()))})
+    for limit in (1, 3, 5, 100):
+        runs = list(numbered_chunks(batch, limit))
+        assert [t for some, _ in runs for t in some.column("tokens").to_pylist()] == lists
+        held = []
+        for some, tokens in runs:
+            for pairs in (False, True):
+                counted = tokens.by_document(pairs)
+                held += zip(counted.terms().to_pylist(), counted.tf.tolist())
+        assert sorted(held) == sorted(
+            [("a", 2), ("b", 1), ("a b", 1), ("b a", 1), ("b", 1), ("a", 2), ("b", 2), ("a b", 2), ("b a", 1), ("c", 1)]
+        )
