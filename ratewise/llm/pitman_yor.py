@@ -43,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.llm import packed
-from ratewise.session import discard, durable
+from ratewise.session import discard, durable, forget_shuffles
 
 #: Bytes of text whose words share a dictionary.
 CHUNK = 10_000_000
@@ -228,9 +228,9 @@ def pair_parts(texts: DataFrame, buckets: int) -> DataFrame:
 PLACED = np.dtype([("place", "<i4"), ("j", "<i4")])
 
 
-def tallied(parts: DataFrame) -> DataFrame:
+def tallied(parts: DataFrame, with_once: bool = True) -> DataFrame:
     """Three kinds of rows of each bucket: repeated pairs (u, w, c, j); how many pairs learned
-    once have a word first (u, c) or second (w, c); and ``places`` of a chunk."""
+    once have a word first (u, c) or second (w, c), if asked for; and ``places`` of a chunk."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         pieces = [_rows(b, PAIR) for b in group["pairs"]]
@@ -249,7 +249,7 @@ def tallied(parts: DataFrame) -> DataFrame:
         j[again] = np.arange(len(again))
         out = [pd.DataFrame({"u": rows["u"][first[again]], "w": rows["w"][first[again]], "c": c[again], "j": j[again]})]
         once = first[c == 1]
-        for side in ("u", "w"):
+        for side in ("u", "w") if with_once else ():
             word, n = np.unique(rows[side][once], return_counts=True)
             out.append(pd.DataFrame({side: word, "c": n}))
         told = np.flatnonzero(((c > 1) | ((c == 1) & (times > 1)))[number])
@@ -299,6 +299,8 @@ class Restaurants:
         d = self.discount
         out = np.minimum(customers, 1)
         some = np.flatnonzero(customers > 1)
+        # dishes of few customers together: rows of the arrays are as wide as the most customers
+        some = some[np.argsort(customers[some], kind="stable")]
         stirling = log_stirling(d)
         t = np.arange(1, EXACT + 1)
         for start in range(0, len(some), 1 << 13):
@@ -466,10 +468,10 @@ def _sweep(vocabulary: DataFrame, sample: Sample | None) -> tuple[int, np.ndarra
         state = shared.value
         for batch in batches:
             for words, counts, keys in _word_batches(batch):
-                if state is None:
-                    tables = np.minimum(counts, 1)
-                else:
-                    tables, _ = state.tables(words, counts, keys)
+                tables = np.minimum(counts, 1)
+                more = np.flatnonzero(counts > 1)
+                if state is not None and len(more):
+                    tables[more], _ = state.tables([words[i] for i in more], counts[more], keys[more])
                 grams, sizes = Spelling.grams(words)
                 found, at = np.unique(grams, return_inverse=True)
                 sent = np.bincount(at, np.repeat(tables, sizes), len(found)).astype(np.int64)
@@ -507,15 +509,15 @@ def sampled(vocabulary: DataFrame, following: Following | None = None) -> list[S
 
 
 class Following:
-    """The sampled tables of the restaurants of following words, as tables on Spark."""
+    """The sampled tables of the restaurants of following words, as tables on Spark.
+
+    A word is the first of as many pairs as it has tokens, and the second of as many. A pair
+    learned once has one table. So a word's tables as the first and its customers as the
+    second are its tokens less the repeated pairs' customers beyond their tables."""
 
     def __init__(self, vocabulary: DataFrame, tally: DataFrame):
         self.vocabulary = vocabulary
         self.repeated = tally.where("j IS NOT NULL").select("bucket", "j", "u", "w", "c")
-        self.once = {
-            "u": tally.where("j IS NULL AND u IS NOT NULL").select("u", "c"),
-            "w": tally.where("j IS NULL AND w IS NOT NULL").select("w", "c"),
-        }
         #: Of the sweeps that count: (bucket, j, c, t) of repeated pairs. Of all: (h, tables,
         #: p) of words, their tables as first words and their probability in the parent.
         self.drawn: list[DataFrame] = []
@@ -537,18 +539,15 @@ class Following:
         if number >= BURN_IN:
             drawn = whole = durable(drawn.select("bucket", "j", "u", "w", "c", "t"), "lm-drawn-pairs")
             self.drawn.append(durable(drawn.select("bucket", "j", "c", "t"), "lm-drawn"))
-        # the customers of a word as the second and its tables as the first of pairs, at once
-        zero = F.lit(0).cast("long")
-        first = F.struct(F.col("u").alias("h"), zero.alias("c"), F.col("t").alias("tables"))
-        second = F.struct(F.col("w").alias("h"), F.col("t").alias("c"), zero.alias("tables"))
-        every = drawn.select(F.inline(F.array(first, second)))
-        once = {"u": (zero, F.col("c")), "w": (F.col("c"), zero)}
-        for side, (c, tables) in once.items():
-            single = self.once[side].select(F.col(side).alias("h"), c.alias("c"), tables.alias("tables"))
-            every = every.unionAll(single)
-        sums = every.groupBy("h").agg(F.sum("c").alias("c"), F.sum("tables").alias("tables"))
-        seated = self.vocabulary.select("word", "h").join(sums, "h", "left").na.fill(0, ["c", "tables"])
-        seated = durable(seated.select("word", "h", "c", "tables"), "lm-seated")
+        # what a word's repeated pairs spare it as the second and as the first, at once
+        zero, spared = F.lit(0).cast("long"), F.col("c") - F.col("t")
+        first = F.struct(F.col("u").alias("h"), zero.alias("less_c"), spared.alias("less_tables"))
+        second = F.struct(F.col("w").alias("h"), spared.alias("less_c"), zero.alias("less_tables"))
+        every = drawn.where("c > t").select(F.inline(F.array(first, second)))
+        sums = every.groupBy("h").agg(*[F.sum(n).alias(n) for n in ("less_c", "less_tables")])
+        seated = self.vocabulary.join(sums, "h", "left").na.fill(0, sums.columns)
+        left = [F.greatest(F.col("c") - F.col(f"less_{n}"), zero).alias(n) for n in ("c", "tables")]
+        seated = durable(seated.select("word", "h", *left), "lm-seated")
         done = [whole] if whole is not None else []
         if 0 < number <= BURN_IN:  # the state before the first sweep that counts is the last not kept
             done.append(self.words[-1])
@@ -645,7 +644,9 @@ def scored(docs: DataFrame, held_out: Column) -> DataFrame:
     vocabulary = durable(counted, "lm-vocabulary")
     total = vocabulary.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
     tokens, distinct = total[0] or 0, total[1]
-    tally = durable(tallied(pair_parts(texts, 1 + tokens // BUCKET_TOKENS)), "lm-pairs")
+    pairs = pair_parts(texts, 1 + tokens // BUCKET_TOKENS)
+    tally = durable(tallied(pairs, with_once=False), "lm-pairs")
+    forget_shuffles(docs.sparkSession)
     following = Following(vocabulary, tally)
     sampled(vocabulary, following)
     scores = vocabulary.select("h", "c")
@@ -655,8 +656,13 @@ def scored(docs: DataFrame, held_out: Column) -> DataFrame:
         )
     columns = [f"{n}{s}" for n in ("tables", "p") for s in range(SAMPLES)]
     scores = durable(scores, "lm-states")
+    discard(*following.words[BURN_IN:])
+    # each step is stored and its sources go, so that no two of the widest shuffles are kept at once
+    told = durable(pair_states(tally, following.drawn), "lm-told")
+    discard(tally, vocabulary, *following.drawn)
     named = words.select("chunk", "lid", "h").join(scores, "h").select("chunk", "lid", "c", *columns)
-    told = pair_states(tally, following.drawn)
+    named = durable(named, "lm-named")
+    discard(scores)
     told = named.unionByName(told, allowMissingColumns=True)
 
     def run(key: tuple, text: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:

@@ -124,3 +124,23 @@ def test_following_words_add_up(spark, monkeypatch):
         other = "w" if side == "u" else "u"
         once = [r["c"] for r in tally if r["j"] is None and r[side] is not None and r[other] is None]
         assert sum(once) == sum(c == 1 for c in counts.values())
+
+
+def test_customers_follow_without_rows_of_pairs_learned_once(spark, monkeypatch):
+    """By plain counts of distinct pairs, each with one table before the first draws. Pairs of
+    texts that are held out count for nothing, and their words are there with none."""
+    monkeypatch.setattr(lm, "CHUNK", 40)
+    learned = ["a b a b c", "a b", "c c a", "b", "a c b a b", "", "d e"]
+    counts = Counter()
+    for text in learned:
+        tokens = ["", *text.split(), ""]
+        counts.update(zip(tokens, tokens[1:]))
+    docs = spark.createDataFrame([*enumerate(learned), (100, "a d f")], "doc_id long, text string").repartition(2)
+    parts = lm.text_parts(docs, F.col("doc_id") >= 100)
+    texts = parts.where("word IS NULL").withColumnRenamed("chunk", "text_chunk")
+    tally = lm.tallied(lm.pair_parts(texts, 3), with_once=False)
+    assert tally.where("j IS NULL AND places IS NULL").count() == 0
+    words = parts.where("word IS NOT NULL").groupBy("word", "h").agg(F.sum("learned").alias("c"))
+    found = {bytes(r["word"]).decode(): (r["c"], r["tables"]) for r in lm.Following(words, tally).customers(0).collect()}
+    firsts, seconds = (Counter(pair[side] for pair in counts) for side in (0, 1))
+    assert found == {w: (seconds[w], firsts[w]) for w in ["", *"abcdef"]}
