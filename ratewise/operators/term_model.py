@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratewise.operators.terms import (
     BIGRAM,
@@ -34,6 +35,9 @@ from ratewise.session import durable
 
 #: Rows of the term table whose terms are looked up at a time.
 SLICE_ROWS = 2_000
+#: From so many documents on, terms are looked up in Arrow batches and not joined: fewer are
+#: joined sooner than Python workers are ready.
+MANY_DOCUMENTS = 5_000
 #: Kinds of the rows that ``_sums`` adds to those of terms.
 TOTALS = DOCUMENTS, LABELED, LOSS, RESIDUAL = "documents", "labeled", "loss", "residual"
 
@@ -62,9 +66,35 @@ def model_terms(model: LogisticRegressionModel, learned: DataFrame) -> DataFrame
 
 def _margins(table: DataFrame, weights: DataFrame, intercept: float) -> DataFrame:
     """The table's columns without the counts, and the margin of each document."""
+    few = fit_for_broadcast(weights)
+    if few and table.count() >= MANY_DOCUMENTS:
+        return _sent_margins(table, weights, intercept)
+    return _joined_margins(table, weights, intercept, few)
+
+
+def _sent_margins(table: DataFrame, weights: DataFrame, intercept: float) -> DataFrame:
+    """Few weights are sent to the tasks: the margin of a document comes from its row, so
+    no term becomes a row of its own and nothing is shuffled."""
+    carried = [field for field in table.schema.fields if field.name != "counts"]
+    names = [*[field.name for field in carried], "margin"]
+    start_at = float(intercept)
+    shared = table.sparkSession.sparkContext.broadcast(_lookup(weights, table))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, coefficients = shared.value
+        for batch in batches:
+            for start in range(0, batch.num_rows, SLICE_ROWS):
+                some = batch.slice(start, SLICE_ROWS)
+                margin = _margin(some.num_rows, start_at, coefficients, _entries(some.column("counts"), terms))
+                columns = [some.column(name) for name in names[:-1]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(margin)], names)
+
+    return table.mapInArrow(run, T.StructType([*carried, T.StructField("margin", T.DoubleType())]))
+
+
+def _joined_margins(table: DataFrame, weights: DataFrame, intercept: float, few: bool) -> DataFrame:
     carried = [name for name in table.columns if name != "counts"]
     x = F.col("tf") * F.col("idf")
-    few = fit_for_broadcast(weights)
 
     def of_kind(kind: str) -> DataFrame:
         """Joined by the term alone, which is looked up faster than with its kind."""
@@ -87,7 +117,8 @@ def score_terms(table: DataFrame, weights: DataFrame, intercept: float) -> DataF
     """Prediction, probability and margin of every document of a ``numbered_table``.
 
     ``weights`` is (kind, term, idf, coefficient). All terms of a document come from one
-    row, so a task adds them up before the shuffle: a row per document is sent.
+    row, so a task adds them up before the shuffle: a row per document is sent. If there are
+    few weights and many documents, nothing is shuffled.
     """
     carried = [name for name in table.columns if name != "counts"]
     scored = _margins(table, weights, intercept)
@@ -155,16 +186,9 @@ def _sums(table: DataFrame, models: Sequence[Model]) -> DataFrame:
     must be few enough, are sent to the tasks; terms are looked up once for models that
     have the same.
     """
-    kinds = table.schema["counts"].dataType.names
     lookups, known = [], []
     for weights, intercept in models:
-        rows = weights.where(F.col("kind").isin(*kinds)).orderBy("kind", "term").toArrow().combine_chunks()
-        terms, coefficients = {}, {}
-        for kind in kinds:
-            some = rows.filter(pc.equal(rows.column("kind"), kind))
-            terms[kind] = (some.column("term").combine_chunks(), some.column("idf").fill_null(0.0).to_numpy())
-            # a missing coefficient adds nothing to a margin
-            coefficients[kind] = some.column("coefficient").fill_null(0.0).to_numpy()
+        terms, coefficients = _lookup(weights, table)
         same = [i for i, others in enumerate(lookups) if _same_terms(terms, others)]
         if not same:
             lookups.append(terms)
@@ -193,11 +217,24 @@ def _sums(table: DataFrame, models: Sequence[Model]) -> DataFrame:
 Terms = dict[str, tuple[pa.Array, np.ndarray]]
 
 
+def _lookup(weights: DataFrame, table: DataFrame) -> tuple[Terms, dict[str, np.ndarray]]:
+    """By kind of the table the terms with their IDF, and the coefficients."""
+    kinds = table.schema["counts"].dataType.names
+    rows = weights.where(F.col("kind").isin(*kinds)).orderBy("kind", "term").toArrow().combine_chunks()
+    terms, coefficients = {}, {}
+    for kind in kinds:
+        some = rows.filter(pc.equal(rows.column("kind"), kind))
+        terms[kind] = (some.column("term").combine_chunks(), some.column("idf").fill_null(0.0).to_numpy())
+        # a missing coefficient adds nothing to a margin
+        coefficients[kind] = some.column("coefficient").fill_null(0.0).to_numpy()
+    return terms, coefficients
+
+
 def _same_terms(some: Terms, others: Terms) -> bool:
     return all(t.equals(others[kind][0]) and np.array_equal(x, others[kind][1]) for kind, (t, x) in some.items())
 
 
-def _entries(counts: pa.StructArray, known: Terms) -> list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]:
+def _entries(counts: pa.StructArray, known: Terms) -> Entries:
     """Kind, row, place among the known terms, and tf * idf of the terms that are known."""
     out = []
     for kind, (terms, idf) in known.items():
@@ -214,6 +251,17 @@ def _entries(counts: pa.StructArray, known: Terms) -> list[tuple[str, np.ndarray
     return out
 
 
+#: Kind, row, place among the known terms, and tf * idf.
+Entries = list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]
+
+
+def _margin(rows: int, intercept: float, coefficients: dict[str, np.ndarray], entries: Entries) -> np.ndarray:
+    margin = np.full(rows, intercept)
+    for kind, row, place, x in entries:
+        margin += np.bincount(row, x * coefficients[kind][place], rows)
+    return margin
+
+
 class _PartSums:
     """What the documents of a task add to loss and gradient of a model."""
 
@@ -223,10 +271,8 @@ class _PartSums:
         self.met = {kind: np.zeros(len(c), bool) for kind, c in coefficients.items()}
         self.totals = dict.fromkeys(TOTALS, 0.0)
 
-    def add(self, label: np.ndarray, entries: list[tuple[str, np.ndarray, np.ndarray, np.ndarray]]) -> None:
-        margin = np.full(len(label), self.intercept)
-        for kind, row, place, x in entries:
-            margin += np.bincount(row, x * self.coefficients[kind][place], len(label))
+    def add(self, label: np.ndarray, entries: Entries) -> None:
+        margin = _margin(len(label), self.intercept, self.coefficients, entries)
         small = np.exp(-np.abs(margin))
         residual = np.where(margin > 0, 1.0, small) / (1 + small) - label
         loss = np.maximum(margin, 0) + np.log1p(small) - label * margin

@@ -160,3 +160,23 @@ def test_loss_of_documents_without_a_label(spark, table, monkeypatch):
     quick = tuple(term_model.log_loss(some, weights, 0.5).first())
     monkeypatch.setattr(terms, "BROADCAST_BYTES", 0)
     assert quick == pytest.approx(tuple(term_model.log_loss(some, weights, 0.5).first()))
+
+
+def test_many_documents_are_scored_without_a_join(labeled, table, monkeypatch):
+    """In slices, with the figures of the join, and all columns of a document but its counts."""
+    _, weights = _given(table)
+    some = weights.withColumn("coefficient", F.when(F.col("term") != "fine", F.col("coefficient")))
+    joined = {r.review_id: r for r in term_model.score_terms(table, some, 0.5).collect() if r.review_id}
+    monkeypatch.setattr(term_model, "MANY_DOCUMENTS", 1)
+    monkeypatch.setattr(term_model, "SLICE_ROWS", 7)
+    scored = term_model.score_terms(table, some, 0.5)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    rows = scored.collect()
+    assert scored.columns == ["review_id", "label", "prediction", "probability", "score"]
+    wanted = sorted(margin for _, margin, _ in _plain(labeled, some.na.fill(0.0), 0.5))
+    assert sorted(r.score for r in rows) == pytest.approx(wanted)
+    for r in rows:
+        if r.review_id in (900, 901):
+            assert (r.score, r.label) == (0.5, joined[r.review_id].label)
+    assert term_model.score_terms(table.limit(0), some, 1.0).count() == 0
