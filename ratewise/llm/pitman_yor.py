@@ -539,6 +539,7 @@ class Following:
         if number >= BURN_IN:
             drawn = whole = durable(drawn.select("bucket", "j", "u", "w", "c", "t"), "lm-drawn-pairs")
             self.drawn.append(durable(drawn.select("bucket", "j", "c", "t"), "lm-drawn"))
+            forget_shuffles(drawn.sparkSession)  # those of the joins, before the sums make more
         # what a word's repeated pairs spare it as the second and as the first, at once
         zero, spared = F.lit(0).cast("long"), F.col("c") - F.col("t")
         first = F.struct(F.col("u").alias("h"), zero.alias("less_c"), spared.alias("less_tables"))
