@@ -33,6 +33,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -43,11 +44,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratewise.llm import packed
-from ratewise.session import discard, durable, forget_shuffles
+from ratewise.session import discard, discard_partition, durable, forget_shuffles
 
 #: Bytes of text whose words share a dictionary.
 CHUNK = 10_000_000
 EXACT = 48
+#: Customers of a dish up to which the weights of its tables are multiplied as they are.
+FEW = 8
 BURN_IN, SAMPLES = 2, 4
 #: Discount and concentration of the word restaurant, and of the byte restaurants by
 #: the length of their contexts.
@@ -56,6 +59,8 @@ WORDS = (0.8, 10.0)
 PAIRS = (0.8, 2.0)
 #: Tokens for each bucket of word pairs.
 BUCKET_TOKENS = 500_000
+#: Bytes of text for each part of the vocabulary.
+PART_BYTES = 16_000_000
 BYTES = ((0.2, 1.0), (0.3, 1.0), (0.5, 1.0), (0.6, 1.0))
 #: Bits of the context code by its length: all of the last byte, 6 of the one before
 #: it, 5 of the third. A parent's code is the lower bits of its child's.
@@ -64,11 +69,58 @@ PART_SCHEMA = (
     "chunk long, lid int, word binary, learned long, h long, "
     "hs binary, ids binary, known_ids binary, held binary, sizes binary, lids binary"
 )
+#: The same with the words of a chunk packed, a row for each part of the vocabulary.
+PACKED_SCHEMA = f"{PART_SCHEMA}, part long, lengths binary"
 
 
-def text_parts(docs: DataFrame, held_out: Column) -> DataFrame:
+def _planes(values: np.ndarray) -> bytes:
+    """How many low bytes the values need, then these byte by byte: high ones compress well."""
+    flat = np.ascontiguousarray(values)
+    width = flat.itemsize
+    if flat.dtype.kind in "iu" and len(flat) and flat.min() >= 0:
+        width = max(1, (int(flat.max()).bit_length() + 7) // 8)
+    planes = flat.view(np.uint8).reshape(len(flat), flat.itemsize)[:, :width].T
+    return bytes([width]) + planes.tobytes()
+
+
+def _from_planes(data: bytes, at: int, count: int, kind: np.dtype) -> tuple[np.ndarray, int]:
+    """The values, and where what follows them begins."""
+    width, out = data[at], np.zeros((count, kind.itemsize), np.uint8)
+    end = at + 1 + count * width
+    out[:, :width] = np.frombuffer(data, np.uint8, end - at - 1, at + 1).reshape(width, count).T
+    return out.reshape(-1).view(kind), end
+
+
+def _squeezed(values: np.ndarray) -> bytes:
+    data = len(values).to_bytes(8, "little") + _planes(values)
+    return zstandard.ZstdCompressor(1).compress(data)
+
+
+def _array(blob: bytes, kind: str) -> np.ndarray:
+    data = zstandard.ZstdDecompressor().decompress(blob)
+    return _from_planes(data, 8, int.from_bytes(data[:8], "little"), np.dtype(kind))[0]
+
+
+def _runs_of(values: np.ndarray) -> list[tuple[int, int]]:
+    """Where each run of equal values begins and ends."""
+    cuts = np.flatnonzero(values[1:] != values[:-1]) + 1
+    return list(pairwise([0, *cuts.tolist(), len(values)])) if len(values) else []
+
+
+def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys in order, a place of each, and the number of each key among them."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.append(True, ordered[1:] != ordered[:-1])[: len(keys)]
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], number
+
+
+def text_parts(docs: DataFrame, held_out: Column, parts: int | None = None) -> DataFrame:
     """The chunks of a corpus: a row for each word of a chunk's dictionary, with its
-    count in the texts to learn from, and one with the chunk's texts as word numbers."""
+    count in the texts to learn from, and one with the chunk's texts as word numbers.
+    With ``parts``, words are packed: a row for each chunk and part of the vocabulary."""
     marked = docs.select("doc_id", "text", held_out.alias("held"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,10 +132,10 @@ def text_parts(docs: DataFrame, held_out: Column) -> DataFrame:
             held = batch.column("held").to_numpy(zero_copy_only=False).astype(bool)
             for start, texts in packed.text_chunks(batch.column("text"), CHUNK):
                 at = slice(start, start + len(texts))
-                yield from _chunk_rows(chunk, texts, numbers[at], known[at], held[at])
+                yield from _chunk_rows(chunk, texts, numbers[at], known[at], held[at], parts)
                 chunk += 1
 
-    return marked.mapInArrow(run, PART_SCHEMA)
+    return marked.mapInArrow(run, PACKED_SCHEMA if parts else PART_SCHEMA)
 
 
 def _runs(texts: list[bytes]) -> Iterator[list[bytes]]:
@@ -98,7 +150,7 @@ def _runs(texts: list[bytes]) -> Iterator[list[bytes]]:
         yield texts[start:]
 
 
-def _chunk_rows(chunk: int, texts: list[bytes], ids, known, held) -> Iterator[pa.RecordBatch]:
+def _chunk_rows(chunk: int, texts: list[bytes], ids, known, held, parts) -> Iterator[pa.RecordBatch]:
     hashes, starts, lengths, sizes, base, whole = [], [], [], [], 0, []
     for some in _runs(texts):
         data, offsets = packed.pack(some)
@@ -112,7 +164,7 @@ def _chunk_rows(chunk: int, texts: list[bytes], ids, known, held) -> Iterator[pa
     text = b"".join(whole).lower()
     whole.clear()
     sizes = np.concatenate(sizes)
-    distinct, first, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    distinct, first, number = _numbered(np.concatenate(hashes))
     number = number.astype(np.uint32)
     hashes.clear()
     learned = np.bincount(number[np.repeat(~held, sizes)], minlength=len(first))
@@ -123,27 +175,47 @@ def _chunk_rows(chunk: int, texts: list[bytes], ids, known, held) -> Iterator[pa
     learned = np.append(learned, (~held).sum())
     count = len(words)
     keys = np.append(distinct.view(np.int64), 0)
-    none = pa.nulls(count, pa.binary())
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(np.full(count, chunk)), pa.array(np.arange(count, dtype=np.int32)),
-            pa.array(words, pa.binary()), pa.array(learned, pa.int64()),
-            pa.array(keys), none, none, none, none, none, none,
-        ],
-        ["chunk", "lid", "word", "learned", "h", "hs", "ids", "known_ids", "held", "sizes", "lids"],
-    )
+    names = ["chunk", "lid", "word", "learned", "h", "hs", "ids", "known_ids", "held", "sizes", "lids"]
+    types = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), *[pa.binary()] * 6]
+    if parts:
+        names, types = [*names, "part", "lengths"], [*types, pa.int64(), pa.binary()]
+    schema = pa.schema(list(zip(names, types, strict=True)))
+    if parts:
+        rows = _word_packs(chunk, words, learned, keys, parts)
+    else:
+        rows = {"chunk": np.full(count, chunk), "lid": np.arange(count, dtype=np.int32),
+                "word": words, "learned": learned, "h": keys}
+    yield _batch(rows, schema)
     blob = zstandard.ZstdCompressor(3).compress(number.astype("<u4").tobytes())
     values = [ids.astype("<i8"), known.astype("u1"), held.astype("u1"), sizes.astype("<i8")]
-    yield pa.RecordBatch.from_pydict(
-        {
-            "chunk": pa.array([chunk], pa.int64()), "lid": pa.nulls(1, pa.int32()),
-            "word": pa.nulls(1, pa.binary()), "learned": pa.nulls(1, pa.int64()),
-            "h": pa.nulls(1, pa.int64()), "hs": pa.array([keys.tobytes()], pa.binary()),
-            **{n: pa.array([v.tobytes()], pa.binary())
-               for n, v in zip(("ids", "known_ids", "held", "sizes"), values, strict=True)},
-            "lids": pa.array([blob], pa.binary()),
-        }
-    )
+    row = dict(zip(("ids", "known_ids", "held", "sizes"), ([v.tobytes()] for v in values), strict=True))
+    hashes = {} if parts else {"hs": [keys.tobytes()]}
+    yield _batch({"chunk": [chunk], **hashes, **row, "lids": [blob]}, schema)
+
+
+def _batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
+    """Columns that are not given are null."""
+    count = len(next(iter(columns.values())))
+    filled = [pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(count, f.type) for f in schema]
+    return pa.RecordBatch.from_arrays(filled, schema=schema)
+
+
+def _word_packs(chunk: int, words: list[bytes], learned: np.ndarray, keys: np.ndarray, parts: int) -> dict:
+    """A chunk's words by part: parts are ranges of unsigned hashes, whose order is that of the
+    words' numbers, but for the end."""
+    lids = np.append(len(words) - 1, np.arange(len(words) - 1)).astype("<i4")
+    hashes, counts = keys[lids], learned[lids]
+    words = [words[-1], *words[:-1]]
+    part = ((hashes.view(np.uint64) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    spans = _runs_of(part)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    return {
+        "chunk": np.full(len(spans), chunk), "part": part[[a for a, _ in spans]],
+        "word": [zstandard.ZstdCompressor(1).compress(b"".join(words[a:b])) for a, b in spans],
+        "lengths": [_squeezed(np.stack([lengths[a:b], counts[a:b]], axis=1).reshape(-1)) for a, b in spans],
+        "hs": [hashes[a:b].astype("<i8").tobytes() for a, b in spans],
+        "lids": [_squeezed(lids[a:b]) for a, b in spans],
+    }
 
 
 @dataclass
@@ -154,19 +226,22 @@ class ChunkTexts:
     known: np.ndarray
     held: np.ndarray
     sizes: np.ndarray
-    hashes: np.ndarray
+    #: What each word is called outside of the chunk.
+    names: np.ndarray
     lids: np.ndarray
 
     @classmethod
-    def of(cls, row) -> ChunkTexts:
+    def of(cls, row, names: np.ndarray | None = None) -> ChunkTexts:
+        """Words are called by their hashes, if not by ``names``."""
         lids = zstandard.ZstdDecompressor().decompress(row["lids"])
-        types = {"ids": "<i8", "known_ids": "u1", "held": "u1", "sizes": "<i8", "hs": "<i8"}
-        return cls(*[np.frombuffer(row[n], t) for n, t in types.items()], np.frombuffer(lids, "<u4"))
+        types = {"ids": "<i8", "known_ids": "u1", "held": "u1", "sizes": "<i8"}
+        names = np.frombuffer(row["hs"], "<i8") if names is None else names
+        return cls(*[np.frombuffer(row[n], t) for n, t in types.items()], names, np.frombuffer(lids, "<u4"))
 
     def pairs(self) -> tuple[np.ndarray, ...]:
         """By distinct pair, in the order of word numbers: first word, second word, count in
         the texts to learn from; and the pair of each token and end of all texts in turn."""
-        count = len(self.hashes)
+        count = len(self.names)
         each = self.sizes + 1
         ends = np.cumsum(each) - 1
         follow = np.full(each.sum(), count - 1, np.int64)
@@ -174,98 +249,132 @@ class ChunkTexts:
         inside[ends] = False
         follow[inside] = self.lids
         before = np.append(count - 1, follow[:-1])
-        code, at = np.unique(before * count + follow, return_inverse=True)
+        code, _, at = _numbered(before * count + follow)
         learned = np.bincount(at[np.repeat(self.held == 0, each)], minlength=len(code))
         return code // count, code % count, learned, at
 
 
-#: A chunk's pairs within a bucket: place in the chunk, hashes of both words, count.
-PAIR = np.dtype([("place", "<i4"), ("u", "<i8"), ("w", "<i8"), ("n", "<i4")])
+#: A chunk's pairs within a bucket: steps from place to place in the chunk, both words, count.
+PAIR = np.dtype([("step", "<i4"), ("u", "<i8"), ("w", "<i8"), ("n", "<i4")])
 
 
 def _columns(rows: np.ndarray) -> bytes:
     """Column by column, which compresses better."""
-    data = b"".join(np.ascontiguousarray(rows[n]).tobytes() for n in rows.dtype.names)
+    data = len(rows).to_bytes(8, "little") + b"".join(_planes(rows[n]) for n in rows.dtype.names)
     return zstandard.ZstdCompressor(1).compress(data)
 
 
 def _rows(blob: bytes, kind: np.dtype) -> np.ndarray:
     data = zstandard.ZstdDecompressor().decompress(blob)
-    out, at = np.empty(len(data) // kind.itemsize, kind), 0
+    out, at = np.empty(int.from_bytes(data[:8], "little"), kind), 8
     for name in kind.names:
-        out[name] = np.frombuffer(data, kind[name], len(out), at)
-        at += len(out) * kind[name].itemsize
+        out[name], at = _from_planes(data, at, len(out), kind[name])
     return out
 
 
-def pair_parts(texts: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, chunk, pairs): the distinct pairs of each chunk, dealt by their hash."""
+def pair_parts(texts: DataFrame, buckets: int, names: DataFrame | None = None) -> DataFrame:
+    """(bucket, chunk, pairs): the distinct pairs of each chunk, dealt by a hash. Words are
+    called by their hashes, or as ``names`` (chunk, lids, names) has it."""
+
+    def dealt(texts: ChunkTexts, chunk: int) -> pd.DataFrame:
+        u, w, n, _ = texts.pairs()
+        rows = np.empty(len(u), PAIR)
+        rows["u"], rows["w"], rows["n"] = texts.names[u], texts.names[w], n
+        key = packed.paired(rows["u"].view(np.uint64), rows["w"].view(np.uint64))
+        bucket = (key % np.uint64(buckets)).astype(np.min_scalar_type(buckets))
+        order = np.argsort(bucket, kind="stable")
+        rows, bucket, blobs, spans = rows[order], bucket[order], [], _runs_of(bucket[order])
+        for a, b in spans:
+            own = rows[a:b]
+            own["step"] = np.diff(order[a:b], prepend=0)
+            blobs.append(_columns(own))
+        found = bucket[[a for a, _ in spans]].astype(np.int64)
+        return pd.DataFrame({"bucket": found, "chunk": chunk, "pairs": blobs})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                texts = ChunkTexts.of(row)
-                u, w, n, _ = texts.pairs()
-                rows = np.empty(len(u), PAIR)
-                rows["place"], rows["n"] = np.arange(len(u)), n
-                rows["u"], rows["w"] = texts.hashes[u], texts.hashes[w]
-                key = packed.paired(rows["u"].view(np.uint64), rows["w"].view(np.uint64))
-                bucket = (key % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(bucket, kind="stable")
-                found, first = np.unique(bucket[order], return_index=True)
-                blobs = [_columns(rows[at]) for at in np.split(order, first[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found), pa.array(np.full(len(found), row["text_chunk"])), pa.array(blobs, pa.binary())],
-                    ["bucket", "chunk", "pairs"],
-                )
+                found = dealt(ChunkTexts.of(row), row["text_chunk"])
+                yield pa.RecordBatch.from_pandas(found, preserve_index=False)
 
+    def named(text: pd.DataFrame, names: pd.DataFrame) -> pd.DataFrame:
+        row = text.iloc[0]
+        return dealt(ChunkTexts.of(row, _chunk_names(names)), row["text_chunk"])
+
+    schema = "bucket long, chunk long, pairs binary"
     one = texts.select("text_chunk", "ids", "known_ids", "held", "sizes", "hs", "lids")
-    return one.mapInArrow(run, "bucket long, chunk long, pairs binary")
+    if names is None:
+        return one.mapInArrow(run, schema)
+    return one.groupBy("text_chunk").cogroup(names.groupBy("chunk")).applyInPandas(named, schema)
+
 
+def _chunk_names(names: pd.DataFrame) -> np.ndarray:
+    """The names of a chunk's words in the order of their numbers there."""
+    lids = np.concatenate([_array(x, "<i4") for x in names["lids"]])
+    out = np.empty(len(lids), np.int64)
+    out[lids] = np.concatenate([_array(x, "<i8") for x in names["names"]])
+    return out
+
+
+#: Where in a chunk a pair is whose count its chunk cannot know: steps from place to place, and
+#: its number among the repeated pairs of the bucket, -1 for a pair learned once.
+PLACED = np.dtype([("step", "<i4"), ("j", "<i4")])
+#: The repeated pairs of a bucket: both words by their numbers among its words, count.
+REPEATED = np.dtype([("u", "<i4"), ("w", "<i4"), ("c", "<i8")])
 
-#: Where in a chunk a pair is whose count its chunk cannot know: its place, and its number
-#: among the repeated pairs of the bucket, -1 for a pair learned once.
-PLACED = np.dtype([("place", "<i4"), ("j", "<i4")])
 
+def _packed_pairs(u: np.ndarray, w: np.ndarray, c: np.ndarray) -> dict[str, list[bytes]]:
+    """Repeated pairs, and the names of their words in order."""
+    words, _, number = _numbered(np.concatenate([u, w]))
+    rows = np.empty(len(u), REPEATED)
+    rows["u"], rows["w"], rows["c"] = number[: len(u)], number[len(u) :], c
+    return {"names": [_squeezed(words)], "pairs": [_columns(rows)]}
 
-def tallied(parts: DataFrame, with_once: bool = True) -> DataFrame:
+
+def tallied(parts: DataFrame, with_once: bool = True, pack: bool = False) -> DataFrame:
     """Three kinds of rows of each bucket: repeated pairs (u, w, c, j); how many pairs learned
-    once have a word first (u, c) or second (w, c), if asked for; and ``places`` of a chunk."""
+    once have a word first (u, c) or second (w, c), if asked for; and ``places`` of a chunk.
+    With ``pack``, repeated pairs are one row, in the order of j: ``names`` and ``pairs``."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         pieces = [_rows(b, PAIR) for b in group["pairs"]]
-        rows = np.concatenate(pieces)
+        u, w, count = (np.concatenate([p[n] for p in pieces]) for n in ("u", "w", "n"))
+        place = np.concatenate([np.cumsum(p["step"]) for p in pieces])
         part = np.repeat(np.arange(len(pieces)), [len(p) for p in pieces])
         pieces.clear()
-        order = np.lexsort((rows["w"], rows["u"]))
-        rows, part = rows[order], part[order]
-        new = np.append(True, (rows["u"][1:] != rows["u"][:-1]) | (rows["w"][1:] != rows["w"][:-1]))
-        first = np.flatnonzero(new)
-        number = np.cumsum(new) - 1
-        c = np.add.reduceat(rows["n"].astype(np.int64), first)
+        _, first, number = _numbered(packed.paired(u.view(np.uint64), w.view(np.uint64)))
+        c = np.bincount(number, count, len(first)).astype(np.int64)
         times = np.bincount(number)
         again = np.flatnonzero(c > 1)
         j = np.full(len(first), -1, np.int32)
         j[again] = np.arange(len(again))
-        out = [pd.DataFrame({"u": rows["u"][first[again]], "w": rows["w"][first[again]], "c": c[again], "j": j[again]})]
+        repeated = u[first[again]], w[first[again]], c[again]
+        out = []
+        if not pack:
+            out.append(pd.DataFrame({**dict(zip("uwc", repeated, strict=True)), "j": j[again]}))
+        elif len(again):
+            out.append(pd.DataFrame(_packed_pairs(*repeated)))
         once = first[c == 1]
         for side in ("u", "w") if with_once else ():
-            word, n = np.unique(rows[side][once], return_counts=True)
+            word, n = np.unique({"u": u, "w": w}[side][once], return_counts=True)
             out.append(pd.DataFrame({side: word, "c": n}))
         told = np.flatnonzero(((c > 1) | ((c == 1) & (times > 1)))[number])
-        told = told[np.argsort(part[told], kind="stable")]
-        placed = np.empty(len(told), PLACED)
-        placed["place"], placed["j"] = rows["place"][told], j[number[told]]
-        found, start = np.unique(part[told], return_index=True)
-        blobs = [_columns(p) for p in np.split(placed, start[1:])] if len(found) else []
-        out.append(pd.DataFrame({"chunk": group["chunk"].to_numpy()[found], "places": blobs}))
-        names = ("u", "w", "c", "j", "chunk")
-        whole = pd.concat([f.astype({n: "Int64" for n in names if n in f}) for f in out], ignore_index=True)
-        whole = whole.assign(bucket=group["bucket"].iloc[0])
-        whole["places"] = whole["places"].astype(object).where(whole["places"].notna(), None)
-        return whole[["bucket", *names, "places"]]
-
-    schema = "bucket long, u long, w long, c long, j long, chunk long, places binary"
+        chunks, blobs = [], []
+        for a, b in _runs_of(part[told]):
+            at = told[a:b]
+            placed = np.empty(len(at), PLACED)
+            placed["step"], placed["j"] = np.diff(place[at], prepend=0), j[number[at]]
+            chunks.append(group["chunk"].iloc[part[at[0]]])
+            blobs.append(_columns(placed))
+        out.append(pd.DataFrame({"chunk": np.array(chunks, np.int64), "places": blobs}))
+        numbers = ("u", "w", "c", "j", "chunk")
+        whole = pd.concat([f.astype({n: "Int64" for n in numbers if n in f}) for f in out], ignore_index=True)
+        whole = whole.assign(bucket=group["bucket"].iloc[0]).reindex(columns=["bucket", *numbers, "places", "names", "pairs"])
+        for n in ("places", "names", "pairs"):
+            whole[n] = whole[n].astype(object).where(whole[n].notna(), None)
+        return whole.astype({n: "Int64" for n in numbers})
+
+    schema = "bucket long, u long, w long, c long, j long, chunk long, places binary, names binary, pairs binary"
     return parts.groupBy("bucket").applyInPandas(run, schema)
 
 
@@ -302,18 +411,25 @@ class Restaurants:
         # dishes of few customers together: rows of the arrays are as wide as the most customers
         some = some[np.argsort(customers[some], kind="stable")]
         stirling = log_stirling(d)
-        t = np.arange(1, EXACT + 1)
         for start in range(0, len(some), 1 << 13):
             at = some[start : start + (1 << 13)]
-            seated = np.minimum(customers[at], EXACT)
+            seated, prior_at, others_at = np.minimum(customers[at], EXACT), prior[at], others[at]
             most = int(seated.max())
-            weight = np.log(self.strength + d * (others[at][:, None] + t[None, :most] - 1))
-            weight += np.log(np.maximum(prior[at], 1e-300))[:, None]
-            weight = np.cumsum(weight, axis=1) + stirling[seated, 1 : most + 1]
-            weight = np.exp(weight - weight.max(axis=1, keepdims=True))
-            total = np.cumsum(weight, axis=1)
-            draw = uniform(keys[at], 3 * sweep)[:, None] * total[:, -1:]
-            out[at] = 1 + (total < draw).sum(axis=1)
+            ways = stirling[:, 1 : most + 1].T[:, seated]
+            if most <= FEW:  # a few factors need no logarithms
+                weight = np.exp(ways)
+                factor = np.ones(len(at))
+                for t in range(1, most):
+                    factor = factor * ((self.strength + d * (others_at + t)) * prior_at)
+                    weight[t] *= factor
+            else:
+                weight = np.log(self.strength + d * (others_at + np.arange(most)[:, None]))
+                weight += np.log(np.maximum(prior_at, 1e-300))
+                weight = np.cumsum(weight, axis=0) + ways
+                weight = np.exp(weight - weight.max(axis=0))
+            total = np.cumsum(weight, axis=0)
+            draw = uniform(keys[at], 3 * sweep) * total[-1]
+            out[at] = 1 + (total < draw).sum(axis=0)
         return self._beyond(out, customers, others, prior, keys, sweep)
 
     def _beyond(self, out, customers, others, prior, keys, sweep: int) -> np.ndarray:
@@ -378,8 +494,12 @@ class Spelling:
     def probability(self, words: list[bytes]) -> np.ndarray:
         """Probability that a new table gets each of the words."""
         keys, sizes = self.grams(words)
+        return self.of_grams(keys, slice(None), sizes)
+
+    def of_grams(self, keys: np.ndarray, at: np.ndarray | slice, sizes: np.ndarray) -> np.ndarray:
+        """The same for words whose grams are ``keys[at]``, ``sizes`` of them each."""
         p = self.p(keys >> 8, keys & 255)
-        return np.exp(np.maximum(packed.sums(np.log(np.maximum(p, 1e-30)), sizes), -690.0))
+        return np.exp(np.maximum(packed.sums(np.log(np.maximum(p, 1e-30))[at], sizes), -690.0))
 
 
 class ByteSeating:
@@ -447,181 +567,431 @@ class Sample:
     def tables(self, words: list[bytes], counts: np.ndarray, keys: np.ndarray):
         """Tables and spelling probability of words."""
         prior = self.spelling.probability(words)
-        others = np.full(len(words), max(self.all_tables - 1, 0), np.float64)
-        return Restaurants(*WORDS).tables(counts, others, prior, keys, self.number), prior
+        return self.drawn(counts, prior, keys), prior
+
+    def drawn(self, counts: np.ndarray, prior: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        others = np.full(len(counts), max(self.all_tables - 1, 0), np.float64)
+        return Restaurants(*WORDS).tables(counts, others, prior, keys, self.number)
+
+
+#: A part of the vocabulary: its words that were learned more than once, or the others. Their
+#: names in order, hashes, counts, bytes, and grams as places among the part's own. A name
+#: modulo the number of parts is the word's part. Rows of a chunk tell it its words' names.
+VOCABULARY = (
+    "part long, often boolean, n long, distinct long, names binary, hs binary, c binary, words binary, "
+    "sizes binary, grams binary, at binary, chunk long, lids binary"
+)
+
+
+def _vocabulary_rows(part: int, names: np.ndarray, hashes: np.ndarray, c: np.ndarray, words: list[bytes]) -> pd.DataFrame:
+    """Two rows: the words learned more than once, and the others."""
+    rows = []
+    for often in (True, False):
+        some = np.flatnonzero((c > 1) == often)
+        own = [words[i] for i in some.tolist()]
+        grams, sizes = Spelling.grams(own)
+        found, _, at = _numbered(grams)
+        rows.append(
+            {"part": part, "often": often, "n": int(c[some].sum()), "distinct": int((c[some] > 0).sum()),
+             "names": _squeezed(names[some].astype("<i8")), "hs": hashes[some].tobytes(),
+             "c": _squeezed(c[some].astype("<i8")),
+             "words": zstandard.ZstdCompressor(1).compress(b"".join(own)), "sizes": _squeezed(sizes.astype("<i4")),
+             "grams": _squeezed(found.astype("<i8")), "at": _squeezed(at.astype("<i4"))}
+        )
+    return pd.DataFrame(rows)
+
+
+def _sliced(data: bytes, lengths: np.ndarray) -> list[bytes]:
+    ends = np.cumsum(lengths)
+    return [data[a:b] for a, b in zip((ends - lengths).tolist(), ends.tolist(), strict=True)]
+
+
+def merged_words(packs: DataFrame, parts: int) -> DataFrame:
+    """The vocabulary of all chunks' packed words, whose names are numbers: small ones for frequent
+    words. Words are told apart by 64-bit hashes, as within a chunk."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        own = [np.frombuffer(h, "<u8") for h in group["hs"]]
+        lengths, learned = np.concatenate([_array(x, "<i8").reshape(-1, 2) for x in group["lengths"]]).T
+        data = b"".join(zstandard.ZstdDecompressor().decompress(w) for w in group["word"])
+        hashes, first, number = _numbered(np.concatenate(own))
+        c = np.bincount(number, learned).astype(np.int64)
+        order = np.lexsort((hashes, -c))
+        part, rank = int(group["part"].iloc[0]), np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        ends = np.cumsum(lengths)[first[order]]
+        begins = ends - lengths[first[order]]
+        words = [data[a:b] for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+        names = np.split(rank[number] * parts + part, np.cumsum([len(h) for h in own])[:-1])
+        told = {"chunk": group["chunk"].astype("Int64"), "lids": group["lids"], "names": [_squeezed(x) for x in names]}
+        return pd.concat(
+            [_vocabulary_rows(part, np.arange(len(order)) * parts + part, hashes[order], c[order], words),
+             pd.DataFrame(told).assign(part=part)]
+        ).reindex(columns=[f.split()[0] for f in VOCABULARY.split(", ")]).astype(_NUMBERS)
+
+    return packs.select("part", "chunk", "hs", "lids", "lengths", "word").groupBy("part").applyInPandas(run, VOCABULARY)
 
 
-def _word_batches(batch: pa.RecordBatch, size: int = 20_000):
-    for start in range(0, batch.num_rows, size):
-        part = batch.slice(start, size)
-        words = part.column("word").to_pylist()
-        counts = part.column("c").to_numpy(zero_copy_only=False)
-        yield words, counts, part.column("h").to_numpy(zero_copy_only=False).view(np.uint64)
+_NUMBERS = {"n": "Int64", "distinct": "Int64", "chunk": "Int64", "often": "boolean"}
 
 
-def _sweep(vocabulary: DataFrame, sample: Sample | None) -> tuple[int, np.ndarray, np.ndarray]:
-    """Seat all words given ``sample`` (one table each without it). Returns the number of
-    tables and the customers that they send to the byte restaurants."""
-    shared = vocabulary.sparkSession.sparkContext.broadcast(sample)
+def packed_words(vocabulary: DataFrame, parts: int) -> DataFrame:
+    """The same of a row (word, h, c) for each word, whose names are their hashes."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        hashes = group["h"].to_numpy().astype(np.int64)
+        order = np.argsort(hashes)
+        words = [bytes(group["word"].iloc[i]) for i in order.tolist()]
+        names, c = hashes[order], group["c"].to_numpy()[order]
+        found = _vocabulary_rows(int(group["part"].iloc[0]), names, names.view(np.uint64), c, words)
+        return found.reindex(columns=[f.split()[0] for f in VOCABULARY.split(", ")]).astype(_NUMBERS)
+
+    part = F.pmod("h", F.lit(parts)).alias("part")
+    return vocabulary.select("word", "h", "c", part).groupBy("part").applyInPandas(run, VOCABULARY)
+
+
+@dataclass
+class PartWords:
+    """Words of a part of the vocabulary, and the grams of their spelling."""
+
+    hashes: np.ndarray
+    names: np.ndarray
+    counts: np.ndarray
+    sizes: np.ndarray
+    grams: np.ndarray
+    at: np.ndarray
+
+    @classmethod
+    def of(cls, row) -> PartWords:
+        blobs = (("names", "<i8"), ("c", "<i8"), ("sizes", "<i4"), ("grams", "<i8"), ("at", "<i4"))
+        return cls(np.frombuffer(row["hs"], "<u8"), *[_array(row[n], kind) for n, kind in blobs])
+
+    def prior(self, spelling: Spelling) -> np.ndarray:
+        return spelling.of_grams(self.grams, self.at, self.sizes)
+
+    def sent(self, tables: np.ndarray) -> np.ndarray:
+        """Customers of the byte restaurants, by gram."""
+        return np.bincount(self.at, np.repeat(tables, self.sizes), len(self.grams)).astype("<i8")
+
+    def state(self, sample: Sample, customers: np.ndarray, total: int) -> np.ndarray:
+        """Probability of each word in the restaurant of all words, of ``total`` customers."""
+        prior = self.prior(sample.spelling)
+        tables = sample.drawn(customers, prior, self.hashes)
+        p = Restaurants(*WORDS).predictive(customers, tables, total, sample.all_tables, prior)
+        return np.maximum(p, 1e-307)
+
+
+def _gram_sums(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sums by gram of what packed words send, or send with one table for each customer; of
+    2^27 grams at most, whatever the vocabulary."""
+    counted = "sent" not in words.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = shared.value
         for batch in batches:
-            for words, counts, keys in _word_batches(batch):
-                tables = np.minimum(counts, 1)
-                more = np.flatnonzero(counts > 1)
-                if state is not None and len(more):
-                    tables[more], _ = state.tables([words[i] for i in more], counts[more], keys[more])
-                grams, sizes = Spelling.grams(words)
-                found, at = np.unique(grams, return_inverse=True)
-                sent = np.bincount(at, np.repeat(tables, sizes), len(found)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.append(found, -1)), pa.array(np.append(sent, tables.sum()))],
-                    ["gram", "n"],
-                )
-
-    # of 2^27 keys at most, whatever the vocabulary
+            for row in batch.to_pylist():
+                if counted:
+                    own = PartWords.of(row)
+                    grams, sent = own.grams, own.sent(own.counts)
+                else:
+                    grams, sent = (_array(row[n], "<i8") for n in ("grams", "sent"))
+                yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(sent)], ["gram", "n"])
+
     rows = (
-        vocabulary.where("c > 0").mapInArrow(run, "gram long, n long")
+        words.mapInArrow(run, "gram long, n long")
         .groupBy("gram").agg(F.sum("n").alias("n")).where("n > 0").orderBy("gram").toArrow()
     )
-    grams, n = rows["gram"].to_numpy(), rows["n"].to_numpy()
-    shared.destroy()
-    total = int(n[grams < 0].sum())
-    return total, grams[grams >= 0], n[grams >= 0]
+    return rows["gram"].to_numpy(), rows["n"].to_numpy()
 
 
 def sampled(vocabulary: DataFrame, following: Following | None = None) -> list[Sample]:
     """The states of the sweeps that count. The customers of words are the tables of
     ``following``, which takes part in each sweep, or else the counts of the vocabulary."""
     kept, seating, sample = [], ByteSeating(), None
+    following = following or Following(vocabulary)
     for number in range(BURN_IN + SAMPLES):
-        words = following.customers(number) if following else vocabulary
-        tables, grams, sent = _sweep(words, sample)
+        tables, grams, sent = following.seat(number, sample)
         if len(grams):
             seating.sweep(grams, sent, number)
         sample = Sample(number + 1, tables, seating.spelling)
-        if following:
-            following.observe(words, sample)
+        following.observe(number, sample)
         if number >= BURN_IN:
             kept.append(sample)
     return kept
 
 
+#: A part of the vocabulary in a sweep: its words' customers, their tables as first words, what
+#: they send to the byte restaurants, and the places of the words that each bucket asks for.
+SEATED = (
+    "part long, names binary, hs binary, c binary, sizes binary, grams binary, at binary, customers binary, "
+    "tables binary, sent binary, all_customers long, all_tables long, buckets array<long>, asked array<binary>"
+)
+
+
 class Following:
     """The sampled tables of the restaurants of following words, as tables on Spark.
 
     A word is the first of as many pairs as it has tokens, and the second of as many. A pair
     learned once has one table. So a word's tables as the first and its customers as the
-    second are its tokens less the repeated pairs' customers beyond their tables."""
-
-    def __init__(self, vocabulary: DataFrame, tally: DataFrame):
-        self.vocabulary = vocabulary
-        self.repeated = tally.where("j IS NOT NULL").select("bucket", "j", "u", "w", "c")
-        #: Of the sweeps that count: (bucket, j, c, t) of repeated pairs. Of all: (h, tables,
-        #: p) of words, their tables as first words and their probability in the parent.
+    second are its tokens less the repeated pairs' customers beyond their tables. A word
+    learned once at most is in no repeated pair: it stays as it is in all sweeps.
+
+    ``vocabulary`` and ``tally`` come packed or as rows; ``parts`` is the number of parts."""
+
+    def __init__(self, vocabulary: DataFrame, tally: DataFrame | None = None, parts: int = 1):
+        if "word" in vocabulary.columns:
+            vocabulary = durable(packed_words(vocabulary, parts), "lm-vocabulary")
+        self.vocabulary, self.parts = vocabulary, parts
+        self.words = vocabulary.where("often").select("part", "names", "hs", "c", "sizes", "grams", "at")
+        self.pairs = None if tally is None else _repeated(tally)
+        self.rare: tuple[int, np.ndarray, np.ndarray] | None = None
+        self.seated: DataFrame | None = None
+        #: Of the sweeps that count: the tables of repeated pairs by bucket, in their order, the
+        #: state of words by part, and the customers of all words.
         self.drawn: list[DataFrame] = []
-        self.words: list[DataFrame] = []
-
-    def customers(self, number: int) -> DataFrame:
-        """Seat all pairs given the last sweep; (word, h, c, tables) of every word.
+        self.states: list[DataFrame] = []
+        self.totals: list[int] = []
+
+    def _rare_words(self) -> tuple[int, np.ndarray, np.ndarray]:
+        """The number of words learned once, and what they send to the byte restaurants."""
+        rare = self.vocabulary.where("NOT often")
+        sent = _gram_sums(rare.select("names", "hs", "c", "sizes", "grams", "at"))
+        return rare.agg(F.sum("n")).first()[0] or 0, *sent
+
+    def _sums(self, number: int) -> DataFrame:
+        """Seat all pairs given the last sweep: by bucket their tables, and by part of the
+        vocabulary what the bucket's pairs spare its words as the second and as the first."""
+        parts = self.parts
+        schema = "part long, bucket long, names binary, less binary, t binary"
+
+        def run(pairs: pd.DataFrame, states: pd.DataFrame | None = None) -> pd.DataFrame:
+            out = []
+            for row in pairs.to_dict("records"):
+                names, rows = _array(row["names"], "<i8"), _rows(row["pairs"], REPEATED)
+                u, w, c = (rows[n] for n in REPEATED.names)
+                # words by part, as their states come
+                order = np.argsort(names % parts, kind="stable")
+                if states is None:
+                    t = np.ones(len(c), np.int64)
+                else:
+                    own = states.sort_values("part")
+                    of_words = []
+                    for n, kind in (("tables", "<i8"), ("p", "<f8"), ("hs", "<u8")):
+                        told = np.concatenate([_array(x, kind) for x in own[n]])
+                        of_words.append(np.empty_like(told))
+                        of_words[-1][order] = told
+                    all_tables, p, hashes = of_words
+                    keys = packed.paired(hashes[u], hashes[w])
+                    t = Restaurants(*PAIRS).tables(c, np.maximum(all_tables[u] - 1.0, 0), p[w], keys, number)
+                less = np.stack([np.bincount(x, c - t, len(names)) for x in (w, u)], axis=1).astype("<i8")[order]
+                names = names[order]
+                for a, b in _runs_of(names % parts):
+                    out.append({"part": names[a] % parts, "bucket": row["bucket"], "names": _squeezed(names[a:b]),
+                                "less": _squeezed(less[a:b].reshape(-1)), "t": None})
+                out.append({"part": None, "bucket": row["bucket"], "names": None, "less": None, "t": _squeezed(t.astype("<i8"))})
+            return pd.DataFrame(out, columns=["part", "bucket", "names", "less", "t"]).astype({"part": "Int64"})
+
+        if not number:
+            return self.pairs.groupBy("bucket").applyInPandas(lambda pairs: run(pairs), schema)
+        asked = self.state.where("bucket IS NOT NULL").groupBy("bucket")
+        return self.pairs.groupBy("bucket").cogroup(asked).applyInPandas(lambda p, s: run(p, s), schema)
+
+    def seat(self, number: int, sample: Sample | None) -> tuple[int, np.ndarray, np.ndarray]:
+        """Seat all pairs and then all words given the last sweep (one table each without it).
+        Returns the tables of all words and the customers that they send to the byte restaurants.
 
         What only this sweep needs is discarded as soon as it is added up."""
-        if not self.words:
-            drawn = self.repeated.withColumn("t", F.lit(1).cast("long"))
+        spark = self.vocabulary.sparkSession
+        shared, sums = spark.sparkContext.broadcast(sample), None
+        if self.pairs is not None:
+            sums = self._sums(number)
+            if number >= BURN_IN:
+                sums = durable(sums, "lm-drawn")
+                self.drawn.append(sums)
+
+        def run(vocabulary: pd.DataFrame, sums: pd.DataFrame | None = None) -> pd.DataFrame:
+            out, sample = [], shared.value
+            for row in vocabulary.to_dict("records"):
+                words = PartWords.of(row)
+                less, asked = np.zeros((len(words.hashes), 2), np.int64), []
+                for names, spared in zip(sums["names"], sums["less"], strict=True) if sums is not None else ():
+                    at = np.searchsorted(words.names, _array(names, "<i8"))
+                    less[at] += _array(spared, "<i8").reshape(-1, 2)
+                    asked.append(_squeezed(at.astype("<i4")))
+                customers, left = np.maximum(words.counts[:, None] - less, 0).T
+                tables = np.minimum(customers, 1)
+                if sample is not None:
+                    tables = sample.drawn(customers, words.prior(sample.spelling), words.hashes)
+                out.append(
+                    row | {"customers": _squeezed(customers), "tables": _squeezed(left), "sent": _squeezed(words.sent(tables)),
+                           "all_customers": int(customers.sum()), "all_tables": int(tables.sum()),
+                           "buckets": [] if sums is None else sums["bucket"].tolist(), "asked": asked}
+                )
+            return pd.DataFrame(out, columns=[f.split()[0] for f in SEATED.split(", ")])
+
+        by_part = self.words.groupBy("part")
+        if sums is None:
+            seated = by_part.applyInPandas(lambda words: run(words), SEATED)
         else:
-            last = self.words[-1]
-            left = last.select(F.col("h").alias("u"), "tables")
-            right = last.select(F.col("h").alias("w"), "p")
-            drawn = self.repeated.join(left, "u").join(right, "w")
-            drawn = drawn.mapInArrow(_pair_draws(number), "bucket long, j long, u long, w long, c long, t long")
-        whole = None
-        if number >= BURN_IN:
-            drawn = whole = durable(drawn.select("bucket", "j", "u", "w", "c", "t"), "lm-drawn-pairs")
-            self.drawn.append(durable(drawn.select("bucket", "j", "c", "t"), "lm-drawn"))
-            forget_shuffles(drawn.sparkSession)  # those of the joins, before the sums make more
-        # what a word's repeated pairs spare it as the second and as the first, at once
-        zero, spared = F.lit(0).cast("long"), F.col("c") - F.col("t")
-        first = F.struct(F.col("u").alias("h"), zero.alias("less_c"), spared.alias("less_tables"))
-        second = F.struct(F.col("w").alias("h"), spared.alias("less_c"), zero.alias("less_tables"))
-        every = drawn.where("c > t").select(F.inline(F.array(first, second)))
-        sums = every.groupBy("h").agg(*[F.sum(n).alias(n) for n in ("less_c", "less_tables")])
-        seated = self.vocabulary.join(sums, "h", "left").na.fill(0, sums.columns)
-        left = [F.greatest(F.col("c") - F.col(f"less_{n}"), zero).alias(n) for n in ("c", "tables")]
-        seated = durable(seated.select("word", "h", *left), "lm-seated")
-        done = [whole] if whole is not None else []
-        if 0 < number <= BURN_IN:  # the state before the first sweep that counts is the last not kept
-            done.append(self.words[-1])
-        discard(*done)
-        return seated
-
-    def observe(self, words: DataFrame, sample: Sample) -> None:
-        total = words.agg(F.sum("c")).first()[0] or 0
-        p = word_scores(words, sample, total)
-        self.words.append(durable(p, "lm-state"))
-        discard(words)
-
-
-def _pair_draws(number: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            u, w, c, all_tables, p = (
-                batch.column(n).to_numpy(zero_copy_only=False) for n in ("u", "w", "c", "tables", "p")
-            )
-            keys = packed.paired(u.view(np.uint64), w.view(np.uint64))
-            others = np.maximum(all_tables - 1.0, 0)
-            t = Restaurants(*PAIRS).tables(c, others, p, keys, number)
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(n) for n in ("bucket", "j", "u", "w", "c")), pa.array(t, pa.int64())],
-                ["bucket", "j", "u", "w", "c", "t"],
-            )
+            told = sums.where("part IS NOT NULL").select("part", "bucket", "names", "less").groupBy("part")
+            seated = by_part.cogroup(told).applyInPandas(lambda words, sums: run(words, sums), SEATED)
+        self.seated = durable(seated, "lm-seated")
+        shared.destroy()
+        if self.rare is None:
+            self.rare = self._rare_words()
+        once, *rare = self.rare
+        total = self.seated.agg(F.sum("all_customers"), F.sum("all_tables")).first()
+        self.total = (total[0] or 0) + once
+        grams, sent = _gram_sums(self.seated.select("grams", "sent"))
+        found, at = np.unique(np.concatenate([grams, rare[0]]), return_inverse=True)
+        n = np.bincount(at, np.concatenate([sent, rare[1]]), len(found)).astype(np.int64)
+        if number and self.pairs is not None:
+            discard(self.state)
+        return (total[1] or 0) + once, found, n
 
-    return run
-
-
-def word_scores(seated: DataFrame, sample: Sample, customers: int) -> DataFrame:
-    """(h, tables, p): hash of each word, its tables as a first word, and its probability
-    in the restaurant of all words."""
-    shared = seated.sparkSession.sparkContext.broadcast(sample)
-    words_of = Restaurants(*WORDS)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = 0
-            for words, counts, keys in _word_batches(batch):
-                sample = shared.value
-                tables, prior = sample.tables(words, counts, keys)
-                p = words_of.predictive(counts, tables, customers, sample.all_tables, prior)
-                left = batch.column("tables").slice(at, len(words))
-                at += len(words)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), left, pa.array(np.maximum(p, 1e-307))],
-                    ["h", "tables", "p"],
-                )
+    def customers(self, number: int) -> DataFrame:
+        """Seat all words before the first sweep has ended; (word, h, c, tables) of every word:
+        its customers as the second of pairs, and its tables as the first."""
+        self.seat(number, None)
+
+        def run(vocabulary: pd.DataFrame, seated: pd.DataFrame) -> pd.DataFrame:
+            out = []
+            for row in vocabulary.to_dict("records"):
+                words = PartWords.of(row)
+                data = zstandard.ZstdDecompressor().decompress(row["words"])
+                both = [words.counts] * 2
+                if row["often"]:
+                    both = [_array(seated[n].iloc[0], "<i8") for n in ("customers", "tables")]
+                names = ("word", "h", "c", "tables")
+                values = _sliced(data, words.sizes - 1), words.hashes.view(np.int64), *both
+                out.append(pd.DataFrame(dict(zip(names, values, strict=True))))
+            return pd.concat(out)
+
+        by_part = self.vocabulary.where("chunk IS NULL").groupBy("part").cogroup(self.seated.groupBy("part"))
+        return by_part.applyInPandas(run, "word binary, h long, c long, tables long")
+
+    def observe(self, number: int, sample: Sample) -> None:
+        """The state of words after a sweep: for each bucket that of its own words, and of
+        the sweeps that count that of all."""
+        if self.pairs is None:
+            return discard(self.seated)
+        shared, total, kept = self.vocabulary.sparkSession.sparkContext.broadcast(sample), self.total, number >= BURN_IN
+        last = number == BURN_IN + SAMPLES - 1
+        schema = "part long, bucket long, tables binary, p binary, hs binary"
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row in batch.to_pylist():
+                    words = PartWords.of(row)
+                    customers, tables = (_array(row[n], "<i8") for n in ("customers", "tables"))
+                    p = words.state(shared.value, customers, total)
+                    places = [] if last else [_array(x, "<i4") for x in row["asked"]]
+                    buckets = [] if last else list(row["buckets"])
+                    if kept:
+                        places, buckets = [*places, slice(None)], [*buckets, None]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([row["part"]] * len(places), pa.int64()), pa.array(buckets, pa.int64()),
+                         pa.array([_squeezed(tables[x]) for x in places], pa.binary()),
+                         pa.array([_squeezed(p[x]) for x in places], pa.binary()),
+                         pa.array([_squeezed(words.hashes[x]) for x in places], pa.binary())],
+                        ["part", "bucket", "tables", "p", "hs"],
+                    )
+
+        self.state = durable(self.seated.drop("sent").mapInArrow(run, schema), "lm-state")
+        shared.destroy()
+        discard(self.seated)
+        if kept:
+            self.states.append(durable(self.state.where("bucket IS NULL").select("part", "tables", "p"), "lm-words"))
+            self.totals.append(total)
+        if last:
+            discard(self.state)
+
+
+def _repeated(tally: DataFrame) -> DataFrame:
+    """The repeated pairs of each bucket as one row, from one or from a row for each."""
 
-    return seated.mapInArrow(run, "h long, tables long, p double")
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        rows = group.sort_values("j")
+        u, w, c = (rows[n].to_numpy().astype(np.int64) for n in ("u", "w", "c"))
+        return pd.DataFrame({"bucket": group["bucket"].iloc[:1].to_numpy(), **_packed_pairs(u, w, c)})
+
+    schema = "bucket long, names binary, pairs binary"
+    one = tally.where("pairs IS NOT NULL").select("bucket", "names", "pairs")
+    rows = tally.where("j IS NOT NULL").select("bucket", "u", "w", "c", "j")
+    return one.unionAll(rows.groupBy("bucket").applyInPandas(run, schema))
+
+
+def word_states(following: Following, samples: list[Sample]) -> DataFrame:
+    """(chunk, lids, words): count, tables and probabilities by sample of each chunk's words."""
+    totals, parts = following.totals, following.parts
+    shared = following.vocabulary.sparkSession.sparkContext.broadcast(samples)
+    # of words learned more than once the state is known, so their spelling is not sent
+    spelled = [F.when(~F.coalesce("often", F.lit(False)), F.col(n)).alias(n) for n in ("names", "hs", "sizes", "grams", "at")]
+    told = following.vocabulary.select("part", "often", "c", "chunk", "lids", *spelled)
+    for number, state in enumerate(following.states):
+        own = state.select("part", F.lit(number).alias("s"), "tables", "p")
+        told = told.unionByName(own, allowMissingColumns=True)
+    kind = _word_type(len(samples))
+
+    def run(told: pd.DataFrame) -> pd.DataFrame:
+        # names are numbers, so they say where a word is among those of its part
+        own = told[told["c"].notna()].sort_values("often", ascending=False)
+        states = []
+        for row in own.to_dict("records"):
+            counts = _array(row["c"], "<i8")
+            words = None if row["often"] else PartWords.of(row)
+            of_words = np.empty(len(counts), kind)
+            of_words["c"] = counts
+            for s, sample in enumerate(shared.value):
+                if words is None:
+                    state = told[told["s"] == s].iloc[0]
+                    tables, p = _array(state["tables"], "<i8"), _array(state["p"], "<f8")
+                else:
+                    tables, p = counts, words.state(sample, counts, totals[s])
+                of_words[f"tables{s}"], of_words[f"p{s}"] = tables, p
+            states.append(of_words)
+        whole = np.concatenate(states)
+        asked = told[told["chunk"].notna()]
+        blobs = [_columns(whole[_array(names, "<i8") // parts]) for names in asked["names"]]
+        return pd.DataFrame({"chunk": asked["chunk"].to_numpy(), "lids": asked["lids"].to_numpy(), "words": blobs})
+
+    return told.groupBy("part").applyInPandas(run, "chunk long, lids binary, words binary")
+
+
+def _word_type(samples: int) -> np.dtype:
+    own = [x for s in range(samples) for x in ((f"tables{s}", "<i8"), (f"p{s}", "<f8"))]
+    return np.dtype([("c", "<i8"), *own])
+
+
+def _chunk_words(told: pd.DataFrame, samples: int) -> np.ndarray:
+    """The states of a chunk's words in the order of their numbers."""
+    own = told[told["lids"].notna()]
+    lids = [_array(x, "<i4") for x in own["lids"]]
+    out = np.empty(sum(map(len, lids)), _word_type(samples))
+    for at, words in zip(lids, own["words"], strict=True):
+        out[at] = _rows(words, out.dtype)
+    return out
 
 
 def pair_states(tally: DataFrame, drawn: list[DataFrame]) -> DataFrame:
-    """(chunk, places): place, count and tables by sample of the pairs told to each chunk."""
-    samples, states = len(drawn), None
+    """(chunk, places): steps, count and tables by sample of the pairs told to each chunk."""
+    samples = len(drawn)
+    states = tally.where("pairs IS NOT NULL").select("bucket", F.lit(-1).alias("s"), F.col("pairs").alias("t"))
     for number, one in enumerate(drawn):
-        part = one.select("bucket", "j", "c", "t", F.lit(number).alias("s"))
-        states = part if states is None else states.unionAll(part)
+        states = states.unionAll(one.where("t IS NOT NULL").select("bucket", F.lit(number).alias("s"), "t"))
     placed = tally.where("places IS NOT NULL").select("bucket", "chunk", "places")
 
-    def run(key: tuple, placed: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
-        size = int(states["j"].max()) + 1 if len(states) else 0
-        c, t = np.ones(size + 1, np.int64), np.ones((size + 1, samples), np.int64)  # once: the last
-        c[states["j"].to_numpy()] = states["c"].to_numpy()
-        t[states["j"].to_numpy(), states["s"].to_numpy()] = states["t"].to_numpy()
+    def run(placed: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+        blob = dict(zip(states["s"], states["t"], strict=True))
+        once = np.ones(1, np.int64)  # the last, for pairs learned once
+        c = np.append(_rows(blob[-1], REPEATED)["c"], once) if blob else once
+        t = [np.append(_array(blob[s], "<i8"), once) if blob else once for s in range(samples)]
         blobs = []
         for blob in placed["places"]:
             at = _rows(blob, PLACED)
             out = np.empty(len(at), _state_type(samples))
-            out["place"], out["c"] = at["place"], c[at["j"]]
+            out["step"], out["c"] = at["step"], c[at["j"]]
             for s in range(samples):
-                out[f"t{s}"] = t[at["j"], s]
+                out[f"t{s}"] = t[s][at["j"]]
             blobs.append(_columns(out))
         return pd.DataFrame({"chunk": placed["chunk"].to_numpy(), "places": blobs})
 
@@ -629,49 +999,40 @@ def pair_states(tally: DataFrame, drawn: list[DataFrame]) -> DataFrame:
 
 
 def _state_type(samples: int) -> np.dtype:
-    return np.dtype([("place", "<i4"), ("c", "<i8"), *((f"t{s}", "<i8") for s in range(samples))])
+    return np.dtype([("step", "<i4"), ("c", "<i8"), *((f"t{s}", "<i8") for s in range(samples))])
 
 
 def scored(docs: DataFrame, held_out: Column) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and the
     perplexity of every row; rows where ``held_out`` holds are not learned from."""
-    parts = durable(text_parts(docs, held_out), "lm-parts")
-    #: Words are told apart by 64-bit hashes here, as within a chunk.
-    words = parts.where("word IS NOT NULL").select("chunk", "lid", "word", "learned", "h")
-    texts = parts.where("word IS NULL").select(
+    n_parts = 1 + (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // PART_BYTES
+    marked = text_parts(docs, held_out, n_parts).withColumn("packed", F.col("part").isNotNull())
+    parts = durable(marked, "lm-parts", "packed")
+    packs = parts.where("packed")
+    texts = parts.where("NOT packed").select(
         F.col("chunk").alias("text_chunk"), "hs", "ids", "known_ids", "held", "sizes", "lids"
     )
-    counted = words.groupBy("word", "h").agg(F.sum("learned").alias("c"))
-    vocabulary = durable(counted, "lm-vocabulary")
-    total = vocabulary.agg(F.sum("c"), F.count_if(F.col("c") > 0)).first()
-    tokens, distinct = total[0] or 0, total[1]
-    pairs = pair_parts(texts, 1 + tokens // BUCKET_TOKENS)
-    tally = durable(tallied(pairs, with_once=False), "lm-pairs")
+    vocabulary = durable(merged_words(packs, n_parts), "lm-vocabulary")
+    discard_partition(parts, "packed=true")
+    total = vocabulary.agg(F.sum("n"), F.sum("distinct")).first()
+    tokens, distinct = total[0] or 0, total[1] or 0
+    names = vocabulary.where("chunk IS NOT NULL").select("chunk", "lids", "names")
+    pairs = pair_parts(texts, 1 + tokens // BUCKET_TOKENS, names)
+    tally = durable(tallied(pairs, with_once=False, pack=True), "lm-pairs")
     forget_shuffles(docs.sparkSession)
-    following = Following(vocabulary, tally)
-    sampled(vocabulary, following)
-    scores = vocabulary.select("h", "c")
-    for number, state in enumerate(following.words[BURN_IN:]):
-        scores = scores.join(
-            state.select("h", F.col("tables").alias(f"tables{number}"), F.col("p").alias(f"p{number}")), "h"
-        )
-    columns = [f"{n}{s}" for n in ("tables", "p") for s in range(SAMPLES)]
-    scores = durable(scores, "lm-states")
-    discard(*following.words[BURN_IN:])
-    # each step is stored and its sources go, so that no two of the widest shuffles are kept at once
+    following = Following(vocabulary, tally, n_parts)
+    samples = sampled(vocabulary, following)
+    # stored, so that its sources and the widest shuffles go before the words' states make theirs
     told = durable(pair_states(tally, following.drawn), "lm-told")
-    discard(tally, vocabulary, *following.drawn)
-    named = words.select("chunk", "lid", "h").join(scores, "h").select("chunk", "lid", "c", *columns)
-    named = durable(named, "lm-named")
-    discard(scores)
+    discard(tally, *following.drawn)
+    named = word_states(following, samples)
     told = named.unionByName(told, allowMissingColumns=True)
 
     def run(key: tuple, text: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
-        texts = ChunkTexts.of(text.iloc[0])
+        words = _chunk_words(told, SAMPLES)
+        texts = ChunkTexts.of(text.iloc[0], np.arange(len(words)))
         sizes, lids = texts.sizes, texts.lids
-        known_words = told[told["lid"].notna()]
-        order = np.argsort(known_words["lid"].to_numpy())
-        counts = known_words["c"].to_numpy()[order].astype(np.int64)
+        counts = words["c"]
         base = np.log10((counts + 0.1) / (tokens + 0.1 * (distinct + 1)))
         of_words = {"known": (counts > 0).astype(np.float64), "base": base}
         found = {n: packed.sums(v[lids], sizes) + v[-1] for n, v in of_words.items()}  # and the end
@@ -679,12 +1040,13 @@ def scored(docs: DataFrame, held_out: Column) -> DataFrame:
         pair_tables = np.repeat(np.minimum(c, 1)[None], SAMPLES, axis=0)
         for blob in told["places"].dropna():
             states = _rows(blob, _state_type(SAMPLES))
-            c[states["place"]] = states["c"]
+            place = np.cumsum(states["step"])
+            c[place] = states["c"]
             for s in range(SAMPLES):
-                pair_tables[s, states["place"]] = states[f"t{s}"]
+                pair_tables[s, place] = states[f"t{s}"]
         mean = np.zeros(len(c))
         for s in range(SAMPLES):
-            all_tables, p = (known_words[f"{n}{s}"].to_numpy()[order] for n in ("tables", "p"))
+            all_tables, p = words[f"tables{s}"], words[f"p{s}"]
             mean += Restaurants(*PAIRS).predictive(c, pair_tables[s], counts[u], all_tables[u], p[w])
         model = np.log10(np.maximum(mean / SAMPLES, 1e-307))
         return pd.DataFrame(
