@@ -186,13 +186,29 @@ def _chunk_rows(chunk: int, texts: list[bytes], ids, known, held, parts) -> Iter
         rows = {"chunk": np.full(count, chunk), "lid": np.arange(count, dtype=np.int32),
                 "word": words, "learned": learned, "h": keys}
     yield _batch(rows, schema)
-    blob = zstandard.ZstdCompressor(3).compress(number.astype("<u4").tobytes())
+    blob = _packed_lids(number, len(distinct))
     values = [ids.astype("<i8"), known.astype("u1"), held.astype("u1"), sizes.astype("<i8")]
     row = dict(zip(("ids", "known_ids", "held", "sizes"), ([v.tobytes()] for v in values), strict=True))
     hashes = {} if parts else {"hs": [keys.tobytes()]}
     yield _batch({"chunk": [chunk], **hashes, **row, "lids": [blob]}, schema)
 
 
+def _packed_lids(number: np.ndarray, words: int) -> bytes:
+    """A chunk's word numbers as ranks by frequency, which are small, and how often each occurs,
+    from which the ranks follow."""
+    counts = np.bincount(number, minlength=words)
+    rank = np.empty(words, "<u4")
+    rank[np.argsort(-counts, kind="stable")] = np.arange(words)
+    head = _squeezed(counts)
+    return len(head).to_bytes(8, "little") + head + _squeezed(rank[number])
+
+
+def _unpacked_lids(blob: bytes) -> np.ndarray:
+    end = 8 + int.from_bytes(blob[:8], "little")
+    order = np.argsort(-_array(blob[8:end], "<i8"), kind="stable")
+    return order.astype(np.uint32)[_array(blob[end:], "<u4")]
+
+
 def _batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     """Columns that are not given are null."""
     count = len(next(iter(columns.values())))
@@ -233,10 +249,9 @@ class ChunkTexts:
     @classmethod
     def of(cls, row, names: np.ndarray | None = None) -> ChunkTexts:
         """Words are called by their hashes, if not by ``names``."""
-        lids = zstandard.ZstdDecompressor().decompress(row["lids"])
         types = {"ids": "<i8", "known_ids": "u1", "held": "u1", "sizes": "<i8"}
         names = np.frombuffer(row["hs"], "<i8") if names is None else names
-        return cls(*[np.frombuffer(row[n], t) for n, t in types.items()], names, np.frombuffer(lids, "<u4"))
+        return cls(*[np.frombuffer(row[n], t) for n, t in types.items()], names, _unpacked_lids(row["lids"]))
 
     def pairs(self) -> tuple[np.ndarray, ...]:
         """By distinct pair, in the order of word numbers: first word, second word, count in
@@ -876,7 +891,7 @@ class Following:
             return discard(self.seated)
         shared, total, kept = self.vocabulary.sparkSession.sparkContext.broadcast(sample), self.total, number >= BURN_IN
         last = number == BURN_IN + SAMPLES - 1
-        schema = "part long, bucket long, tables binary, p binary, hs binary"
+        schema = "part long, bucket long, tables binary, p binary, hs binary, c binary"
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -892,15 +907,16 @@ class Following:
                         [pa.array([row["part"]] * len(places), pa.int64()), pa.array(buckets, pa.int64()),
                          pa.array([_squeezed(tables[x]) for x in places], pa.binary()),
                          pa.array([_squeezed(p[x]) for x in places], pa.binary()),
-                         pa.array([_squeezed(words.hashes[x]) for x in places], pa.binary())],
-                        ["part", "bucket", "tables", "p", "hs"],
+                         pa.array([_squeezed(words.hashes[x]) for x in places], pa.binary()),
+                         pa.array([_squeezed(words.counts) if b is None else None for b in buckets], pa.binary())],
+                        ["part", "bucket", "tables", "p", "hs", "c"],
                     )
 
         self.state = durable(self.seated.drop("sent").mapInArrow(run, schema), "lm-state")
         shared.destroy()
         discard(self.seated)
         if kept:
-            self.states.append(durable(self.state.where("bucket IS NULL").select("part", "tables", "p"), "lm-words"))
+            self.states.append(durable(self.state.where("bucket IS NULL").select("part", "c", "tables", "p"), "lm-words"))
             self.totals.append(total)
         if last:
             discard(self.state)
@@ -924,32 +940,32 @@ def word_states(following: Following, samples: list[Sample]) -> DataFrame:
     """(chunk, lids, words): count, tables and probabilities by sample of each chunk's words."""
     totals, parts = following.totals, following.parts
     shared = following.vocabulary.sparkSession.sparkContext.broadcast(samples)
-    # of words learned more than once the state is known, so their spelling is not sent
-    spelled = [F.when(~F.coalesce("often", F.lit(False)), F.col(n)).alias(n) for n in ("names", "hs", "sizes", "grams", "at")]
-    told = following.vocabulary.select("part", "often", "c", "chunk", "lids", *spelled)
+    columns = ("part", "names", "hs", "c", "sizes", "grams", "at", "chunk", "lids")
+    told = following.vocabulary.where("often IS NULL OR NOT often").select(*columns)
     for number, state in enumerate(following.states):
-        own = state.select("part", F.lit(number).alias("s"), "tables", "p")
+        own = state.select("part", F.lit(number).alias("s"), "c", "tables", "p")
         told = told.unionByName(own, allowMissingColumns=True)
     kind = _word_type(len(samples))
 
     def run(told: pd.DataFrame) -> pd.DataFrame:
-        # names are numbers, so they say where a word is among those of its part
-        own = told[told["c"].notna()].sort_values("often", ascending=False)
-        states = []
-        for row in own.to_dict("records"):
-            counts = _array(row["c"], "<i8")
-            words = None if row["often"] else PartWords.of(row)
-            of_words = np.empty(len(counts), kind)
-            of_words["c"] = counts
+        # names are numbers, so they say where a word is among those of its part: first those
+        # learned more than once
+        often = told[told["s"].notna()].sort_values("s").to_dict("records")
+        counts = _array(often[0]["c"], "<i8") if often else np.zeros(0, np.int64)
+        states = [np.empty(len(counts), kind)]
+        states[0]["c"] = counts
+        for s, row in enumerate(often):
+            states[0][f"tables{s}"], states[0][f"p{s}"] = _array(row["tables"], "<i8"), _rounded(_array(row["p"], "<f8"))
+        for row in told[told["sizes"].notna()].to_dict("records"):
+            words = PartWords.of(row)
+            states.append(np.empty(len(words.names), kind))
+            states[-1]["c"] = words.counts
             for s, sample in enumerate(shared.value):
-                if words is None:
-                    state = told[told["s"] == s].iloc[0]
-                    tables, p = _array(state["tables"], "<i8"), _array(state["p"], "<f8")
-                else:
-                    tables, p = counts, words.state(sample, counts, totals[s])
-                of_words[f"tables{s}"], of_words[f"p{s}"] = tables, p
-            states.append(of_words)
+                states[-1][f"tables{s}"] = words.counts
+                states[-1][f"p{s}"] = _rounded(words.state(sample, words.counts, totals[s]))
         whole = np.concatenate(states)
+        for s in range(1, len(shared.value)):  # samples are alike, so their differences are short
+            whole[f"p{s}"] ^= whole["p0"]
         asked = told[told["chunk"].notna()]
         blobs = [_columns(whole[_array(names, "<i8") // parts]) for names in asked["names"]]
         return pd.DataFrame({"chunk": asked["chunk"].to_numpy(), "lids": asked["lids"].to_numpy(), "words": blobs})
@@ -957,8 +973,16 @@ def word_states(following: Following, samples: list[Sample]) -> DataFrame:
     return told.groupBy("part").applyInPandas(run, "chunk long, lids binary, words binary")
 
 
+#: Bits of a probability that texts are not sent: 28 of its 52 remain, and the spelling model has 23.
+SPARED_BITS = 24
+
+
+def _rounded(p: np.ndarray) -> np.ndarray:
+    return (p.view(np.uint64) + np.uint64(1 << SPARED_BITS - 1)) >> np.uint64(SPARED_BITS)
+
+
 def _word_type(samples: int) -> np.dtype:
-    own = [x for s in range(samples) for x in ((f"tables{s}", "<i8"), (f"p{s}", "<f8"))]
+    own = [x for s in range(samples) for x in ((f"tables{s}", "<i8"), (f"p{s}", "<u8"))]
     return np.dtype([("c", "<i8"), *own])
 
 
@@ -969,6 +993,8 @@ def _chunk_words(told: pd.DataFrame, samples: int) -> np.ndarray:
     out = np.empty(sum(map(len, lids)), _word_type(samples))
     for at, words in zip(lids, own["words"], strict=True):
         out[at] = _rows(words, out.dtype)
+    for s in range(1, samples):
+        out[f"p{s}"] ^= out["p0"]
     return out
 
 
@@ -1012,7 +1038,7 @@ def scored(docs: DataFrame, held_out: Column) -> DataFrame:
     texts = parts.where("NOT packed").select(
         F.col("chunk").alias("text_chunk"), "hs", "ids", "known_ids", "held", "sizes", "lids"
     )
-    vocabulary = durable(merged_words(packs, n_parts), "lm-vocabulary")
+    vocabulary = durable(merged_words(packs, n_parts), "lm-vocabulary", "often")
     discard_partition(parts, "packed=true")
     total = vocabulary.agg(F.sum("n"), F.sum("distinct")).first()
     tokens, distinct = total[0] or 0, total[1] or 0
@@ -1025,6 +1051,7 @@ def scored(docs: DataFrame, held_out: Column) -> DataFrame:
     # stored, so that its sources and the widest shuffles go before the words' states make theirs
     told = durable(pair_states(tally, following.drawn), "lm-told")
     discard(tally, *following.drawn)
+    discard_partition(vocabulary, "often=true")
     named = word_states(following, samples)
     told = named.unionByName(told, allowMissingColumns=True)
 
@@ -1046,7 +1073,7 @@ def scored(docs: DataFrame, held_out: Column) -> DataFrame:
                 pair_tables[s, place] = states[f"t{s}"]
         mean = np.zeros(len(c))
         for s in range(SAMPLES):
-            all_tables, p = words[f"tables{s}"], words[f"p{s}"]
+            all_tables, p = words[f"tables{s}"], (words[f"p{s}"] << np.uint64(SPARED_BITS)).view(np.float64)
             mean += Restaurants(*PAIRS).predictive(c, pair_tables[s], counts[u], all_tables[u], p[w])
         model = np.log10(np.maximum(mean / SAMPLES, 1e-307))
         return pd.DataFrame(

@@ -144,3 +144,27 @@ def test_customers_follow_without_rows_of_pairs_learned_once(spark, monkeypatch)
     found = {bytes(r["word"]).decode(): (r["c"], r["tables"]) for r in lm.Following(words, tally).customers(0).collect()}
     firsts, seconds = (Counter(pair[side] for pair in counts) for side in (0, 1))
     assert found == {w: (seconds[w], firsts[w]) for w in ["", *"abcdef"]}
+
+
+def test_sweeps_store_a_row_for_each_bucket_and_part(spark, monkeypatch):
+    """Not one for each word or pair, of which there are hundreds; words dealt to several parts
+    and pairs to several buckets leave the scores as they are."""
+    stored, durable = {}, lm.durable
+
+    def counted(df, name, *columns):
+        out = durable(df, name, *columns)
+        stored[name] = max(stored.get(name, 0), out.count())
+        return out
+
+    rng = random.Random(4)
+    words = [f"{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "lmnrst"]
+    rows = [(i, " ".join(rng.choices(words, k=30))) for i in range(60)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    one = {r["doc_id"]: r["score"] for r in lm.scored(docs, F.col("doc_id") % 7 == 0).collect()}
+    monkeypatch.setattr(lm, "durable", counted)
+    monkeypatch.setattr(lm, "PART_BYTES", 6000)
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 1200)
+    many = {r["doc_id"]: r["score"] for r in lm.scored(docs, F.col("doc_id") % 7 == 0).collect()}
+    assert many == pytest.approx(one, rel=1e-9)
+    assert {"lm-parts", "lm-pairs", "lm-seated", "lm-state"} <= stored.keys()
+    assert max(stored.values()) < 60  # 151 words and more repeated pairs than that
